@@ -265,8 +265,8 @@ def topic_split(rows: DataFrame, mapping: DataFrame, segment_col: str = "session
     topics = topics.withColumn("__trank", F.dense_rank().over(wt))
     per_seg = topics.groupBy(*seg_keys).agg(F.count(F.lit(1)).alias("__ntopics"), F.min("__t0").alias("__seg_t0"))
     # offsets across segments of a student: skew-safe running sum
-    per_seg = with_running_sum(per_seg, keys, "__seg_t0", [segment_col], F.col("__ntopics"), "__cum", bucket_seconds=bucket_seconds).drop(BUCKET)
-    per_seg = per_seg.withColumn("__off", F.col("__cum") - F.col("__ntopics")).drop("__cum", "__ntopics", "__seg_t0")
+    per_seg = with_running_sum(per_seg, keys, "__seg_t0", [segment_col], F.col("__ntopics"), "__segcum", bucket_seconds=bucket_seconds).drop(BUCKET)
+    per_seg = per_seg.withColumn("__off", F.col("__segcum") - F.col("__ntopics")).drop("__segcum", "__ntopics", "__seg_t0")
     topics = topics.join(per_seg, on=seg_keys, how="inner").select(*seg_keys, "__topic", (F.col("__off") + F.col("__trank")).cast("int").alias("__final"))
     d = d.join(topics, on=[*seg_keys, "__topic"], how="inner")
     return (
