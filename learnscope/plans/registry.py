@@ -32,7 +32,7 @@ def register(key: str, oracle: str | None = None, floats: tuple[str, ...] = ()):
         if oracle is not None:
             sql = oracle.strip().rstrip(";")
             if floats:
-                rep = ", ".join(f"round(CAST({c} AS DOUBLE), 6) AS {c}" for c in floats)
+                rep = ", ".join(f'round(CAST("{c}" AS DOUBLE), 6) AS "{c}"' for c in floats)
                 sql = f"SELECT * REPLACE ({rep}) FROM ({sql}) AS oracle_result"
             ORACLES[key] = sql
         return fn
