@@ -1 +1,268 @@
-"""(filled in below)"""
+"""ML and cluster-profile queries. SQL-checkable parts run on the
+``embeddings`` matrix (first 10 dims) and on SQL-derivable labelings; the
+fitted parts (PCA, K-Means) have no SQL form and are checked by invariants in
+the tests."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from .. import fixtures as fx
+from ..functions import lexicon as L
+from ..operators import ml
+from ..operators import profile as pf
+from . import common as C
+from . import oracle_sql as O
+from .pipelines import cluster_sessions, prepared_session_matrix
+from .registry import register
+
+E = [f"e{i}" for i in range(1, fx.EMBED_DIMS + 1)]
+_EMB = "emb AS (SELECT vec_id, label, " + ", ".join(f"CAST(embedding[{i}] AS DOUBLE) AS e{i}" for i in range(1, fx.EMBED_DIMS + 1)) + " FROM embeddings)"
+_STATS = "st AS (SELECT " + ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in E) + " FROM emb)"
+_Z = "z AS (SELECT vec_id, label, " + ", ".join(f"CASE WHEN s_{c} > 0 THEN ({c} - m_{c}) / s_{c} ELSE 0.0 END AS {c}" for c in E) + " FROM emb CROSS JOIN st)"
+
+
+def _emb(spark, sf):
+    return fx.embeddings_matrix(spark, sf)
+
+
+@register("ml_standardize", O.with_(_EMB, _STATS, _Z) + "SELECT * FROM z", floats=tuple(E))
+def ml_standardize(spark, sf):
+    """ML1-2: z-scores (population std) of all feature columns."""
+    return ml.standardize(_emb(spark, sf), E, keep=["vec_id", "label"])
+
+
+_COV_ROWS = []
+for _i, _a in enumerate(E):
+    for _b in E[_i:]:
+        _COV_ROWS.append(f"SELECT '{_a}' AS feature_i, '{_b}' AS feature_j, covar_pop({_a}, {_b}) AS cov FROM z")
+        if _a != _b:
+            _COV_ROWS.append(f"SELECT '{_b}' AS feature_i, '{_a}' AS feature_j, covar_pop({_a}, {_b}) AS cov FROM z")
+
+
+@register("ml_covariance", O.with_(_EMB, _STATS, _Z) + " UNION ALL ".join(_COV_ROWS), floats=("cov",))
+def ml_covariance(spark, sf):
+    """ML3: covariance matrix of the standardized columns (long form)."""
+    return ml.covariance(ml.standardize(_emb(spark, sf), E), E)
+
+
+_RATIOS = """r AS (SELECT label, count(*) AS n FROM embeddings GROUP BY label),
+p AS (SELECT CAST(row_number() OVER (ORDER BY n DESC, label) AS INTEGER) AS pc, n / sum(n) OVER () AS ratio FROM r),
+c AS (SELECT pc, sum(ratio / (SELECT sum(ratio) FROM p)) OVER (ORDER BY pc ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cumulative FROM p),
+th AS (SELECT * FROM (VALUES (0.8), (1.5)) AS t(threshold))"""
+
+
+@register("ml_select_components", "WITH " + _RATIOS + """
+SELECT threshold, CAST(coalesce(min(pc) FILTER (WHERE cumulative >= threshold), 1) AS INTEGER) AS n_components,
+  coalesce(arg_min(cumulative, pc) FILTER (WHERE cumulative >= threshold), arg_max(cumulative, pc)) AS variance
+FROM th CROSS JOIN c GROUP BY threshold""", floats=("threshold", "variance"))
+def ml_select_components(spark, sf):
+    """WIN6 + ML6: components needed for 80% (and an unreachable 150%) of the
+    variance, on a ratio table derived from per-label shares of embeddings."""
+    counts = spark.read.parquet(f"{sf}/embeddings.parquet").groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy(F.lit(0)).orderBy(F.col("n").desc(), "label")  # one row per label (10 rows)
+    ratios = counts.select(F.row_number().over(w).cast("int").alias("pc"), F.col("n").cast("double").alias("ratio"))
+    a = ml.select_components(ratios, 0.8)
+    b = ml.select_components(ratios, 1.5)
+    return a.unionByName(b)
+
+
+_SWEEP_SQL = "SELECT n_nationkey + 2 AS k, 1000.0 / (n_nationkey + 2) AS inertia FROM nation WHERE n_nationkey < 9"
+
+
+@register("ml_elbow", f"""WITH s AS ({_SWEEP_SQL}),
+o AS (SELECT k, inertia, lag(k) OVER w AS pk, lag(inertia) OVER w AS pi, lead(k) OVER w AS nk, lead(inertia) OVER w AS ni FROM s WINDOW w AS (ORDER BY k)),
+ch AS (SELECT k, abs(abs((ni - inertia) / (nk - k)) - abs((inertia - pi) / (k - pk))) AS change FROM o)
+SELECT CAST(coalesce((SELECT k FROM ch WHERE change IS NOT NULL ORDER BY change DESC, k LIMIT 1), (SELECT min(k) FROM ch)) AS INTEGER) AS k,
+  (SELECT max(change) FROM ch) AS change""",
+          floats=("change",))
+def ml_elbow(spark, sf):
+    """WIN7: slope-change elbow on a (k, inertia) table derived from nation."""
+    fx.register_tables(spark, sf, ["nation"])
+    sweep = spark.sql(_SWEEP_SQL).select(F.col("k").cast("int").alias("k"), F.col("inertia").cast("double").alias("inertia"))
+    return ml.elbow(sweep)
+
+
+_CENT = "cen AS (SELECT label, " + ", ".join(f"avg({c}) AS c_{c}" for c in E) + " FROM emb GROUP BY label)"
+_D2 = " + ".join(f"(emb.{c} - cen.c_{c}) * (emb.{c} - cen.c_{c})" for c in E)
+
+
+@register("ml_inertia", O.with_(_EMB, _CENT) + f"SELECT emb.label, count(*) AS n, sum({_D2}) AS sse FROM emb JOIN cen ON emb.label = cen.label GROUP BY emb.label",
+          floats=("sse",))
+def ml_inertia(spark, sf):
+    """ML8: within-cluster sum of squares of the label partition."""
+    e = _emb(spark, sf)
+    centers = e.groupBy("label").agg(*[F.avg(c).alias(c) for c in E])
+    return ml.inertia(e, E, "label", centers)
+
+
+@register("ml_assign", O.with_(_EMB, _CENT, f"d AS (SELECT emb.vec_id, cen.label AS c, {_D2} AS d2 FROM emb CROSS JOIN cen)")
+          + "SELECT vec_id, CAST(arg_min(c, (d2, c)) AS INTEGER) AS cluster, min(d2) AS dist2 FROM d GROUP BY vec_id",
+          floats=("dist2",))
+def ml_assign(spark, sf):
+    """ML9: nearest of the per-label centroids (K x p numbers inlined)."""
+    e = _emb(spark, sf)
+    rows = e.groupBy("label").agg(*[F.avg(c).alias(c) for c in E]).orderBy("label").collect()  # K x p
+    k = max(r["label"] for r in rows) + 1
+    centers = [[0.0] * len(E) for _ in range(k)]
+    present = set()
+    for r in rows:
+        centers[r["label"]] = [r[c] for c in E]
+        present.add(r["label"])
+    centers = [c if i in present else [float("inf")] * len(E) for i, c in enumerate(centers)]
+    return ml.assign(e, E, centers).select("vec_id", "cluster", "dist2")
+
+
+_LABELINGS = {
+    "label": "label",
+    "sign12": "CAST((e1 > 0) AS INTEGER) * 2 + CAST((e2 > 0) AS INTEGER)",
+    "sign34": "CAST((e3 > 0) AS INTEGER) * 2 + CAST((e4 > 0) AS INTEGER)",
+    "label_mod3": "label % 3",
+}
+_LAB = "lab AS (SELECT " + ", ".join(f"{v} AS {k}" for k, v in _LABELINGS.items()) + " FROM emb)"
+
+
+def _ari_sql(a: str, b: str, extra: str = "") -> str:
+    return f"""SELECT {extra}CASE WHEN sa - ss = 0 AND sb - ss = 0 THEN 1.0 ELSE
+  2.0 * ((ss - n) * (n * n - (sb - ss) - (sa - ss) - ss) - (sa - ss) * (sb - ss)) /
+  (((ss - n) + (sa - ss)) * ((sa - ss) + (n * n - (sb - ss) - (sa - ss) - ss)) + ((ss - n) + (sb - ss)) * ((sb - ss) + (n * n - (sb - ss) - (sa - ss) - ss))) END AS ari
+FROM (SELECT CAST(sum(nij * nij) AS DOUBLE) AS ss, CAST(sum(nij) AS DOUBLE) AS n,
+  CAST((SELECT sum(x * x) FROM (SELECT sum(nij) AS x FROM (SELECT {a} AS a, {b} AS b, count(*) AS nij FROM lab GROUP BY 1, 2) GROUP BY a)) AS DOUBLE) AS sa,
+  CAST((SELECT sum(x * x) FROM (SELECT sum(nij) AS x FROM (SELECT {a} AS a, {b} AS b, count(*) AS nij FROM lab GROUP BY 1, 2) GROUP BY b)) AS DOUBLE) AS sb
+  FROM (SELECT {a} AS a, {b} AS b, count(*) AS nij FROM lab GROUP BY 1, 2))"""
+
+
+def _labelled(spark, sf):
+    e = _emb(spark, sf)
+    return e.select("*", *[F.expr(v).cast("int").alias(k) for k, v in _LABELINGS.items() if k != "label"])
+
+
+@register("ml_ari", O.with_(_EMB, _LAB) + _ari_sql("label", "sign12"), floats=("ari",))
+def ml_ari(spark, sf):
+    """ML11: ARI of the embedding label vs a sign-bit labeling."""
+    return ml.ari(_labelled(spark, sf), "label", "sign12")
+
+
+_NAMES = list(_LABELINGS)
+_PAIRS = " UNION ALL ".join(_ari_sql(a, b, f"{i} AS i, {j} AS j, ") for i, a in enumerate(_NAMES) for j, b in enumerate(_NAMES) if i < j)
+
+
+@register("ml_ari_pairwise", O.with_(_EMB, _LAB) + _PAIRS, floats=("ari",))
+def ml_ari_pairwise(spark, sf):
+    """JOIN6 + ML11: ARI of every pair of four SQL-derivable labelings."""
+    return ml.ari_pairwise(_labelled(spark, sf), _NAMES)
+
+
+# ------------------------------------------------------------------ fitted (no SQL form)
+
+
+@register("ml_pca_scores")
+def ml_pca_scores(spark, sf):
+    """ML4: PCA scores of the standardized embedding matrix."""
+    z = ml.standardize(_emb(spark, sf), E, keep=["vec_id"])
+    return ml.pca_scores(z, ml.pca_fit(z, E), keep=["vec_id"])
+
+
+@register("ml_pca_loadings")
+def ml_pca_loadings(spark, sf):
+    """ML5 + SRT4: loadings, explained-variance ratios and cumulative ratios."""
+    z = ml.standardize(_emb(spark, sf), E)
+    return ml.pca_table(spark, ml.pca_fit(z, E))
+
+
+QUERY_N_INIT = 2
+QUERY_ITERATIONS = 4
+
+
+@register("ml_k_sweep")
+def ml_k_sweep(spark, sf):
+    """ML7: inertia per K on the session-feature PCA projection."""
+    mat = prepared_session_matrix(spark, sf)
+    from ..operators.ml import assemble
+
+    vec = assemble(mat.df, mat.cols).persist()
+    return ml.k_sweep(vec, mat.n_rows, L.MAX_K, QUERY_N_INIT)
+
+
+@register("ml_cluster")
+def ml_cluster(spark, sf):
+    """ML10 (+ML6/WIN7): session types from the full clustering pipeline."""
+    res = cluster_sessions(spark, sf, n_init=QUERY_N_INIT, stability_iterations=0)
+    return res.labels.select("student_id", "session_index", "class_id", "cluster")
+
+
+@register("ml_stability")
+def ml_stability(spark, sf):
+    """ML12 + AGG35 + SCL19 + SNK8: K-Means stability over refits."""
+    res = cluster_sessions(spark, sf, n_init=QUERY_N_INIT, stability_iterations=QUERY_ITERATIONS)
+    return res.stability.select("iterations", "n_pairs", "mean_ari", "std_ari", "min_ari", "stability")
+
+
+# ------------------------------------------------------------------ cluster profiles
+
+_FEAT_IMP = [*O.features_ctes(720), *O.imputed_ctes(), "pcl AS (SELECT *, CAST(is_exam_week * 2 + is_in_class_time AS INTEGER) AS cluster FROM imp)"]
+
+
+def _profiled(spark, sf):
+    f = C.raw_features(spark, sf)
+    return f.withColumn("cluster", (F.col("is_exam_week") * 2 + F.col("is_in_class_time")).cast("int"))
+
+
+@register("clu_sizes", O.with_(*O.views("clustered"))
+          + "SELECT cluster, count(*) AS n, count(*) / sum(count(*)) OVER () AS share FROM clustered GROUP BY cluster",
+          floats=("share",))
+def clu_sizes(spark, sf):
+    """AGG25: cluster sizes and shares."""
+    return pf.cluster_sizes(C.clustered(spark, sf))
+
+
+@register("clu_centroids", O.with_(_EMB) + "SELECT label AS cluster, avg(e1) AS pc1, avg(e2) AS pc2 FROM emb GROUP BY label",
+          floats=("pc1", "pc2"))
+def clu_centroids(spark, sf):
+    """AGG26: cluster centroids in two coordinates."""
+    e = _emb(spark, sf).select(F.col("label").alias("cluster"), F.col("e1").alias("pc1"), F.col("e2").alias("pc2"))
+    return pf.cluster_centroids(e)
+
+
+@register("clu_turns_box", O.with_(*_FEAT_IMP, """b AS (SELECT cluster, avg(qa_turns) AS mean, stddev_samp(qa_turns) AS std,
+    CAST(min(qa_turns) AS DOUBLE) AS min, CAST(max(qa_turns) AS DOUBLE) AS max, quantile_cont(CAST(qa_turns AS DOUBLE), 0.25) AS q1,
+    quantile_cont(CAST(qa_turns AS DOUBLE), 0.5) AS q2, quantile_cont(CAST(qa_turns AS DOUBLE), 0.75) AS q3 FROM pcl GROUP BY cluster)""")
+          + """SELECT cluster, mean, std, min, max, CASE WHEN max > min THEN (q1 - min) / (max - min) ELSE 0.5 END AS q1_norm,
+                 CASE WHEN max > min THEN (q2 - min) / (max - min) ELSE 0.5 END AS median_norm,
+                 CASE WHEN max > min THEN (q3 - min) / (max - min) ELSE 0.5 END AS q3_norm FROM b""",
+          floats=("mean", "std", "min", "max", "q1_norm", "median_norm", "q3_norm"))
+def clu_turns_box(spark, sf):
+    """AGG27: per-cluster qa_turns box statistics."""
+    return pf.turns_box(_profiled(spark, sf))
+
+
+_PZ_LONG = " UNION ALL ".join(f"SELECT cluster, '{c}' AS feature, avg(CAST({c} AS DOUBLE)) AS mean FROM pcl GROUP BY cluster" for c in L.FEATURE_COLUMNS)
+
+
+@register("clu_profile_z", O.with_(*_FEAT_IMP, f"lf AS ({_PZ_LONG})")
+          + """SELECT cluster, feature, mean, (mean - avg(mean) OVER w) / CASE WHEN stddev_samp(mean) OVER w = 0 THEN 1e-8 ELSE stddev_samp(mean) OVER w END AS z
+               FROM lf WINDOW w AS (PARTITION BY feature)""",
+          floats=("mean", "z"))
+def clu_profile_z(spark, sf):
+    """AGG28: cluster feature means z-scored across clusters."""
+    return pf.profile_z(_profiled(spark, sf), L.FEATURE_COLUMNS)
+
+
+@register("clu_progress_hist", O.with_(*_FEAT_IMP,
+                                       "lf AS (SELECT cluster, 'course_progress_ratio' AS feature, CAST(course_progress_ratio AS DOUBLE) AS value FROM pcl WHERE course_progress_ratio > 0)",
+                                       "r0 AS (SELECT cluster, feature, min(value) AS lo0, max(value) AS hi0 FROM lf GROUP BY cluster, feature)",
+                                       "r AS (SELECT cluster, feature, CASE WHEN lo0 = hi0 THEN lo0 - 0.5 ELSE lo0 END AS lo, CASE WHEN lo0 = hi0 THEN hi0 + 0.5 ELSE hi0 END AS hi FROM r0)",
+                                       "b AS (SELECT lf.cluster, lf.feature, lo, hi, CAST(least(floor((value - lo) * (20.0 / (hi - lo))), 19) AS INTEGER) AS bin FROM lf JOIN r USING (cluster, feature))")
+          + "SELECT cluster, feature, bin, count(*) AS count, min(lo + bin * ((hi - lo) / 20.0)) AS lo, min(lo + (bin + 1) * ((hi - lo) / 20.0)) AS hi FROM b GROUP BY cluster, feature, bin",
+          floats=("lo", "hi"))
+def clu_progress_hist(spark, sf):
+    """AGG29 + FLT13: per-cluster 20-bin course-progress histogram."""
+    return pf.progress_hist(_profiled(spark, sf))
+
+
+@register("clu_class_pivot", O.with_(*O.views("clustered"))
+          + "SELECT class_id, " + ", ".join(f'CAST(count(*) FILTER (WHERE cluster = {i}) AS BIGINT) AS "{i}"' for i in range(5)) + " FROM clustered GROUP BY class_id")
+def clu_class_pivot(spark, sf):
+    """AGG30: class x cluster count pivot."""
+    return pf.class_pivot(C.clustered(spark, sf), 5)
