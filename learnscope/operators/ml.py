@@ -139,26 +139,49 @@ def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataF
     return VectorAssembler(inputCols=list(cols), outputCol=out).transform(df)
 
 
-def kmeans_best(vec: DataFrame, k: int, n_init: int = L.N_INIT, seed: int = L.RANDOM_STATE, max_iter: int = 300, features: str = "features"):
-    """ML7/ML10: best (lowest inertia) of ``n_init`` Spark ML K-Means fits
-    with seeds seed, seed+1, ..."""
+FIT_PARALLELISM = 8
+
+
+def _fit(vec: DataFrame, k: int, seed: int, max_iter: int, features: str):
     from pyspark.ml.clustering import KMeans
 
+    m = KMeans(k=k, seed=seed, maxIter=max_iter, tol=1e-4, featuresCol=features, predictionCol="__pred").fit(vec)
+    return m, float(m.summary.trainingCost)
+
+
+def fit_many(vec: DataFrame, specs: Sequence[tuple[int, int]], max_iter: int = 300, features: str = "features", parallelism: int = FIT_PARALLELISM):
+    """Fit one Spark ML K-Means per (k, seed) spec. Fits are independent
+    Spark jobs, submitted concurrently from a thread pool so their
+    scheduling overlaps; each fit itself is distributed. Returns
+    [(k, seed, model, cost)] in spec order."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(specs)))) as pool:
+        futs = [pool.submit(_fit, vec, k, seed, max_iter, features) for k, seed in specs]
+        return [(k, seed, *f.result()) for (k, seed), f in zip(specs, futs)]
+
+
+def _best(fits):
     best = None
-    for i in range(n_init):
-        m = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=1e-4, featuresCol=features, predictionCol="__pred").fit(vec)
-        cost = m.summary.trainingCost
+    for k, seed, m, cost in fits:
         if best is None or cost < best[1]:
             best = (m, cost)
     return best
 
 
+def kmeans_best(vec: DataFrame, k: int, n_init: int = L.N_INIT, seed: int = L.RANDOM_STATE, max_iter: int = 300, features: str = "features"):
+    """ML7/ML10: best (lowest inertia) of ``n_init`` Spark ML K-Means fits
+    with seeds seed, seed+1, ..."""
+    return _best(fit_many(vec, [(k, seed + i) for i in range(n_init)], max_iter, features))
+
+
 def k_sweep(vec: DataFrame, n_rows: int, max_k: int = L.MAX_K, n_init: int = L.N_INIT, seed: int = L.RANDOM_STATE, features: str = "features") -> DataFrame:
     """ML7: inertia of the best of ``n_init`` fits for K = 2..min(max_k, n-1)."""
     ks = list(range(2, min(max_k + 1, n_rows)))
     if not ks:
         raise ValueError(f"need at least 3 rows to sweep K, got {n_rows}")
-    rows = [(k, float(kmeans_best(vec, k, n_init, seed, features=features)[1])) for k in ks]
+    fits = fit_many(vec, [(k, seed + i) for k in ks for i in range(n_init)], features=features)
+    rows = [(k, _best([f for f in fits if f[0] == k])[1]) for k in ks]
     return vec.sparkSession.createDataFrame(rows, "k int, inertia double")
 
 
@@ -281,11 +304,13 @@ def stability(vec_cols_df: DataFrame, cols: Sequence[str], k: int, n_iterations:
     """ML12: refit K-Means ``n_iterations`` times (seeds seed..), label every
     row with each model (Column arithmetic), then all pairwise ARIs.
     Returns (summary row with iterations, pairwise scores)."""
-    vec = assemble(vec_cols_df, cols)
+    vec = assemble(vec_cols_df, cols).persist()
+    fits = fit_many(vec, [(k, (seed + it) * 1000 + i) for it in range(n_iterations) for i in range(n_init)])
     centers = []
     for it in range(n_iterations):
-        model, _ = kmeans_best(vec, k, n_init, (seed + it) * 1000)
+        model, _ = _best(fits[it * n_init:(it + 1) * n_init])
         centers.append([list(map(float, c)) for c in model.clusterCenters()])
+    vec.unpersist()
     lab = vec_cols_df
     names = []
     for it, cs in enumerate(centers):
