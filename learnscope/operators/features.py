@@ -325,9 +325,20 @@ def session_features(
     schedule: DataFrame,
     allowlist: DataFrame | None = None,
     log_transform: bool = True,
+    materialize: bool = True,
 ) -> DataFrame:
-    """Full E2: extract, keep ``ok`` sessions, single-turn imputation, log1p."""
+    """Full E2: extract, keep ``ok`` sessions, single-turn imputation, log1p.
+
+    With ``materialize`` the accepted-session table is checkpointed to the
+    shared checkpoint folder (``spark.checkpoint.dir``) before the imputation
+    statistics, which read it three times; without it every read would redo
+    the text pooling from the raw turns."""
     ext = extract(turns, classes, schedule, allowlist)
     ok = ext.filter(F.col("reject_reason") == REASON_OK).drop("reject_reason")
+    if materialize:
+        from ..session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(ok.sparkSession)
+        ok = ok.checkpoint(eager=True)
     imp = impute_single_turn(ok)
     return log1p_features(imp) if log_transform else imp

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import lexicon as L
-from .sequence import BUCKET, DEFAULT_BUCKET_SECONDS, with_neighbors, with_running_sum
+from .sequence import BUCKET, DEFAULT_BUCKET_SECONDS, with_group_index, with_running_sum
 
 TEXT_COLUMNS = ("question_text", "ai_response")
 
@@ -53,24 +53,6 @@ def clean_turns(turns: DataFrame, text_columns: Sequence[str] = TEXT_COLUMNS, ti
     return out.filter(F.col("asked_at").isNotNull())
 
 
-def _boundaries(turns: DataFrame, gap_minutes: float | None, split_on_entry: bool | None, bucket_seconds: int) -> DataFrame:
-    keys = student_keys(turns)
-    use_entry = ("entry" in turns.columns) if split_on_entry is None else split_on_entry
-    vals = ["asked_at"] + (["entry"] if use_entry else [])
-    d = with_neighbors(turns, keys, "asked_at", ["turn_id"], vals, prev=True, bucket_seconds=bucket_seconds)
-    first = F.col("prev_asked_at").isNull()
-    entry_change = ~F.coalesce(F.col("entry"), F.lit("")).eqNullSafe(F.coalesce(F.col("prev_entry"), F.lit(""))) if use_entry else F.lit(False)
-    if gap_minutes is None:
-        gap = F.lit(False)
-    else:
-        micros = int(round(gap_minutes * 60_000_000))
-        gap = F.timestamp_diff("MICROSECOND", F.col("prev_asked_at"), F.col("asked_at")) > F.lit(micros)
-    d = d.withColumn("entry_changed", F.coalesce(entry_change & ~first, F.lit(False)))
-    d = d.withColumn("gap_exceeded", F.coalesce(gap, F.lit(False)))
-    d = d.withColumn("is_new_session", first | F.col("entry_changed") | F.col("gap_exceeded"))
-    return d.drop(*[c for c in ("prev_asked_at", "prev_entry") if c in d.columns])
-
-
 def segment(
     turns: DataFrame,
     gap_minutes: float | None = L.GAP_MINUTES,
@@ -81,10 +63,27 @@ def segment(
     first turn, when ``entry`` differs from the previous turn's entry (if
     ``split_on_entry``; default: when an entry column exists), or when the gap
     to the previous turn is strictly greater than ``gap_minutes``
-    (``None`` disables the gap rule). Order is (asked_at, turn_id)."""
+    (``None`` disables the gap rule). Order is (asked_at, turn_id). Turns
+    without a student id are dropped (as a group-by on the student does).
+    One shuffle of the turns, skew-safe (see :func:`with_group_index`)."""
     keys = student_keys(turns)
-    d = _boundaries(turns, gap_minutes, split_on_entry, bucket_seconds)
-    d = with_running_sum(d, keys, "asked_at", ["turn_id"], F.col("is_new_session").cast("long"), "session_index", bucket_seconds=bucket_seconds)
+    use_entry = ("entry" in turns.columns) if split_on_entry is None else split_on_entry
+    vals = ["asked_at"] + (["entry"] if use_entry else [])
+    micros = None if gap_minutes is None else int(round(gap_minutes * 60_000_000))
+
+    def starts(prev, cur):
+        cond = F.lit(False)
+        if use_entry:
+            cond = cond | ~F.coalesce(prev["entry"], F.lit("")).eqNullSafe(F.coalesce(cur["entry"], F.lit("")))
+        if micros is not None:
+            cond = cond | (F.timestamp_diff("MICROSECOND", prev["asked_at"], cur["asked_at"]) > F.lit(micros))
+        return cond
+
+    t = turns.filter(F.col(keys[-1]).isNotNull())
+    if "source" in keys:
+        t = t.withColumn("source", F.coalesce(F.col("source"), F.lit("")))
+    d = with_group_index(t, keys, "asked_at", ["turn_id"], vals, starts, name="session_index", flag="is_new_session",
+                         bucket_seconds=bucket_seconds)
     return d.withColumn("session_index", F.col("session_index").cast("int")).drop(BUCKET)
 
 

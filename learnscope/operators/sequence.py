@@ -146,3 +146,57 @@ def with_running_sum(
     if not keep_bucket:
         res = res.drop(BUCKET)
     return res
+
+
+def with_group_index(
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    tie: Sequence[str],
+    values: Sequence[str],
+    starts_group,
+    name: str = "group_index",
+    flag: str = "is_group_start",
+    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    null_safe_keys: bool = False,
+) -> DataFrame:
+    """One-pass skew-safe sessionization: ``name`` = 1-based index of the
+    group each row belongs to, where a new group starts at a key's first row
+    or wherever ``starts_group(prev, cur)`` is true. ``prev``/``cur`` are
+    structs of ``values`` (``prev`` is null at a key's first row).
+
+    Plan: one shuffle of the rows on (keys, bucket) with an in-bucket window
+    (lag + running count of starts), a partial aggregate of one summary row per
+    (key, bucket) on the same partitioning, a small per-key window over the
+    summary (previous bucket's last row, offsets), and a join back."""
+    keys, tie, values = list(keys), list(tie), list(values)
+    d = _with_bucket(df, ts, bucket_seconds)
+    w = Window.partitionBy(*keys, BUCKET).orderBy(*_order(ts, tie))
+    cur = F.struct(*[F.col(v).alias(v) for v in values])
+    d = d.withColumn("__prev", F.lag(cur).over(w))
+    first_in_bucket = F.col("__prev").isNull()
+    inner = F.when(first_in_bucket, F.lit(0)).otherwise(F.coalesce(starts_group(F.col("__prev"), cur), F.lit(False)).cast("int"))
+    d = d.withColumn("__inner", inner.cast("long"))
+    wc = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d = d.withColumn("__cum", F.sum("__inner").over(wc))
+    sort_key = [F.col(ts).alias("__t")] + [F.col(t).alias(f"__k{i}") for i, t in enumerate(tie)]
+    summary = d.groupBy(*keys, BUCKET).agg(
+        F.min(F.struct(*sort_key, cur.alias("p"))).alias("__first"),
+        F.max(F.struct(*sort_key, cur.alias("p"))).alias("__last"),
+        F.sum("__inner").alias("__tot"),
+    )
+    ws = Window.partitionBy(*keys).orderBy(BUCKET)
+    prev_last = F.lag(F.col("__last.p")).over(ws)
+    summary = summary.select(*keys, BUCKET, "__tot", F.col("__first.p").alias("__fp"), prev_last.alias("__pl"))
+    start = F.when(F.col("__pl").isNull(), F.lit(True)).otherwise(F.coalesce(starts_group(F.col("__pl"), F.col("__fp")), F.lit(False)))
+    summary = summary.withColumn("__bstart", start.cast("long"))
+    wsum = ws.rowsBetween(Window.unboundedPreceding, -1)
+    summary = summary.select(*keys, BUCKET, "__bstart",
+                             F.coalesce(F.sum(F.col("__tot") + F.col("__bstart")).over(wsum), F.lit(0)).alias("__off"))
+    if null_safe_keys:
+        d = _join_summary(d, summary, keys)
+    else:
+        d = d.join(summary, on=[*keys, BUCKET], how="inner")
+    idx = F.col("__off") + F.col("__bstart") + F.col("__cum")
+    is_start = F.when(first_in_bucket, F.col("__bstart") == 1).otherwise(F.col("__inner") == 1)
+    return d.withColumn(name, idx).withColumn(flag, is_start).drop("__prev", "__inner", "__cum", "__bstart", "__off")
