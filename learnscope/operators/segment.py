@@ -214,7 +214,7 @@ def apply_segmenter(payloads: DataFrame, segmenter, segment_col: str = "session_
     import pandas as pd
 
     keys = [*student_keys(payloads), segment_col]
-    schema = payloads.select(*keys).schema.add("row_number", "int").add("topic_id", "int")
+    schema = payloads.select(*keys).schema.add("row_number", T.IntegerType()).add("topic_id", T.IntegerType())
 
     def run(batches):
         for pdf in batches:
