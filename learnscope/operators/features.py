@@ -262,12 +262,14 @@ def impute_single_turn(features: DataFrame, class_col: str = "class_id") -> Data
     3-turn median) / 3; unchanged when both global medians are null."""
     f = coerce_numeric(features, ["avg_qa_time_minutes"], "double")
     f = f.withColumn("qa_turns", F.coalesce(F.col("qa_turns").cast("string").try_cast("int"), F.lit(0)))
+    from .stats import exact_quantiles
+
     two = F.col("qa_turns") == 2
-    class_med = f.filter(two).groupBy(class_col).agg(F.median("avg_qa_time_minutes").alias("class_2turn_median"))
-    glob = f.agg(
-        F.median(F.when(two, F.col("avg_qa_time_minutes"))).alias("global_2turn_median"),
-        F.median(F.when(F.col("qa_turns") == 3, F.col("avg_qa_time_minutes"))).alias("global_3turn_median"),
-    )
+    class_med = exact_quantiles(f.filter(two), "avg_qa_time_minutes", [class_col]).select(
+        class_col, F.col("value").alias("class_2turn_median"))
+    glob = exact_quantiles(f.filter(F.col("qa_turns").isin(2, 3)), "avg_qa_time_minutes", ["qa_turns"]) \
+        .groupBy().pivot("qa_turns", [2, 3]).agg(F.first("value")) \
+        .select(F.col("2").alias("global_2turn_median"), F.col("3").alias("global_3turn_median"))
     j = attach_one_row(f.join(class_med, on=class_col, how="left"), glob)
     fill = F.coalesce(F.col("class_2turn_median"), F.col("global_2turn_median"), F.col("global_3turn_median")) / 3
     any_global = F.col("global_2turn_median").isNotNull() | F.col("global_3turn_median").isNotNull()

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import attach_one_row
-from .stats import histogram, long_form
+from .stats import exact_quantiles, histogram, long_form
 
 
 def cluster_sizes(df: DataFrame, cluster_col: str = "cluster") -> DataFrame:
@@ -29,10 +29,12 @@ def turns_box(df: DataFrame, cluster_col: str = "cluster", col: str = "qa_turns"
     (0.5 when the cluster's values are constant)."""
     g = df.groupBy(cluster_col).agg(
         F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"), F.min(col).cast("double").alias("min"),
-        F.max(col).cast("double").alias("max"), F.percentile(F.col(col).cast("double"), [0.25, 0.5, 0.75]).alias("__q"))
+        F.max(col).cast("double").alias("max"))
+    q = exact_quantiles(df, col, [cluster_col], [0.25, 0.5, 0.75]).groupBy(cluster_col).pivot("p", [0.25, 0.5, 0.75]).agg(F.first("value"))
+    g = g.join(q, on=cluster_col, how="left")
     rng = F.col("max") - F.col("min")
-    norm = [F.when(rng > 0, (F.col("__q")[i] - F.col("min")) / rng).otherwise(F.lit(0.5)).alias(n)
-            for i, n in enumerate(("q1_norm", "median_norm", "q3_norm"))]
+    norm = [F.when(rng > 0, (F.col(f"`{p}`") - F.col("min")) / rng).otherwise(F.lit(0.5)).alias(n)
+            for p, n in ((0.25, "q1_norm"), (0.5, "median_norm"), (0.75, "q3_norm"))]
     return g.select(cluster_col, "mean", "std", "min", "max", *norm)
 
 

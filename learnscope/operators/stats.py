@@ -2,16 +2,16 @@
 
 Per-feature statistics unpivot the wide table to (feature, value) and run one
 ``groupBy(feature)`` — partial aggregation, one shuffle, no per-column jobs.
-Exact medians use Spark's exact ``median``/``percentile`` (mergeable
-buffers); ``approx=True`` switches to ``percentile_approx`` for very large
-groups.
+Exact medians and quartiles come from :func:`exact_quantiles`, which never
+gathers a group's values into one task (a hot class or feature stays
+distributed); ``approx=True`` switches to ``percentile_approx``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,14 +47,93 @@ def _median(c: Column, approx: bool) -> Column:
     return F.percentile_approx(c, 0.5, 100000) if approx else F.median(c)
 
 
+QUANTILE_ACCURACY = 10000
+
+
+def exact_quantiles(df: DataFrame, value: str, groups: Sequence[str] = (), probs: Sequence[float] = (0.5,),
+                    accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
+    """Exact quantiles with linear interpolation (the ``percentile`` /
+    pandas definition) per group, without ever holding a group's values in
+    one task: (1) a mergeable ``percentile_approx`` sketch brackets each
+    target rank with [lo, hi]; (2) exact counts below / inside the bracket
+    verify it (a failed bracket falls back to the whole range); (3) only the
+    distinct values inside the bracket (about 4n/accuracy rows plus ties) are
+    ranked. Returns (groups..., p, value); null/NaN values are ignored.
+    A group holding a third of the data costs two partial aggregates over it
+    plus a window over a small slice."""
+    groups = list(groups)
+    eps = 1.0 / accuracy
+    d = df.select(*groups, F.col(value).cast("double").alias("__x")).filter(F.col("__x").isNotNull() & ~F.isnan("__x"))
+    lo_p = [max(0.0, p - 2 * eps) for p in probs]
+    hi_p = [min(1.0, p + 2 * eps) for p in probs]
+    sk = d.groupBy(*groups).agg(
+        F.count(F.lit(1)).alias("__n"),
+        F.percentile_approx("__x", lo_p, accuracy).alias("__lo"),
+        F.percentile_approx("__x", hi_p, accuracy).alias("__hi"),
+    )
+    per_p = F.explode(F.array(*[F.struct(F.lit(float(p)).alias("p"), F.lit(i).alias("i")) for i, p in enumerate(probs)]))
+    b = sk.select(*groups, "__n", "__lo", "__hi", per_p.alias("__pp")).select(
+        *groups, "__n", F.col("__pp.p").alias("p"),
+        F.element_at("__lo", F.col("__pp.i") + 1).alias("__qlo"), F.element_at("__hi", F.col("__pp.i") + 1).alias("__qhi"))
+    pos = (F.col("__n") - 1) * F.col("p")
+    b = b.withColumn("__klo", (F.floor(pos) + 1).cast("long")).withColumn("__khi", (F.ceil(pos) + 1).cast("long")) \
+         .withColumn("__frac", pos - F.floor(pos))
+    # exact counts below / inside each bracket (one pass, partial aggregation)
+    # bounds: one row per (group, p); AQE broadcasts it at runtime when small
+    bounds = b.select(*groups, "p", "__qlo", "__qhi")
+    j = d.join(bounds, on=groups, how="inner") if groups else attach_one_row(d, bounds)
+    cnt = j.groupBy(*groups, "p").agg(
+        F.count_if(F.col("__x") < F.col("__qlo")).alias("__below"),
+        F.count_if((F.col("__x") >= F.col("__qlo")) & (F.col("__x") <= F.col("__qhi"))).alias("__in"))
+    b = b.join(cnt, on=[*groups, "p"], how="inner")
+    ok = (F.col("__below") < F.col("__klo")) & (F.col("__below") + F.col("__in") >= F.col("__khi"))
+    b = b.select(*groups, "p", "__klo", "__khi", "__frac",
+                 F.when(ok, F.col("__qlo")).otherwise(F.lit(float("-inf"))).alias("__qlo"),
+                 F.when(ok, F.col("__qhi")).otherwise(F.lit(float("inf"))).alias("__qhi"),
+                 F.when(ok, F.col("__below")).otherwise(F.lit(0)).alias("__below"))
+    j = d.join(b.select(*groups, "p", "__qlo", "__qhi"), on=groups, how="inner") if groups else attach_one_row(d, b.select("p", "__qlo", "__qhi"))
+    inside = j.filter((F.col("__x") >= F.col("__qlo")) & (F.col("__x") <= F.col("__qhi")))
+    vals = inside.groupBy(*groups, "p", "__x").agg(F.count(F.lit(1)).alias("__c"))
+    w = Window.partitionBy(*groups, "p").orderBy("__x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    vals = vals.withColumn("__cum", F.sum("__c").over(w)).withColumn("__start", F.col("__cum") - F.col("__c") + 1)
+    v = vals.join(b, on=[*groups, "p"], how="inner")
+    rlo = F.col("__klo") - F.col("__below")
+    rhi = F.col("__khi") - F.col("__below")
+    hit_lo = (F.col("__start") <= rlo) & (F.col("__cum") >= rlo)
+    hit_hi = (F.col("__start") <= rhi) & (F.col("__cum") >= rhi)
+    r = v.groupBy(*groups, "p").agg(
+        F.max(F.when(hit_lo, F.col("__x"))).alias("__vlo"), F.max(F.when(hit_hi, F.col("__x"))).alias("__vhi"),
+        F.first("__frac").alias("__frac"))
+    return r.select(*groups, "p", (F.col("__vlo") + (F.col("__vhi") - F.col("__vlo")) * F.col("__frac")).alias("value"))
+
+
+def group_medians(df: DataFrame, cols: Sequence[str], groups: Sequence[str] = (), prefix: str = "") -> DataFrame:
+    """Exact medians of several columns per group (wide: groups..., prefix+col),
+    via :func:`exact_quantiles` on the long form."""
+    lf = long_form(df, cols, list(groups))
+    q = exact_quantiles(lf, "value", [*groups, "feature"], [0.5])
+    if groups:
+        wide = q.groupBy(*groups).pivot("feature", list(cols)).agg(F.first("value"))
+    else:
+        wide = q.groupBy().pivot("feature", list(cols)).agg(F.first("value"))
+    return wide.select(*groups, *[F.col(c).alias(prefix + c) for c in cols])
+
+
+def _medians_long(lf: DataFrame, groups: Sequence[str], approx: bool, name: str = "median") -> DataFrame:
+    if approx:
+        return lf.groupBy(*groups).agg(F.percentile_approx("value", 0.5, 100000).alias(name))
+    return exact_quantiles(lf, "value", groups, [0.5]).select(*groups, F.col("value").alias(name))
+
+
 def feature_stats(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
     """AGG12 (+SNK6): min, max, mean, median, sample variance per feature;
     nulls/NaN dropped; features with no data are omitted."""
     lf = long_form(df, cols).filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    return lf.groupBy("feature").agg(
-        F.min("value").alias("min"), F.max("value").alias("max"), F.avg("value").alias("mean"),
-        _median(F.col("value"), approx).alias("median"), F.var_samp("value").alias("variance"),
+    g = lf.groupBy("feature").agg(
+        F.min("value").alias("min"), F.max("value").alias("max"), F.avg("value").alias("mean"), F.var_samp("value").alias("variance"),
     )
+    return g.join(_medians_long(lf, ["feature"], approx), on="feature", how="left").select(
+        "feature", "min", "max", "mean", "median", "variance")
 
 
 def binary_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -95,10 +174,12 @@ def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     lf = long_form(df, cols).filter(F.col("value").isNotNull() & ~F.isnan("value"))
     g = lf.groupBy("feature").agg(
         F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.percentile("value", [0.25, 0.5, 0.75]).alias("__q"), F.max("value").alias("max"),
+        F.min("value").alias("min"), F.max("value").alias("max"),
     )
-    return g.select("feature", "count", "mean", "std", "min", F.col("__q")[0].alias("p25"), F.col("__q")[1].alias("p50"),
-                    F.col("__q")[2].alias("p75"), "max")
+    q = exact_quantiles(lf, "value", ["feature"], [0.25, 0.5, 0.75])
+    qw = q.groupBy("feature").pivot("p", [0.25, 0.5, 0.75]).agg(F.first("value"))
+    qw = qw.select("feature", *[F.col(f"`{p}`").alias(n) for p, n in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
+    return g.join(qw, on="feature", how="left").select("feature", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def nonfinite_audit(df: DataFrame, cols: Sequence[str], key: str) -> DataFrame:
@@ -130,26 +211,35 @@ def nan_profile(df: DataFrame, cols: Sequence[str], group: str) -> DataFrame:
 
 def class_median_fill(df: DataFrame, cols: Sequence[str], class_col: str = "class_id", drop_null_class: bool = False, approx: bool = False) -> DataFrame:
     """AGG19: +-Inf/NaN -> missing; fill with the class median, else the
-    global median, else 0. Class medians come from one grouped aggregate
-    joined back (no per-class window). ``drop_null_class=True`` drops rows
-    without a class, as pandas ``groupby`` does."""
+    global median, else 0. Medians are computed once per (class, column)
+    and joined back (no per-class window, no per-class value gathering).
+    ``drop_null_class=True`` drops rows without a class, as pandas
+    ``groupby`` does."""
     d = nonfinite_to_null(df, cols)
     if drop_null_class:
         d = d.filter(F.col(class_col).isNotNull())
-    cm = d.groupBy(class_col).agg(*[_median(F.col(c), approx).alias(f"__cm_{c}") for c in cols])
-    gm = d.agg(*[_median(F.col(c), approx).alias(f"__gm_{c}") for c in cols])
-    j = attach_one_row(d.join(cm, on=d[class_col].eqNullSafe(cm[class_col]), how="left").drop(cm[class_col]), gm)
+    lf = long_form(d, cols, [class_col])
+    cm = _medians_long(lf, [class_col, "feature"], approx).groupBy(class_col).pivot("feature", list(cols)).agg(F.first("median"))
+    cm = cm.select(F.col(class_col).alias("__cls"), *[F.col(c).alias(f"__cm_{c}") for c in cols])
+    gm = global_medians(d, cols, approx, prefix="__gm_")
+    j = attach_one_row(d.join(cm, on=d[class_col].eqNullSafe(cm["__cls"]), how="left").drop("__cls"), gm)
     for c in cols:
         j = j.withColumn(c, F.coalesce(F.col(c), F.col(f"__cm_{c}"), F.col(f"__gm_{c}"), F.lit(0.0)))
     return j.drop(*[f"__cm_{c}" for c in cols], *[f"__gm_{c}" for c in cols])
 
 
+def global_medians(df: DataFrame, cols: Sequence[str], approx: bool = False, prefix: str = "") -> DataFrame:
+    """One row: the exact median of each column (null when it has no data)."""
+    lf = long_form(df, cols)
+    med = _medians_long(lf, ["feature"], approx)
+    return med.groupBy().pivot("feature", list(cols)).agg(F.first("median")).select(*[F.col(c).alias(prefix + c) for c in cols])
+
+
 def global_median_fill(df: DataFrame, cols: Sequence[str], string_cols: Sequence[str] = (), approx: bool = False) -> DataFrame:
     """AGG20 + FLT15: +-Inf/NaN -> missing; numeric missing -> global median
     (0 if the column is all missing); string missing -> 'missing'."""
     d = nonfinite_to_null(df, cols)
-    gm = d.agg(*[_median(F.col(c), approx).alias(f"__gm_{c}") for c in cols])
-    j = attach_one_row(d, gm)
+    j = attach_one_row(d, global_medians(d, cols, approx, prefix="__gm_"))
     for c in cols:
         j = j.withColumn(c, F.coalesce(F.col(c), F.col(f"__gm_{c}"), F.lit(0.0)))
     for c in string_cols:
