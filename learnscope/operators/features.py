@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import lexicon as L
@@ -51,6 +51,8 @@ def session_summary(turns: DataFrame, with_text: bool = True) -> DataFrame:
         aggs.append(F.max(X.is_confusion_entry("entry").cast("int")).alias("is_confusion_entry"))
     else:
         aggs.append(F.lit(0).alias("is_confusion_entry"))
+    if "in_slot" in turns.columns:
+        aggs.append(F.max("in_slot").alias("is_in_class_time"))
     if with_text and "question_text" in turns.columns:
         aggs.append(X.ordered_concat(F.coalesce(F.col("question_text"), F.lit("")), *ORDER).alias("pooled_prompts"))
     if with_text and "ai_response" in turns.columns:
@@ -155,6 +157,31 @@ def in_class_sessions(turns: DataFrame, schedule: DataFrame) -> DataFrame:
     return t.join(slots, on=cond, how="left_semi").select(*keys).distinct().withColumn("is_in_class_time", F.lit(1))
 
 
+def merged_slots(schedule: DataFrame) -> DataFrame:
+    """Schedule slots per (class, day) merged into disjoint closed intervals
+    (gaps-and-islands over the dimension table), so a time falls in at most
+    one interval of its class and day."""
+    s = schedule_slots(schedule)
+    w = Window.partitionBy("class_id", "slot_day").orderBy("open_at", "close_at")
+    prev_max = F.max("close_at").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    s = s.withColumn("__new", (prev_max.isNull() | (F.col("open_at") > prev_max)).cast("int"))
+    s = s.withColumn("__island", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return s.groupBy("class_id", "slot_day", "__island").agg(F.min("open_at").alias("open_at"), F.max("close_at").alias("close_at")).drop("__island")
+
+
+def mark_in_class(turns: DataFrame, schedule: DataFrame, class_col: str = "session_class_id", out: str = "in_slot") -> DataFrame:
+    """JOIN2 per turn: ``out`` = 1 when the turn's time is inside a slot of
+    ``class_col``'s class. Left join on (class, day) + range residual against
+    disjoint merged intervals: at most one match per turn, so no fan-out and
+    the flag can be aggregated with the other session aggregates."""
+    m = broadcast_if_small(merged_slots(schedule).select(
+        F.col("class_id").alias("__sc"), F.col("slot_day").alias("__sd"), F.col("open_at").alias("__o"), F.col("close_at").alias("__c")))
+    t = turns.withColumn("__day", F.to_date("asked_at"))
+    cond = (t[class_col] == m["__sc"]) & (t["__day"] == m["__sd"]) & (t["asked_at"] >= m["__o"]) & (t["asked_at"] <= m["__c"])
+    j = t.join(m, on=cond, how="left")
+    return j.withColumn(out, F.col("__o").isNotNull().cast("int")).drop("__day", "__sc", "__sd", "__o", "__c")
+
+
 REASON_OK = "ok"
 
 
@@ -230,16 +257,17 @@ def extract(
     """E2 without post-processing: one row per session with ``reject_reason``
     and the 10 features (features are null unless the reason is ``ok``)."""
     keys = session_keys(turns)
-    summary = session_summary(turns)
+    # the session's class (its first turn's) is checked against every turn;
+    # segment() carries it as session_class_id in the same pass
+    if "session_class_id" not in turns.columns:
+        first_class = turns.groupBy(*keys).agg(_first("class_id").alias("session_class_id"))
+        turns = turns.join(first_class, on=keys, how="inner")
+    summary = session_summary(mark_in_class(turns, schedule, "session_class_id"))
     s = reject_reason(behavioral(summary), class_windows(classes), allowlist)
     ok = F.col("reject_reason") == REASON_OK
     s = text_signals(s, only_when=ok)
     s = temporal(s)
-    # the session's class (its first turn's) is checked against every turn
-    turn_times = turns.select(*keys, "asked_at").join(summary.select(*keys, "class_id"), on=keys, how="inner")
-    s = s.join(in_class_sessions(turn_times, schedule), on=keys, how="left").withColumn(
-        "is_in_class_time", F.coalesce(F.col("is_in_class_time"), F.lit(0)).cast("int")
-    )
+    s = s.withColumn("is_in_class_time", F.coalesce(F.col("is_in_class_time"), F.lit(0)).cast("int"))
     s = finite_or_zero(s, ["avg_qa_time_minutes", "avg_question_length"])
     file_name = F.concat_ws("_", *[F.col(k).cast("string") for k in keys])
     return s.select(

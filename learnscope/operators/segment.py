@@ -65,6 +65,8 @@ def segment(
     to the previous turn is strictly greater than ``gap_minutes``
     (``None`` disables the gap rule). Order is (asked_at, turn_id). Turns
     without a student id are dropped (as a group-by on the student does).
+    With a ``class_id`` column, ``session_class_id`` is the class of the
+    session's first turn (the session's class).
     One shuffle of the turns, skew-safe (see :func:`with_group_index`)."""
     keys = student_keys(turns)
     use_entry = ("entry" in turns.columns) if split_on_entry is None else split_on_entry
@@ -82,8 +84,9 @@ def segment(
     t = turns.filter(F.col(keys[-1]).isNotNull())
     if "source" in keys:
         t = t.withColumn("source", F.coalesce(F.col("source"), F.lit("")))
+    carry = ["class_id"] if "class_id" in t.columns else []
     d = with_group_index(t, keys, "asked_at", ["turn_id"], vals, starts, name="session_index", flag="is_new_session",
-                         bucket_seconds=bucket_seconds)
+                         bucket_seconds=bucket_seconds, carry=carry, carry_prefix="session_")
     return d.withColumn("session_index", F.col("session_index").cast("int")).drop(BUCKET)
 
 

@@ -179,14 +179,10 @@ def join_class_allowlist(spark, sf):
           + """SELECT s.student_id, s.session_index, CAST(coalesce(i.is_in_class_time, 0) AS INTEGER) AS is_in_class_time
                FROM summary s LEFT JOIN inclass i ON s.student_id = i.student_id AND s.session_index = i.session_index""")
 def join_in_class(spark, sf):
-    """JOIN2: interval semi join of turns to class slots, flag per session."""
+    """JOIN2: interval join of turns to class slots (session class), flag per session."""
     seg = C.sessions(spark, sf, 720)
-    summary = fe.session_summary(seg, with_text=False)
-    keys = KEYS
-    turn_times = seg.select(*keys, "asked_at").join(summary.select(*keys, "class_id"), on=keys)
-    flags = fe.in_class_sessions(turn_times, C.schedule(spark, sf))
-    return summary.select(*keys).join(flags, on=keys, how="left").select(
-        *keys, F.coalesce(F.col("is_in_class_time"), F.lit(0)).cast("int").alias("is_in_class_time"))
+    marked = fe.mark_in_class(seg, C.schedule(spark, sf), "session_class_id")
+    return marked.groupBy(*KEYS).agg(F.max("in_slot").cast("int").alias("is_in_class_time"))
 
 
 @register("feat_temporal", O.with_(*FEAT)

@@ -99,3 +99,12 @@ def test_segmenter_hook_runs_in_pandas(spark):
     out = sg.topic_split(rows, m)
     assert out.count() == rows.count()  # full mappings keep every turn
     assert out.agg(F.max("session_index")).first()[0] >= rows.agg(F.max("session_index")).first()[0]
+
+
+def test_session_class_is_first_turns_class_across_buckets(spark):
+    ev = spark.read.parquet(f"{SF_MID}/events.parquet").selectExpr(
+        "event_id AS turn_id", "user_id AS student_id", "ts AS asked_at", "event_type AS entry", "event_id % 3 AS class_id")
+    s = sg.segment(ev, 720, split_on_entry=False, bucket_seconds=60)
+    first = s.groupBy("student_id", "session_index").agg(F.min_by("class_id", F.struct("asked_at", "turn_id")).alias("want"))
+    bad = s.join(first, ["student_id", "session_index"]).filter(~F.col("session_class_id").eqNullSafe(F.col("want")))
+    assert bad.count() == 0
