@@ -56,7 +56,14 @@ def main(argv):
     import __spark_entry__ as E
     from learnscope.session import local_session
 
-    spark = local_session()
+    if os.environ.get("ORACLE_PLAIN_SESSION"):  # a session like the driver's: no tuning, default heap
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8") \
+            .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = local_session()
     qs, os_ = E.queries(), E.oracle_sql()
     con = duck(sf_dir)
     ok = bad = 0
