@@ -4,8 +4,9 @@ The original analysis reads tutoring logs; the test tables are generic
 (``events``, ``documents``, ``nation``, ``embeddings``). These views map them
 onto the domain schema (turns, class windows, class schedule, clustered
 sessions, dirty features). ``{TS}`` is ``TIMESTAMP_NTZ`` in Spark and
-``TIMESTAMP`` in DuckDB. ``d.doc_id BETWEEN 0 AND 199`` is implied by the join
-key (event ids are non-negative) and lets the scan prune documents.
+``TIMESTAMP`` in DuckDB. Every document is used (doc ids are 0..n-1 and each
+event takes document ``event_id mod n``) and texts are whole: a question is
+the full document text plus a Chinese fragment chosen by ``event_id``.
 """
 
 from __future__ import annotations
@@ -20,12 +21,14 @@ BASE_TABLES = [
 TURNS = """
 SELECT e.event_id AS turn_id, e.user_id AS student_id, e.user_id % 12 AS class_id, e.ts AS asked_at,
   CASE e.event_type WHEN 'click' THEN '课堂不懂' WHEN 'view' THEN '课堂不懂' WHEN 'error' THEN '习题不懂' ELSE '自由提问' END AS entry,
-  concat(substr(d.text, 1, CASE WHEN e.event_id % 13 = 0 THEN 1200 ELSE 80 END), ' ',
+  concat(d.text, ' ',
     CASE e.event_id % 11 WHEN 0 THEN '这道题怎么做？答案是什么' WHEN 1 THEN '![img](http://x/y.png)' WHEN 2 THEN '<img src="a.png"> 选什么'
       WHEN 3 THEN '如果温度升高会怎样' WHEN 4 THEN '1、A ____ (5分)' WHEN 5 THEN '为什么这样？' WHEN 6 THEN 'Ａ．　Ｂ．'
       WHEN 7 THEN '可以解释一下吗' WHEN 8 THEN 'Notice: please read' WHEN 9 THEN '请上传你的文件（Please upload the file）' ELSE '' END) AS question_text,
-  CASE e.event_id % 7 WHEN 0 THEN '这道题的正确答案是选项B' WHEN 1 THEN '' ELSE substr(d.text, 1, 300) END AS ai_response
-FROM events e JOIN documents d ON d.doc_id = e.event_id % 200 AND d.doc_id BETWEEN 0 AND 199
+  CASE e.event_id % 7 WHEN 0 THEN '这道题的正确答案是选项B' WHEN 1 THEN '' ELSE d.text END AS ai_response
+FROM events e
+  JOIN (SELECT count(*) AS n_docs FROM documents) c ON c.n_docs > 0
+  JOIN documents d ON d.doc_id = e.event_id % c.n_docs
 """
 
 CLASSES = """
