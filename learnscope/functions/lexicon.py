@@ -37,6 +37,11 @@ def _whitespace_class() -> str:
 
 
 WS = _whitespace_class()
+# The same set in Java's own syntax (Unicode White_Space plus U+001C..U+001F),
+# which Java evaluates much faster than the spelled-out class; Spark patterns
+# use it, the RE2 oracle uses WS. tests/test_text.py checks both are equal
+# over every code point.
+WS_JAVA = r"(?U:[\s\x1c-\x1f])"
 DIGIT = r"\p{Nd}"
 NOT_WORD = r"(?:[^\p{L}\p{N}_]|$)"
 
@@ -93,9 +98,14 @@ NON_NATURAL_PATTERNS = [
     r"[A-D][\.、)]" + WS + r"*[^\n]{1,50}" + WS + r"*[A-D][\.、)]",
 ]
 
+# Literals every match of the pattern above (same position in the list) must
+# contain; a text without them cannot match, so the regex is skipped.
+NON_NATURAL_REQUIRED = [[], ["分"], ["```"], ["___"], ["[", "]"], []]
+
 # Regexes counted on the raw pooled prompts for understanding_signal_strength.
 # Original forms: 如果.*会 ; 那如果 ; 可以.*吗
 HYPOTHETICAL_PATTERNS = [r"如果[^\n]*会", r"那如果", r"可以[^\n]*吗"]
+HYPOTHETICAL_REQUIRED = [["如果", "会"], ["那如果"], ["可以", "吗"]]
 
 # Image predicate, per turn. Original form: !\[.*?\]\(.*?\)|<img\b
 IMAGE_PATTERN = r"!\[[^\n]*?\]\([^\n]*?\)|<img" + NOT_WORD
@@ -114,6 +124,10 @@ QUESTION_CLEAN_STEPS = [
     (r"(?i)<img(?:[^\p{L}\p{N}_>][^>]*)?>", ""),
     (WS + "+", " "),
 ]
+# A literal any match of each cleaning step must contain (any of the listed);
+# None: always run.
+QUESTION_CLEAN_REQUIRED = [["!["], ["请上传你的文件"], ["注意", "notice"], ["<"], None]
+IMAGE_REQUIRED = ["![", "<img"]
 
 # Session feature columns, in their canonical order.
 FEATURE_COLUMNS = [

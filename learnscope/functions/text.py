@@ -19,21 +19,46 @@ def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def java_pattern(pattern: str) -> str:
+    """A lexicon pattern in the form Spark (Java regex) runs fastest: the
+    spelled-out whitespace class becomes Java's equivalent Unicode class."""
+    return pattern.replace(L.WS, L.WS_JAVA)
+
+
 def question_length(text: Column | str) -> Column:
     """SCL1: length of a question after removing images, upload boilerplate,
     ``Notice:`` lines and ``<img>`` tags, collapsing whitespace and trimming.
     Counts code points; null gives 0."""
     s = _c(text)
-    for pattern, repl in L.QUESTION_CLEAN_STEPS:
-        s = F.regexp_replace(s, F.lit(pattern), F.lit(repl))
+    for (pattern, repl), need in zip(L.QUESTION_CLEAN_STEPS, L.QUESTION_CLEAN_REQUIRED):
+        step = F.regexp_replace(s, F.lit(java_pattern(pattern)), F.lit(repl))
+        if need is None:
+            s = step
+        else:  # guard literals are matched case-insensitively where the step is
+            probe = F.lower(s) if pattern.startswith("(?i)") else s
+            s = F.when(_contains_any(probe, need), step).otherwise(s)
     return F.coalesce(F.length(F.trim(s)), F.lit(0)).cast("int")
 
 
+def _contains_any(s: Column, literals: Sequence[str]) -> Column:
+    cond = F.lit(False)
+    for lit in literals:
+        cond = cond | (F.instr(s, lit) > 0)
+    return cond
+
+
+def _contains_all(s: Column, literals: Sequence[str]) -> Column:
+    cond = F.lit(True)
+    for lit in literals:
+        cond = cond & (F.instr(s, lit) > 0)
+    return cond
+
+
 def normalize(text: Column | str) -> Column:
     """SCL2: full-width ASCII to half-width, ideographic space to space, then
     delete every whitespace character. Null gives ''."""
     s = F.translate(F.coalesce(_c(text), F.lit("")), L.FULLWIDTH_FROM, L.FULLWIDTH_TO)
-    return F.regexp_replace(s, F.lit(L.WS + "+"), F.lit(""))
+    return F.regexp_replace(s, F.lit(L.WS_JAVA + "+"), F.lit(""))
 
 
 def phrase_count(text: Column | str, phrase: str) -> Column:
@@ -44,8 +69,10 @@ def phrase_count(text: Column | str, phrase: str) -> Column:
     if not phrase:
         raise ValueError("empty phrase")
     s = _c(text)
-    removed = F.length(s) - F.length(F.replace(s, F.lit(phrase), F.lit("")))
-    return (removed / F.lit(len(phrase))).cast("int")
+    # byte lengths: O(1) on Spark strings, and removing k copies removes
+    # exactly k * bytes(phrase) bytes; replace() returns early when absent
+    removed = F.octet_length(s) - F.octet_length(F.replace(s, F.lit(phrase), F.lit("")))
+    return F.coalesce((removed / F.lit(len(phrase.encode("utf-8")))).cast("int"), F.lit(0))
 
 
 def phrases_count(text: Column | str, phrases: Sequence[str]) -> Column:
@@ -57,21 +84,25 @@ def phrases_count(text: Column | str, phrases: Sequence[str]) -> Column:
     return total
 
 
-def pattern_count(text: Column | str, pattern: str) -> Column:
-    """SCL4: number of non-overlapping regex matches."""
-    return F.regexp_count(F.coalesce(_c(text), F.lit("")), F.lit(pattern)).cast("int")
+def pattern_count(text: Column | str, pattern: str, required: Sequence[str] = ()) -> Column:
+    """SCL4: number of non-overlapping regex matches. ``required``: literals
+    every match contains; texts lacking one skip the regex (count 0)."""
+    s = F.coalesce(_c(text), F.lit(""))
+    n = F.regexp_count(s, F.lit(java_pattern(pattern))).cast("int")
+    return F.when(_contains_all(s, required), n).otherwise(F.lit(0)) if required else n
 
 
-def patterns_count(text: Column | str, patterns: Sequence[str]) -> Column:
+def patterns_count(text: Column | str, patterns: Sequence[str], required: Sequence[Sequence[str]] | None = None) -> Column:
     total = F.lit(0)
-    for p in patterns:
-        total = total + pattern_count(text, p)
+    for i, p in enumerate(patterns):
+        total = total + pattern_count(text, p, required[i] if required else ())
     return total
 
 
 def has_image(text: Column | str) -> Column:
     """SCL5: markdown image or ``<img`` tag present (case-sensitive)."""
-    return F.coalesce(_c(text).rlike(L.IMAGE_PATTERN), F.lit(False))
+    s = _c(text)
+    return F.coalesce(_contains_any(s, L.IMAGE_REQUIRED) & s.rlike(L.IMAGE_PATTERN), F.lit(False))
 
 
 def is_confusion_entry(entry: Column | str, entries: Sequence[str] = tuple(L.CONFUSION_ENTRIES)) -> Column:

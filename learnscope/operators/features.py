@@ -80,7 +80,7 @@ def copy_paste_score(summary: DataFrame, phrases: Sequence[str] = tuple(L.COPY_K
     return (
         _image_bonus()
         + (F.col("avg_raw_length") > long_chars).cast("int")
-        + X.patterns_count("pooled_prompts", patterns)
+        + X.patterns_count("pooled_prompts", patterns, L.NON_NATURAL_REQUIRED if list(patterns) == L.NON_NATURAL_PATTERNS else None)
         + X.phrases_count("norm_prompts", phrases)
     )
 
@@ -93,7 +93,8 @@ def answer_seeking(prompt_phrases: Sequence[str] = tuple(L.ANSWER_SEEKING_KEYWOR
 
 def understanding(phrases: Sequence[str] = tuple(L.UNDERSTANDING_KEYWORDS_PROMPT), patterns: Sequence[str] = tuple(L.HYPOTHETICAL_PATTERNS)) -> Column:
     """SCL8: understanding phrases (normalized) + hypothetical regexes (raw)."""
-    return X.phrases_count("norm_prompts", phrases) + X.patterns_count("pooled_prompts", patterns)
+    req = L.HYPOTHETICAL_REQUIRED if list(patterns) == L.HYPOTHETICAL_PATTERNS else None
+    return X.phrases_count("norm_prompts", phrases) + X.patterns_count("pooled_prompts", patterns, req)
 
 
 def text_signals(summary: DataFrame, only_when: Column | None = None) -> DataFrame:

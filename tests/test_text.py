@@ -85,3 +85,10 @@ def test_phrases_pool_across_turns(spark):
     # whitespace removal lets a phrase straddle two turns (pooled before counting)
     r = _session(spark, [("自由提问", "这道", ""), ("自由提问", "题", "")])
     assert r["copy_paste_score"] == 1
+
+
+def test_java_whitespace_class_equals_python_whitespace(spark):
+    cps = [c for c in range(0x110000) if not (0xD800 <= c <= 0xDFFF)]
+    df = spark.createDataFrame([(c, chr(c)) for c in cps], "c int, s string")
+    java = {r["c"] for r in df.filter(F.col("s").rlike("^" + L.WS_JAVA + "$")).collect()}
+    assert java == {c for c in cps if chr(c).isspace()}
