@@ -49,6 +49,8 @@ NOT_WORD = r"(?:[^\p{L}\p{N}_]|$)"
 # and the ideographic space U+3000 maps to a plain space. Built by rule.
 FULLWIDTH_FROM = "".join(chr(c) for c in range(0xFF01, 0xFF5F)) + "　"
 FULLWIDTH_TO = "".join(chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)) + " "
+# Every whitespace character (str.isspace), for single-pass deletion.
+WS_CHARS = "".join(chr(c) for c in range(sys.maxunicode + 1) if chr(c).isspace())
 
 # --------------------------------------------------------------------------
 # FIXED VALUES (must match the original analysis exactly; natural order)

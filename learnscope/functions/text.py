@@ -57,8 +57,11 @@ def _contains_all(s: Column, literals: Sequence[str]) -> Column:
 def normalize(text: Column | str) -> Column:
     """SCL2: full-width ASCII to half-width, ideographic space to space, then
     delete every whitespace character. Null gives ''."""
-    s = F.translate(F.coalesce(_c(text), F.lit("")), L.FULLWIDTH_FROM, L.FULLWIDTH_TO)
-    return F.regexp_replace(s, F.lit(L.WS_JAVA + "+"), F.lit(""))
+    # one translate pass: full-width forms map to ASCII (never whitespace), and
+    # every whitespace character (incl. U+3000, whose mapped space would be
+    # removed anyway) has no counterpart, so it is deleted
+    frm = L.FULLWIDTH_FROM[:-1] + L.WS_CHARS
+    return F.translate(F.coalesce(_c(text), F.lit("")), frm, L.FULLWIDTH_TO[:-1])
 
 
 def phrase_count(text: Column | str, phrase: str) -> Column:

@@ -29,7 +29,8 @@ def _first(col: str) -> Column:
 
 def session_summary(turns: DataFrame, with_text: bool = True) -> DataFrame:
     """AGG3-11: one row per session with the cheap aggregates and (optionally)
-    the pooled prompt text (AGG10) and the first AI reply (AGG11)."""
+    the pooled prompt text (AGG10) and the first AI reply's first 100
+    characters (AGG11)."""
     keys = session_keys(turns)
     t = turns.withColumn("__clen", X.question_length("question_text")) if "question_text" in turns.columns else turns
     aggs = [
@@ -56,7 +57,10 @@ def session_summary(turns: DataFrame, with_text: bool = True) -> DataFrame:
     if with_text and "question_text" in turns.columns:
         aggs.append(X.ordered_concat(F.coalesce(F.col("question_text"), F.lit("")), *ORDER).alias("pooled_prompts"))
     if with_text and "ai_response" in turns.columns:
-        aggs.append(F.coalesce(_first("ai_response"), F.lit("")).alias("first_ai_reply"))
+        # only the first FIRST_REPLY_CHARS of the first reply are ever used:
+        # cut before the shuffle instead of carrying whole replies
+        t = t.withColumn("__reply", X.truncate("ai_response", L.FIRST_REPLY_CHARS))
+        aggs.append(F.coalesce(_first("__reply"), F.lit("")).alias("first_ai_reply"))
     return t.groupBy(*keys).agg(*aggs)
 
 
