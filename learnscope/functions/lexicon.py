@@ -126,9 +126,11 @@ QUESTION_CLEAN_STEPS = [
     (r"(?i)<img(?:[^\p{L}\p{N}_>][^>]*)?>", ""),
     (WS + "+", " "),
 ]
-# A literal any match of each cleaning step must contain (any of the listed);
-# None: always run.
+# Literals a match of each cleaning step must contain (any of the listed,
+# compared case-insensitively for (?i) steps); None: always run. Step 2 also
+# needs a colon (":" or "："), checked first because it is cheap.
 QUESTION_CLEAN_REQUIRED = [["!["], ["请上传你的文件"], ["注意", "notice"], ["<"], None]
+QUESTION_CLEAN_PRECHECK = [None, None, [":", "："], None, None]
 IMAGE_REQUIRED = ["![", "<img"]
 
 # Session feature columns, in their canonical order.

@@ -32,7 +32,7 @@ def session_summary(turns: DataFrame, with_text: bool = True) -> DataFrame:
     the pooled prompt text (AGG10) and the first AI reply's first 100
     characters (AGG11)."""
     keys = session_keys(turns)
-    t = turns.withColumn("__clen", X.question_length("question_text")) if "question_text" in turns.columns else turns
+    t = X.with_question_length(turns, "question_text", "__clen") if "question_text" in turns.columns else turns
     aggs = [
         F.count(F.lit(1)).alias("qa_turns"),
         F.min("asked_at").alias("t_min"),

@@ -22,7 +22,7 @@ FEAT = O.features_ctes(720)
           + f"SELECT turn_id, {O.question_length('question_text')} AS question_length FROM turns")
 def scl_question_length(spark, sf):
     """SCL1: cleaned question length per turn."""
-    return C.turns(spark, sf).select("turn_id", X.question_length("question_text").alias("question_length"))
+    return X.with_question_length(C.turns(spark, sf), "question_text", "question_length").select("turn_id", "question_length")
 
 
 @register("scl_normalize", O.with_(*O.views("turns"))
