@@ -147,21 +147,6 @@ def schedule_slots(schedule: DataFrame) -> DataFrame:
     )
 
 
-def in_class_sessions(turns: DataFrame, schedule: DataFrame) -> DataFrame:
-    """JOIN2: session keys with at least one turn inside a slot of the class
-    given on that row: left-semi join on (class_id, day) + range residual."""
-    keys = session_keys(turns)
-    slots = broadcast_if_small(schedule_slots(schedule))
-    t = turns.select(*keys, "class_id", "asked_at").withColumn("slot_day", F.to_date("asked_at"))
-    cond = [
-        t["class_id"] == slots["class_id"],
-        t["slot_day"] == slots["slot_day"],
-        t["asked_at"] >= slots["open_at"],
-        t["asked_at"] <= slots["close_at"],
-    ]
-    return t.join(slots, on=cond, how="left_semi").select(*keys).distinct().withColumn("is_in_class_time", F.lit(1))
-
-
 def merged_slots(schedule: DataFrame) -> DataFrame:
     """Schedule slots per (class, day) merged into disjoint closed intervals
     (gaps-and-islands over the dimension table), so a time falls in at most

@@ -92,7 +92,7 @@ def feat_flags(spark, sf):
 
 
 @register("feat_pooled_text", O.with_(*_SESS)
-          + "SELECT student_id, session_index, length(pooled_prompts) AS pooled_chars, md5(pooled_prompts) AS pooled_md5, md5(substr(first_ai_reply, 1, 100)) AS first_reply_md5 FROM behav")
+          + "SELECT student_id, session_index, CAST(length(pooled_prompts) AS INTEGER) AS pooled_chars, md5(pooled_prompts) AS pooled_md5, md5(substr(first_ai_reply, 1, 100)) AS first_reply_md5 FROM behav")
 def feat_pooled_text(spark, sf):
     """AGG10-11: ordered pooled prompts and the first AI reply."""
     s = _summary(spark, sf)

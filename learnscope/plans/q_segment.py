@@ -74,7 +74,7 @@ _ROWS_CTE = [
     to_json(list({{'row_number': row_number, 'timestamp': strftime(asked_at, '%Y-%m-%d %H:%M:%S'),
       'question': substr(coalesce(question_text, ''), 1, 500), 'ai_response': substr(coalesce(ai_response, ''), 1, 500)}} ORDER BY row_number)) AS payload
   FROM rows WHERE segment_rows >= 3 GROUP BY student_id, session_index)""")
-          + "SELECT student_id, session_index, n_rows, length(payload) AS payload_chars, md5(payload) AS payload_md5 FROM pay")
+          + "SELECT student_id, session_index, n_rows, CAST(length(payload) AS INTEGER) AS payload_chars, md5(payload) AS payload_md5 FROM pay")
 def seg_payload(spark, sf):
     """WIN4 + SCL12-13: JSON payload per segment of >= 3 turns (gap-only, 720 min)."""
     rows = sg.with_row_in_segment(C.sessions(spark, sf, 720, entry=False))
