@@ -101,20 +101,25 @@ def understanding(phrases: Sequence[str] = tuple(L.UNDERSTANDING_KEYWORDS_PROMPT
     return X.phrases_count("norm_prompts", phrases) + X.patterns_count("pooled_prompts", patterns, req)
 
 
-def text_signals(summary: DataFrame, only_when: Column | None = None) -> DataFrame:
+def text_signals(summary: DataFrame, only_when: Column | None = None, lexicon: dict | None = None) -> DataFrame:
     """Add copy_paste_score, is_copy_paste, answer_seeking_intensity and
-    understanding_signal_strength. Normalized texts are computed once in their
+    understanding_signal_strength. ``lexicon`` (UDF2) overrides any of the
+    lists: keys copy, copy_patterns, answer_prompt, answer_reply,
+    understanding, hypothetical. Normalized texts are computed once in their
     own projection so every phrase count reuses them. With ``only_when``, the
     regex work runs only for rows where it holds (others get null)."""
     gate = (lambda c: F.when(only_when, c)) if only_when is not None else (lambda c: c)
     s = summary.withColumn("norm_prompts", gate(X.normalize("pooled_prompts"))).withColumn(
         "norm_reply", gate(X.normalize(X.truncate("first_ai_reply", L.FIRST_REPLY_CHARS)))
     )
-    cp = copy_paste_score(s)
+    lx = lexicon or {}
+    cp = copy_paste_score(s, lx.get("copy", tuple(L.COPY_KEYWORDS)), lx.get("copy_patterns", tuple(L.NON_NATURAL_PATTERNS)))
     s = s.withColumn("copy_paste_score", gate(cp).cast("double"))
     s = s.withColumn("is_copy_paste", gate((F.col("copy_paste_score") > 0).cast("int")))
-    s = s.withColumn("answer_seeking_intensity", gate(answer_seeking()).cast("double"))
-    s = s.withColumn("understanding_signal_strength", gate(understanding()).cast("double"))
+    ans = answer_seeking(lx.get("answer_prompt", tuple(L.ANSWER_SEEKING_KEYWORDS_PROMPT)), lx.get("answer_reply", tuple(L.ANSWER_SEEKING_KEYWORDS_AI)))
+    s = s.withColumn("answer_seeking_intensity", gate(ans).cast("double"))
+    und = understanding(lx.get("understanding", tuple(L.UNDERSTANDING_KEYWORDS_PROMPT)), lx.get("hypothetical", tuple(L.HYPOTHETICAL_PATTERNS)))
+    s = s.withColumn("understanding_signal_strength", gate(und).cast("double"))
     return s.drop("norm_prompts", "norm_reply")
 
 
@@ -243,6 +248,7 @@ def extract(
     classes: DataFrame,
     schedule: DataFrame,
     allowlist: DataFrame | None = None,
+    lexicon: dict | None = None,
 ) -> DataFrame:
     """E2 without post-processing: one row per session with ``reject_reason``
     and the 10 features (features are null unless the reason is ``ok``)."""
@@ -255,7 +261,7 @@ def extract(
     summary = session_summary(mark_in_class(turns, schedule, "session_class_id"))
     s = reject_reason(behavioral(summary), class_windows(classes), allowlist)
     ok = F.col("reject_reason") == REASON_OK
-    s = text_signals(s, only_when=ok)
+    s = text_signals(s, only_when=ok, lexicon=lexicon)
     s = temporal(s)
     s = s.withColumn("is_in_class_time", F.coalesce(F.col("is_in_class_time"), F.lit(0)).cast("int"))
     s = finite_or_zero(s, ["avg_qa_time_minutes", "avg_question_length"])

@@ -23,13 +23,19 @@ from .common import attach_one_row
 # ------------------------------------------------------------------ standardize / covariance
 
 
-def standardize(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+def standardize(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (), binary: Sequence[str] = ()) -> DataFrame:
     """ML1 (+ML2): z-score every column with the population std; zero-variance
-    columns give 0 (no jitter); non-finite results -> 0."""
-    stats = df.agg(*[F.avg(c).alias(f"__m_{c}") for c in cols], *[F.stddev_pop(c).alias(f"__s_{c}") for c in cols])
+    columns give 0 (no jitter); non-finite results -> 0. Columns listed in
+    ``binary`` are passed through as doubles, unscaled; the default is none,
+    as in the original (its binary list is always empty)."""
+    scaled = [c for c in cols if c not in set(binary)]
+    stats = df.agg(*[F.avg(c).alias(f"__m_{c}") for c in scaled], *[F.stddev_pop(c).alias(f"__s_{c}") for c in scaled])
     j = attach_one_row(df.select(*keep, *cols), stats)
     out = []
     for c in cols:
+        if c in set(binary):
+            out.append(F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c))
+            continue
         z = F.when(F.col(f"__s_{c}") > 0, (F.col(c) - F.col(f"__m_{c}")) / F.col(f"__s_{c}")).otherwise(F.lit(0.0))
         z = F.when(z.isNull() | F.isnan(z) | (F.abs(z) == F.lit(float("inf"))), F.lit(0.0)).otherwise(z)
         out.append(z.alias(c))
@@ -98,6 +104,14 @@ def pca_scores(z: DataFrame, res: PcaResult, keep: Sequence[str] = (), m: int |
     return z.select(*keep, *comps)
 
 
+def top_loadings(table: DataFrame, n_components: int = 3, digits: int = 3) -> DataFrame:
+    """SRT4: loadings of the first components, rounded, one column per
+    component (feature x PC1..PCn)."""
+    t = table.filter(F.col("pc") <= n_components).withColumn("loading", F.round("loading", digits))
+    return t.groupBy("feature").pivot("pc", list(range(1, n_components + 1))).agg(F.first("loading")) \
+        .select("feature", *[F.col(str(i)).alias(f"PC{i}") for i in range(1, n_components + 1)])
+
+
 def pca_table(spark, res: PcaResult) -> DataFrame:
     """Long loadings table (pc, feature, loading, ratio, cumulative)."""
     rows, cum = [], 0.0

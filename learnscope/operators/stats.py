@@ -125,9 +125,11 @@ def _medians_long(lf: DataFrame, groups: Sequence[str], approx: bool, name: str
     return exact_quantiles(lf, "value", groups, [0.5]).select(*groups, F.col("value").alias(name))
 
 
-def feature_stats(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
+def feature_stats(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False, exclude: Sequence[str] = ()) -> DataFrame:
     """AGG12 (+SNK6): min, max, mean, median, sample variance per feature;
-    nulls/NaN dropped; features with no data are omitted."""
+    nulls/NaN dropped; features with no data are omitted. ``cols=None``
+    auto-detects numeric columns (FLT10) minus ``exclude`` (declared keys)."""
+    cols = list(cols) if cols is not None else numeric_columns(df, exclude)
     lf = long_form(df, cols).filter(F.col("value").isNotNull() & ~F.isnan("value"))
     g = lf.groupBy("feature").agg(
         F.min("value").alias("min"), F.max("value").alias("max"), F.avg("value").alias("mean"), F.var_samp("value").alias("variance"),

@@ -85,3 +85,17 @@ def test_required_columns_reports_all_missing(spark):
     df = spark.range(1)
     with pytest.raises(ValueError, match="student_id.*cluster"):
         io.required_columns(df, ["student_id", "cluster"])
+
+
+def test_binary_columns_pass_through_and_top_loadings(spark):
+    e = fx.embeddings_matrix(spark, SF_MID).withColumn("flag", (F.col("e1") > 0).cast("int"))
+    z = ml.standardize(e, [*E, "flag"], binary=["flag"])
+    assert {r["flag"] for r in z.select("flag").distinct().collect()} <= {0.0, 1.0}
+    top = ml.top_loadings(ml.pca_table(spark, ml.pca_fit(ml.standardize(e, E), E)))
+    assert top.count() == 10 and top.columns == ["feature", "PC1", "PC2", "PC3"]
+
+
+def test_stats_json_sink(spark, tmp_path):
+    df = spark.createDataFrame([(3, 2)], "total long, processed long")
+    io.write_json(df, str(tmp_path / "stats"))
+    assert spark.read.json(str(tmp_path / "stats")).first()["processed"] == 2

@@ -92,3 +92,12 @@ def test_java_whitespace_class_equals_python_whitespace(spark):
     df = spark.createDataFrame([(c, chr(c)) for c in cps], "c int, s string")
     java = {r["c"] for r in df.filter(F.col("s").rlike("^" + L.WS_JAVA + "$")).collect()}
     assert java == {c for c in cps if chr(c).isspace()}
+
+
+def test_lexicon_override_reaches_features(spark):
+    t = spark.createDataFrame([(1, 1, 0, datetime(2024, 1, 1, 9), "自由提问", "banana split", "")],
+                              "turn_id long, student_id long, class_id long, asked_at timestamp_ntz, entry string, question_text string, ai_response string") \
+        .withColumn("session_index", F.lit(1))
+    s = fe.behavioral(fe.session_summary(t))
+    assert fe.text_signals(s).first()["copy_paste_score"] == 0
+    assert fe.text_signals(s, lexicon={"copy": ["banana"]}).first()["copy_paste_score"] == 1
