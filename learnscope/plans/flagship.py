@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import features as fe
 from ..operators import segment as sg
 from . import common as C
-from .pipelines import cluster_matrix, prepare_matrix, transition_model
+from .stages import cluster_matrix, prepare_matrix, transition_model
 
 
 def flagship(spark: SparkSession, sf: str, gap_minutes: float = 15, n_init: int = 2, k: int | None = None) -> DataFrame:

@@ -14,7 +14,7 @@ from ..operators import ml
 from ..operators import profile as pf
 from . import common as C
 from . import oracle_sql as O
-from .pipelines import cluster_sessions, prepared_session_matrix
+from .stages import cluster_sessions, prepared_session_matrix
 from .registry import register
 
 E = [f"e{i}" for i in range(1, fx.EMBED_DIMS + 1)]
