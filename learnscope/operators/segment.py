@@ -66,7 +66,8 @@ def segment(
     (``None`` disables the gap rule). Order is (asked_at, turn_id). Turns
     without a student id are dropped (as a group-by on the student does).
     With a ``class_id`` column, ``session_class_id`` is the class of the
-    session's first turn (the session's class).
+    session's first turn (the session's class). ``turn_rank`` is the turn's
+    1-based position in its student's sequence.
     One shuffle of the turns, skew-safe (see :func:`with_group_index`)."""
     keys = student_keys(turns)
     use_entry = ("entry" in turns.columns) if split_on_entry is None else split_on_entry
@@ -86,7 +87,7 @@ def segment(
         t = t.withColumn("source", F.coalesce(F.col("source"), F.lit("")))
     carry = ["class_id"] if "class_id" in t.columns else []
     d = with_group_index(t, keys, "asked_at", ["turn_id"], vals, starts, name="session_index", flag="is_new_session",
-                         bucket_seconds=bucket_seconds, carry=carry, carry_prefix="session_")
+                         bucket_seconds=bucket_seconds, carry=carry, carry_prefix="session_", rank="turn_rank")
     return d.withColumn("session_index", F.col("session_index").cast("int")).drop(BUCKET)
 
 
@@ -126,7 +127,10 @@ def with_row_in_segment(segmented: DataFrame, segment_col: str = "session_index"
     rank within the student (skew-safe running count) minus the segment's
     first rank (partial aggregate)."""
     keys = student_keys(segmented)
-    d = with_running_sum(segmented, keys, "asked_at", ["turn_id"], F.lit(1), "__rank", bucket_seconds=bucket_seconds).drop(BUCKET)
+    if "turn_rank" in segmented.columns:  # produced by segment() in the same pass
+        d = segmented.withColumn("__rank", F.col("turn_rank"))
+    else:
+        d = with_running_sum(segmented, keys, "asked_at", ["turn_id"], F.lit(1), "__rank", bucket_seconds=bucket_seconds).drop(BUCKET)
     seg = d.groupBy(*keys, segment_col).agg(F.min("__rank").alias("__r0"), F.count(F.lit(1)).alias("segment_rows"))
     d = d.join(seg, on=[*keys, segment_col], how="inner")
     return d.withColumn("row_number", (F.col("__rank") - F.col("__r0") + 1).cast("int")).drop("__rank", "__r0")

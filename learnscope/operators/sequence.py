@@ -161,13 +161,15 @@ def with_group_index(
     null_safe_keys: bool = False,
     carry: Sequence[str] = (),
     carry_prefix: str = "first_",
+    rank: str | None = None,
 ) -> DataFrame:
     """One-pass skew-safe sessionization: ``name`` = 1-based index of the
     group each row belongs to, where a new group starts at a key's first row
     or wherever ``starts_group(prev, cur)`` is true. ``prev``/``cur`` are
     structs of ``values`` (``prev`` is null at a key's first row). For each
     column ``c`` in ``carry``, ``carry_prefix + c`` is the value of ``c`` on
-    the group's first row (carried through the same summary pass).
+    the group's first row (carried through the same summary pass). With
+    ``rank``, that column is the row's 1-based position within its key.
 
     Plan: one shuffle of the rows on (keys, bucket) with an in-bucket window
     (lag + running count of starts), a partial aggregate of one summary row per
@@ -183,6 +185,8 @@ def with_group_index(
     d = d.withColumn("__inner", inner.cast("long"))
     wc = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     d = d.withColumn("__cum", F.sum("__inner").over(wc))
+    if rank:
+        d = d.withColumn("__rn", F.row_number().over(w))
     carry = list(carry)
     cstruct = F.struct(*[F.col(c).alias(c) for c in carry]) if carry else None
     if carry:  # value at the latest in-bucket (non-first-row) group start
@@ -193,6 +197,7 @@ def with_group_index(
         F.min(F.struct(*sort_key, cur.alias("p"))).alias("__first"),
         F.max(F.struct(*sort_key, cur.alias("p"))).alias("__last"),
         F.sum("__inner").alias("__tot"),
+        F.count(F.lit(1)).alias("__rows"),
     ]
     if carry:
         aggs += [F.min_by(cstruct, sort_struct).alias("__cfirst"),
@@ -201,11 +206,12 @@ def with_group_index(
     ws = Window.partitionBy(*keys).orderBy(BUCKET)
     prev_last = F.lag(F.col("__last.p")).over(ws)
     extra = ["__cfirst", "__clast"] if carry else []
-    summary = summary.select(*keys, BUCKET, "__tot", F.col("__first.p").alias("__fp"), prev_last.alias("__pl"), *extra)
+    summary = summary.select(*keys, BUCKET, "__tot", "__rows", F.col("__first.p").alias("__fp"), prev_last.alias("__pl"), *extra)
     start = F.when(F.col("__pl").isNull(), F.lit(True)).otherwise(F.coalesce(starts_group(F.col("__pl"), F.col("__fp")), F.lit(False)))
     summary = summary.withColumn("__bstart", start.cast("long"))
     wsum = ws.rowsBetween(Window.unboundedPreceding, -1)
-    cols = [*keys, BUCKET, "__bstart", F.coalesce(F.sum(F.col("__tot") + F.col("__bstart")).over(wsum), F.lit(0)).alias("__off")]
+    cols = [*keys, BUCKET, "__bstart", F.coalesce(F.sum(F.col("__tot") + F.col("__bstart")).over(wsum), F.lit(0)).alias("__off"),
+            F.coalesce(F.sum("__rows").over(wsum), F.lit(0)).alias("__roff")]
     if carry:
         end_carry = F.coalesce(F.col("__clast"), F.when(F.col("__bstart") == 1, F.col("__cfirst")))
         summary = summary.withColumn("__cend", end_carry)
@@ -218,8 +224,10 @@ def with_group_index(
     idx = F.col("__off") + F.col("__bstart") + F.col("__cum")
     is_start = F.when(first_in_bucket, F.col("__bstart") == 1).otherwise(F.col("__inner") == 1)
     d = d.withColumn(name, idx).withColumn(flag, is_start)
+    if rank:
+        d = d.withColumn(rank, F.col("__roff") + F.col("__rn")).drop("__rn")
     if carry:
         cv = F.coalesce(F.col("__cv_in"), F.when(F.col("__bstart") == 1, F.col("__cfirst")), F.col("__cin"))
         d = d.withColumn("__cv", cv).select("*", *[F.col(f"__cv.{c}").alias(carry_prefix + c) for c in carry])
         d = d.drop("__cv_in", "__cfirst", "__cin", "__cv")
-    return d.drop("__prev", "__inner", "__cum", "__bstart", "__off")
+    return d.drop("__prev", "__inner", "__cum", "__bstart", "__off", "__roff")

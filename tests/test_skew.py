@@ -41,8 +41,11 @@ def _brute(rows, gap):
 def test_hot_student_sessions_match_brute_force(spark):
     rows = _turns(spark)
     df = spark.createDataFrame(rows, "turn_id long, student_id long, asked_at timestamp_ntz, entry string")
-    got = {r["turn_id"]: r["session_index"] for r in sg.segment(df, 15).select("turn_id", "session_index").collect()}
-    assert got == _brute(rows, 15)
+    seg = sg.segment(df, 15).select("turn_id", "session_index", "turn_rank").collect()
+    assert {r["turn_id"]: r["session_index"] for r in seg} == _brute(rows, 15)
+    pdf = pd.DataFrame(rows, columns=["turn_id", "student_id", "asked_at", "entry"]).sort_values(["student_id", "asked_at", "turn_id"])
+    pdf["rank"] = pdf.groupby("student_id").cumcount() + 1
+    assert {r["turn_id"]: r["turn_rank"] for r in seg} == dict(zip(pdf["turn_id"], pdf["rank"]))
     # the hot student is cut into many window partitions, none larger than a bucket
     b = df.filter("student_id = 0").select(bucket_of(df, "asked_at").alias("b")).groupBy("b").count()
     assert b.count() > 100 and b.agg(F.max("count")).first()[0] <= 10
