@@ -26,12 +26,27 @@ def attach_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.crossJoin(F.broadcast(one_row))
 
 
+def round_half_away(c, digits: int = 6):
+    """Round like C's ``round(x * 10^d) / 10^d`` in binary floating point (the
+    SQL oracle's rounding), not Spark's decimal-string HALF_UP: the two differ
+    on values whose shortest decimal form ends in 5 at the cut. ``a - floor(a)``
+    is exact for doubles, so the half test is exact."""
+    m = float(10 ** digits)
+    v = c * F.lit(m)
+    a = F.abs(v)
+    r = F.floor(a).cast("double")
+    rounded = F.when(a - r >= 0.5, r + 1.0).otherwise(r) * F.signum(v)
+    big = a >= F.lit(4.5e15)  # already integral
+    res = F.when(big, v).otherwise(rounded) / F.lit(m)
+    return F.when(c.isNull() | F.isnan(c) | (F.abs(c) == F.lit(float("inf"))), c).otherwise(res)
+
+
 def round_floats(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every float/double column (for engine-independent comparison)."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append(F.round(F.col(f.name).cast("double"), digits).alias(f.name))
+            cols.append(round_half_away(F.col(f.name).cast("double"), digits).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)

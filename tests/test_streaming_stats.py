@@ -55,3 +55,19 @@ def test_exact_quantiles_match_numpy_with_ties_and_hot_group(spark):
         xs = [x for gg, x in rows if gg == g]
         for p in (0.25, 0.5, 0.75):
             assert abs(got[(g, p)] - float(np.percentile(xs, p * 100))) < 1e-12
+
+
+def test_output_rounding_matches_sql_oracle(spark):
+    import duckdb
+
+    from learnscope.operators.common import round_half_away
+
+    rng = random.Random(3)
+    vals = [256.6113195, 261.5357815, -2.5e-7, 0.0000005, 1.0000005, -3.4444445, 0.1234565] + \
+        [rng.uniform(-1e4, 1e4) for _ in range(3000)] + [round(rng.uniform(0, 1000), 7) for _ in range(3000)]
+    df = spark.createDataFrame(list(enumerate(vals)), "i int, v double")
+    got = {r["i"]: r["r"] for r in df.select("i", round_half_away(F.col("v"), 6).alias("r")).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t(i INT, v DOUBLE)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", list(enumerate(vals)))
+    assert got == dict(con.execute("SELECT i, round(v, 6) FROM t").fetchall())
