@@ -11,9 +11,9 @@ from .stages import cluster_matrix, prepare_matrix, transition_model
 
 
 def flagship(spark: SparkSession, sf: str, gap_minutes: float = 15, n_init: int = 2, k: int | None = None) -> DataFrame:
-    """Turns -> sessions (entry change / 15-minute gap) -> session features ->
+    """Turns -> cleaned turns -> sessions (entry change / 15-minute gap) -> session features ->
     K-Means session types (elbow K) -> Markov transition probabilities."""
-    sessions = sg.segment(C.turns(spark, sf), gap_minutes=gap_minutes)
+    sessions = sg.segment(sg.clean_turns(C.turns(spark, sf)), gap_minutes=gap_minutes)
     feats = fe.session_features(sessions, C.classes(spark, sf), C.schedule(spark, sf))
     res = cluster_matrix(prepare_matrix(feats), n_init=n_init, stability_iterations=0, k=k)
     return transition_model(res.labels, res.k).select("from_state", "to_state", "n", "p")
