@@ -78,3 +78,30 @@ def test_annotation_uses_python_rounding(spark):
     df = spark.createDataFrame([(0.125, 1), (0.135, 2)], "p double, n long")
     got = [r["annotation"] for r in mk.annotate(df).collect()]
     assert got == ["0.12\n(1)", "0.14\n(2)"]
+
+
+def test_sessions_never_cross_source_files(spark):
+    from learnscope.operators import segment as sg
+
+    t0 = datetime(2024, 1, 1, 9)
+    rows = [("a.csv", 1, 1, t0, "A"), ("b.csv", 2, 1, t0.replace(minute=1), "A"), ("a.csv", 3, 1, t0.replace(minute=2), "A")]
+    df = spark.createDataFrame(rows, "source string, turn_id long, student_id long, asked_at timestamp_ntz, entry string")
+    got = {r["turn_id"]: (r["source"], r["session_index"]) for r in sg.segment(df, 15).collect()}
+    assert got == {1: ("a.csv", 1), 3: ("a.csv", 1), 2: ("b.csv", 1)}
+
+
+def test_rare_reject_reasons(spark):
+    summ = spark.createDataFrame(
+        [(1, 1, 1, datetime(2024, 1, 5, 9), datetime(2024, 1, 5, 9), 0),   # bad time
+         (2, 1, 2, datetime(2024, 1, 1, 9), datetime(2024, 1, 1, 9, 30), 0),  # same-day window, end > start
+         (3, 1, 3, datetime(2024, 1, 5, 9), datetime(2024, 1, 5, 9), 0),   # not in allowlist
+         (4, 1, 1, datetime(2024, 1, 5, 9), datetime(2024, 1, 5, 9), 0)],  # ok
+        "student_id long, session_index int, class_id long, t_min timestamp_ntz, t_max timestamp_ntz, any_bad_time int",
+    ).withColumn("any_bad_time", F.when(F.col("student_id") == 1, 1).otherwise(0))
+    windows = spark.createDataFrame(
+        [(1, datetime(2024, 1, 1), datetime(2024, 3, 1)), (2, datetime(2024, 1, 1, 8), datetime(2024, 1, 1, 18)),
+         (3, datetime(2024, 1, 1), datetime(2024, 3, 1))],
+        "class_id long, course_start timestamp_ntz, course_end timestamp_ntz")
+    allow = spark.createDataFrame([(1,), (2,)], "class_id long")
+    got = {r["student_id"]: r["reject_reason"] for r in fe.reject_reason(summ, windows, allow).collect()}
+    assert got == {1: "invalid_time", 2: "zero_day_window", 3: "filtered_by_class_info", 4: "ok"}
