@@ -63,3 +63,21 @@ def test_hot_sequence_transitions_match_brute_force(spark):
         for a, b in zip(seq, seq[1:]):
             want[(a, b)] = want.get((a, b), 0) + 1
     assert got == want
+
+
+def test_sessionization_shuffles_turn_rows_once(spark):
+    """Plan shape (AQE off): one hash exchange of the turn rows on (student,
+    bucket), reused by the summary branch; the other two hash exchanges carry
+    the per-bucket summary (one row per student and active bucket)."""
+    from learnscope import fixtures as fx
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        turns = fx.load_view(spark, "/root/testdata/sf0.01", "turns")
+        s = sg.segment(turns, 15).select("turn_id", "session_index", "turn_rank")
+        plan = s._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    hash_exchanges = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line and "Reused" not in line]
+    assert len(hash_exchanges) == 3
+    assert "ReusedExchange" in plan
