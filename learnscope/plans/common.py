@@ -1,6 +1,7 @@
-"""Inputs shared by the registered queries: fixture views and pipeline stages
-built on them (cached per Spark session + scale-factor dir only as plans;
-nothing is materialized here)."""
+"""Inputs shared by the registered queries: fixture views and the stages
+built on them. Each call builds a fresh plan over the given scale-factor
+directory; the only materialization is the accepted-session checkpoint inside
+``features.session_features`` (to the shared checkpoint folder)."""
 
 from __future__ import annotations
 
