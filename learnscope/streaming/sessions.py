@@ -47,7 +47,24 @@ def _labeller(gap_minutes, use_entry, key_cols):
             last_at, last_entry, last_index, prev_t = None, None, 0, None
         new = np.zeros(len(pdf), dtype=bool)
         late = np.zeros(len(pdf), dtype=bool)
-        for i in range(len(pdf)):
+        if prev_t is None or t[0] >= prev_t:  # in-order batch: vectorized
+            prev_all = np.concatenate([[prev_t if prev_t is not None else t[0]], t[:-1]])
+            gap = (t - prev_all).astype("int64") > gap_us if gap_us is not None else np.zeros(len(t), dtype=bool)
+            if use_entry:
+                prev_e = np.concatenate([[last_entry or ""], entry[:-1]]).astype(object)
+                gap = gap | (entry != prev_e)
+            new = gap
+            if prev_t is None:
+                new[0] = True
+            idx = last_index + np.cumsum(new)
+            out = pdf[[*key_cols, "turn_id"]].copy()
+            out["session_index"] = idx.astype("int32")
+            out["is_new_session"] = new
+            out["late"] = late
+            state.update((pd.Timestamp(t[-1]).to_pydatetime(), entry[-1] if use_entry else None, int(idx[-1])))
+            yield out
+            return
+        for i in range(len(pdf)):  # a late turn in the batch: sequential fallback
             if prev_t is None:
                 new[i] = True
             else:
