@@ -71,3 +71,21 @@ def test_output_rounding_matches_sql_oracle(spark):
     con.execute("CREATE TABLE t(i INT, v DOUBLE)")
     con.executemany("INSERT INTO t VALUES (?, ?)", list(enumerate(vals)))
     assert got == dict(con.execute("SELECT i, round(v, 6) FROM t").fetchall())
+
+
+def test_session_window_merges_exact_gap_like_batch_rule(spark):
+    from datetime import datetime, timedelta
+
+    t0 = datetime(2024, 1, 1, 9)
+    rows = [(1, 1, t0), (2, 1, t0 + timedelta(minutes=15)), (3, 1, t0 + timedelta(minutes=30, microseconds=1))]
+    df = spark.createDataFrame(rows, "turn_id long, student_id long, asked_at timestamp_ntz")
+    sizes = sorted(r["qa_turns"] for r in ss.gap_session_windows(df, 15).collect())
+    assert sizes == [1, 2]
+    assert sorted(r["session_index"] for r in sg.segment(df, 15).collect()) == [1, 1, 2]
+
+
+def test_lenient_time_parsing_drops_bad_rows(spark):
+    rows = [(1, 1, "2024-01-01 09:00:00", "q"), (2, 1, "2024/01/01 09:05", "q"), (3, 1, "not a time", "q")]
+    df = spark.createDataFrame(rows, "turn_id long, student_id long, asked_at string, question_text string")
+    out = sg.clean_turns(df, time_formats=["yyyy-MM-dd HH:mm:ss", "yyyy/MM/dd HH:mm"])
+    assert sorted(r["turn_id"] for r in out.collect()) == [1, 2]
