@@ -51,9 +51,12 @@ def transitions(
         d = d.withColumn(time_col, F.try_to_timestamp(F.col(time_col)).cast("timestamp_ntz"))
     n = with_neighbors(d, list(keys), time_col, list(tie), ["state"], prev=True, nxt=True).drop(BUCKET)
     cols = [*keys, *tie]
-    start = n.filter(F.col("prev_state").isNull()).select(*cols, F.lit("START").alias("from_state"), F.col("state").alias("to_state"))
-    step = n.select(*cols, F.col("state").alias("from_state"), F.coalesce(F.col("next_state"), F.lit("END")).alias("to_state"))
-    return start.unionByName(step)
+    # one pass: every row emits its outgoing step, the first row also START
+    start = F.when(F.col("prev_state").isNull(), F.struct(F.lit("START").alias("f"), F.col("state").alias("t")))
+    step = F.struct(F.col("state").alias("f"), F.coalesce(F.col("next_state"), F.lit("END")).alias("t"))
+    pairs = F.filter(F.array(start, step), lambda x: x.isNotNull())
+    return n.select(*cols, F.explode(pairs).alias("__tr")).select(
+        *cols, F.col("__tr.f").alias("from_state"), F.col("__tr.t").alias("to_state"))
 
 
 def _grid(spark, states: Sequence[str]) -> DataFrame:
