@@ -43,10 +43,6 @@ def long_form(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> D
     return casted.unpivot(list(keys), list(cols), "feature", "value")
 
 
-def _median(c: Column, approx: bool) -> Column:
-    return F.percentile_approx(c, 0.5, 100000) if approx else F.median(c)
-
-
 QUANTILE_ACCURACY = 10000
 
 

@@ -99,3 +99,19 @@ def test_stats_json_sink(spark, tmp_path):
     df = spark.createDataFrame([(3, 2)], "total long, processed long")
     io.write_json(df, str(tmp_path / "stats"))
     assert spark.read.json(str(tmp_path / "stats")).first()["processed"] == 2
+
+
+def test_jitter_constant_is_seeded_and_only_touches_constant_columns(spark):
+    df = fx.load_view(spark, SF_MID, "dirty_features").select("event_id", "f_const", F.coalesce("f_all_null_class", F.lit(0.0)).alias("g"))
+    a = ml.jitter_constant(df, ["f_const", "g"], seed=7)
+    b = ml.jitter_constant(df, ["f_const", "g"], seed=7)
+    assert a.agg(F.var_samp("f_const")).first()[0] > 0
+    assert a.select("event_id", "f_const", "g").exceptAll(b.select("event_id", "f_const", "g")).count() == 0
+    assert a.select("g").exceptAll(df.select("g")).count() == 0
+
+
+def test_render_prompt_wraps_payload(spark):
+    from learnscope.operators import segment as sg
+
+    r = spark.createDataFrame([('[{"row_number": 1}]',)], "payload string").select(sg.render_prompt("payload").alias("p")).first()["p"]
+    assert r.startswith(sg.PROMPT_HEADER) and r.endswith('[{"row_number": 1}]')
