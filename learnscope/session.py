@@ -4,6 +4,7 @@ folder (taken from ``spark.checkpoint.dir``; set only where it is unset)."""
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -35,19 +36,31 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only when the
-    session has none (local runs and tests)."""
+    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+
+    Only a single-machine ``local`` master may go without that setting (a
+    folder is then made for the session); elsewhere executors would not see
+    each other's files, so a missing setting raises."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if not current:
         current = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not current:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="learnscope-ckpt-", dir="/tmp")
         spark.conf.set(CHECKPOINT_CONF, current)
     sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a table that a query wrote under the shared folder."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
