@@ -22,6 +22,7 @@ CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Java class of the ASCII white space that separates words
 SPACE = r"[\x20\x09-\x0D]"
 WORDS_SPLIT = SPACE + "+"
+WORDS = r"[^\x20\x09-\x0D]+"
 U64 = np.uint64
 
 

@@ -12,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_cascade, sql
-from .common import read
+from . import license_scan, quality_cascade, source_mix, sql, token_counts
+from .common import WORDS, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,7 +26,37 @@ def query(fn):
     return fn
 
 
+@query
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    known = license_scan.known_digests(spark)
+    out = license_scan.scan(docs, known).drop("text")
+    lines = license_scan.scan_lines(docs, known).groupBy("doc_id").agg(
+        F.sum("n_lines").alias("n_license_lines"), F.array_join(F.array_sort(F.collect_set("license")), ", ").alias("line_licenses")
+    )  # a document's set is bounded by the known licences
+    return out.join(lines, "doc_id", "left").select(
+        "doc_id", "canonical_sha256", "canonical_length", "license", F.coalesce("n_license_lines", F.lit(0)).alias("n_license_lines"), "line_licenses"
+    )
+
+
+@query
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.regexp_count("text", F.lit(WORDS)).alias("size"), F.array("source").alias("sources"))
+    taken, sources = source_mix.mix(docs)
+    out = taken.withColumn("source", F.col("sources")[0]).drop("sources")
+    sources = sources.withColumnRenamed("source", "_s")
+    return out.join(F.broadcast(sources), F.col("source").eqNullSafe(F.col("_s")), "left").select(
+        "doc_id", "size", "source_size", "target", "taken", "source"
+    )
+
+
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_cascade.cascade(read(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hist = token_counts.length_histogram(read(spark, sf_dir, "documents"), token_counts.rank_file_encoder(spark))
+    return token_counts.suffix_sums(hist)

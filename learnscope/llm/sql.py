@@ -38,3 +38,57 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     OR length(regexp_replace(text, '[^\p{{Lu}}]+', '', 'g')) > 0.6 * word_chars) AS kept
 FROM b
 """
+
+
+def _license_sql() -> str:
+    from .license_scan import EQUIVALENT, KNOWN
+
+    form = r"'  ' || regexp_replace(regexp_replace(lower(coalesce({t}, '')), '(?m)^[^\p{{L}}\p{{N}}\n]*(copyright|\(c\)|©|all rights reserved)[^\n]*$', '', 'g'), '[^\p{{L}}\p{{N}}]+', '  ', 'g') || '  '"
+    for a, b in EQUIVALENT:
+        a, b = a.replace(" ", "  "), b.replace(" ", "  ")
+        form = f"replace({form}, ' {a} ', ' {b} ')"
+    form = f"trim(regexp_replace({form}, ' +', ' ', 'g'))"
+    quote = lambda x: "'" + x.replace("'", "''") + "'"
+    known = ", ".join(f"({quote(a)}, {quote(b)})" for a, b in KNOWN)
+    return f"""
+WITH k AS (
+  SELECT sha256({form.format(t="body")}) AS digest, min(license) AS license
+  FROM (VALUES {known}) AS v(license, body) GROUP BY 1
+),
+f AS (SELECT doc_id, {form.format(t="text")} AS form FROM documents),
+l AS (
+  SELECT doc_id, license, count(*) AS n
+  FROM (SELECT doc_id, sha256({form.format(t="line")}) AS digest
+        FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents))
+  JOIN k USING (digest) GROUP BY 1, 2
+),
+d AS (SELECT doc_id, sum(n)::BIGINT AS n, string_agg(license, ', ' ORDER BY license) AS line_licenses FROM l GROUP BY 1)
+SELECT f.doc_id, sha256(form) AS canonical_sha256, length(form) AS canonical_length,
+  CASE WHEN form <> '' THEN k.license END AS license, coalesce(d.n, 0) AS n_license_lines, line_licenses
+FROM f LEFT JOIN k ON sha256(form) = k.digest LEFT JOIN d ON f.doc_id = d.doc_id
+"""
+
+
+op2_license_scan = _license_sql()
+
+# The shares by weight with caps, in closed form: sources in the order of (2 * size / weight)
+# are capped as long as the share per weight of the others exceeds that ratio.
+op5_source_mix = r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size, md5('11:' || doc_id) AS h FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS n, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS k FROM d GROUP BY source),
+w AS (SELECT *, [5, 2, 1][(k % 3 + 1)::INT] AS w FROM s),
+c AS (
+  SELECT *, 1.5 * sum(n) OVER () - coalesce(sum(2 * n) OVER o, 0) AS remaining, sum(w) OVER () - coalesce(sum(w) OVER o, 0) AS left_w
+  FROM w WINDOW o AS (ORDER BY 2.0 * n / w, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+level AS (SELECT remaining / left_w AS v FROM c WHERE remaining / left_w * w <= 2 * n ORDER BY 2.0 * n / w, k LIMIT 1),
+t AS (SELECT source, n, least(2.0 * n, w * v) AS target FROM c, level),
+q AS (SELECT source, n, target, floor(target + 0.5)::BIGINT AS quota FROM t),
+r AS (
+  SELECT doc_id, d.source, size, n, target, quota, sum(size) OVER (PARTITION BY d.source ORDER BY h, doc_id, size ROWS UNBOUNDED PRECEDING) - size AS before
+  FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source
+)
+SELECT doc_id, size, n AS source_size, target,
+  CASE WHEN n = 0 THEN 0 ELSE (quota // n) * size + greatest(0, least(size, quota % n - before)) END::BIGINT AS taken, source
+FROM r
+"""
