@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import license_scan, quality_cascade, source_mix, sql, token_counts
+from . import license_scan, quality_cascade, simhash_vptree, source_mix, sql, token_counts
 from .common import WORDS, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +50,11 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_vptree.near_duplicates(read(spark, sf_dir, "documents"), shingle=3, radius=2)
+
+
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_cascade.cascade(read(spark, sf_dir, "documents"))
