@@ -86,10 +86,11 @@ def default_rules(text: str = "text") -> list[Rule]:
     ]
 
 
-def plan(df: DataFrame, rules: Sequence[Rule], fraction: float = 0.01, max_rows: int = 2000, seed: int = 7) -> list[dict]:
+def plan(df: DataFrame, rules: Sequence[Rule], text: str = "text", fraction: float = 0.01, max_rows: int = 2000, seed: int = 7) -> list[dict]:
     """Cost and selectivity of each rule on a sample of at most ``max_rows``
     rows (the sample serves only to order the rules), best first."""
-    sample = materialize(df.sample(fraction, seed).limit(max_rows), "cascade-sample")
+    # the sample is drawn from the raw rows, so only sampled rows are measured
+    sample = materialize(measures(df.sample(fraction, seed).limit(max_rows), text), "cascade-sample")
     rows = sample.count()
 
     def timed(*cols):
@@ -125,9 +126,7 @@ def cascade(df: DataFrame, rules: Sequence[Rule] | None = None, text: str = "tex
     """Measures, ``base_failed`` and ``kept`` for every row. The base test (too
     few words, or over 30 % of the words in repeated windows) comes first; the
     ordered rules run only on rows that pass it."""
-    df = measures(df, text)
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     rules = list(default_rules(text) if rules is None else rules)
-    # rules are timed on rows that carry the measures, as in the cascade itself
-    order = plan(df, rules, fraction)
-    return df.withColumn("base_failed", failed).withColumn("kept", F.when(F.col("base_failed"), F.lit(False)).otherwise(verdict(rules, order).isNull()))
+    order = plan(df, rules, text, fraction)
+    return measures(df, text).withColumn("base_failed", failed).withColumn("kept", F.when(F.col("base_failed"), F.lit(False)).otherwise(verdict(rules, order).isNull()))
