@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import license_scan, quality_cascade, simhash_vptree, source_mix, sql, token_counts
+from . import license_scan, nbsvm, quality_cascade, simhash_vptree, source_mix, sql, token_counts
 from .common import WORDS, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,23 @@ def query(fn):
     return fn
 
 
+def held_out(key: str = "doc_id"):
+    return F.crc32(F.col(key).cast("string")) % 3 == 1
+
+
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str):
+    """The classifier fitted on the rows that are not held out."""
+    labels = nbsvm.one_label(read(spark, sf_dir, "labels").filter(~held_out()))
+    return nbsvm.fit(docs.select("doc_id", "text").join(labels, "doc_id"))
+
+
+@query
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    scored = nbsvm.score(docs, quality_model(spark, docs, sf_dir))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
