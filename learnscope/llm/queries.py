@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import license_scan, nbsvm, quality_cascade, simhash_vptree, source_mix, sql, token_counts
+from . import decontaminate, license_scan, nbsvm, quality_cascade, simhash_vptree, source_mix, sql, token_counts
 from .common import WORDS, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,6 +78,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@query
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     hist = token_counts.length_histogram(read(spark, sf_dir, "documents"), token_counts.rank_file_encoder(spark))
