@@ -1,6 +1,6 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-Words are compared in lower case (A-Z) without ASCII punctuation. Every test
+Words are compared in lower case without ASCII punctuation. Every test
 item is cut into ``SEED``-word grams; one pass over all documents counts in how
 many each gram occurs, and of every ``SPREAD`` neighbouring grams of an item
 the rarest becomes a seed, so any run of SEED + SPREAD - 1 words shared with an
@@ -39,7 +39,6 @@ BLOCK_BYTES = 8 << 20
 MATCH, MISMATCH, GAP = 2, -1, -1
 _hasher = SpanHash(202)
 _FOLD = np.arange(256, dtype=np.uint8)
-_FOLD[65:91] += 32
 _FOLD[[i for i in range(33, 127) if not chr(i).isalnum()]] = 32
 
 
@@ -184,7 +183,7 @@ def match_slab(items: Items, w: np.ndarray, d: np.ndarray, least: float):
 def item_blocks(benchmark: DataFrame, key: str, text: str):
     """The test items in blocks of bounded size, by key."""
     ids, texts, size = [], [], 0
-    for r in benchmark.select(key, text_or_empty(text).alias("text")).orderBy(key, "text").toLocalIterator():
+    for r in benchmark.select(key, F.lower(text_or_empty(text)).alias("text")).orderBy(key, "text").toLocalIterator():
         t = r["text"].encode()
         if texts and size + len(t) > BLOCK_BYTES:
             yield Items(ids, texts)
@@ -200,7 +199,7 @@ def find(docs: DataFrame, benchmark: DataFrame, least: float = 0.4, key: str = "
     """(key, item_key, score, first_word, last_word): the best passage of every
     document for every test item it contains a copy of."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(key).cast("long").alias("doc"), text_or_empty(text).alias("text"))
+    rows = docs.select(F.col(key).cast("long").alias("doc"), F.lower(text_or_empty(text)).alias("text"))
     parts = []
     for items in item_blocks(benchmark, item_key, text):
         shared = spark.sparkContext.broadcast(items)

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, license_scan, nbsvm, quality_cascade, simhash_vptree, source_mix, sql, token_counts
+from . import decontaminate, license_scan, line_templates, nbsvm, quality_cascade, simhash_vptree, source_mix, sql, token_counts
 from .common import WORDS, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,17 +56,22 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query
-def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select("doc_id", F.regexp_count("text", F.lit(WORDS)).alias("size"), F.array("source").alias("sources"))
+def mixed(docs: DataFrame) -> DataFrame:
+    """The mix of a documents table, each document with its own source."""
+    docs = docs.select("doc_id", F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).alias("size"), F.array(F.col("source").cast("string")).alias("sources"))
     taken, sources = source_mix.mix(docs)
     out = taken.withColumn("source", F.col("sources")[0]).drop("sources")
-    sources = sources.withColumnRenamed("source", "_s")
+    sources = sources.withColumnRenamed("source", "_s")  # one row per source, at most as many as patterns
     return out.join(F.broadcast(sources), F.col("source").eqNullSafe(F.col("_s")), "left").select(
         "doc_id", "size", "source_size", "target", "taken", "source"
     )
 
 
+@query
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed(read(spark, sf_dir, "documents"))
+
+
 @query
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_vptree.near_duplicates(read(spark, sf_dir, "documents"), shingle=3, radius=2)
@@ -83,6 +88,12 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+@query
+def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_templates.drop_recurring(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     hist = token_counts.length_histogram(read(spark, sf_dir, "documents"), token_counts.rank_file_encoder(spark))
