@@ -74,7 +74,7 @@ def shuffle_partitions(df: DataFrame, least: int = 1) -> int:
 
 # ---- Arrow text to numpy -------------------------------------------------
 
-SLAB_BYTES = 4 << 20  # texts are worked through in slabs of about this size
+SLAB_BYTES = 2 << 20  # texts are worked through in slabs of about this size
 
 _WS = np.zeros(256, bool)
 _WS[[0x20, *range(0x09, 0x0E)]] = True
@@ -155,11 +155,16 @@ class SpanHash:
         return old
 
     def prefix(self, buf: np.ndarray) -> np.ndarray:
-        n = len(buf) + 1
+        """Prefix sums over bytes."""
+        return self.prefix_of(self.table[buf])
+
+    def prefix_of(self, values: np.ndarray) -> np.ndarray:
+        """Prefix sums over 64-bit names."""
+        n = len(values) + 1
         self.up = self._powers(self.up, self.base, n)
         self.down = self._powers(self.down, self.inverse, n)
         out = np.zeros(n, U64)
-        np.cumsum(self.table[buf] * self.up[: n - 1], out=out[1:])
+        np.cumsum(values * self.up[: n - 1], out=out[1:])
         return out
 
     def spans(self, prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -172,5 +177,73 @@ def hash_words(buf: np.ndarray, off: np.ndarray, hasher: SpanHash) -> tuple[np.n
     return (hasher.spans(hasher.prefix(buf), s, e) if len(s) else np.empty(0, U64)), d, s, e
 
 
+# ---- names that several documents share ------------------------------------
+
+
+def collapse(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (key, doc, kind) of a batch: kind 0 is a key of one document
+    here, 1 the smallest of several documents with the key, 2 the others. Only
+    kinds 0 and 1 need to meet the rows of other batches, so a key that is in
+    very many documents sends one row a batch to its partition."""
+    order = np.lexsort((docs, keys))
+    k, d = keys[order], docs[order]
+    if not len(k):
+        return k, d, np.empty(0, np.int8)
+    new = np.concatenate([[True], (k[1:] != k[:-1]) | (d[1:] != d[:-1])])
+    k, d = k[new], d[new]
+    first = np.concatenate([[True], k[1:] != k[:-1]])
+    last = np.concatenate([first[1:], [True]])
+    return k, d, np.where(first & last, 0, np.where(first, 1, 2)).astype(np.int8)
+
+
+def shared_keys(rows: DataFrame) -> DataFrame:
+    """(key, doc) of the keys that two or more rows have, from rows (key, doc,
+    kind) made by ``collapse``. One shuffle: rows meet by key, those already
+    known to be shared are spread by document, and sorted partitions are
+    streamed, so no key's rows are held together."""
+    n = shuffle_partitions(rows)
+    met = rows.repartition(n, F.when(F.col("kind") == 2, F.col("doc")).otherwise(F.col("key"))).sortWithinPartitions("key")
+
+    def stream(batches):
+        last, known, waiting = None, False, None  # last key; is it shared; the document waiting for a second one
+        for b in batches:
+            key, doc, kind = (b.column(i).to_numpy() for i in range(3))
+            through = kind == 2
+            out_k, out_d = [key[through]], [doc[through]]
+            key, doc, kind = key[~through], doc[~through], kind[~through]
+            if len(key):
+                starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+                sizes = np.diff(np.concatenate([starts, [len(key)]]))
+                shared = (sizes > 1) | (np.maximum.reduceat(kind, starts) > 0)
+                if last is not None and key[0] == last:
+                    shared[0] = True
+                    if waiting is not None:
+                        out_k.append(np.array([last], np.int64))
+                        out_d.append(np.array([waiting], np.int64))
+                last, known = key[-1], bool(shared[-1])
+                waiting = None if known else doc[-1]
+                keep = np.repeat(shared, sizes)
+                out_k.append(key[keep])
+                out_d.append(doc[keep])
+            yield pa.record_batch([pa.array(np.concatenate(out_k)), pa.array(np.concatenate(out_d))], names=["key", "doc"])
+
+    return met.mapInArrow(stream, "key long, doc long")
+
+
+def member(values: np.ndarray, rows: np.ndarray, lists: pa.Array) -> np.ndarray:
+    """Whether each (row, value) is in that row's list of an Arrow list column;
+    by 64-bit hash of the pair, so a filter, not a proof."""
+    flat = lists.flatten().to_numpy(zero_copy_only=False).view(U64)
+    sizes = np.nan_to_num(pc.list_value_length(lists).to_numpy(zero_copy_only=False), nan=0).astype(np.int64)
+    own = np.repeat(np.arange(len(lists)), sizes).astype(U64)
+    c = U64(0x9E3779B97F4A7C15)
+    have = np.sort(mix(flat + own * c))
+    want = mix(values + rows.astype(U64) * c)
+    if not len(have):
+        return np.zeros(len(want), bool)
+    at = np.minimum(np.searchsorted(have, want), len(have) - 1)
+    return have[at] == want
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

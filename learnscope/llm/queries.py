@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, license_scan, line_templates, nbsvm, quality_cascade, simhash_vptree, source_mix, sql, token_counts
+from . import bwt_dedup, decontaminate, license_scan, line_templates, nbsvm, quality_cascade, recompression, simhash_vptree, source_mix, sql, token_counts
 from .common import WORDS, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,6 +56,16 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompression.dedup(read(spark, sf_dir, "documents"), window=13)
+
+
+@query
+def op4_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bwt_dedup.dedup(read(spark, sf_dir, "documents"), length=50)
+
+
 def mixed(docs: DataFrame) -> DataFrame:
     """The mix of a documents table, each document with its own source."""
     docs = docs.select("doc_id", F.coalesce(F.regexp_count("text", F.lit(WORDS)), F.lit(0)).alias("size"), F.array(F.col("source").cast("string")).alias("sources"))
