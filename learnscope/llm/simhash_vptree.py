@@ -34,7 +34,8 @@ from pyspark.sql import functions as F
 from .common import discard, materialize, text_or_empty
 
 SAMPLE = 20_000  # fingerprints the routing tree is fitted on, at most
-SHARD = 20_000  # fingerprints aimed at per shard
+SHARD = 20_000  # fingerprints aimed at per shard, at most
+LEAST_SHARDS = 64  # aimed at for small inputs, so that all cores have work
 DIRECT = 512  # leaves up to this size compare their pairs directly
 U64 = np.uint64
 
@@ -202,7 +203,7 @@ def link(nodes: DataFrame, radius: int = 2, seed: int = 3) -> DataFrame:
     n = nodes.count()
     sample = nodes.sample(min(1.0, 1.2 * SAMPLE / max(n, 1)), seed).orderBy(F.xxhash64("fp")).limit(SAMPLE)
     got = np.array(sorted(r["fp"] for r in sample.collect()), np.int64).view(U64)
-    leaf = max(DIRECT, int(len(got) * SHARD / max(n, 1)))
+    leaf = max(16, int(len(got) * min(SHARD, n / LEAST_SHARDS) / max(n, 1)))
     tree, shards = grow(got, leaf, radius, np.random.default_rng(seed)) if len(got) else (0, 1)
 
     def place(batches):
@@ -217,7 +218,7 @@ def link(nodes: DataFrame, radius: int = 2, seed: int = 3) -> DataFrame:
         return pd.DataFrame({"a": x[pairs[:, 0]], "b": x[pairs[:, 1]]})
 
     placed = nodes.select("fp").mapInArrow(place, "fp long, shard int")
-    # a shard holds about SHARD fingerprints of 8 bytes; it is worked on in one task
+    # a shard holds about SHARD fingerprints of 8 bytes and is worked on in one task
     return placed.groupBy("shard").applyInPandas(join, "a long, b long")
 
 
