@@ -42,16 +42,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder is then made for the session); elsewhere executors would not see
     each other's files, so a missing setting raises."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
-    if not current:
-        current = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
-    if not current:
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    folder = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
+    if not folder:
         if not re.match(r"local(\[|$)", sc.master):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
-        current = tempfile.mkdtemp(prefix="learnscope-ckpt-", dir="/tmp")
-        spark.conf.set(CHECKPOINT_CONF, current)
-    sc.setCheckpointDir(current)
-    return sc.getCheckpointDir() or current
+        folder = tempfile.mkdtemp(prefix="learnscope-ckpt-", dir="/tmp")
+        spark.conf.set(CHECKPOINT_CONF, folder)
+    sc.setCheckpointDir(folder)  # makes a subfolder of its own, so this is done once
+    return sc.getCheckpointDir() or folder
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
