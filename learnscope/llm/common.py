@@ -8,13 +8,14 @@ ones are used (128 bits) or the texts are compared.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import drop_path, scratch_path
 
@@ -53,21 +54,47 @@ def discard(df: DataFrame) -> None:
     drop_path(df.sparkSession, df._scratch)
 
 
-def text_or_empty(col: str = "text") -> "F.Column":
+def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
-def word_array(c) -> "F.Column":
+def word_array(c) -> Column:
     """The words of a text column, natively (empty array for null)."""
     return F.filter(F.split(F.coalesce(c, F.lit("")), WORDS_SPLIT), lambda w: w != "")
 
 
-def word_count(c) -> "F.Column":
+def word_count(c) -> Column:
     """Number of words, natively: runs of non-space, without an array of
     strings being kept."""
     return F.size(word_array(c)).cast("long")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores before those that ``df`` has already."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n = "_" + n
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
+def with_computed(docs: DataFrame, text: Column, compute: Callable[[pa.RecordBatch], pa.Array], kind: T.DataType, name: str) -> DataFrame:
+    """``docs`` with one more column that ``compute`` makes of each Arrow batch
+    (its column ``text`` is the given one). All other columns pass through."""
+    cols = docs.columns
+    inner = docs.select(*(F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(cols)), text.alias("text"))
+
+    def run(batches):
+        for b in batches:
+            yield pa.record_batch([*b.columns[:-1], compute(b)], names=[*b.schema.names[:-1], "_new"])
+
+    kinds = [T.StructField(f"_c{i}", f.dataType) for i, f in enumerate(docs.schema.fields)]
+    out = inner.mapInArrow(run, T.StructType([*kinds, T.StructField("_new", kind)]))
+    return out.select(*(F.col(f"_c{i}").alias(c) for i, c in enumerate(cols)), F.col("_new").alias(name))
+
+
 def shuffle_partitions(df: DataFrame, least: int = 1) -> int:
     return max(least, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 

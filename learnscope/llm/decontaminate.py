@@ -19,9 +19,9 @@ candidate is dropped: all seeds of all items are looked up at all positions.
 
 Defined cases: items without words match nothing; items shorter than a seed are
 one seed; null and empty documents match nothing; a repeated item_id or doc_id
-gives its best row once for each pair; ties go to the earliest passage; empty
-tables give an empty result. Only key and text are read, so extra columns do not
-matter.
+gives its best row once for each pair; a null doc_id is in no pair, but such a
+row is dropped like any other; ties go to the earliest passage; empty tables give
+an empty result. Extra columns do not matter.
 """
 
 from __future__ import annotations
@@ -30,11 +30,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import U64, SpanHash, long_column, slabs, text_or_empty, word_spans
+from .common import U64, SpanHash, fresh, long_column, slabs, text_or_empty, with_computed, word_spans
 
 SEED, SPREAD = 3, 4
-SHORT = 8  # words
+SHORT = 6  # words
 BLOCK_BYTES = 8 << 20
 MATCH, MISMATCH, GAP = 2, -1, -1
 _hasher = SpanHash(202)
@@ -195,19 +196,17 @@ def item_blocks(benchmark: DataFrame, key: str, text: str):
         yield Items(ids, texts)
 
 
-def find(docs: DataFrame, benchmark: DataFrame, least: float = 0.4, key: str = "doc_id", item_key: str = "item_id", text: str = "text") -> DataFrame:
-    """(key, item_key, score, first_word, last_word): the best passage of every
-    document for every test item it contains a copy of."""
-    spark = docs.sparkSession
-    rows = docs.select(F.col(key).cast("long").alias("doc"), F.lower(text_or_empty(text)).alias("text"))
-    parts = []
+def seeded_blocks(rows: DataFrame, benchmark: DataFrame, item_key: str, text: str):
+    """Broadcast blocks of test items with their seeds, the rarest grams by the
+    number of ``rows`` (one column text) that have them."""
+    spark = rows.sparkSession
     for items in item_blocks(benchmark, item_key, text):
         shared = spark.sparkContext.broadcast(items)
 
         def count(batches, shared=shared):
             for b in batches:
                 total: dict = {}
-                for _, buf, off in slabs(b, "text"):
+                for _, buf, off in slabs(b):
                     w, d = folded_words(buf, off)
                     for n, p, k in shared.value.hits(w, d):
                         u, c = np.unique(np.unique(d[p] * np.int64(1 << 32) + k) & np.int64((1 << 32) - 1), return_counts=True)
@@ -218,12 +217,21 @@ def find(docs: DataFrame, benchmark: DataFrame, least: float = 0.4, key: str = "
         # one row per gram of the block: bounded by BLOCK_BYTES
         df = rows.mapInArrow(count, "n long, gram long, docs long").groupBy("n", "gram").agg(F.sum("docs").alias("docs")).collect()
         items.keep_rarest({(r["n"], r["gram"]): r["docs"] for r in df})
-        seeds = spark.sparkContext.broadcast(items)
+        yield spark.sparkContext.broadcast(items)
+
+
+def find(docs: DataFrame, benchmark: DataFrame, least: float = 0.4, key: str = "doc_id", item_key: str = "item_id", text: str = "text") -> DataFrame:
+    """(key, item_key, score, first_word, last_word): the best passage of every
+    document for every test item it contains a copy of."""
+    rows = docs.select(F.col(key).cast("long").alias("doc"), F.lower(text_or_empty(text)).alias("text")).filter("doc is not null")
+    kinds = "doc long, item long, score double, first_word long, last_word long"
+    out = docs.sparkSession.createDataFrame([], kinds)
+    for seeds in seeded_blocks(rows.select("text"), benchmark, item_key, text):
 
         def run(batches, seeds=seeds):
             for b in batches:
                 ids = long_column(b, "doc")
-                for at, buf, off in slabs(b, "text"):
+                for at, buf, off in slabs(b):
                     w, d = folded_words(buf, off)
                     got = match_slab(seeds.value, w, d, least) if len(w) else []
                     yield pa.record_batch(
@@ -237,19 +245,27 @@ def find(docs: DataFrame, benchmark: DataFrame, least: float = 0.4, key: str = "
                         names=["doc", "item", "score", "first_word", "last_word"],
                     )
 
-        parts.append(rows.mapInArrow(run, "doc long, item long, score double, first_word long, last_word long"))
-    if not parts:
-        empty = "doc long, item long, score double, first_word long, last_word long"
-        parts = [spark.createDataFrame([], empty)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionAll(p)
+        out = out.unionAll(rows.mapInArrow(run, kinds))
     # the same pair may come from several passages of a document, or from repeated rows
     best = out.groupBy("doc", "item").agg(F.min(F.struct((-F.col("score")).alias("s"), "first_word", "last_word")).alias("b"))
     return best.select(F.col("doc").alias(key), F.col("item").alias(item_key), (-F.col("b.s")).alias("score"), "b.first_word", "b.last_word")
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.4, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents without a copy of any test item, all columns."""
-    hit = find(docs, benchmark, least, key, text=text).select(F.col(key).alias("_hit")).distinct()
-    return docs.join(hit, F.col(key) == F.col("_hit"), "left_anti")
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.4, item_key: str = "item_id", text: str = "text") -> DataFrame:
+    """The rows without a copy of any test item, all columns. Every row is
+    judged where it is; nothing is joined or moved."""
+    lower = F.lower(text_or_empty(text))
+    out = docs
+    (name,) = fresh(docs, "_hit")
+    for seeds in seeded_blocks(docs.select(lower.alias("text")), benchmark, item_key, text):
+
+        def compute(batch: pa.RecordBatch, seeds=seeds) -> pa.Array:
+            hit = np.zeros(batch.num_rows, bool)
+            for at, buf, off in slabs(batch):
+                w, d = folded_words(buf, off)
+                for g in match_slab(seeds.value, w, d, least) if len(w) else ():
+                    hit[at.start + g[0]] = True
+            return pa.array(hit)
+
+        out = with_computed(out, lower, compute, T.BooleanType(), name).filter(~F.col(name)).drop(name)
+    return out

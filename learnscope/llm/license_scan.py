@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import fresh
+
 # FIXED VALUES: spellings that licence matching guidelines treat as equal
 EQUIVALENT = [
     ("acknowledgment", "acknowledgement"), ("analogue", "analog"), ("analyse", "analyze"), ("artefact", "artifact"),
@@ -105,11 +107,13 @@ def scan(df: DataFrame, licenses: DataFrame, text: str = "text") -> DataFrame:
     """Add ``canonical_sha256``, ``canonical_length`` and ``license`` (null: no
     known licence) to every row. The lookup is a plain equi-join on digests: the
     planner broadcasts the licence side while it is small."""
-    extra = [c for c in df.columns if c not in ("canonical_sha256", "canonical_length", "license")]
-    out = df.select(*extra).withColumn("_form", canonical(F.col(text)))
-    out = out.withColumns({"canonical_sha256": F.sha2("_form", 256), "canonical_length": F.length("_form").cast("long")}).drop("_form")
-    known = licenses.select(F.col("digest").alias("_digest"), "license")
-    return out.join(known, (F.col("canonical_sha256") == F.col("_digest")) & (F.col("canonical_length") > 0), "left").drop("_digest")
+    rest = [c for c in df.columns if c not in ("canonical_sha256", "canonical_length", "license")]
+    out = df.select(*rest)
+    form, digest = fresh(out, "_form", "_digest")
+    out = out.withColumn(form, canonical(F.col(text)))
+    out = out.withColumns({"canonical_sha256": F.sha2(form, 256), "canonical_length": F.length(form).cast("long")}).drop(form)
+    known = licenses.select(F.col("digest").alias(digest), "license")
+    return out.join(known, (F.col("canonical_sha256") == F.col(digest)) & (F.col("canonical_length") > 0), "left").drop(digest)
 
 
 def scan_lines(df: DataFrame, licenses: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -18,7 +18,8 @@ texts themselves move once, to meet the numbers of the lines to drop.
 Defined cases: a null text has no lines and stays null; an empty text is one
 empty line; lines with fewer than ``MIN_TOKENS`` tokens are never dropped;
 repeated lines of one document count it once; rows that repeat a key are one
-document for the counts, and each loses the same lines; a document may lose all
+document for the counts, and each loses the same lines; a row with a null key
+takes no part and keeps its lines; a document may lose all
 its lines and is then an empty text; ties between tokens go to the greater
 token; an empty table gives an empty result. All other columns pass through;
 only the operator's own added names replace equal ones.
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import long_column, materialize, text_or_empty
+from .common import fresh, long_column, materialize, text_or_empty
 
 DEPTH, SIMILAR, MIN_DOCS, MIN_TOKENS = 3, 0.7, 5, 3
 BITS = 24  # the bitmap of leaves has 2**BITS bits (2 MB)
@@ -132,7 +133,7 @@ def line_templates(found: DataFrame) -> DataFrame:
 def recurring(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(templates, drops): the recurring templates (template, n_docs, first_doc)
     and the line numbers that each document loses (doc, numbers)."""
-    rows = docs.select(F.col(key).cast("long").alias("doc"), text_or_empty(text).alias("text"))
+    rows = docs.select(F.col(key).cast("long").alias("doc"), text_or_empty(text).alias("text")).filter("doc is not null")
     found = materialize(occurrences(rows, marked_leaves(rows)), "line-occurrences")
     of = line_templates(found)
     each = found.select("line", F.explode(F.arrays_zip("docs", "numbers")).alias("o")).select("line", F.col("o.docs").alias("doc"), F.col("o.numbers").alias("number"))
@@ -145,19 +146,20 @@ def recurring(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple
     return templates, drop.groupBy("doc").agg(F.collect_set("number").alias("numbers"))
 
 
-def drop_recurring(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with recurring lines removed from the text, plus ``_n_lines`` and
-    ``_n_removed``."""
+def drop_recurring(docs: DataFrame, key: str = "doc_id", text: str = "text", counts: tuple[str, str] = ("_n_lines", "_n_removed")) -> DataFrame:
+    """``docs`` with recurring lines removed from the text, and the two
+    ``counts``: lines of each text, and how many went."""
     _, drops = recurring(docs, key, text)
-    drops = materialize(drops.select(F.col("doc").alias("_doc"), F.col("numbers").alias("_drop")), "line-drops")
-    out = docs.join(drops, F.col(key).cast("long") == F.col("_doc"), "left").drop("_doc")
-    out = out.withColumn("_lines", F.split(F.col(text), "\n", -1))
-    kept = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_drop"))
-    new = F.array_join(F.transform(kept, lambda i: F.get(F.col("_lines"), i)), "\n")
+    doc, drop, lines = fresh(docs, "_doc", "_drop", "_lines")
+    drops = materialize(drops.select(F.col("doc").alias(doc), F.col("numbers").alias(drop)), "line-drops")
+    out = docs.join(drops, F.col(key).cast("long") == F.col(doc), "left").drop(doc)
+    out = out.withColumn(lines, F.split(F.col(text), "\n", -1))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(drop))
+    new = F.array_join(F.transform(kept, lambda i: F.get(F.col(lines), i)), "\n")
     return out.withColumns(
         {
-            text: F.when(F.col("_drop").isNull(), F.col(text)).otherwise(new),
-            "_n_lines": F.when(F.col(text).isNull(), 0).otherwise(F.size("_lines")).cast("long"),
-            "_n_removed": F.coalesce(F.size("_drop"), F.lit(0)).cast("long"),
+            text: F.when(F.col(drop).isNull(), F.col(text)).otherwise(new),
+            counts[0]: F.when(F.col(text).isNull(), 0).otherwise(F.size(lines)).cast("long"),
+            counts[1]: F.coalesce(F.size(drop), F.lit(0)).cast("long"),
         }
-    ).drop("_lines", "_drop")
+    ).drop(lines, drop)

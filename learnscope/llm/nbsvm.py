@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, SpanHash, hash_words, slabs, text_or_empty
+from .common import U64, SpanHash, fresh, hash_words, slabs, text_or_empty, with_computed
 
 BUCKETS = 1 << 20
 MAX_ROWS = 6_000
@@ -130,38 +130,34 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "label", key: str
 
 def score(docs: DataFrame, model: np.ndarray | None, text: str = "text", key: str = "doc_id", name: str = "score") -> DataFrame:
     """(key, score) of every whole text."""
-    return scored(docs.select(key, text_or_empty(text).alias("text")), model, (key,), name)
+    return with_score(docs.select(key, text), model, text, name).select(key, name)
 
 
 def keep(docs: DataFrame, model: np.ndarray | None, least: float = 0.5, text: str = "text") -> DataFrame:
     """The rows that score ``least`` or more, all columns, in one pass."""
-    inner = [F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(docs.columns)]
-    out = scored(docs.select(*inner, text_or_empty(text).alias("text")), model, tuple(f"_c{i}" for i in range(len(inner))), "_score")
-    return out.filter(F.col("_score") >= least).select(*(F.col(f"_c{i}").alias(c) for i, c in enumerate(docs.columns)))
+    (name,) = fresh(docs, "_score")
+    return with_score(docs, model, text, name).filter(F.col(name) >= least).drop(name)
 
 
-def scored(rows: DataFrame, model: np.ndarray | None, keys: tuple, name: str) -> DataFrame:
-    """The columns ``keys`` of ``rows`` and the score of its column text."""
+def with_score(docs: DataFrame, model: np.ndarray | None, text: str, name: str) -> DataFrame:
+    """``docs`` and the score of each row's whole text."""
     if model is None:
-        return rows.select(*keys, F.lit(0.5).alias(name))
-    shared = rows.sparkSession.sparkContext.broadcast(model.astype(np.float32))  # 2 * BUCKETS + 1 numbers, whatever the data
+        return docs.withColumn(name, F.lit(0.5))
+    shared = docs.sparkSession.sparkContext.broadcast(model.astype(np.float32))  # 2 * BUCKETS + 1 numbers, whatever the data
 
-    def run(batches):
+    def compute(batch: pa.RecordBatch) -> pa.Array:
         m = shared.value
         weight, bias, ratio = m[:BUCKETS], float(m[BUCKETS]), m[BUCKETS + 1:]
-        both = weight * ratio
-        square = ratio * ratio
-        for b in batches:
-            for at, buf, off in slabs(b, "text"):
-                d, x = indicators(buf, off)
-                n = at.stop - at.start
-                norm = np.sqrt(np.maximum(np.bincount(d, square[x], n), 1e-18))
-                margin = np.bincount(d, both[x], n) / norm + bias
-                out = 1.0 / (1.0 + np.exp(-np.clip(3.0 * margin, -40, 40)))
-                yield pa.record_batch([*(b.column(i).slice(at.start, n) for i in range(len(keys))), pa.array(out)], names=[*keys, name])
-
-    kinds = [T.StructField(k, rows.schema[k].dataType) for k in keys]
-    return rows.mapInArrow(run, T.StructType([*kinds, T.StructField(name, T.DoubleType())]))
+        both, square, out = weight * ratio, ratio * ratio, [np.empty(0)]
+        for at, buf, off in slabs(batch):
+            d, x = indicators(buf, off)
+            n = at.stop - at.start
+            norm = np.sqrt(np.maximum(np.bincount(d, square[x], n), 1e-18))
+            margin = np.bincount(d, both[x], n) / norm + bias
+            out.append(1.0 / (1.0 + np.exp(-np.clip(3.0 * margin, -40, 40))))
+        return pa.array(np.concatenate(out))
+
+    return with_computed(docs, text_or_empty(text), compute, T.DoubleType(), name)
 
 
 def one_label(labels: DataFrame, label: str = "quality", key: str = "doc_id") -> DataFrame:

@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, discard, materialize, word_array
+from .common import SPACE, discard, fresh, materialize, word_array
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -48,27 +48,27 @@ def measures(df: DataFrame, text: str = "text") -> DataFrame:
     """Add the base measures of every whole text: n_words, word_chars (code
     points in words), n_symbols, n_dup_lines (lines with a word that equal an
     earlier line), n_repeat_words (words in 8-word windows found twice)."""
+    own, words, hashed, grams = fresh(df, "_lines", "_words", "_hashed", "_grams")
     t = F.coalesce(F.col(text), F.lit(""))
-    lines = F.filter(F.split(t, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     df = df.withColumns(
         {
             "word_chars": F.length(F.translate(t, " \t\n\x0b\x0c\r", "")).cast("long"),
             "n_symbols": (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).cast("long"),
-            "_lines": lines,
-            "_words": word_array(F.col(text)),
+            own: F.filter(F.split(t, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]")),
+            words: word_array(F.col(text)),
         }
     )
     df = df.withColumns(
         {
-            "n_words": F.size("_words").cast("long"),
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-            "_hashed": F.transform("_words", lambda w: F.xxhash64(w)),
+            "n_words": F.size(words).cast("long"),
+            "n_dup_lines": (F.size(own) - F.size(F.array_distinct(own))).cast("long"),
+            hashed: F.transform(words, lambda w: F.xxhash64(w)),
         }
-    ).drop("_words", "_lines")
-    grams = F.transform(F.sequence(F.lit(1), F.size("_hashed") - F.lit(WINDOW - 1)), lambda i: F.xxhash64(F.slice(F.col("_hashed"), i, WINDOW)))
-    df = df.withColumn("_grams", F.when(F.size("_hashed") >= WINDOW, grams).otherwise(F.array().cast("array<long>"))).drop("_hashed")
-    repeats = F.size(F.array_distinct("_grams")) < F.size("_grams")
-    return df.withColumn("n_repeat_words", F.when(repeats, covered_words(F.col("_grams"))).otherwise(F.lit(0).cast("long"))).drop("_grams")
+    ).drop(words, own)
+    windows = F.transform(F.sequence(F.lit(1), F.size(hashed) - F.lit(WINDOW - 1)), lambda i: F.xxhash64(F.slice(F.col(hashed), i, WINDOW)))
+    df = df.withColumn(grams, F.when(F.size(hashed) >= WINDOW, windows).otherwise(F.array().cast("array<long>"))).drop(hashed)
+    repeats = F.size(F.array_distinct(grams)) < F.size(grams)
+    return df.withColumn("n_repeat_words", F.when(repeats, covered_words(F.col(grams))).otherwise(F.lit(0).cast("long"))).drop(grams)
 
 
 def default_rules(text: str = "text") -> list[Rule]:

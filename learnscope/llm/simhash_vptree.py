@@ -19,7 +19,9 @@ directly.
 
 Defined cases: a null or empty text has fingerprint zero and links like any
 other; a text with fewer words than a shingle is one shingle of its whole word
-sequence; repeated rows share a node; an empty table gives an empty result.
+sequence; repeated rows share a node; a null key names no component, and where no
+row of a component has a key its component_id is null; an empty table gives an
+empty result. Extra columns, whatever their names, do not matter.
 """
 
 from __future__ import annotations
@@ -30,8 +32,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import discard, materialize, text_or_empty
+from .common import discard, fresh, materialize, text_or_empty, with_computed
 
 SAMPLE = 20_000  # fingerprints the routing tree is fitted on, at most
 SHARD = 20_000  # fingerprints aimed at per shard, at most
@@ -57,14 +60,18 @@ def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
     return int(np.packbits(ones * 2 > len(h), bitorder="little").view(U64)[0])
 
 
+def batch_fingerprints(batch: pa.RecordBatch, shingle: int) -> np.ndarray:
+    texts = batch.column(batch.schema.get_field_index("text")).cast(pa.binary())
+    return np.fromiter((fingerprint(t.as_py(), shingle) for t in texts), U64, batch.num_rows)
+
+
 def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(key, fp): the fingerprint of every whole text, as a signed long."""
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches):
         for b in batches:
-            fp = np.fromiter((fingerprint(t.as_py(), shingle) for t in b.column(1).cast(pa.binary())), U64, b.num_rows)
-            yield pa.record_batch([b.column(0), pa.array(fp.view(np.int64))], names=[key, "fp"])
+            yield pa.record_batch([b.column(0), pa.array(batch_fingerprints(b, shingle).view(np.int64))], names=[key, "fp"])
 
     return docs.select(key, text_or_empty(text).alias("text")).mapInArrow(run, f"`{key}` {kind}, fp long")
 
@@ -247,21 +254,34 @@ def components(links: DataFrame) -> DataFrame:
             return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(key, fingerprint, component_id): fingerprints link at ``radius`` or
-    fewer differing bits; a component is named by its smallest key."""
+def classes(docs: DataFrame, shingle: int, radius: int, text: str, key: str) -> tuple[DataFrame, DataFrame]:
+    """(key, fp) of every row, and (fp, root, component_id) of every
+    fingerprint: component_id is the smallest key reachable."""
     fps = materialize(fingerprints(docs, shingle, text, key), "simhash")
     nodes = materialize(fps.groupBy("fp").agg(F.min(key).alias("first")), "simhash-nodes")
     roots = components(link(nodes, radius))
     named = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = named.join(least, "root").select("fp", "component_id")
-    return fps.join(classes, "fp").select(key, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return fps, named.join(least, "root").select("fp", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(key, fingerprint, component_id): fingerprints link at ``radius`` or
+    fewer differing bits; a component is named by its smallest key."""
+    fps, named = classes(docs, shingle, radius, text, key)
+    return fps.join(named, "fp").select(key, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def keep_first(docs: DataFrame, shingle: int = 3, radius: int = 2, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One row of each component stays: that with the smallest key (one of
-    them where rows repeat a key). All columns of ``docs`` are returned."""
-    kept = near_duplicates(docs, shingle, radius, text, key).filter(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("_kept")).distinct()
-    one = docs.join(kept, F.col(key) == F.col("_kept"), "left_semi")
-    return one.dropDuplicates([key])
+    """One row of each component stays, with all columns: one with the smallest
+    key, or, where no row of the component has a key, any one of its rows."""
+    fps, named = classes(docs, shingle, radius, text, key)
+    named = materialize(named, "simhash-classes")
+    kept, fp = fresh(docs, "_kept", "_fp")
+    first = named.filter(F.col("component_id").isNotNull()).select(F.col("component_id").alias(kept)).distinct()
+    own = docs.join(first, F.col(key) == F.col(kept), "left_semi").dropDuplicates([key])
+    nameless = with_computed(docs.filter(F.col(key).isNull()), text_or_empty(text), lambda b: pa.array(batch_fingerprints(b, shingle).view(np.int64)), T.LongType(), fp)
+    (node,) = fresh(nameless, "_node")
+    alone = named.filter(F.col("component_id").isNull()).select(F.col("fp").alias(node), F.col("root").alias(kept))
+    nameless = nameless.join(alone, F.col(fp) == F.col(node)).dropDuplicates([kept]).select(*docs.columns)
+    return own.unionByName(nameless)

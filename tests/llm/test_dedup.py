@@ -200,7 +200,7 @@ def test_simhash_empty(make):
 
 
 def test_recurring_templates_are_dropped(make):
-    docs = [(i, f"Unique opening sentence number {'abcdefgh'[i]} of this text\nPage {i} of 10\nPosted by user{i} on Monday\nshort\nclosing {'hgfedcba'[i]} remark of the author") for i in range(8)]
+    docs = [(i, f"{'abcdefgh'[i]} unique opening sentence of this text\nPage {i} of 10\nPosted by user{i} on Monday\nshort\nclosing {'hgfedcba'[i]} remark of the author") for i in range(8)]
     out = {r["doc_id"]: r for r in line_templates.drop_recurring(make(docs, clash=True)).collect()}
     assert out[0]["text"] == docs[0][1] and out[0]["_n_removed"] == 0
     for i in range(1, 8):
