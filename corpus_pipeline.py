@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from learnscope.llm import decontaminate, line_templates, nbsvm, queries, simhash_vptree, source_mix
-from learnscope.llm.common import WORDS, discard, materialize, read
+from learnscope.llm.common import discard, fresh, materialize, read
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,20 +29,22 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Recurring lines out of every document but the first that has them."""
-    out = line_templates.drop_recurring(docs)
+    counts = fresh(docs, "_n_lines", "_n_removed")
+    out = line_templates.drop_recurring(docs, counts=tuple(counts))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        changed = F.length("text").cast(docs.schema["n_chars"].dataType)
+        out = out.withColumn("n_chars", F.when(F.col(counts[1]) > 0, changed).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of fingerprints within two bits."""
-    return simhash_vptree.keep_first(docs, shingle=3, radius=2).select(*docs.columns)
+    return simhash_vptree.keep_first(docs, shingle=3, radius=2)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a copy of a test item."""
-    return decontaminate.drop_contaminated(docs, read(spark, sf_dir, "benchmark")).select(*docs.columns)
+    return decontaminate.drop_contaminated(docs, read(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
