@@ -144,8 +144,9 @@ def stretches(rows: DataFrame, length: int) -> DataFrame:
         smallest = np.repeat(d[first], np.diff(np.concatenate([np.flatnonzero(first), [len(d)]])))
         later = np.zeros(len(d), bool)
         later[order] = d > smallest
-        part = [x[later] for x in (key, doc, version, start, strings)]
-        yield pa.record_batch([pa.array(part[0]), pa.nulls(len(part[0]), pa.binary()), *(pa.array(x) for x in part[1:])], names=names)
+        part = [x[later] for x in (doc, version, start, strings)]
+        n = len(part[0])
+        yield pa.record_batch([pa.array(np.zeros(n, np.int64)), pa.nulls(n, pa.binary()), *(pa.array(x) for x in part)], names=names)
         off = np.concatenate([[0], np.cumsum(size)])
         keep = np.flatnonzero(~later)
         size = size[keep]
@@ -321,16 +322,30 @@ def kept_bytes(rows: DataFrame, length: int) -> DataFrame:
     return rows.mapInArrow(run, "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
+def whole_copies(own: DataFrame, length: int) -> DataFrame:
+    """(doc, version, first, last): texts that a smaller document has in full.
+    All their strings go, and what they would add to the search the smaller
+    document adds too."""
+    t = own.select("doc", "version", F.octet_length("text").cast("long").alias("n"), F.md5("text").alias("m")).filter(F.col("n") >= length)
+    least = t.groupBy("m").agg(F.min("doc").alias("least"))
+    return t.join(least, "m").filter("doc > least").select("doc", "version", F.lit(0).cast("long").alias("first"), (F.col("n") - length).alias("last")).distinct()
+
+
 def dedup(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_bytes, n_removed, n_spans, kept_sha256) of every row: the bytes
     left after removing each one that is covered by a string of ``length`` bytes
     which also starts in a document with a smaller key."""
-    rows = docs.select(F.col(key).cast("long").alias("doc"), text_or_empty(text).alias("text")).withColumn("version", F.xxhash64("text"))
+    rows = docs.select(F.col(key).cast("long").alias("doc"), text_or_empty(text).alias("text"))
+    # tells texts apart that one doc_id has (24 bits: hardly any has more than one)
+    rows = rows.withColumn("version", F.xxhash64("text").bitwiseAND(F.lit((1 << 24) - 1)))
     own = rows.filter("doc is not null")
+    copies = materialize(whole_copies(own, length), "bwt-copies")
     keys = shared_keys(candidate_keys(own.select("doc", "text"), length)).groupBy("doc").agg(F.collect_list("key").alias("keys"))
-    keys = materialize(keys, "bwt-keys")  # a document's own keys: bounded by its text
-    meant = own.join(keys.hint("shuffle_hash"), "doc").select("doc", "text", "version", "keys")
-    gone = materialize(removals(stretches(meant, length), length), "bwt-removals")
+    done = copies.groupBy("doc").agg(F.collect_set("version").alias("done"))
+    keys = materialize(keys.join(done, "doc", "left"), "bwt-keys")  # a document's own keys: bounded by its text
+    meant = own.join(keys.hint("shuffle_hash"), "doc").filter("done is null or not array_contains(done, version)")
+    meant = meant.select("doc", "text", "version", "keys")
+    gone = materialize(removals(stretches(meant, length), length), "bwt-removals").unionByName(copies)
     gone = gone.groupBy("doc", "version").agg(F.collect_list(F.struct("first", "last")).alias("removed"))
     out = rows.join(gone.hint("shuffle_hash"), ["doc", "version"], "left").select("doc", "text", "removed")
     return kept_bytes(out, length).withColumnRenamed("doc", key)
