@@ -92,3 +92,34 @@ SELECT doc_id, size, n AS source_size, target,
   CASE WHEN n = 0 THEN 0 ELSE (quota // n) * size + greatest(0, least(size, quota % n - before)) END::BIGINT AS taken, source
 FROM r
 """
+
+op3_recompression = rf"""
+WITH t AS (SELECT doc_id, {WORDS} AS w FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 12], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM t WHERE len(w) >= 13)
+),
+first AS (SELECT g, min(doc_id) AS d FROM win GROUP BY g),
+gone AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(range(i, i + 13)) AS p FROM win JOIN first USING (g) WHERE d < doc_id)),
+each AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM t),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n FROM each ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT t.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM t LEFT JOIN kept USING (doc_id)
+"""
+
+op4_bwt_dedup = """
+WITH t AS (SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS x FROM documents),
+win AS (SELECT doc_id, i, x[2 * i - 1 : 2 * i + 98] AS g FROM (SELECT doc_id, x, unnest(range(1, len(x) // 2 - 48)) AS i FROM t WHERE len(x) >= 100)),
+first AS (SELECT g, min(doc_id) AS d FROM win GROUP BY g HAVING count(*) > 1),
+hit AS (SELECT doc_id, i FROM win JOIN first USING (g) WHERE d < doc_id),
+run AS (SELECT *, i > 50 + coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), -100) AS fresh FROM hit),
+span AS (SELECT doc_id, min(i) AS a, max(i) + 49 AS z FROM (SELECT *, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM run) GROUP BY doc_id, k),
+keep AS (
+  SELECT doc_id, z + 1 AS a, coalesce(lead(a) OVER (PARTITION BY doc_id ORDER BY a) - 1, 1000000000) AS z, 1 AS n FROM span
+  UNION ALL SELECT doc_id, 1, min(a) - 1, 0 FROM span GROUP BY doc_id
+),
+kept AS (SELECT doc_id, string_agg(x[2 * a - 1 : 2 * z], '' ORDER BY a) AS x, sum(n) AS n FROM keep JOIN t USING (doc_id) GROUP BY doc_id)
+SELECT t.doc_id, len(t.x) // 2 AS n_bytes, (len(t.x) - len(coalesce(k.x, t.x))) // 2 AS n_removed, coalesce(k.n, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(k.x, t.x))) AS kept_sha256
+FROM t LEFT JOIN kept k USING (doc_id)
+"""
