@@ -1,4 +1,4 @@
-"""Small shared helpers: checked broadcast, one-row attach, column rounding."""
+"""Small shared helpers: one-row attach, null-safe group join, column rounding."""
 
 from __future__ import annotations
 
@@ -8,24 +8,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Dimension tables at or under this many rows are broadcast; larger ones are
-# left to the planner (sort-merge join, or AQE's runtime broadcast by size).
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only after proving the size bound with a count (one
-    cheap job on a dimension table)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def attach_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a global (ungrouped) aggregate, which has exactly
     one row by construction, to every row (broadcast of one row)."""
     return df.crossJoin(F.broadcast(one_row))
 
 
+def join_groups(left: DataFrame, right: DataFrame, groups: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on group columns where null is a group like any other; without
+    group columns ``right`` has one row."""
+    if not groups:
+        return attach_one_row(left, right)
+    keys = {g: f"__g{i}" for i, g in enumerate(groups)}
+    r = right.select(*[F.col(g).alias(k) for g, k in keys.items()], *[c for c in right.columns if c not in keys])
+    cond = [F.col(g).eqNullSafe(F.col(k)) for g, k in keys.items()]
+    return left.join(r, on=cond, how=how).drop(*keys.values())
+
+
 def round_half_away(c, digits: int = 6):
     """Round like C's ``round(x * 10^d) / 10^d`` in binary floating point (the
     SQL oracle's rounding), not Spark's decimal-string HALF_UP: the two differ
@@ -53,8 +52,8 @@ def round_floats(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def required_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """SRC4/SRC6: raise with the full list of missing columns (checks every
-    input, no sampling); returns ``df`` unchanged."""
+    """SRC6: raise with the full list of the table's missing columns; returns
+    ``df`` unchanged. (Raw CSV files are checked one by one in ``sources.io``.)"""
     missing = [c for c in cols if c not in df.columns]
     if missing:
         raise ValueError(f"missing required columns: {missing}")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon as L
 from ..functions import text as X
-from .common import attach_one_row, broadcast_if_small, is_finite
+from .common import attach_one_row, is_finite
 from .segment import parse_time, session_keys, student_keys
 
 ORDER = ("asked_at", "turn_id")
@@ -137,44 +137,50 @@ def class_windows(classes: DataFrame) -> DataFrame:
     ).select("class_id", F.col("w.start_at").alias("course_start"), F.col("w.end_at").alias("course_end"))
 
 
+LONG_SLOT_DAYS = 31
+
+
 def schedule_slots(schedule: DataFrame) -> DataFrame:
-    """JOIN2 dimension: closed slots ``[open_at, close_at]`` exploded to each
-    calendar day they touch, so the range join gets an equi key (class, day)
-    and never scans all slots of a class. Null bounds never match."""
+    """JOIN2 dimension: closed slots ``[open_at, close_at]`` per class. Null or
+    reversed bounds never match."""
     s = schedule
     for col in ("open_at", "close_at"):
         if dict(s.dtypes)[col] == "string":
             s = s.withColumn(col, parse_time(col))
     s = s.filter(F.col("open_at").isNotNull() & F.col("close_at").isNotNull() & (F.col("open_at") <= F.col("close_at")))
-    return s.select(
-        "class_id", "open_at", "close_at",
-        F.explode(F.sequence(F.to_date("open_at"), F.to_date("close_at"))).alias("slot_day"),
-    )
+    return s.select("class_id", "open_at", "close_at")
 
 
-def merged_slots(schedule: DataFrame) -> DataFrame:
-    """Schedule slots per (class, day) merged into disjoint closed intervals
-    (gaps-and-islands over the dimension table), so a time falls in at most
-    one interval of its class and day."""
-    s = schedule_slots(schedule)
-    w = Window.partitionBy("class_id", "slot_day").orderBy("open_at", "close_at")
+def merged(slots: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Slots per key merged into disjoint closed intervals (gaps and islands
+    over the dimension table), so a time falls in at most one of them."""
+    w = Window.partitionBy(*keys).orderBy("open_at", "close_at")
     prev_max = F.max("close_at").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    s = s.withColumn("__new", (prev_max.isNull() | (F.col("open_at") > prev_max)).cast("int"))
+    s = slots.withColumn("__new", (prev_max.isNull() | (F.col("open_at") > prev_max)).cast("int"))
     s = s.withColumn("__island", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return s.groupBy("class_id", "slot_day", "__island").agg(F.min("open_at").alias("open_at"), F.max("close_at").alias("close_at")).drop("__island")
+    return s.groupBy(*keys, "__island").agg(F.min("open_at").alias("open_at"), F.max("close_at").alias("close_at")).drop("__island")
 
 
 def mark_in_class(turns: DataFrame, schedule: DataFrame, class_col: str = "session_class_id", out: str = "in_slot") -> DataFrame:
     """JOIN2 per turn: ``out`` = 1 when the turn's time is inside a slot of
-    ``class_col``'s class. Left join on (class, day) + range residual against
-    disjoint merged intervals: at most one match per turn, so no fan-out and
-    the flag can be aggregated with the other session aggregates."""
-    m = broadcast_if_small(merged_slots(schedule).select(
-        F.col("class_id").alias("__sc"), F.col("slot_day").alias("__sd"), F.col("open_at").alias("__o"), F.col("close_at").alias("__c")))
+    ``class_col``'s class. Slots of up to a month are matched by (class, day) and
+    a range residual, so each makes a month's rows at most; longer ones, however
+    far their ends, stay one row and are matched by class. In either table the
+    intervals of a key are disjoint: at most one match per turn and table, so no
+    fan-out, and the flag can be aggregated with the other session aggregates."""
+    slots = schedule_slots(schedule)
+    short = F.datediff("close_at", "open_at") <= LONG_SLOT_DAYS
+    days = slots.filter(short).withColumn("slot_day", F.explode(F.sequence(F.to_date("open_at"), F.to_date("close_at"))))
+    d = merged(days, ["class_id", "slot_day"]).select(
+        F.col("class_id").alias("__sc"), F.col("slot_day").alias("__sd"), F.col("open_at").alias("__o"), F.col("close_at").alias("__c"))
+    m = merged(slots.filter(~short), ["class_id"]).select(
+        F.col("class_id").alias("__lc"), F.col("open_at").alias("__lo"), F.col("close_at").alias("__lx"))
+    at = F.col("asked_at")
     t = turns.withColumn("__day", F.to_date("asked_at"))
-    cond = (t[class_col] == m["__sc"]) & (t["__day"] == m["__sd"]) & (t["asked_at"] >= m["__o"]) & (t["asked_at"] <= m["__c"])
-    j = t.join(m, on=cond, how="left")
-    return j.withColumn(out, F.col("__o").isNotNull().cast("int")).drop("__day", "__sc", "__sd", "__o", "__c")
+    j = t.join(d, on=(F.col(class_col) == F.col("__sc")) & (F.col("__day") == F.col("__sd")) & (at >= F.col("__o")) & (at <= F.col("__c")), how="left")
+    j = j.join(m, on=(F.col(class_col) == F.col("__lc")) & (at >= F.col("__lo")) & (at <= F.col("__lx")), how="left")
+    hit = F.col("__o").isNotNull() | F.col("__lo").isNotNull()
+    return j.withColumn(out, hit.cast("int")).drop("__day", "__sc", "__sd", "__o", "__c", "__lc", "__lo", "__lx")
 
 
 REASON_OK = "ok"
@@ -187,12 +193,13 @@ def reject_reason(summary: DataFrame, windows: DataFrame, allowlist: DataFrame |
     -> ``bad_window``; session outside ``[start, end]`` -> ``out_of_range``;
     same-day window with end > start (the week length divides by zero) ->
     ``zero_day_window``; else ``ok``."""
-    s = summary.join(broadcast_if_small(windows).withColumn("__has_class", F.lit(True)), on="class_id", how="left")
+    s = summary.join(windows.withColumn("__has_class", F.lit(True)), on="class_id", how="left")
     allowed = F.lit(True)
     if allowlist is not None:
-        al = broadcast_if_small(allowlist.select("class_id").distinct().withColumn("__allowed", F.lit(True)))
+        al = allowlist.select("class_id").distinct().withColumn("__allowed", F.lit(True))
         s = s.join(al, on="class_id", how="left")
-        allowed = F.col("__allowed").isNotNull()
+        s = attach_one_row(s, allowlist.agg(F.count(F.lit(1)).alias("__n_allowed")))
+        allowed = F.col("__allowed").isNotNull() | (F.col("__n_allowed") == 0)
     days_total = F.datediff(F.to_date("course_end"), F.to_date("course_start"))
     reason = (
         F.when(F.col("any_bad_time") == 1, F.lit("invalid_time"))
@@ -203,7 +210,7 @@ def reject_reason(summary: DataFrame, windows: DataFrame, allowlist: DataFrame |
         .when((F.col("course_end") > F.col("course_start")) & (days_total == 0), F.lit("zero_day_window"))
         .otherwise(F.lit(REASON_OK))
     )
-    return s.withColumn("reject_reason", reason).drop(*[c for c in ("__has_class", "__allowed") if c in s.columns])
+    return s.withColumn("reject_reason", reason).drop(*[c for c in ("__has_class", "__allowed", "__n_allowed") if c in s.columns])
 
 
 def temporal(df: DataFrame, total_weeks: int = L.TOTAL_WEEKS, exam_days: int = L.EXAM_WINDOW_DAYS, day_start_hour: int = L.DAY_START_HOUR) -> DataFrame:
@@ -289,7 +296,8 @@ def impute_single_turn(features: DataFrame, class_col: str = "class_id") -> Data
     from .stats import exact_quantiles
 
     two = F.col("qa_turns") == 2
-    class_med = exact_quantiles(f.filter(two), "avg_qa_time_minutes", [class_col]).select(
+    # a null class is no class: its sessions fall back to the global medians
+    class_med = exact_quantiles(f.filter(two & F.col(class_col).isNotNull()), "avg_qa_time_minutes", [class_col]).select(
         class_col, F.col("value").alias("class_2turn_median"))
     glob = exact_quantiles(f.filter(F.col("qa_turns").isin(2, 3)), "avg_qa_time_minutes", ["qa_turns"]) \
         .groupBy().pivot("qa_turns", [2, 3]).agg(F.first("value")) \
@@ -321,12 +329,20 @@ def high_understanding(features_raw: DataFrame, threshold: float = L.HIGH_UNDERS
     )
 
 
-def reject_stats(extracted: DataFrame) -> DataFrame:
-    """AGG18: counters and ratios of the reject cascade as one row. ``failed``
-    counts only sessions without a class column (none for typed input), as in
-    the original; ``reject_ratio`` is the true share of rejected sessions."""
+FILE_REASONS = ["empty", "missing_columns", "missing_class", "missing_student"]
+
+
+def reject_stats(extracted: DataFrame, file_rejects: DataFrame | None = None) -> DataFrame:
+    """AGG18: counters and ratios of the reject cascade as one row.
+    ``file_rejects`` (a column ``reason``, see ``sources.io.rejected_files``) adds
+    the files that were rejected as a whole; ``failed`` counts those without a
+    class column, and ``fail_ratio`` is (out of range + failed) / total.
+    ``reject_ratio`` is the true share of rejected sessions and files."""
     r = F.col("reject_reason")
-    return extracted.agg(
+    rows = extracted.select("reject_reason")
+    if file_rejects is not None:
+        rows = rows.unionByName(file_rejects.select(F.concat(F.lit("file_"), F.col("reason")).alias("reject_reason")))
+    return rows.agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(r == REASON_OK).alias("processed"),
         F.count_if(r == "out_of_range").alias("out_of_range"),
@@ -335,12 +351,15 @@ def reject_stats(extracted: DataFrame) -> DataFrame:
         F.count_if(r == "invalid_time").alias("invalid_time"),
         F.count_if(r == "zero_day_window").alias("zero_day_window"),
         F.count_if(r == "filtered_by_class_info").alias("filtered_by_class_info"),
+        F.count_if(r == "file_empty").alias("empty_files"),
+        F.count_if(r == "file_missing_columns").alias("missing_columns"),
+        F.count_if(r == "file_missing_class").alias("failed"),
+        F.count_if(r == "file_missing_student").alias("missing_student"),
     ).select(
         "*",
-        F.lit(0).cast("long").alias("failed"),
         (F.col("processed") / F.col("total")).alias("success_ratio"),
         (F.col("out_of_range") / F.col("total")).alias("out_of_range_ratio"),
-        (F.col("out_of_range") / F.col("total")).alias("fail_ratio"),
+        ((F.col("out_of_range") + F.col("failed")) / F.col("total")).alias("fail_ratio"),
         ((F.col("total") - F.col("processed")) / F.col("total")).alias("reject_ratio"),
     )
 
@@ -352,19 +371,26 @@ def session_features(
     allowlist: DataFrame | None = None,
     log_transform: bool = True,
     materialize: bool = True,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """Full E2: extract, keep ``ok`` sessions, single-turn imputation, log1p.
 
-    With ``materialize`` the accepted-session table is checkpointed to the
-    shared checkpoint folder (``spark.checkpoint.dir``) before the imputation
-    statistics, which read it three times; without it every read would redo
-    the text pooling from the raw turns."""
+    ``columns`` names the features that are wanted (default: all); the others,
+    and the text work behind them, are not computed. With ``materialize`` the
+    accepted sessions are checkpointed to the shared folder
+    (``spark.checkpoint.dir``) before the imputation statistics, which read them
+    several times, and the imputed table is checkpointed for its readers."""
     ext = extract(turns, classes, schedule, allowlist)
     ok = ext.filter(F.col("reject_reason") == REASON_OK).drop("reject_reason")
+    if columns is not None:
+        base = [*session_keys(turns), "file_name", "class_id", "dialog_time", "qa_turns", "avg_qa_time_minutes"]
+        ok = ok.select(*base, *[c for c in columns if c not in base])
     if materialize:
         from ..session import ensure_checkpoint_dir
 
         ensure_checkpoint_dir(ok.sparkSession)
         ok = ok.checkpoint(eager=True)
     imp = impute_single_turn(ok)
+    if materialize:
+        imp = imp.checkpoint(eager=True)
     return log1p_features(imp) if log_transform else imp

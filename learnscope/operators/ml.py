@@ -1,11 +1,13 @@
 """Clustering of session features: standardize, PCA, component selection,
 K-Means sweep + elbow, final labels, agreement (ARI) and stability.
 
-Data stays distributed: statistics are one-row aggregates, PCA uses Spark
-ML's distributed covariance (driver sees only the p x p matrix), projections
-and nearest-centroid assignment are plain Column arithmetic with the p x p /
-K x p numbers inlined as literals, and K-Means is Spark ML's distributed
-Lloyd's algorithm on a checkpointed projection.
+Data stays distributed: statistics are one-row aggregates, covariances are
+summed per task as small matrices, PCA uses Spark ML's distributed covariance
+(the driver sees only the p x p matrix), and projections and nearest-centroid
+labels are matrix products on Arrow batches. K-Means is Lloyd's algorithm for
+many models at once: one pass over the rows serves one iteration of every model
+that has not converged, whatever their K and seed, and returns one row per model
+and cluster.
 """
 
 from __future__ import annotations
@@ -13,7 +15,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,17 +56,46 @@ def jitter_constant(df: DataFrame, cols: Sequence[str], seed: int, scale: float
     return out
 
 
+def _matrix(batch: pa.RecordBatch, cols: Sequence[str]) -> np.ndarray:
+    """The columns of an Arrow batch as an n x p matrix (null: NaN)."""
+    get = batch.schema.get_field_index
+    return np.column_stack([batch.column(get(c)).cast(pa.float64()).to_numpy(zero_copy_only=False) for c in cols]) if cols else np.empty((batch.num_rows, 0))
+
+
+def _append(df: DataFrame, cols: Sequence[str], compute, new: T.StructType) -> DataFrame:
+    """``df`` and the columns ``new`` that ``compute`` makes of each batch's
+    matrix of ``cols``."""
+    own = [f for f in df.schema.fields if f.name not in set(new.names)]
+    names = [f.name for f in own]
+    cols = list(cols)
+
+    def run(batches):
+        for b in batches:
+            yield pa.record_batch([*(b.column(b.schema.get_field_index(n)) for n in names), *compute(_matrix(b, cols))], names=[*names, *new.names])
+
+    return df.select(*dict.fromkeys([*names, *cols])).mapInArrow(run, T.StructType([*own, *new.fields]))
+
+
 def covariance(z: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """ML3: population covariance of every column pair, one aggregate pass,
-    long form (feature_i, feature_j, cov)."""
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    row = z.agg(*[F.covar_pop(a, b).alias(f"{a}__{b}") for a, b in pairs])
-    items = []
-    for a, b in pairs:
-        items.append(F.struct(F.lit(a).alias("feature_i"), F.lit(b).alias("feature_j"), F.col(f"{a}__{b}").alias("cov")))
-        if a != b:
-            items.append(F.struct(F.lit(b).alias("feature_i"), F.lit(a).alias("feature_j"), F.col(f"{a}__{b}").alias("cov")))
-    return row.select(F.explode(F.array(*items)).alias("x")).select("x.*")
+    """ML3: population covariance of every column pair in one pass, long form
+    (feature_i, feature_j, cov). Each task sums one p x p matrix."""
+    cols = list(cols)
+
+    def run(batches):
+        n, s, g = 0, np.zeros(len(cols)), np.zeros((len(cols), len(cols)))
+        for b in batches:
+            x = _matrix(b, cols)
+            n, s, g = n + len(x), s + x.sum(axis=0), g + x.T @ x
+        if n:
+            i, j = (a.ravel() for a in np.indices(g.shape))
+            yield pa.record_batch([pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(np.full(len(i), n)), pa.array(s[i]), pa.array(s[j]), pa.array(g.ravel())],
+                                  names=["i", "j", "n", "si", "sj", "sij"])
+
+    parts = z.select(*cols).mapInArrow(run, "i int, j int, n long, si double, sj double, sij double")
+    t = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "si", "sj", "sij")])
+    names = F.array(*[F.lit(c) for c in cols])
+    return t.select(F.element_at(names, F.col("i") + 1).alias("feature_i"), F.element_at(names, F.col("j") + 1).alias("feature_j"),
+                    (F.col("sij") / F.col("n") - (F.col("si") / F.col("n")) * (F.col("sj") / F.col("n"))).alias("cov"))
 
 
 # ------------------------------------------------------------------ PCA
@@ -93,15 +126,12 @@ def pca_fit(z: DataFrame, cols: Sequence[str]) -> PcaResult:
 
 
 def pca_scores(z: DataFrame, res: PcaResult, keep: Sequence[str] = (), m: int | None = None, prefix: str = "pc") -> DataFrame:
-    """Scores ``pc1..pcm`` as linear Column expressions of the inputs."""
+    """Scores ``pc1..pcm``: the inputs times the loadings, batch by batch."""
     m = m or len(res.loadings)
-    comps = []
-    for j in range(m):
-        e = F.lit(0.0)
-        for i, c in enumerate(res.columns):
-            e = e + F.col(c) * F.lit(res.loadings[j][i])
-        comps.append(e.alias(f"{prefix}{j + 1}"))
-    return z.select(*keep, *comps)
+    w = np.array(res.loadings[:m]).T
+    new = T.StructType([T.StructField(f"{prefix}{j + 1}", T.DoubleType()) for j in range(m)])
+    out = _append(z, res.columns, lambda x: [pa.array(c) for c in np.ascontiguousarray((x @ w).T)], new)
+    return out.select(*keep, *new.names)
 
 
 def top_loadings(table: DataFrame, n_components: int = 3, digits: int = 3) -> DataFrame:
@@ -147,56 +177,155 @@ def select_components(ratios: DataFrame, threshold: float = L.VARIANCE_THRESHOLD
 # ------------------------------------------------------------------ K-Means
 
 
-def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
-    from pyspark.ml.feature import VectorAssembler
-
-    return VectorAssembler(inputCols=list(cols), outputCol=out).transform(df)
-
-
-FIT_PARALLELISM = 8
-
-
-def _fit(vec: DataFrame, k: int, seed: int, max_iter: int, features: str):
-    from pyspark.ml.clustering import KMeans
-
-    m = KMeans(k=k, seed=seed, maxIter=max_iter, tol=1e-4, featuresCol=features, predictionCol="__pred").fit(vec)
-    return m, float(m.summary.trainingCost)
-
-
-def fit_many(vec: DataFrame, specs: Sequence[tuple[int, int]], max_iter: int = 300, features: str = "features", parallelism: int = FIT_PARALLELISM):
-    """Fit one Spark ML K-Means per (k, seed) spec. Fits are independent
-    Spark jobs, submitted concurrently from a thread pool so their
-    scheduling overlaps; each fit itself is distributed. Returns
-    [(k, seed, model, cost)] in spec order."""
-    from concurrent.futures import ThreadPoolExecutor
+CHUNK = 1 << 21  # distances held at a time
+INIT_SAMPLE = 5_000  # rows that starting centers are drawn from, at most
 
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(specs)))) as pool:
-        futs = [pool.submit(_fit, vec, k, seed, max_iter, features) for k, seed in specs]
-        return [(k, seed, *f.result()) for (k, seed), f in zip(specs, futs)]
 
-
-def _best(fits):
-    best = None
-    for k, seed, m, cost in fits:
-        if best is None or cost < best[1]:
-            best = (m, cost)
-    return best
-
-
-def kmeans_best(vec: DataFrame, k: int, n_init: int = L.N_INIT, seed: int = L.RANDOM_STATE, max_iter: int = 300, features: str = "features"):
-    """ML7/ML10: best (lowest inertia) of ``n_init`` Spark ML K-Means fits
-    with seeds seed, seed+1, ..."""
-    return _best(fit_many(vec, [(k, seed + i) for i in range(n_init)], max_iter, features))
+@dataclass
+class Fit:
+    k: int
+    seed: int
+    centers: np.ndarray  # k x p
+    cost: float  # sum of squared distances to the nearest center, over all rows
+
+
+def _nearest(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nearest center (lowest number on ties) and squared distance per row."""
+    label, best = np.zeros(len(x), np.int64), np.zeros(len(x))
+    step = max(1, CHUNK // max(1, centers.size))
+    for i in range(0, len(x), step):
+        d = ((x[i: i + step, None, :] - centers[None]) ** 2).sum(axis=2)
+        label[i: i + step] = d.argmin(axis=1)
+        best[i: i + step] = d.min(axis=1)
+    return label, best
+
+
+def _starts(sample: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """K-means++ starting centers from the sample, best of a few candidates
+    at each step."""
+    rng = np.random.default_rng(seed)
+    centers = [sample[rng.integers(len(sample))]]
+    d = ((sample - centers[0]) ** 2).sum(axis=1)
+    for _ in range(1, k):
+        total = d.sum()
+        pick = rng.choice(len(sample), 2 + int(np.log(k)), p=d / total if total > 0 else None)
+        options = [np.minimum(d, ((sample - sample[i]) ** 2).sum(axis=1)) for i in pick]
+        best = int(np.argmin([o.sum() for o in options]))
+        centers.append(sample[pick[best]])
+        d = options[best]
+    return np.array(centers)
+
+
+def lloyd_pass(df: DataFrame, cols: Sequence[str], centers: Sequence[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """One pass for many models: per model the rows of each cluster (k), their
+    sums (k x p) and squared distances (k). Each task returns one row per model
+    and cluster, and so does the job, whatever the data."""
+    cols, p = list(cols), len(cols)
+    groups: dict[int, list[int]] = {}
+    for m, c in enumerate(centers):
+        groups.setdefault(len(c), []).append(m)
+    shared = df.sparkSession.sparkContext.broadcast([np.asarray(c) for c in centers])
+
+    def run(batches):
+        cs = shared.value
+        n = [np.zeros(len(c), np.int64) for c in cs]
+        s = [np.zeros((len(c), p)) for c in cs]
+        e = [np.zeros(len(c)) for c in cs]
+        for b in batches:
+            full = _matrix(b, cols)
+            for k, models in groups.items():
+                every = np.concatenate([cs[m] for m in models])  # (models * k) x p
+                cc, at = (every ** 2).sum(axis=1), np.arange(len(models)) * k
+                step = max(1, CHUNK // len(every))
+                for i in range(0, len(full), step):
+                    x = full[i: i + step]
+                    label = (cc - 2 * (x @ every.T)).reshape(len(x), len(models), k).argmin(axis=2) + at
+                    d = ((x[:, None, :] - every[label]) ** 2).sum(axis=2).ravel()
+                    flat = label.ravel()
+                    size = len(every)
+                    nn, ee = np.bincount(flat, minlength=size), np.bincount(flat, d, size)
+                    ss = np.column_stack([np.bincount(flat, np.repeat(x[:, j], len(models)), size) for j in range(p)])
+                    for q, m in enumerate(models):
+                        a, z = q * k, (q + 1) * k
+                        n[m] += nn[a:z]
+                        e[m] += ee[a:z]
+                        s[m] += ss[a:z]
+        model = np.repeat(np.arange(len(cs)), [len(c) for c in cs])
+        cluster = np.concatenate([np.arange(len(c)) for c in cs])
+        yield pa.record_batch([pa.array(model), pa.array(cluster), pa.array(np.concatenate(n)), pa.array(np.concatenate(e)), *(pa.array(c) for c in np.ascontiguousarray(np.concatenate(s).T))],
+                              names=["model", "cluster", "n", "e", *names])
+
+    names = [f"s{j}" for j in range(p)]
+    schema = "model long, cluster long, n long, e double" + "".join(f", {c} double" for c in names)
+    rows = df.select(*cols).mapInArrow(run, schema).groupBy("model", "cluster").agg(*[F.sum(c).alias(c) for c in ("n", "e", *names)])
+    out = [(np.zeros(len(c), np.int64), np.zeros((len(c), p)), np.zeros(len(c))) for c in centers]
+    for r in rows.collect():  # models * k rows
+        n, s, e = out[r["model"]]
+        n[r["cluster"]], e[r["cluster"]], s[r["cluster"]] = r["n"], r["e"], [r[c] for c in names]
+    return out
 
 
-def k_sweep(vec: DataFrame, n_rows: int, max_k: int = L.MAX_K, n_init: int = L.N_INIT, seed: int = L.RANDOM_STATE, features: str = "features") -> DataFrame:
+def _moved(centers: np.ndarray, n: np.ndarray, s: np.ndarray) -> np.ndarray:
+    """Mean of each cluster's rows; a cluster without rows keeps its center."""
+    return np.where(n[:, None] > 0, s / np.maximum(n, 1)[:, None], centers)
+
+
+def lloyd(df: DataFrame, cols: Sequence[str], starts: Sequence[np.ndarray], max_iter: int = 300, tol: float = 1e-4) -> list[tuple[np.ndarray, float]]:
+    """Final centers and cost of every model. A model is done when none of its
+    centers moves by more than ``tol``; passes serve the models still moving."""
+    centers = [np.asarray(c, float) for c in starts]
+    moving = list(range(len(centers)))
+    for _ in range(max_iter):
+        if not moving:
+            break
+        still = []
+        for m, (n, s, _) in zip(moving, lloyd_pass(df, cols, [centers[m] for m in moving])):
+            new = _moved(centers[m], n, s)
+            if np.sqrt(((new - centers[m]) ** 2).sum(axis=1)).max() > tol:
+                still.append(m)
+            centers[m] = new
+        moving = still
+    return [(c, float(e.sum())) for c, (_, _, e) in zip(centers, lloyd_pass(df, cols, centers))]
+
+
+def lloyd_steps(df: DataFrame, cols: Sequence[str], start: np.ndarray, steps: int) -> DataFrame:
+    """The first iterations from given centers, as rows (step, cluster, n, sse):
+    step i has the clusters and distances under the centers before update i."""
+    rows, c = [], np.asarray(start, float)
+    for i in range(steps):
+        ((n, s, e),) = lloyd_pass(df, cols, [c])
+        rows += [(i, k, int(n[k]), float(e[k])) for k in range(len(c))]
+        c = _moved(c, n, s)
+    return df.sparkSession.createDataFrame(rows, "step int, cluster int, n long, sse double")
+
+
+def fit_many(df: DataFrame, cols: Sequence[str], specs: Sequence[tuple[int, int]], max_iter: int = 300, tol: float = 1e-4) -> list[Fit]:
+    """One K-Means fit per (k, seed) of ``specs``, all in the same passes. Rows
+    come from ``df``; only starting centers are drawn from a bounded sample."""
+    rows = df.select(*cols)
+    n = rows.count()
+    some = rows if n <= INIT_SAMPLE else rows.sample(min(1.0, 1.2 * INIT_SAMPLE / n), 42).limit(INIT_SAMPLE)
+    sample = np.array(sorted(tuple(r) for r in some.collect()), float).reshape(-1, len(cols))
+    if not len(sample):
+        raise ValueError("no rows to cluster")
+    starts = [_starts(sample, k, seed) for k, seed in specs]
+    return [Fit(k, seed, c, cost) for (k, seed), (c, cost) in zip(specs, lloyd(df, cols, starts, max_iter, tol))]
+
+
+def kmeans_best(df: DataFrame, cols: Sequence[str], k: int, n_init: int = L.N_INIT, seed: int = L.RANDOM_STATE, max_iter: int = 300) -> Fit:
+    """ML7/ML10: best (lowest inertia) of ``n_init`` fits with seeds seed,
+    seed+1, ..."""
+    return min(fit_many(df, cols, [(k, seed + i) for i in range(n_init)], max_iter), key=lambda f: f.cost)
+
+
+def k_sweep(df: DataFrame, cols: Sequence[str], n_rows: int, max_k: int = L.MAX_K, n_init: int = L.N_INIT, seed: int = L.RANDOM_STATE) -> DataFrame:
     """ML7: inertia of the best of ``n_init`` fits for K = 2..min(max_k, n-1)."""
     ks = list(range(2, min(max_k + 1, n_rows)))
     if not ks:
         raise ValueError(f"need at least 3 rows to sweep K, got {n_rows}")
-    fits = fit_many(vec, [(k, seed + i) for k in ks for i in range(n_init)], features=features)
-    rows = [(k, _best([f for f in fits if f[0] == k])[1]) for k in ks]
-    return vec.sparkSession.createDataFrame(rows, "k int, inertia double")
+    fits = fit_many(df, cols, [(k, seed + i) for k in ks for i in range(n_init)])
+    rows = [(k, min(f.cost for f in fits if f.k == k)) for k in ks]
+    return df.sparkSession.createDataFrame(rows, "k int, inertia double")
 
 
 def elbow(sweep: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -217,21 +346,24 @@ def elbow(sweep: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return g.select(*by, F.coalesce(F.col("__best.k"), F.col("__k0")).alias("k"), F.col("__best.change").alias("change"))
 
 
-def _sqdist(cols: Sequence[str], center: Sequence[float]) -> Column:
-    e = F.lit(0.0)
-    for c, v in zip(cols, center):
-        d = F.col(c) - F.lit(float(v))
-        e = e + d * d
-    return e
+def assign(df: DataFrame, cols: Sequence[str], centers: Sequence[Sequence[float]], out: str = "cluster") -> DataFrame:
+    """ML9: nearest centroid (squared Euclidean; lowest id on ties) and
+    ``dist2``; null for rows with a missing coordinate."""
+    c = np.asarray(centers, float)
 
+    def compute(x):
+        label, d = _nearest(x, c)
+        bad = np.isnan(x).any(axis=1)
+        return [pa.array(label.astype(np.int32), mask=bad), pa.array(d, mask=bad)]
+
+    return _append(df, cols, compute, T.StructType([T.StructField(out, T.IntegerType()), T.StructField("dist2", T.DoubleType())]))
 
-def assign(df: DataFrame, cols: Sequence[str], centers: Sequence[Sequence[float]], out: str = "cluster") -> DataFrame:
-    """ML9: nearest centroid (squared Euclidean; lowest id on ties) as Column
-    arithmetic over the K x p centers; also returns ``dist2``."""
-    dists = F.array(*[_sqdist(cols, c) for c in centers])
-    d = df.withColumn("__d", dists)
-    return d.withColumn(out, (F.array_position("__d", F.array_min("__d")) - 1).cast("int")).withColumn(
-        "dist2", F.array_min("__d")).drop("__d")
+
+def assign_many(df: DataFrame, cols: Sequence[str], centers: Sequence[np.ndarray], names: Sequence[str]) -> DataFrame:
+    """The labels of many models, one column each, in one pass."""
+    cs = [np.asarray(c, float) for c in centers]
+    new = T.StructType([T.StructField(n, T.IntegerType()) for n in names])
+    return _append(df, cols, lambda x: [pa.array(_nearest(x, c)[0].astype(np.int32)) for c in cs], new)
 
 
 def inertia(df: DataFrame, cols: Sequence[str], label: str, centers: DataFrame) -> DataFrame:
@@ -256,13 +388,11 @@ def relabel_by_size(labels: DataFrame, centers: Sequence[Sequence[float]], col:
     return labels.withColumn(col, m[F.col(col)].cast("int")), [list(centers[o]) for o in order]
 
 
-def cluster(vec_cols_df: DataFrame, cols: Sequence[str], k: int, n_init: int = L.N_INIT, seed: int = L.RANDOM_STATE, out: str = "cluster"):
+def cluster(df: DataFrame, cols: Sequence[str], k: int, n_init: int = L.N_INIT, seed: int = L.RANDOM_STATE, out: str = "cluster"):
     """ML10: final K-Means labels (best of ``n_init``), ids relabelled by size.
     Returns (labelled DataFrame, centers)."""
-    vec = assemble(vec_cols_df, cols)
-    model, _ = kmeans_best(vec, k, n_init, seed)
-    centers = [list(map(float, c)) for c in model.clusterCenters()]
-    lab = assign(vec_cols_df, cols, centers, out).drop("dist2")
+    centers = kmeans_best(df, cols, k, n_init, seed).centers.tolist()
+    lab = assign(df, cols, centers, out).drop("dist2")
     return relabel_by_size(lab, centers, out)
 
 
@@ -272,9 +402,14 @@ def cluster(vec_cols_df: DataFrame, cols: Sequence[str], k: int, n_init: int = L
 def _ari_from_counts(g: DataFrame, by: Sequence[str]) -> DataFrame:
     """sklearn's pair-confusion ARI from contingency rows (by..., a, b, nij)."""
     by = list(by)
-    ss = g.groupBy(*by).agg(F.sum(F.col("nij") * F.col("nij")).alias("ss"), F.sum("nij").alias("n"))
-    sa = g.groupBy(*by, "a").agg(F.sum("nij").alias("x")).groupBy(*by).agg(F.sum(F.col("x") * F.col("x")).alias("sa"))
-    sb = g.groupBy(*by, "b").agg(F.sum("nij").alias("x")).groupBy(*by).agg(F.sum(F.col("x") * F.col("x")).alias("sb"))
+
+    def squares(c):  # counts reach 1e9 and more: their squares do not fit a long
+        w = F.col(c).cast("decimal(19,0)")
+        return F.sum((w * w).cast("decimal(38,0)"))
+
+    ss = g.groupBy(*by).agg(squares("nij").alias("ss"), F.sum("nij").alias("n"))
+    sa = g.groupBy(*by, "a").agg(F.sum("nij").alias("x")).groupBy(*by).agg(squares("x").alias("sa"))
+    sb = g.groupBy(*by, "b").agg(F.sum("nij").alias("x")).groupBy(*by).agg(squares("x").alias("sb"))
     t = ss.join(sa, on=by, how="inner").join(sb, on=by, how="inner") if by else attach_one_row(attach_one_row(ss, sa), sb)
     tp = F.col("ss").cast("double") - F.col("n")
     fp = F.col("sb").cast("double") - F.col("ss")
@@ -291,16 +426,40 @@ def ari(df: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def ari_pairwise(df: DataFrame, label_cols: Sequence[str]) -> DataFrame:
-    """JOIN6 + ML11: ARI of every pair (i < j) of labelings in one pass:
-    identical label vectors are grouped first (partial aggregate), then each
-    distinct vector emits one row per labeling pair."""
+    """JOIN6 + ML11: ARI of every pair (i < j) of labelings. Each task counts the
+    co-occurrence of all labels as one matrix product of its one-hot rows, and
+    returns one row per pair of labels of two labelings: the amount shuffled
+    depends on the numbers of labels, not on the rows or their variety. A null
+    label is a label of its own."""
     n = len(label_cols)
-    pairs = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(n) for j in range(i + 1, n)])
-    vecs = df.groupBy(F.array(*[F.col(c).cast("int") for c in label_cols]).alias("labs")).agg(F.count(F.lit(1)).alias("w"))
-    e = vecs.select(F.explode(pairs).alias("pr"), "labs", "w").select(
-        F.col("pr.i").alias("i"), F.col("pr.j").alias("j"),
-        F.element_at("labs", F.col("pr.i") + 1).alias("a"), F.element_at("labs", F.col("pr.j") + 1).alias("b"), "w")
-    g = e.groupBy("i", "j", "a", "b").agg(F.sum("w").alias("nij"))
+    null = np.iinfo(np.int32).min
+
+    def run(batches):
+        total: dict[tuple, int] = {}
+        for b in batches:
+            codes, names, at = [], [], 0
+            for i in range(n):
+                u, inverse = np.unique(b.column(i).fill_null(int(null)).to_numpy(zero_copy_only=False), return_inverse=True)
+                codes.append(inverse + at)
+                names += [(i, int(v)) for v in u]
+                at += len(u)
+            codes = np.array(codes)
+            g = np.zeros((at, at))
+            for k in range(0, b.num_rows, 4096):
+                c = codes[:, k: k + 4096]
+                x = np.zeros((c.shape[1], at), np.float32)
+                x[np.arange(c.shape[1])[None, :], c] = 1
+                g += x.T @ x
+            for p, q in zip(*np.nonzero(np.triu(g, 1))):
+                if names[p][0] != names[q][0]:
+                    key = (*names[p], *names[q])
+                    total[key] = total.get(key, 0) + int(g[p, q])
+        cols = list(zip(*total)) if total else [[], [], [], []]
+        yield pa.record_batch([pa.array(cols[0], pa.int32()), pa.array(cols[2], pa.int32()), pa.array(cols[1], pa.int32()), pa.array(cols[3], pa.int32()), pa.array(list(total.values()), pa.int64())],
+                              names=["i", "j", "a", "b", "nij"])
+
+    labels = df.select(*[F.col(c).cast("int").alias(f"l{i}") for i, c in enumerate(label_cols)])
+    g = labels.mapInArrow(run, "i int, j int, a int, b int, nij long").groupBy("i", "j", "a", "b").agg(F.sum("nij").alias("nij"))
     return _ari_from_counts(g, ["i", "j"])
 
 
@@ -316,24 +475,12 @@ def ari_summary(pairwise: DataFrame) -> DataFrame:
 def stability(vec_cols_df: DataFrame, cols: Sequence[str], k: int, n_iterations: int = L.STABILITY_ITERATIONS,
               n_init: int = L.N_INIT, seed: int = L.RANDOM_STATE) -> tuple[DataFrame, DataFrame]:
     """ML12: refit K-Means ``n_iterations`` times (seeds seed..), label every
-    row with each model (Column arithmetic), then all pairwise ARIs.
+    row with each model, then all pairwise ARIs.
     Returns (summary row with iterations, pairwise scores)."""
-    vec = assemble(vec_cols_df, cols).persist()
-    fits = fit_many(vec, [(k, (seed + it) * 1000 + i) for it in range(n_iterations) for i in range(n_init)])
-    centers = []
-    for it in range(n_iterations):
-        model, _ = _best(fits[it * n_init:(it + 1) * n_init])
-        centers.append([list(map(float, c)) for c in model.clusterCenters()])
-    vec.unpersist()
-    lab = vec_cols_df
-    names = []
-    for it, cs in enumerate(centers):
-        lab = assign(lab, cols, cs, f"__l{it}").drop("dist2")
-        names.append(f"__l{it}")
+    fits = fit_many(vec_cols_df, cols, [(k, (seed + it) * 1000 + i) for it in range(n_iterations) for i in range(n_init)])
+    best = [min(fits[it * n_init:(it + 1) * n_init], key=lambda f: f.cost) for it in range(n_iterations)]
+    names = [f"__l{it}" for it in range(n_iterations)]
+    lab = assign_many(vec_cols_df.select(*cols), cols, [f.centers for f in best], names)
     pw = ari_pairwise(lab, names)
     summary = ari_summary(pw).withColumn("iterations", F.lit(n_iterations))
     return summary, pw
-
-
-def as_double(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.select(*[F.col(c).cast(T.DoubleType()).alias(c) if c in cols else F.col(c) for c in df.columns])

@@ -13,10 +13,11 @@ from .stats import exact_quantiles, histogram, long_form
 
 
 def cluster_sizes(df: DataFrame, cluster_col: str = "cluster") -> DataFrame:
-    """AGG25 + SRT3: size and share per cluster."""
+    """AGG25 + SRT3: size and share per cluster, and its position by size."""
     c = df.groupBy(cluster_col).agg(F.count(F.lit(1)).alias("n"))
     tot = c.agg(F.sum("n").alias("__tot"))
-    return attach_one_row(c, tot).withColumn("share", F.col("n") / F.col("__tot")).drop("__tot")
+    w = Window.partitionBy(F.lit(0)).orderBy(F.col("n").desc(), cluster_col)  # one row per cluster
+    return attach_one_row(c, tot).withColumn("share", F.col("n") / F.col("__tot")).withColumn("position", F.row_number().over(w)).drop("__tot")
 
 
 def cluster_centroids(df: DataFrame, cluster_col: str = "cluster", cols: Sequence[str] = ("pc1", "pc2")) -> DataFrame:

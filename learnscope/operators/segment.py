@@ -31,11 +31,21 @@ def session_keys(df: DataFrame) -> list[str]:
     return [*student_keys(df), "session_index"]
 
 
+# Written forms of log times beside ISO 8601, tried in this order.
+TIME_FORMATS = (
+    "yyyy/M/d H:mm:ss.SSSSSS", "yyyy/M/d H:mm:ss", "yyyy/M/d H:mm", "yyyy/M/d",
+    "yyyy-M-d H:mm:ss", "yyyy-M-d H:mm", "M/d/yyyy H:mm:ss", "M/d/yyyy H:mm", "M/d/yyyy",
+    "yyyy年M月d日 H:mm:ss", "yyyy年M月d日 H:mm", "yyyy年M月d日",
+)
+
+
 def parse_time(col: Column | str, formats: Sequence[str] | None = None) -> Column:
-    """Coercing time parse: bad values become null (never an error)."""
-    c = F.col(col) if isinstance(col, str) else col
+    """Coercing time parse: bad values become null (never an error). Without
+    ``formats``: ISO 8601, then the common forms of ``TIME_FORMATS``."""
+    c = F.trim(F.col(col) if isinstance(col, str) else col)
     if not formats:
-        return F.try_to_timestamp(c.cast("string")).cast("timestamp_ntz")
+        iso = F.try_to_timestamp(c.cast("string")).cast("timestamp_ntz")
+        return F.coalesce(iso, *[F.try_to_timestamp(c.cast("string"), F.lit(f)).cast("timestamp_ntz") for f in TIME_FORMATS])
     return F.coalesce(*[F.try_to_timestamp(c.cast("string"), F.lit(f)).cast("timestamp_ntz") for f in formats])
 
 
@@ -136,6 +146,13 @@ def with_row_in_segment(segmented: DataFrame, segment_col: str = "session_index"
     return d.withColumn("row_number", (F.col("__rank") - F.col("__r0") + 1).cast("int")).drop("__rank", "__r0")
 
 
+def printed_time(col: str) -> Column:
+    """SCL12: a time as text, with its six-digit fraction only if it has one."""
+    whole = F.date_format(col, "yyyy-MM-dd HH:mm:ss")
+    fraction = F.date_format(col, ".SSSSSS")
+    return F.when(fraction == ".000000", whole).otherwise(F.concat(whole, fraction))
+
+
 def segment_payloads(rows: DataFrame, segment_col: str = "session_index", min_rows: int = 3, text_chars: int = L.PAYLOAD_TEXT_CHARS) -> DataFrame:
     """SCL12-13: one JSON payload per segment with at least ``min_rows`` turns:
     ``[{"row_number", "timestamp", "question", "ai_response"}, ...]`` in row
@@ -143,7 +160,7 @@ def segment_payloads(rows: DataFrame, segment_col: str = "session_index", min_ro
     keys = [*student_keys(rows), segment_col]
     item = F.struct(
         F.col("row_number").alias("row_number"),
-        F.date_format("asked_at", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
+        printed_time("asked_at").alias("timestamp"),
         F.substring(F.coalesce(F.col("question_text"), F.lit("")), 1, text_chars).alias("question"),
         F.substring(F.coalesce(F.col("ai_response"), F.lit("")), 1, text_chars).alias("ai_response"),
     )
@@ -155,8 +172,9 @@ def segment_payloads(rows: DataFrame, segment_col: str = "session_index", min_ro
 
 
 PROMPT_HEADER = (
-    "Segment the following student-AI tutor interaction logs into coherent dialogue sessions. "
-    "Output a JSON mapping {row_number: session_id}, session_id starting from 1. Interaction logs:\n"
+    "Below is a JSON array with one object per tutoring turn, oldest first. Find the turns at which the subject changes: "
+    "a new exercise, a new concept, or a fresh start after a long silence. Number the subjects from 1 in the order they come up. "
+    "Reply with one JSON object and nothing else; each key is a row_number of the array and its value the number of that turn's subject.\n"
 )
 
 
@@ -166,24 +184,38 @@ def render_prompt(payload: Column | str, header: str = PROMPT_HEADER) -> Column:
     return F.concat(F.lit(header), p)
 
 
+# Rewrites that turn the looser JSON of model replies into strict JSON, in order.
+LOOSE_JSON = [
+    (r"(?s)/\*.*?\*/", ""),  # block comments
+    (r"(?m)(^|[\s,{}\[\]])//[^\n]*", "$1"),  # line comments, not the // of an address
+    (r"'([^'\"\n]*)'", "\"$1\""),  # single quotes
+    (r"([{,]\s*)([A-Za-z_$0-9][\w$]*)\s*:", "$1\"$2\":"),  # bare keys
+    (r",\s*([}\]])", "$1"),  # trailing commas
+]
+
+
 def parse_mapping(reply: Column | str) -> Column:
     """SCL14-15: lenient parse of a segmenter reply into ``map<string,int>``.
 
-    Strips code fences and trailing commas; a JSON object keeps its keys, a
-    JSON array becomes a 1-based map; values: numbers truncate to int,
-    booleans become 0/1, numeric strings cast (non-integers dropped); anything
-    else gives an empty map."""
+    Strips code fences; text that is not strict JSON is read once more in the
+    looser form that replies come in (comments, trailing commas, single quotes,
+    bare keys). A JSON object keeps its keys, a JSON array becomes a 1-based map;
+    values: numbers truncate to int (those out of range are dropped), booleans
+    become 0/1, numeric strings cast (non-integers dropped); anything else gives
+    an empty map."""
     r = F.col(reply) if isinstance(reply, str) else reply
     txt = F.trim(F.regexp_replace(F.trim(F.coalesce(r, F.lit(""))), r"(?m)^```(?:json)?|```$", ""))
-    txt = F.regexp_replace(txt, r",\s*([}\]])", "$1")
-    v = F.try_parse_json(txt)
+    loose = txt
+    for pattern, to in LOOSE_JSON:
+        loose = F.regexp_replace(loose, pattern, to)
+    v = F.coalesce(F.try_parse_json(txt), F.try_parse_json(loose))
     kind = F.schema_of_variant(v)
 
     def coerce(x):
         t = F.schema_of_variant(x)
         return (
             F.when(t.isin("BIGINT", "INT", "SMALLINT", "TINYINT") | t.startswith("DECIMAL") | t.isin("DOUBLE", "FLOAT"),
-                   F.try_variant_get(x, "$", "double").cast("long").cast("int"))
+                   F.try_variant_get(x, "$", "double").try_cast("int"))
             .when(t == "BOOLEAN", F.try_variant_get(x, "$", "boolean").cast("int"))
             .when(t == "STRING", F.try_variant_get(x, "$", "string").try_cast("int"))
         )
@@ -255,7 +287,8 @@ def topic_split(rows: DataFrame, mapping: DataFrame, segment_col: str = "session
     continuing across segments of the student. Input: :func:`with_row_in_segment`."""
     keys = student_keys(rows)
     seg_keys = [*keys, segment_col]
-    m = mapping.filter(F.col("topic_id").isNotNull()).dropDuplicates([*seg_keys, "row_number"])
+    # a row number given twice takes its smallest topic
+    m = mapping.filter(F.col("topic_id").isNotNull()).groupBy(*seg_keys, "row_number").agg(F.min("topic_id").alias("topic_id"))
     has_map = m.select(*seg_keys).distinct().withColumn("__has_map", F.lit(True))
     d = rows.join(m, on=[*seg_keys, "row_number"], how="left").join(has_map, on=seg_keys, how="left")
     mapped = F.coalesce(F.col("__has_map"), F.lit(False)) & (F.col("segment_rows") > 2)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import attach_one_row, broadcast_if_small, is_finite
+from .common import attach_one_row, is_finite, join_groups
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
@@ -54,7 +54,8 @@ def exact_quantiles(df: DataFrame, value: str, groups: Sequence[str] = (), probs
     target rank with [lo, hi]; (2) exact counts below / inside the bracket
     verify it (a failed bracket falls back to the whole range); (3) only the
     distinct values inside the bracket (about 4n/accuracy rows plus ties) are
-    ranked. Returns (groups..., p, value); null/NaN values are ignored.
+    ranked. Returns (groups..., p, value); null/NaN values are ignored, and a
+    null group key is a group of its own.
     A group holding a third of the data costs two partial aggregates over it
     plus a window over a small slice."""
     groups = list(groups)
@@ -77,22 +78,22 @@ def exact_quantiles(df: DataFrame, value: str, groups: Sequence[str] = (), probs
     # exact counts below / inside each bracket (one pass, partial aggregation)
     # bounds: one row per (group, p); AQE broadcasts it at runtime when small
     bounds = b.select(*groups, "p", "__qlo", "__qhi")
-    j = d.join(bounds, on=groups, how="inner") if groups else attach_one_row(d, bounds)
+    j = join_groups(d, bounds, groups)
     cnt = j.groupBy(*groups, "p").agg(
         F.count_if(F.col("__x") < F.col("__qlo")).alias("__below"),
         F.count_if((F.col("__x") >= F.col("__qlo")) & (F.col("__x") <= F.col("__qhi"))).alias("__in"))
-    b = b.join(cnt, on=[*groups, "p"], how="inner")
+    b = join_groups(b, cnt, [*groups, "p"])
     ok = (F.col("__below") < F.col("__klo")) & (F.col("__below") + F.col("__in") >= F.col("__khi"))
     b = b.select(*groups, "p", "__klo", "__khi", "__frac",
                  F.when(ok, F.col("__qlo")).otherwise(F.lit(float("-inf"))).alias("__qlo"),
                  F.when(ok, F.col("__qhi")).otherwise(F.lit(float("inf"))).alias("__qhi"),
                  F.when(ok, F.col("__below")).otherwise(F.lit(0)).alias("__below"))
-    j = d.join(b.select(*groups, "p", "__qlo", "__qhi"), on=groups, how="inner") if groups else attach_one_row(d, b.select("p", "__qlo", "__qhi"))
+    j = join_groups(d, b.select(*groups, "p", "__qlo", "__qhi"), groups)
     inside = j.filter((F.col("__x") >= F.col("__qlo")) & (F.col("__x") <= F.col("__qhi")))
     vals = inside.groupBy(*groups, "p", "__x").agg(F.count(F.lit(1)).alias("__c"))
     w = Window.partitionBy(*groups, "p").orderBy("__x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     vals = vals.withColumn("__cum", F.sum("__c").over(w)).withColumn("__start", F.col("__cum") - F.col("__c") + 1)
-    v = vals.join(b, on=[*groups, "p"], how="inner")
+    v = join_groups(vals, b, [*groups, "p"])
     rlo = F.col("__klo") - F.col("__below")
     rhi = F.col("__khi") - F.col("__below")
     hit_lo = (F.col("__start") <= rlo) & (F.col("__cum") >= rlo)
@@ -103,18 +104,6 @@ def exact_quantiles(df: DataFrame, value: str, groups: Sequence[str] = (), probs
     return r.select(*groups, "p", (F.col("__vlo") + (F.col("__vhi") - F.col("__vlo")) * F.col("__frac")).alias("value"))
 
 
-def group_medians(df: DataFrame, cols: Sequence[str], groups: Sequence[str] = (), prefix: str = "") -> DataFrame:
-    """Exact medians of several columns per group (wide: groups..., prefix+col),
-    via :func:`exact_quantiles` on the long form."""
-    lf = long_form(df, cols, list(groups))
-    q = exact_quantiles(lf, "value", [*groups, "feature"], [0.5])
-    if groups:
-        wide = q.groupBy(*groups).pivot("feature", list(cols)).agg(F.first("value"))
-    else:
-        wide = q.groupBy().pivot("feature", list(cols)).agg(F.first("value"))
-    return wide.select(*groups, *[F.col(c).alias(prefix + c) for c in cols])
-
-
 def _medians_long(lf: DataFrame, groups: Sequence[str], approx: bool, name: str = "median") -> DataFrame:
     if approx:
         return lf.groupBy(*groups).agg(F.percentile_approx("value", 0.5, 100000).alias(name))
@@ -141,13 +130,14 @@ def binary_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     binary = per_value.groupBy("feature").agg(
         F.count(F.lit(1)).alias("__nd"), F.max((~F.col("value").isin(0.0, 1.0)).cast("int")).alias("__other")
     ).filter((F.col("__nd") <= 2) & (F.col("__other") == 0)).select("feature")
-    return per_value.join(broadcast_if_small(binary), on="feature", how="left_semi").select(
+    return per_value.join(binary, on="feature", how="left_semi").select(
         "feature", F.col("value").cast("int").alias("value"), "count")
 
 
 def histogram(df: DataFrame, cols: Sequence[str], bins: int = 50, by: Sequence[str] = ()) -> DataFrame:
     """AGG14 / AGG29: equal-width histogram per feature (and per ``by``
-    group), last bin closed; constant data bins over [v-0.5, v+0.5].
+    group): a value belongs to the bin whose edges hold it, lower edge included,
+    last bin closed; constant data bins over [v-0.5, v+0.5].
     Returns (by..., feature, bin, lo, hi, count) for non-empty bins."""
     lf = long_form(df, cols, by).filter(F.col("value").isNotNull() & ~F.isnan("value"))
     rng = lf.groupBy(*by, "feature").agg(F.min("value").alias("__lo0"), F.max("value").alias("__hi0"))
@@ -155,15 +145,18 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 50, by: Sequence[s
     rng = rng.select(*by, "feature",
                      F.when(eq, F.col("__lo0") - 0.5).otherwise(F.col("__lo0")).alias("__lo"),
                      F.when(eq, F.col("__hi0") + 0.5).otherwise(F.col("__hi0")).alias("__hi"))
-    j = lf.join(broadcast_if_small(rng), on=[*by, "feature"], how="inner")
-    b = F.least(F.floor((F.col("value") - F.col("__lo")) * (F.lit(float(bins)) / (F.col("__hi") - F.col("__lo")))), F.lit(bins - 1))
-    j = j.withColumn("bin", b.cast("int"))
-    width = (F.col("__hi") - F.col("__lo")) / F.lit(float(bins))
-    return j.groupBy(*by, "feature", "bin").agg(
-        F.count(F.lit(1)).alias("count"),
-        F.first(F.col("__lo") + F.col("bin") * width).alias("lo"),
-        F.first(F.col("__lo") + (F.col("bin") + 1) * width).alias("hi"),
-    )
+    j = join_groups(lf, rng, [*by, "feature"])
+    v, lo, hi = F.col("value"), F.col("__lo"), F.col("__hi")
+
+    def edge(i):  # equally spaced from lo, the last one exactly hi
+        return F.when(i == bins, hi).otherwise(lo + i * ((hi - lo) / F.lit(float(bins))))
+
+    guess = F.least(F.floor((v - lo) / (hi - lo) * F.lit(float(bins))).cast("int"), F.lit(bins - 1))
+    j = j.withColumn("bin", guess)
+    i = F.col("bin")
+    # the computed index can be one off where a value meets an edge
+    j = j.withColumn("bin", F.when(v < edge(i), i - 1).when((v >= edge(i + 1)) & (i < bins - 1), i + 1).otherwise(i))
+    return j.groupBy(*by, "feature", "bin").agg(F.count(F.lit(1)).alias("count"), F.first(edge(i)).alias("lo"), F.first(edge(i + 1)).alias("hi"))
 
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -211,8 +204,8 @@ def class_median_fill(df: DataFrame, cols: Sequence[str], class_col: str = "clas
     """AGG19: +-Inf/NaN -> missing; fill with the class median, else the
     global median, else 0. Medians are computed once per (class, column)
     and joined back (no per-class window, no per-class value gathering).
-    ``drop_null_class=True`` drops rows without a class, as pandas
-    ``groupby`` does."""
+    Rows without a class are a group like any other;
+    ``drop_null_class=True`` drops them, as pandas ``groupby`` does."""
     d = nonfinite_to_null(df, cols)
     if drop_null_class:
         d = d.filter(F.col(class_col).isNotNull())

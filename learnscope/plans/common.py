@@ -42,9 +42,10 @@ def extracted(spark: SparkSession, sf: str, gap=FEATURE_GAP, allowlist=None) ->
     return fe.extract(sessions(spark, sf, gap), classes(spark, sf), schedule(spark, sf), allowlist)
 
 
-def raw_features(spark: SparkSession, sf: str, gap=FEATURE_GAP) -> DataFrame:
-    """ok sessions after single-turn imputation, before log1p."""
-    return fe.session_features(sessions(spark, sf, gap), classes(spark, sf), schedule(spark, sf), log_transform=False)
+def raw_features(spark: SparkSession, sf: str, gap=FEATURE_GAP, columns=None) -> DataFrame:
+    """ok sessions after single-turn imputation, before log1p (``columns``: only
+    these features)."""
+    return fe.session_features(sessions(spark, sf, gap), classes(spark, sf), schedule(spark, sf), log_transform=False, columns=columns)
 
 
 def logged_features(spark: SparkSession, sf: str, gap=FEATURE_GAP) -> DataFrame:

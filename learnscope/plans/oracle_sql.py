@@ -209,3 +209,11 @@ def imputed_ctes(src: str = "feat") -> list[str]:
 def logged_cte(src: str = "imp", name: str = "logged") -> str:
     rep = ", ".join(f"ln(1 + CAST({c} AS DOUBLE)) AS {c}" for c in L.LOG_FEATURES)
     return f"{name} AS (SELECT * REPLACE ({rep}) FROM {src})"
+
+
+def edges_cte(ranges: str, bins: int, name: str = "edges") -> str:
+    """Histogram bins as rows with their edges [e0, e1), from (keys..., lo, hi)."""
+    return f"""{name} AS (
+  SELECT *, lo + bin * ((hi - lo) / {bins}.0) AS e0, CASE WHEN bin = {bins - 1} THEN hi ELSE lo + (bin + 1) * ((hi - lo) / {bins}.0) END AS e1
+  FROM {ranges} CROSS JOIN (SELECT CAST(unnest(range(0, {bins})) AS INTEGER) AS bin)
+)"""

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import lexicon as L
 from ..functions import text as X
 from ..operators import features as fe
+from ..session import scratch_path
+from ..sources import io
 from . import common as C
 from . import oracle_sql as O
 from .registry import register
@@ -147,21 +149,33 @@ def flt_reject_reason(spark, sf):
     return C.extracted(spark, sf).select(*KEYS, "class_id", "qa_turns", "reject_reason")
 
 
-@register("agg_reject_stats", O.with_(*FEAT) + """SELECT total, processed, out_of_range, no_class, bad_window, invalid_time, zero_day_window,
-    filtered_by_class_info, failed, processed / total AS success_ratio, out_of_range / total AS out_of_range_ratio,
-    out_of_range / total AS fail_ratio, (total - processed) / total AS reject_ratio FROM (
-  SELECT count(*) AS total, count(*) FILTER (WHERE reject_reason = 'ok') AS processed,
-    count(*) FILTER (WHERE reject_reason = 'out_of_range') AS out_of_range, count(*) FILTER (WHERE reject_reason = 'no_class') AS no_class,
-    count(*) FILTER (WHERE reject_reason = 'bad_window') AS bad_window, count(*) FILTER (WHERE reject_reason = 'invalid_time') AS invalid_time,
-    count(*) FILTER (WHERE reject_reason = 'zero_day_window') AS zero_day_window,
-    count(*) FILTER (WHERE reject_reason = 'filtered_by_class_info') AS filtered_by_class_info, CAST(0 AS BIGINT) AS failed FROM feat)""",
+_FILE_REJECTS = """SELECT n_nationkey AS file, CASE n_nationkey % 5 WHEN 0 THEN 'empty' WHEN 1 THEN 'missing_columns' WHEN 2 THEN 'missing_class' ELSE 'missing_student' END AS reason FROM nation"""
+
+
+@register("agg_reject_stats", O.with_(*FEAT, f"rejects AS ({_FILE_REJECTS})", "every AS (SELECT reject_reason AS r FROM feat UNION ALL SELECT 'file_' || reason FROM rejects)")
+          + """SELECT *, processed / total AS success_ratio, out_of_range / total AS out_of_range_ratio,
+    (out_of_range + failed) / total AS fail_ratio, (total - processed) / total AS reject_ratio FROM (
+  SELECT count(*) AS total, count(*) FILTER (WHERE r = 'ok') AS processed,
+    count(*) FILTER (WHERE r = 'out_of_range') AS out_of_range, count(*) FILTER (WHERE r = 'no_class') AS no_class,
+    count(*) FILTER (WHERE r = 'bad_window') AS bad_window, count(*) FILTER (WHERE r = 'invalid_time') AS invalid_time,
+    count(*) FILTER (WHERE r = 'zero_day_window') AS zero_day_window,
+    count(*) FILTER (WHERE r = 'filtered_by_class_info') AS filtered_by_class_info,
+    count(*) FILTER (WHERE r = 'file_empty') AS empty_files, count(*) FILTER (WHERE r = 'file_missing_columns') AS missing_columns,
+    count(*) FILTER (WHERE r = 'file_missing_class') AS failed, count(*) FILTER (WHERE r = 'file_missing_student') AS missing_student FROM every)""",
           floats=("success_ratio", "out_of_range_ratio", "fail_ratio", "reject_ratio"))
 def agg_reject_stats(spark, sf):
-    """AGG18 + SNK3: reject counters and ratios."""
-    return fe.reject_stats(C.extracted(spark, sf))
+    """AGG18 + SNK3: reject counters and ratios of sessions and files, written
+    as JSON and read back."""
+    from .. import fixtures as fx
+
+    fx.register_tables(spark, sf, ["nation"])
+    stats = fe.reject_stats(C.extracted(spark, sf), spark.sql(_FILE_REJECTS))
+    path = scratch_path(spark, "reject-stats")
+    io.write_json(stats, path)
+    return spark.read.schema(stats.schema).json(path)
 
 
-_ALLOW_SQL = "SELECT CAST(n_nationkey AS BIGINT) AS class_id FROM nation WHERE n_nationkey < 12 AND n_nationkey % 2 = 0"
+_ALLOW_SQL = "SELECT CAST(n_nationkey AS BIGINT) AS class_id FROM nation WHERE n_nationkey % 2 = 0"
 
 
 @register("join_class_allowlist", O.with_(f"allow AS ({_ALLOW_SQL})", *O.features_ctes(720, allow="allow"))
@@ -201,7 +215,7 @@ def feat_temporal(spark, sf):
           floats=("avg_qa_time_minutes",))
 def agg_single_turn_impute(spark, sf):
     """AGG15-17 + JOIN4 + FLT11/14: single-turn duration imputation."""
-    return C.raw_features(spark, sf).select(*KEYS, "class_id", "qa_turns", "avg_qa_time_minutes")
+    return C.raw_features(spark, sf, columns=[]).select(*KEYS, "class_id", "qa_turns", "avg_qa_time_minutes")
 
 
 @register("prj_log1p", O.with_(*FEAT, *O.imputed_ctes(), O.logged_cte())
@@ -225,9 +239,13 @@ def prj_finite_or_zero(spark, sf):
 
 
 @register("flt_high_understanding", O.with_(*FEAT, *O.imputed_ctes())
-          + "SELECT student_id, session_index, understanding_signal_strength, printf('score_%.2f_%s', understanding_signal_strength, file_name) AS tagged_name FROM imp WHERE understanding_signal_strength > 10",
+          + "SELECT threshold, student_id, session_index, understanding_signal_strength, printf('score_%.2f_%s', understanding_signal_strength, file_name) AS tagged_name "
+            "FROM imp CROSS JOIN (VALUES (1), (10)) AS t(threshold) WHERE understanding_signal_strength > threshold",
           floats=("understanding_signal_strength",))
 def flt_high_understanding(spark, sf):
-    """SNK5: sessions with raw understanding score > 10, score-tagged names."""
-    h = fe.high_understanding(C.raw_features(spark, sf))
-    return h.select(*KEYS, "understanding_signal_strength", "tagged_name")
+    """SNK5: sessions with a raw understanding score above 1 and above 10 (the
+    default), score-tagged names."""
+    f = C.raw_features(spark, sf, columns=["understanding_signal_strength"])
+    some, high = fe.high_understanding(f, 1), fe.high_understanding(f)
+    h = some.withColumn("threshold", F.lit(1)).unionByName(high.withColumn("threshold", F.lit(10)))
+    return h.select("threshold", *KEYS, "understanding_signal_strength", "tagged_name")

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon as L
 from ..operators import markov as mk
+from ..session import scratch_path
+from ..sources import io
 from . import common as C
 from . import oracle_sql as O
 from .registry import register
@@ -63,6 +65,26 @@ def fomm_matrix_wide(spark, sf):
     return mk.matrix_wide(mk.transition_probs(mk.transition_counts(_trans(spark, sf))))
 
 
+_NAMES = [L.STATE_LABELS[s] for s in L.STATES]
+
+
+@register("snk_matrices", O.with_(*_TRANS) + " UNION ALL ".join(
+    f"SELECT '{name}' AS matrix, {_LABEL_CASE} AS from_label, " + ", ".join(f"CAST(max({v}) FILTER (WHERE to_state = '{s}') AS DOUBLE) AS \"{L.STATE_LABELS[s]}\"" for s in L.STATES)
+    + " FROM pr GROUP BY from_state" for name, v in (("count", "n"), ("probability", "p"))), floats=tuple(_NAMES))
+def snk_matrices(spark, sf):
+    """SNK7: count and probability matrices with labelled rows and columns,
+    written as CSV and read back."""
+    probs = mk.transition_probs(mk.transition_counts(_trans(spark, sf)))
+    out = None
+    for name, value in (("count", "n"), ("probability", "p")):
+        m = mk.matrix_wide(probs, value).select("from_label", *[F.col(s).cast("double").alias(L.STATE_LABELS[s]) for s in L.STATES])
+        path = scratch_path(spark, f"matrix-{name}")
+        io.write_csv(m, path)
+        back = spark.read.options(**io.CSV_READ).schema(m.schema).csv(path).withColumn("matrix", F.lit(name))
+        out = back if out is None else out.unionByName(back)
+    return out
+
+
 @register("fomm_annotated", O.with_(*_TRANS)
           + "SELECT from_state, to_state, n, p, printf('%.2f', p) || chr(10) || '(' || CAST(n AS VARCHAR) || ')' AS annotation FROM pr",
           floats=("p",))

@@ -1,7 +1,7 @@
-"""ML and cluster-profile queries. SQL-checkable parts run on the
-``embeddings`` matrix (first 10 dims) and on SQL-derivable labelings; the
-fitted parts (PCA, K-Means) have no SQL form and are checked by invariants in
-the tests."""
+"""ML and cluster-profile queries. SQL-checkable parts run on the whole
+``embeddings`` matrix and on SQL-derivable labelings. The fitted parts (PCA,
+K-Means) have no SQL form; ``ml_pca_checks`` and ``ml_lloyd_steps`` hold what
+they must satisfy against SQL."""
 
 from __future__ import annotations
 
@@ -12,6 +12,8 @@ from .. import fixtures as fx
 from ..functions import lexicon as L
 from ..operators import ml
 from ..operators import profile as pf
+from ..session import scratch_path
+from ..sources import io
 from . import common as C
 from . import oracle_sql as O
 from .stages import cluster_sessions, prepared_session_matrix
@@ -33,55 +35,50 @@ def ml_standardize(spark, sf):
     return ml.standardize(_emb(spark, sf), E, keep=["vec_id", "label"])
 
 
-_COV_ROWS = []
-for _i, _a in enumerate(E):
-    for _b in E[_i:]:
-        _COV_ROWS.append(f"SELECT '{_a}' AS feature_i, '{_b}' AS feature_j, covar_pop({_a}, {_b}) AS cov FROM z")
-        if _a != _b:
-            _COV_ROWS.append(f"SELECT '{_b}' AS feature_i, '{_a}' AS feature_j, covar_pop({_a}, {_b}) AS cov FROM z")
+_LONG = "l AS (SELECT vec_id, label, i, 'e' || i AS feature, CAST(embedding[i] AS DOUBLE) AS x FROM (SELECT vec_id, label, embedding, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings))"
+_ZL = "zl AS (SELECT vec_id, feature, CASE WHEN s > 0 THEN (x - m) / s ELSE 0.0 END AS z FROM (SELECT *, avg(x) OVER w AS m, stddev_pop(x) OVER w AS s FROM l WINDOW w AS (PARTITION BY i)))"
 
 
-@register("ml_covariance", O.with_(_EMB, _STATS, _Z) + " UNION ALL ".join(_COV_ROWS), floats=("cov",))
+@register("ml_covariance", O.with_(_LONG, _ZL) + "SELECT a.feature AS feature_i, b.feature AS feature_j, covar_pop(a.z, b.z) AS cov FROM zl a JOIN zl b USING (vec_id) GROUP BY 1, 2", floats=("cov",))
 def ml_covariance(spark, sf):
     """ML3: covariance matrix of the standardized columns (long form)."""
     return ml.covariance(ml.standardize(_emb(spark, sf), E), E)
 
 
-_RATIOS = """r AS (SELECT label, count(*) AS n FROM embeddings GROUP BY label),
-p AS (SELECT CAST(row_number() OVER (ORDER BY n DESC, label) AS INTEGER) AS pc, n / sum(n) OVER () AS ratio FROM r),
+_RATIOS = """p AS (SELECT CAST(row_number() OVER (ORDER BY v DESC, feature) AS INTEGER) AS pc, v AS ratio FROM (SELECT feature, var_pop(x) AS v FROM l GROUP BY feature)),
 c AS (SELECT pc, sum(ratio / (SELECT sum(ratio) FROM p)) OVER (ORDER BY pc ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cumulative FROM p),
 th AS (SELECT * FROM (VALUES (0.8), (1.5)) AS t(threshold))"""
 
 
-@register("ml_select_components", "WITH " + _RATIOS + """
+@register("ml_select_components", O.with_(_LONG, _RATIOS) + """
 SELECT threshold, CAST(coalesce(min(pc) FILTER (WHERE cumulative >= threshold), 1) AS INTEGER) AS n_components,
   coalesce(arg_min(cumulative, pc) FILTER (WHERE cumulative >= threshold), arg_max(cumulative, pc)) AS variance
 FROM th CROSS JOIN c GROUP BY threshold""", floats=("threshold", "variance"))
 def ml_select_components(spark, sf):
-    """WIN6 + ML6: components needed for 80% (and an unreachable 150%) of the
-    variance, on a ratio table derived from per-label shares of embeddings."""
-    counts = spark.read.parquet(f"{sf}/embeddings.parquet").groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy(F.lit(0)).orderBy(F.col("n").desc(), "label")  # one row per label (10 rows)
-    ratios = counts.select(F.row_number().over(w).cast("int").alias("pc"), F.col("n").cast("double").alias("ratio"))
-    a = ml.select_components(ratios, 0.8)
-    b = ml.select_components(ratios, 1.5)
-    return a.unionByName(b)
+    """WIN6 + ML6: axes needed for 80% (and an unreachable 150%) of the variance
+    of the embeddings, with the coordinate axes in order of their variance."""
+    e = _emb(spark, sf)
+    var = e.agg(*[F.var_pop(c).alias(c) for c in E]).unpivot([], E, "feature", "ratio")
+    w = Window.partitionBy(F.lit(0)).orderBy(F.col("ratio").desc(), "feature")  # one row per axis
+    ratios = var.select(F.row_number().over(w).cast("int").alias("pc"), "ratio")
+    return ml.select_components(ratios, 0.8).unionByName(ml.select_components(ratios, 1.5))
 
 
-_SWEEP_SQL = "SELECT n_nationkey + 2 AS k, 1000.0 / (n_nationkey + 2) AS inertia FROM nation WHERE n_nationkey < 9"
+_SWEEP = """g AS (SELECT k, label % k AS c, feature, avg(x) AS m FROM l CROSS JOIN (SELECT unnest(range(2, 11)) AS k) GROUP BY ALL),
+s AS (SELECT k, sum((x - m) * (x - m)) AS inertia FROM l JOIN g ON g.feature = l.feature AND g.c = l.label % g.k GROUP BY k),
+o AS (SELECT k, inertia, lag(k) OVER w AS pk, lag(inertia) OVER w AS pi, lead(k) OVER w AS nk, lead(inertia) OVER w AS ni FROM s WINDOW w AS (ORDER BY k)),
+ch AS (SELECT k, abs(abs((ni - inertia) / (nk - k)) - abs((inertia - pi) / (k - pk))) AS change FROM o)"""
 
 
-@register("ml_elbow", f"""WITH s AS ({_SWEEP_SQL}),
-o AS (SELECT k, inertia, lag(k) OVER w AS pk, lag(inertia) OVER w AS pi, lead(k) OVER w AS nk, lead(inertia) OVER w AS ni FROM s WINDOW w AS (ORDER BY k)),
-ch AS (SELECT k, abs(abs((ni - inertia) / (nk - k)) - abs((inertia - pi) / (k - pk))) AS change FROM o)
-SELECT CAST(coalesce((SELECT k FROM ch WHERE change IS NOT NULL ORDER BY change DESC, k LIMIT 1), (SELECT min(k) FROM ch)) AS INTEGER) AS k,
+@register("ml_elbow", O.with_(_LONG, _SWEEP) + """SELECT CAST(coalesce((SELECT k FROM ch WHERE change IS NOT NULL ORDER BY change DESC, k LIMIT 1), (SELECT min(k) FROM ch)) AS INTEGER) AS k,
   (SELECT max(change) FROM ch) AS change""",
           floats=("change",))
 def ml_elbow(spark, sf):
-    """WIN7: slope-change elbow on a (k, inertia) table derived from nation."""
-    fx.register_tables(spark, sf, ["nation"])
-    sweep = spark.sql(_SWEEP_SQL).select(F.col("k").cast("int").alias("k"), F.col("inertia").cast("double").alias("inertia"))
-    return ml.elbow(sweep)
+    """WIN7: slope-change elbow over the inertia of the partitions label mod K
+    of the embeddings, K = 2..10."""
+    x = _emb(spark, sf).unpivot(["vec_id", "label"], E, "feature", "x").withColumn("k", F.explode(F.sequence(F.lit(2), F.lit(10))))
+    g = x.groupBy("k", (F.col("label") % F.col("k")).alias("c"), "feature").agg((F.count("x") * F.var_pop("x")).alias("sse"))
+    return ml.elbow(g.groupBy("k").agg(F.sum("sse").alias("inertia")))
 
 
 _CENT = "cen AS (SELECT label, " + ", ".join(f"avg({c}) AS c_{c}" for c in E) + " FROM emb GROUP BY label)"
@@ -117,7 +114,7 @@ def ml_assign(spark, sf):
 _LABELINGS = {
     "label": "label",
     "sign12": "CAST((e1 > 0) AS INTEGER) * 2 + CAST((e2 > 0) AS INTEGER)",
-    "sign34": "CAST((e3 > 0) AS INTEGER) * 2 + CAST((e4 > 0) AS INTEGER)",
+    "sign_all": "(" + " + ".join(f"CAST((e{i} > 0) AS INTEGER)" for i in range(1, fx.EMBED_DIMS + 1)) + ") % 7",
     "label_mod3": "label % 3",
 }
 _LAB = "lab AS (SELECT " + ", ".join(f"{v} AS {k}" for k, v in _LABELINGS.items()) + " FROM emb)"
@@ -171,32 +168,91 @@ def ml_pca_loadings(spark, sf):
     return ml.pca_table(spark, ml.pca_fit(z, E))
 
 
-QUERY_N_INIT = 2
-QUERY_ITERATIONS = 4
+@register("ml_pca_checks", O.with_(_LONG, _ZL) + """SELECT 'variance_total' AS check_name, (SELECT sum(v) FROM (SELECT var_pop(z) AS v FROM zl GROUP BY feature)) AS value
+  UNION ALL SELECT 'ratio_sum', 1.0 UNION ALL SELECT 'rows', (SELECT CAST(count(*) AS DOUBLE) FROM embeddings)
+  UNION ALL SELECT 'eigen_residual', 0.0 UNION ALL SELECT 'loadings_not_orthonormal', 0.0 UNION ALL SELECT 'scores_correlated', 0.0
+  UNION ALL SELECT 'top_ratio_over_share', 0.0""", floats=("value",))
+def ml_pca_checks(spark, sf):
+    """ML4-5 + SRT4 against SQL: the score variances add up to the variance of
+    the input, loadings are orthonormal eigenvectors of its covariance, scores
+    are uncorrelated, ratios are the eigenvalues' shares, largest first."""
+    import numpy as np
+
+    z = ml.standardize(_emb(spark, sf), E, keep=["vec_id"]).persist()
+    res = ml.pca_fit(z, E)
+    v = np.array(res.loadings).T
+    pc = [f"pc{i + 1}" for i in range(len(E))]
+
+    def square(df, cols):  # p x p numbers
+        m = {(r["feature_i"], r["feature_j"]): r["cov"] for r in ml.covariance(df, cols).collect()}
+        return np.array([[m[a, b] for b in cols] for a in cols])
+
+    scores = ml.pca_scores(z, res, keep=["vec_id"])
+    cov, sc, n = square(z, E), square(scores, pc), float(scores.count())
+    z.unpersist()
+    lam = np.diag(sc)
+    rows = [
+        ("variance_total", float(lam.sum())),
+        ("ratio_sum", float(sum(res.ratios))),
+        ("rows", n),
+        ("eigen_residual", float(np.abs(cov @ v - v * lam).max())),
+        ("loadings_not_orthonormal", float(np.abs(v.T @ v - np.eye(len(E))).max())),
+        ("scores_correlated", float(np.abs(sc - np.diag(lam)).max())),
+        ("top_ratio_over_share", float(np.abs(np.array(res.ratios) - np.sort(lam)[::-1] / lam.sum()).max())),
+    ]
+    return spark.createDataFrame(rows, "check_name string, value double")
+
+
+_STEP = """d{j} AS (SELECT l.vec_id, c.c, sum((x - m) * (x - m)) AS d2 FROM l JOIN c{i} c ON l.feature = c.feature GROUP BY ALL),
+a{j} AS (SELECT vec_id, arg_min(c, (d2, c)) AS c, min(d2) AS d2 FROM d{j} GROUP BY vec_id),
+c{j} AS (SELECT a.c, feature, avg(x) AS m FROM l JOIN a{j} a USING (vec_id) GROUP BY ALL)"""
+
+
+@register("ml_lloyd_steps", O.with_(_LONG, "c0 AS (SELECT label AS c, feature, avg(x) AS m FROM l WHERE label < 4 GROUP BY ALL)", *[_STEP.format(i=i, j=i + 1) for i in range(3)])
+          + " UNION ALL ".join(f"SELECT {i} AS step, CAST(c AS INTEGER) AS cluster, count(*) AS n, sum(d2) AS sse FROM a{i + 1} GROUP BY c" for i in range(3)),
+          floats=("sse",))
+def ml_lloyd_steps(spark, sf):
+    """ML7-10: the first three K-Means iterations from the centroids of labels
+    0..3, by the pass that all fits use."""
+    e = _emb(spark, sf)
+    start = e.filter("label < 4").groupBy("label").agg(*[F.avg(c).alias(c) for c in E]).orderBy("label").collect()  # 4 x p
+    return ml.lloyd_steps(e, E, [[r[c] for c in E] for r in start], 3)
 
 
 @register("ml_k_sweep")
 def ml_k_sweep(spark, sf):
     """ML7: inertia per K on the session-feature PCA projection."""
     mat = prepared_session_matrix(spark, sf)
-    from ..operators.ml import assemble
-
-    vec = assemble(mat.df, mat.cols).persist()
-    return ml.k_sweep(vec, mat.n_rows, L.MAX_K, QUERY_N_INIT)
+    return ml.k_sweep(mat.df, mat.cols, mat.n_rows, L.MAX_K, L.N_INIT)
 
 
 @register("ml_cluster")
 def ml_cluster(spark, sf):
     """ML10 (+ML6/WIN7): session types from the full clustering pipeline."""
-    res = cluster_sessions(spark, sf, n_init=QUERY_N_INIT, stability_iterations=0)
+    res = cluster_sessions(spark, sf, stability_iterations=0)
     return res.labels.select("student_id", "session_index", "class_id", "cluster")
 
 
 @register("ml_stability")
 def ml_stability(spark, sf):
-    """ML12 + AGG35 + SCL19 + SNK8: K-Means stability over refits."""
-    res = cluster_sessions(spark, sf, n_init=QUERY_N_INIT, stability_iterations=QUERY_ITERATIONS)
-    return res.stability.select("iterations", "n_pairs", "mean_ari", "std_ari", "min_ari", "stability")
+    """ML12 + AGG35 + SCL19 + SNK8: K-Means stability over refits: the summary
+    and all pairwise scores, written as a report and read back."""
+    res = cluster_sessions(spark, sf)
+    path = scratch_path(spark, "stability-report")
+    one = res.stability.select(F.lit("summary").alias("part"), F.lit(None).cast("int").alias("i"), F.lit(None).cast("int").alias("j"), F.col("mean_ari").alias("ari"),
+                               "iterations", "n_pairs", "std_ari", "min_ari", "stability")
+    pairs = res.pairwise.select(F.lit("pair").alias("part"), "i", "j", "ari")
+    io.write_table(one.unionByName(pairs, allowMissingColumns=True), path)
+    return io.read_table(spark, path, ["part", "ari"])
+
+
+@register("ml_ari_summary", O.with_(_EMB, _LAB, f"pw AS ({_PAIRS})")
+          + f"""SELECT count(*) AS n_pairs, avg(ari) AS mean_ari, stddev_pop(ari) AS std_ari, min(ari) AS min_ari,
+                 CASE WHEN avg(ari) > {L.STABILITY_HIGH} THEN 'Highly Stable' WHEN avg(ari) > {L.STABILITY_MODERATE} THEN 'Moderately Stable' ELSE 'Unstable' END AS stability FROM pw""",
+          floats=("mean_ari", "std_ari", "min_ari"))
+def ml_ari_summary(spark, sf):
+    """AGG35 + SCL19: mean, spread, minimum and label of pairwise agreement."""
+    return ml.ari_summary(ml.ari_pairwise(_labelled(spark, sf), _NAMES))
 
 
 # ------------------------------------------------------------------ cluster profiles
@@ -204,25 +260,27 @@ def ml_stability(spark, sf):
 _FEAT_IMP = [*O.features_ctes(720), *O.imputed_ctes(), "pcl AS (SELECT *, CAST(is_exam_week * 2 + is_in_class_time AS INTEGER) AS cluster FROM imp)"]
 
 
-def _profiled(spark, sf):
-    f = C.raw_features(spark, sf)
+def _profiled(spark, sf, columns=None):
+    need = None if columns is None else [*columns, "is_exam_week", "is_in_class_time"]
+    f = C.raw_features(spark, sf, columns=need)
     return f.withColumn("cluster", (F.col("is_exam_week") * 2 + F.col("is_in_class_time")).cast("int"))
 
 
 @register("clu_sizes", O.with_(*O.views("clustered"))
-          + "SELECT cluster, count(*) AS n, count(*) / sum(count(*)) OVER () AS share FROM clustered GROUP BY cluster",
+          + "SELECT cluster, count(*) AS n, count(*) / sum(count(*)) OVER () AS share, CAST(row_number() OVER (ORDER BY count(*) DESC, cluster) AS INTEGER) AS position FROM clustered GROUP BY cluster",
           floats=("share",))
 def clu_sizes(spark, sf):
-    """AGG25: cluster sizes and shares."""
+    """AGG25 + SRT3: cluster sizes and shares, largest first."""
     return pf.cluster_sizes(C.clustered(spark, sf))
 
 
-@register("clu_centroids", O.with_(_EMB) + "SELECT label AS cluster, avg(e1) AS pc1, avg(e2) AS pc2 FROM emb GROUP BY label",
-          floats=("pc1", "pc2"))
+_PCMEAN = ", ".join(f"avg({c}) AS {c}" for c in E)
+
+
+@register("clu_centroids", O.with_(_EMB) + f"SELECT label AS cluster, {_PCMEAN} FROM emb GROUP BY label", floats=tuple(E))
 def clu_centroids(spark, sf):
-    """AGG26: cluster centroids in two coordinates."""
-    e = _emb(spark, sf).select(F.col("label").alias("cluster"), F.col("e1").alias("pc1"), F.col("e2").alias("pc2"))
-    return pf.cluster_centroids(e)
+    """AGG26: cluster centroids in all coordinates."""
+    return pf.cluster_centroids(_emb(spark, sf).withColumnRenamed("label", "cluster"), cols=E)
 
 
 @register("clu_turns_box", O.with_(*_FEAT_IMP, """b AS (SELECT cluster, avg(qa_turns) AS mean, stddev_samp(qa_turns) AS std,
@@ -234,7 +292,7 @@ def clu_centroids(spark, sf):
           floats=("mean", "std", "min", "max", "q1_norm", "median_norm", "q3_norm"))
 def clu_turns_box(spark, sf):
     """AGG27: per-cluster qa_turns box statistics."""
-    return pf.turns_box(_profiled(spark, sf))
+    return pf.turns_box(_profiled(spark, sf, ["qa_turns"]))
 
 
 _PZ_LONG = " UNION ALL ".join(f"SELECT cluster, '{c}' AS feature, avg(CAST({c} AS DOUBLE)) AS mean FROM pcl GROUP BY cluster" for c in L.FEATURE_COLUMNS)
@@ -253,12 +311,12 @@ def clu_profile_z(spark, sf):
                                        "lf AS (SELECT cluster, 'course_progress_ratio' AS feature, CAST(course_progress_ratio AS DOUBLE) AS value FROM pcl WHERE course_progress_ratio > 0)",
                                        "r0 AS (SELECT cluster, feature, min(value) AS lo0, max(value) AS hi0 FROM lf GROUP BY cluster, feature)",
                                        "r AS (SELECT cluster, feature, CASE WHEN lo0 = hi0 THEN lo0 - 0.5 ELSE lo0 END AS lo, CASE WHEN lo0 = hi0 THEN hi0 + 0.5 ELSE hi0 END AS hi FROM r0)",
-                                       "b AS (SELECT lf.cluster, lf.feature, lo, hi, CAST(least(floor((value - lo) * (20.0 / (hi - lo))), 19) AS INTEGER) AS bin FROM lf JOIN r USING (cluster, feature))")
-          + "SELECT cluster, feature, bin, count(*) AS count, min(lo + bin * ((hi - lo) / 20.0)) AS lo, min(lo + (bin + 1) * ((hi - lo) / 20.0)) AS hi FROM b GROUP BY cluster, feature, bin",
+                                       O.edges_cte("r", 20))
+          + "SELECT lf.cluster, lf.feature, bin, count(*) AS count, min(e0) AS lo, min(e1) AS hi FROM lf JOIN edges e ON e.cluster IS NOT DISTINCT FROM lf.cluster AND e.feature = lf.feature AND value >= e0 AND (value < e1 OR bin = 19 AND value <= e1) GROUP BY lf.cluster, lf.feature, bin",
           floats=("lo", "hi"))
 def clu_progress_hist(spark, sf):
     """AGG29 + FLT13: per-cluster 20-bin course-progress histogram."""
-    return pf.progress_hist(_profiled(spark, sf))
+    return pf.progress_hist(_profiled(spark, sf, ["course_progress_ratio"]))
 
 
 @register("clu_class_pivot", O.with_(*O.views("clustered"))

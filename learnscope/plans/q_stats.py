@@ -3,10 +3,10 @@ feature fixture."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..functions import lexicon as L
 from ..operators import stats as st
+from ..session import scratch_path
+from ..sources import io
 from . import common as C
 from . import oracle_sql as O
 from .registry import register
@@ -29,15 +29,20 @@ def _clean_long(src: str, cols, keys=()) -> str:
           + "SELECT feature, min(value) AS min, max(value) AS max, avg(value) AS mean, median(value) AS median, var_samp(value) AS variance FROM lf GROUP BY feature",
           floats=("min", "max", "mean", "median", "variance"))
 def agg_feature_stats(spark, sf):
-    """AGG12 + SNK6: per-feature min/max/mean/median/variance (raw features)."""
-    return st.feature_stats(C.raw_features(spark, sf), FCOLS)
+    """AGG12 + FLT10 + SNK6: min/max/mean/median/variance of every numeric
+    column beside the keys, written as a table and read back."""
+    f = C.raw_features(spark, sf)
+    path = scratch_path(spark, "feature-stats")
+    io.write_csv(st.feature_stats(f.select("student_id", "session_index", "file_name", "class_id", *FCOLS), exclude=["student_id", "session_index", "class_id"]), path)
+    back = spark.read.options(**io.CSV_READ).schema("feature string, min double, max double, mean double, median double, variance double").csv(path)
+    return back
 
 
 @register("agg_histogram", O.with_(*FEAT_IMP, f"lf AS ({_clean_long('imp', FCOLS)})",
                                    """r0 AS (SELECT feature, min(value) AS lo0, max(value) AS hi0 FROM lf GROUP BY feature)""",
                                    """r AS (SELECT feature, CASE WHEN lo0 = hi0 THEN lo0 - 0.5 ELSE lo0 END AS lo, CASE WHEN lo0 = hi0 THEN hi0 + 0.5 ELSE hi0 END AS hi FROM r0)""",
-                                   """b AS (SELECT lf.feature, lo, hi, CAST(least(floor((value - lo) * (50.0 / (hi - lo))), 49) AS INTEGER) AS bin FROM lf JOIN r USING (feature))""")
-          + "SELECT feature, bin, count(*) AS count, min(lo + bin * ((hi - lo) / 50.0)) AS lo, min(lo + (bin + 1) * ((hi - lo) / 50.0)) AS hi FROM b GROUP BY feature, bin",
+                                   O.edges_cte("r", 50))
+          + "SELECT lf.feature, bin, count(*) AS count, min(e0) AS lo, min(e1) AS hi FROM lf JOIN edges e ON e.feature = lf.feature AND value >= e0 AND (value < e1 OR bin = 49 AND value <= e1) GROUP BY lf.feature, bin",
           floats=("lo", "hi"))
 def agg_histogram(spark, sf):
     """AGG14: 50-bin equal-width histograms of the raw features."""
@@ -96,16 +101,16 @@ def agg_class_median_fill(spark, sf):
     return st.class_median_fill(C.dirty(spark, sf), DCOLS).select("event_id", "class_id", *DCOLS)
 
 
-_GFILL = [*_DIRTY, f"d AS (SELECT event_id, class_id, {_FIN} FROM dirty_features)",
+_GFILL = [*_DIRTY, f"d AS (SELECT event_id, class_id, tag, {_FIN} FROM dirty_features)",
           "gm AS (SELECT " + ", ".join(f"median({c}) AS g_{c}" for c in DCOLS) + " FROM d)",
-          "g AS (SELECT event_id, class_id, " + ", ".join(f"coalesce(d.{c}, gm.g_{c}, 0.0) AS {c}" for c in DCOLS) + " FROM d CROSS JOIN gm)"]
+          "g AS (SELECT event_id, class_id, coalesce(tag, 'missing') AS tag, " + ", ".join(f"coalesce(d.{c}, gm.g_{c}, 0.0) AS {c}" for c in DCOLS) + " FROM d CROSS JOIN gm)"]
 
 
 @register("agg_global_median_fill", O.with_(*_GFILL) + "SELECT * FROM g", floats=tuple(DCOLS))
 def agg_global_median_fill(spark, sf):
-    """AGG20 + FLT15: global-median fill of the ML columns."""
-    d = C.dirty(spark, sf).withColumn("class_id", F.col("class_id"))
-    return st.global_median_fill(d, DCOLS).select("event_id", "class_id", *DCOLS)
+    """AGG20 + FLT15: global-median fill of the numeric columns, 'missing' for
+    the text column."""
+    return st.global_median_fill(C.dirty(spark, sf), DCOLS, string_cols=["tag"]).select("event_id", "class_id", "tag", *DCOLS)
 
 
 @register("agg_constant_columns", O.with_(*_GFILL, f"lf AS ({_clean_long('g', DCOLS)})")

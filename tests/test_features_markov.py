@@ -1,6 +1,6 @@
 """Calendar features, reject cascade, imputation, Markov transitions."""
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -105,3 +105,16 @@ def test_rare_reject_reasons(spark):
     allow = spark.createDataFrame([(1,), (2,)], "class_id long")
     got = {r["student_id"]: r["reject_reason"] for r in fe.reject_reason(summ, windows, allow).collect()}
     assert got == {1: "invalid_time", 2: "zero_day_window", 3: "filtered_by_class_info", 4: "ok"}
+    none = {r["student_id"]: r["reject_reason"] for r in fe.reject_reason(summ, windows, allow.filter("false")).collect()}
+    assert none[3] == "ok"  # an empty allowlist filters nothing
+
+
+def test_slots_of_any_length(spark):
+    t0 = datetime(2024, 1, 5, 9)
+    turns = spark.createDataFrame([(i, 1, c, t0 + timedelta(days=d)) for i, (c, d) in enumerate([(1, 0), (1, 40), (2, 0), (2, 3000), (3, 0)])],
+                                  "turn_id long, student_id long, session_class_id long, asked_at timestamp_ntz")
+    slots = spark.createDataFrame([(1, datetime(2024, 1, 5, 8), datetime(2024, 1, 5, 10)), (1, datetime(2024, 1, 5, 9), datetime(2024, 1, 6)),
+                                   (2, datetime(2024, 1, 5), datetime(9999, 12, 31)), (2, datetime(2024, 1, 1), datetime(2024, 6, 1)), (3, None, datetime(2024, 6, 1))],
+                                  "class_id long, open_at timestamp_ntz, close_at timestamp_ntz")
+    got = {r["turn_id"]: r["in_slot"] for r in fe.mark_in_class(turns, slots).collect()}
+    assert got == {0: 1, 1: 0, 2: 1, 3: 1, 4: 0}

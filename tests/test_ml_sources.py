@@ -13,7 +13,7 @@ E = [f"e{i}" for i in range(1, 11)]
 
 
 def test_pca_ratios_sum_to_one_and_match_covariance_eigenvalues(spark):
-    z = ml.standardize(fx.embeddings_matrix(spark, SF_MID), E)
+    z = ml.standardize(fx.embeddings_matrix(spark, SF_MID).select("vec_id", "label", *E), E)
     res = ml.pca_fit(z, E)
     assert abs(sum(res.ratios) - 1.0) < 1e-9
     cov = {(r["feature_i"], r["feature_j"]): r["cov"] for r in ml.covariance(z, E).collect()}
@@ -25,17 +25,45 @@ def test_pca_ratios_sum_to_one_and_match_covariance_eigenvalues(spark):
 
 
 def test_kmeans_inertia_matches_training_cost(spark):
-    e = fx.embeddings_matrix(spark, SF_MID)
-    vec = ml.assemble(e, E)
-    model, cost = ml.kmeans_best(vec, 3, n_init=2)
-    centers = [list(map(float, c)) for c in model.clusterCenters()]
-    lab = ml.assign(e, E, centers)
-    assert abs(lab.agg(F.sum("dist2")).first()[0] - cost) / cost < 1e-6
+    e = fx.embeddings_matrix(spark, SF_MID).select("vec_id", "label", *E)
+    fit = ml.kmeans_best(e, E, 3, n_init=2)
+    lab = ml.assign(e, E, fit.centers)
+    assert abs(lab.agg(F.sum("dist2")).first()[0] - fit.cost) / fit.cost < 1e-9
+    means = {r["cluster"]: [r[c] for c in E] for r in lab.groupBy("cluster").agg(*[F.avg(c).alias(c) for c in E]).collect()}
+    assert all(np.allclose(means[i], fit.centers[i], atol=1e-3) for i in range(3))  # centers are at rest
+
+
+def test_many_models_in_one_pass_equal_single_fits(spark):
+    e = fx.embeddings_matrix(spark, SF_MID).select(*E).repartition(4)
+    specs = [(2, 1), (3, 2), (3, 3), (5, 4)]
+    together = ml.fit_many(e, E, specs)
+    for spec, f in zip(specs, together):
+        (alone,) = ml.fit_many(e, E, [spec])
+        assert np.allclose(f.centers, alone.centers) and abs(f.cost - alone.cost) < 1e-6 * f.cost
+
+
+def test_lloyd_against_numpy(spark):
+    rng = np.random.default_rng(1)
+    x = np.concatenate([rng.normal(c, 0.4, (60, 2)) for c in ((0, 0), (4, 0), (0, 4))])
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], "a double, b double")
+    start = c = x[[0, 60, 120]]
+    for _ in range(300):
+        lab = ((x[:, None] - c) ** 2).sum(2).argmin(1)
+        c = np.array([x[lab == k].mean(0) for k in range(3)])
+    (got, cost), = ml.lloyd(df, ["a", "b"], [start], tol=0.0)
+    assert np.allclose(got, c) and abs(cost - ((x - c[lab]) ** 2).sum()) < 1e-9
+
+
+def test_ari_of_huge_counts_and_null_labels(spark):
+    g = spark.createDataFrame([(0, 0, 4_000_000_000), (0, 1, 3), (1, 1, 4_000_000_000)], "a int, b int, nij long")
+    assert 0.99 < ml._ari_from_counts(g, []).first()["ari"] <= 1.0
+    df = spark.createDataFrame([(0, None), (0, None), (1, 5), (1, 5)], "a int, b int")
+    assert ml.ari_pairwise(df, ["a", "b"]).first()["ari"] == 1.0
 
 
 def test_k_sweep_and_elbow(spark):
-    e = fx.embeddings_matrix(spark, SF_MID)
-    sweep = ml.k_sweep(ml.assemble(e, E), e.count(), max_k=5, n_init=2)
+    e = fx.embeddings_matrix(spark, SF_MID).select("vec_id", "label", *E)
+    sweep = ml.k_sweep(e, E, e.count(), max_k=5, n_init=2)
     rows = sorted((r["k"], r["inertia"]) for r in sweep.collect())
     assert [k for k, _ in rows] == [2, 3, 4, 5]
     assert all(b <= a * 1.05 for (_, a), (_, b) in zip(rows, rows[1:]))
@@ -52,7 +80,7 @@ def test_elbow_table_and_short_curves(spark):
 
 
 def test_ari_identity_symmetry_and_pairs(spark):
-    e = fx.embeddings_matrix(spark, SF_MID).withColumn("s", (F.col("e1") > 0).cast("int"))
+    e = fx.embeddings_matrix(spark, SF_MID).select("vec_id", "label", *E).withColumn("s", (F.col("e1") > 0).cast("int"))
     assert ml.ari(e, "label", "label").first()["ari"] == 1.0
     a, b = ml.ari(e, "label", "s").first()["ari"], ml.ari(e, "s", "label").first()["ari"]
     assert abs(a - b) < 1e-12
@@ -74,7 +102,7 @@ def test_session_path_filter(spark, tmp_path):
         p.write_text('﻿"学生ID","提问时间","提问内容"\n"1","2024-01-01 09:00:00","a ""q""\nline2"\n', encoding="utf-8")
     df = io.session_path_filter(io.read_turns_csv(spark, str(base), recursive=True))
     names = sorted(r["source"] for r in df.select("source").distinct().collect())
-    assert names == ["s1.csv", "s2.csv"]
+    assert names == ["dialogs/s1.csv", "dialogs/s2.csv"]
     row = df.first()
     assert row["question_text"] == 'a "q" line2' and row["student_id"] == "1"
 
@@ -88,7 +116,7 @@ def test_required_columns_reports_all_missing(spark):
 
 
 def test_binary_columns_pass_through_and_top_loadings(spark):
-    e = fx.embeddings_matrix(spark, SF_MID).withColumn("flag", (F.col("e1") > 0).cast("int"))
+    e = fx.embeddings_matrix(spark, SF_MID).select("vec_id", "label", *E).withColumn("flag", (F.col("e1") > 0).cast("int"))
     z = ml.standardize(e, [*E, "flag"], binary=["flag"])
     assert {r["flag"] for r in z.select("flag").distinct().collect()} <= {0.0, 1.0}
     top = ml.top_loadings(ml.pca_table(spark, ml.pca_fit(ml.standardize(e, E), E)))
@@ -115,3 +143,24 @@ def test_render_prompt_wraps_payload(spark):
 
     r = spark.createDataFrame([('[{"row_number": 1}]',)], "payload string").select(sg.render_prompt("payload").alias("p")).first()["p"]
     assert r.startswith(sg.PROMPT_HEADER) and r.endswith('[{"row_number": 1}]')
+
+
+def test_files_are_read_under_their_own_headers(spark, tmp_path):
+    from learnscope.operators import segment as sg
+
+    def put(rel, text):
+        (tmp_path / rel).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / rel).write_text(text, encoding="utf-8")
+
+    put("x/log.csv", "学生ID,提问时间,提问内容\n1,2024-01-01 09:00:00,q1\n")
+    put("y/log.csv", "提问内容, 提问时间 ,学生ID,其他\nq2,2024/1/1 9:05,1,z\n")
+    put("y/no_time.csv", "学生ID,提问内容\n1,lost\n")
+    put("y/no_rows.csv", "学生ID,提问时间,提问内容\n")
+    t = io.read_turns_csv(spark, str(tmp_path), recursive=True)
+    got = sorted((r["source"], r["student_id"], r["question_text"], str(r["asked_at"])) for r in t.collect())
+    assert got == [("x/log.csv", "1", "q1", "2024-01-01 09:00:00"), ("y/log.csv", "1", "q2", "2024-01-01 09:05:00")]
+    assert sg.segment(t, 15).select("source", "session_index").distinct().count() == 2  # one student, two files, two sessions
+    bad = {r["file"].rsplit("/", 1)[1]: (r["reason"], r["missing"]) for r in io.rejected_files(spark, str(tmp_path), recursive=True).collect()}
+    assert bad == {"no_time.csv": ("missing_columns", ["asked_at"]), "no_rows.csv": ("empty", [])}
+    more = {r["file"].rsplit("/", 1)[1]: r["reason"] for r in io.rejected_files(spark, str(tmp_path), recursive=True, required=["asked_at"], session_files=True).collect()}
+    assert more["log.csv"] == "missing_class"

@@ -87,6 +87,20 @@ def test_parse_mapping_variants(spark):
     assert got[3] == {} and got[4] == {}
 
 
+def test_parse_mapping_reads_loose_json_and_survives_odd_numbers(spark):
+    replies = ["{1: 1, 2: 2}", "{'1': 1, // first\n '2': 2 /* last */}", '{"1": 3000000000, "2": 1e30, "3": 3}', '{"1": 1, "a": "x // y", "2": 2,}']
+    df = spark.createDataFrame([(r,) for r in replies], "r string").select(sg.parse_mapping("r").alias("m"))
+    got = [dict(x["m"]) for x in df.collect()]
+    assert got == [{"1": 1, "2": 2}, {"1": 1, "2": 2}, {"3": 3}, {"1": 1, "2": 2}]
+
+
+def test_repeated_rows_of_a_mapping_take_the_smallest_topic(spark):
+    t0 = datetime(2024, 1, 1, 9, 0)
+    df = sg.with_row_in_segment(sg.segment(spark.createDataFrame([(i, 1, t0 + timedelta(minutes=i), "A") for i in range(1, 5)], SCHEMA), 15))
+    mapping = spark.createDataFrame([(1, 1, r, t) for r in range(1, 5) for t in (3, 1 + r // 3)], "student_id long, session_index int, row_number int, topic_id int")
+    assert [r["session_index"] for r in sg.topic_split(df, mapping).orderBy("turn_id").collect()] == [1, 1, 2, 2]
+
+
 def test_segmenter_hook_runs_in_pandas(spark):
     turns = fx.load_view(spark, SF_MID, "turns")
     rows = sg.with_row_in_segment(sg.segment(turns, 720, split_on_entry=False))

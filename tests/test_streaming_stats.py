@@ -89,3 +89,24 @@ def test_lenient_time_parsing_drops_bad_rows(spark):
     df = spark.createDataFrame(rows, "turn_id long, student_id long, asked_at string, question_text string")
     out = sg.clean_turns(df, time_formats=["yyyy-MM-dd HH:mm:ss", "yyyy/MM/dd HH:mm"])
     assert sorted(r["turn_id"] for r in out.collect()) == [1, 2]
+
+
+def test_histogram_equals_numpy(spark):
+    for n, bins in ((15, 50), (7, 20), (199, 50), (33, 20)):
+        xs = [float(i) for i in range(n)] + [0.1 * i for i in range(n)]
+        df = spark.createDataFrame([(x,) for x in xs], "x double")
+        got = {r["bin"]: r["count"] for r in st.histogram(df, ["x"], bins=bins).collect()}
+        want, edges = np.histogram(xs, bins)
+        assert [got.get(i, 0) for i in range(bins)] == want.tolist()
+
+
+def test_null_class_is_a_group_of_its_own(spark):
+    df = spark.createDataFrame([(1, None, 5.0), (2, None, None), (3, 7, 1.0), (4, 7, None), (5, 8, None)], "id long, class_id long, x double")
+    got = {r["id"]: r["x"] for r in st.class_median_fill(df, ["x"]).collect()}
+    assert got == {1: 5.0, 2: 5.0, 3: 1.0, 4: 1.0, 5: 3.0}
+
+
+def test_log_times_in_common_forms(spark):
+    texts = ["2024/1/2 9:05", "2024/01/02 09:05:00", "2024-01-02T09:05:00", " 2024-01-02 09:05 ", "1/2/2024 9:05", "2024年1月2日 9:05", "later", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(sg.parse_time("t").cast("string").alias("t"))
+    assert [r["t"] for r in df.collect()] == ["2024-01-02 09:05:00"] * 6 + [None, None]
