@@ -152,7 +152,8 @@ def drop_recurring(docs: DataFrame, key: str = "doc_id", text: str = "text", cou
     _, drops = recurring(docs, key, text)
     doc, drop, lines = fresh(docs, "_doc", "_drop", "_lines")
     drops = materialize(drops.select(F.col("doc").alias(doc), F.col("numbers").alias(drop)), "line-drops")
-    out = docs.join(drops, F.col(key).cast("long") == F.col(doc), "left").drop(doc)
+    # the numbers are the small side of each partition, whatever their total; texts are not sorted
+    out = docs.join(drops.hint("shuffle_hash"), F.col(key).cast("long") == F.col(doc), "left").drop(doc)
     out = out.withColumn(lines, F.split(F.col(text), "\n", -1))
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(drop))
     new = F.array_join(F.transform(kept, lambda i: F.get(F.col(lines), i)), "\n")

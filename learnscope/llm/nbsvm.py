@@ -95,9 +95,10 @@ def dual_descent(rows: list[np.ndarray], values: list[np.ndarray], y: np.ndarray
     return w
 
 
-def fit(labelled: DataFrame, text: str = "text", label: str = "label", key: str = "doc_id", max_rows: int = MAX_ROWS, c: float = 5.0) -> np.ndarray | None:
-    """Weights from a labelled table, or None without both classes. The sample
-    is the ``max_rows`` rows with the smallest hash of their key."""
+def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "label", key: str = "doc_id", max_rows: int = MAX_ROWS, c: float = 5.0) -> np.ndarray | None:
+    """Weights from the labelled rows of ``docs``, or None without both classes.
+    The sample is the ``max_rows`` labelled keys with the smallest hash; it is
+    chosen among keys alone, so no text moves but the sampled ones."""
 
     def run(batches):
         for b in batches:
@@ -108,11 +109,14 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "label", key: str
                 part = b.slice(rows.start, rows.stop - rows.start)
                 yield pa.record_batch([part.column(0), part.column(1), pa.array(out, pa.binary())], names=["h", "y", "x"])
 
-    rows = labelled.filter(F.col(label).isNotNull()).select(
-        F.xxhash64(F.col(key).cast("string")).alias("h"), F.col(label).cast("int").alias("y"), text_or_empty(text).alias("text")
-    )
+    have = docs.select(F.col(key).alias("_k")).distinct()
+    known = labels.filter(F.col(label).isNotNull()).select(F.col(key).alias("_k"), F.col(label).cast("int").alias("y"))
+    some = known.join(have, "_k", "left_semi").withColumn("h", F.xxhash64(F.col("_k").cast("string"))).orderBy("h", "_k").limit(max_rows)
+    texts = docs.select(F.col(key).alias("_d"), text_or_empty(text).alias("text"))
+    # at most max_rows rows of three numbers
+    rows = texts.join(F.broadcast(some), F.col("_d") == F.col("_k")).select("h", "y", "text")
     got, total = [], 0
-    for r in rows.orderBy("h", "text").limit(max_rows).mapInArrow(run, "h long, y int, x binary").toLocalIterator():
+    for r in rows.mapInArrow(run, "h long, y int, x binary").orderBy("h", "x").toLocalIterator():
         x = np.frombuffer(r["x"], np.int32)
         if total + len(x) > MAX_FEATURES:
             break

@@ -33,7 +33,7 @@ def held_out(key: str = "doc_id"):
 def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str):
     """The classifier fitted on the rows that are not held out."""
     labels = nbsvm.one_label(read(spark, sf_dir, "labels").filter(~held_out()))
-    return nbsvm.fit(docs.select("doc_id", "text").join(labels, "doc_id"))
+    return nbsvm.fit(docs, labels)
 
 
 @query

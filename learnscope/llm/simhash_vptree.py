@@ -279,7 +279,7 @@ def keep_first(docs: DataFrame, shingle: int = 3, radius: int = 2, text: str = "
     named = materialize(named, "simhash-classes")
     kept, fp = fresh(docs, "_kept", "_fp")
     first = named.filter(F.col("component_id").isNotNull()).select(F.col("component_id").alias(kept)).distinct()
-    own = docs.join(first, F.col(key) == F.col(kept), "left_semi").dropDuplicates([key])
+    own = docs.join(first.hint("shuffle_hash"), F.col(key) == F.col(kept), "left_semi").dropDuplicates([key])
     nameless = with_computed(docs.filter(F.col(key).isNull()), text_or_empty(text), lambda b: pa.array(batch_fingerprints(b, shingle).view(np.int64)), T.LongType(), fp)
     (node,) = fresh(nameless, "_node")
     alone = named.filter(F.col("component_id").isNull()).select(F.col("fp").alias(node), F.col("root").alias(kept))

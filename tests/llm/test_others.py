@@ -29,10 +29,10 @@ def test_held_out_accuracy(spark):
 def test_classifier_odd_rows(make, odd):
     docs = make(odd, clash=True)
     labels = docs.select("doc_id", F.lit(1).alias("quality")).filter("doc_id > 4")
-    one_class = nbsvm.fit(docs.select("doc_id", "text").join(nbsvm.one_label(labels), "doc_id"))
+    one_class = nbsvm.fit(docs, nbsvm.one_label(labels))
     assert one_class is None
     assert {r["score"] for r in nbsvm.score(docs, None).collect()} == {0.5}
-    both = nbsvm.fit(docs.filter("doc_id > 3").select("doc_id", "text", (F.col("doc_id") % 2).alias("label")))
+    both = nbsvm.fit(docs, docs.filter("doc_id > 3").select("doc_id", (F.col("doc_id") % 2).alias("label")).distinct())
     got = nbsvm.score(docs, both).collect()
     assert len(got) == len(odd) and all(0 <= r["score"] <= 1 for r in got)
     assert len({r["score"] for r in got if r["doc_id"] in (1, 2)}) == 1  # null and empty: the bias alone
