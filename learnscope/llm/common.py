@@ -101,7 +101,7 @@ def shuffle_partitions(df: DataFrame, least: int = 1) -> int:
 
 # ---- Arrow text to numpy -------------------------------------------------
 
-SLAB_BYTES = 2 << 20  # texts are worked through in slabs of about this size
+SLAB_BYTES = 1 << 20  # texts are worked through in slabs of about this size
 
 _WS = np.zeros(256, bool)
 _WS[[0x20, *range(0x09, 0x0E)]] = True
