@@ -186,8 +186,7 @@ def render_prompt(payload: Column | str, header: str = PROMPT_HEADER) -> Column:
 
 # Rewrites that turn the looser JSON of model replies into strict JSON, in order.
 LOOSE_JSON = [
-    (r"(?s)/\*.*?\*/", ""),  # block comments
-    (r"(?m)(^|[\s,{}\[\]])//[^\n]*", "$1"),  # line comments, not the // of an address
+    (r"""("(?:[^"\\]|\\.)*"|'(?:[^'\\]|\\.)*')|//[^\n]*|/\*[\s\S]*?\*/""", "$1"),  # comments, not those inside strings
     (r"'([^'\"\n]*)'", "\"$1\""),  # single quotes
     (r"([{,]\s*)([A-Za-z_$0-9][\w$]*)\s*:", "$1\"$2\":"),  # bare keys
     (r",\s*([}\]])", "$1"),  # trailing commas
