@@ -178,6 +178,7 @@ def select_components(ratios: DataFrame, threshold: float = L.VARIANCE_THRESHOLD
 
 
 CHUNK = 1 << 21  # distances held at a time
+ROWS_PER_TASK = 50_000  # in the passes of a fit, at least
 INIT_SAMPLE = 5_000  # rows that starting centers are drawn from, at most
 
 
@@ -216,10 +217,10 @@ def _starts(sample: np.ndarray, k: int, seed: int) -> np.ndarray:
     return np.array(centers)
 
 
-def lloyd_pass(df: DataFrame, cols: Sequence[str], centers: Sequence[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def lloyd_pass(df: DataFrame, cols: Sequence[str], centers: Sequence[np.ndarray], cost: bool = True) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """One pass for many models: per model the rows of each cluster (k), their
-    sums (k x p) and squared distances (k). Each task returns one row per model
-    and cluster, and so does the job, whatever the data."""
+    sums (k x p) and, with ``cost``, squared distances (k). Each task returns one
+    row per model and cluster, and so does the job, whatever the data."""
     cols, p = list(cols), len(cols)
     groups: dict[int, list[int]] = {}
     for m, c in enumerate(centers):
@@ -240,10 +241,11 @@ def lloyd_pass(df: DataFrame, cols: Sequence[str], centers: Sequence[np.ndarray]
                 for i in range(0, len(full), step):
                     x = full[i: i + step]
                     label = (cc - 2 * (x @ every.T)).reshape(len(x), len(models), k).argmin(axis=2) + at
-                    d = ((x[:, None, :] - every[label]) ** 2).sum(axis=2).ravel()
                     flat = label.ravel()
                     size = len(every)
-                    nn, ee = np.bincount(flat, minlength=size), np.bincount(flat, d, size)
+                    nn, ee = np.bincount(flat, minlength=size), np.zeros(size)
+                    if cost:
+                        ee = np.bincount(flat, ((x[:, None, :] - every[label]) ** 2).sum(axis=2).ravel(), size)
                     ss = np.column_stack([np.bincount(flat, np.repeat(x[:, j], len(models)), size) for j in range(p)])
                     for q, m in enumerate(models):
                         a, z = q * k, (q + 1) * k
@@ -271,17 +273,20 @@ def _moved(centers: np.ndarray, n: np.ndarray, s: np.ndarray) -> np.ndarray:
 
 
 def lloyd(df: DataFrame, cols: Sequence[str], starts: Sequence[np.ndarray], max_iter: int = 300, tol: float = 1e-4) -> list[tuple[np.ndarray, float]]:
-    """Final centers and cost of every model. A model is done when none of its
-    centers moves by more than ``tol``; passes serve the models still moving."""
+    """Final centers and cost of every model. A model is done when the squared
+    moves of its centers add up to no more than ``tol`` times the mean variance
+    of the columns; passes serve the models still moving."""
     centers = [np.asarray(c, float) for c in starts]
     moving = list(range(len(centers)))
+    var = df.agg(*[F.var_pop(c).alias(c) for c in cols]).first()
+    enough = tol * float(np.mean([v or 0.0 for v in var]))
     for _ in range(max_iter):
         if not moving:
             break
         still = []
-        for m, (n, s, _) in zip(moving, lloyd_pass(df, cols, [centers[m] for m in moving])):
+        for m, (n, s, _) in zip(moving, lloyd_pass(df, cols, [centers[m] for m in moving], cost=False)):
             new = _moved(centers[m], n, s)
-            if np.sqrt(((new - centers[m]) ** 2).sum(axis=1)).max() > tol:
+            if ((new - centers[m]) ** 2).sum() > enough:
                 still.append(m)
             centers[m] = new
         moving = still
@@ -304,12 +309,13 @@ def fit_many(df: DataFrame, cols: Sequence[str], specs: Sequence[tuple[int, int]
     come from ``df``; only starting centers are drawn from a bounded sample."""
     rows = df.select(*cols)
     n = rows.count()
+    rows = rows.coalesce(max(1, -(-n // ROWS_PER_TASK)))  # many short passes: no tasks of a few rows
     some = rows if n <= INIT_SAMPLE else rows.sample(min(1.0, 1.2 * INIT_SAMPLE / n), 42).limit(INIT_SAMPLE)
     sample = np.array(sorted(tuple(r) for r in some.collect()), float).reshape(-1, len(cols))
     if not len(sample):
         raise ValueError("no rows to cluster")
     starts = [_starts(sample, k, seed) for k, seed in specs]
-    return [Fit(k, seed, c, cost) for (k, seed), (c, cost) in zip(specs, lloyd(df, cols, starts, max_iter, tol))]
+    return [Fit(k, seed, c, cost) for (k, seed), (c, cost) in zip(specs, lloyd(rows, cols, starts, max_iter, tol))]
 
 
 def kmeans_best(df: DataFrame, cols: Sequence[str], k: int, n_init: int = L.N_INIT, seed: int = L.RANDOM_STATE, max_iter: int = 300) -> Fit:

