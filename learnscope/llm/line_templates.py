@@ -12,7 +12,8 @@ every document but the one with the smallest key.
 Work: one pass over the texts counts leaves (summed in the task first), a
 bitmap of fixed size marks leaves found in enough documents, and a second pass
 emits only lines of marked leaves. Everything that is shuffled by line or leaf is
-a count, a hash, or a marked line; frequent lines are collapsed per batch. The
+a count, a hash, or a marked line; frequent lines are collapsed per piece of a
+batch. The
 texts themselves move once, to meet the numbers of the lines to drop.
 
 Defined cases: a null text has no lines and stays null; an empty text is one
@@ -60,11 +61,19 @@ def lines_of(text: bytes):
             yield i, tokens
 
 
+def pieces(batches, rows: int = 2000):
+    """Arrow batches in pieces of a few rows, so that a task holds the lines of
+    a few documents at a time."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
 def marked_leaves(rows: DataFrame) -> np.ndarray:
     """Bitmap of the leaves that lines of MIN_DOCS or more rows lead to."""
 
     def count(batches):
-        for b in batches:
+        for b in pieces(batches):
             n: dict[int, int] = {}
             for t in b.column(1).cast(pa.binary()):
                 for x in {leaf_of(tokens) for _, tokens in lines_of(t.as_py())}:
@@ -87,7 +96,7 @@ def occurrences(rows: DataFrame, bitmap: np.ndarray) -> DataFrame:
 
     def run(batches):
         bits = shared.value
-        for b in batches:
+        for b in pieces(batches):
             keys = long_column(b, "doc")
             found: dict[bytes, tuple[int, list, list]] = {}
             for k, t in zip(keys, b.column(1).cast(pa.binary())):
