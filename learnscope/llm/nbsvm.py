@@ -30,7 +30,7 @@ from .common import U64, SpanHash, fresh, hash_words, slabs, text_or_empty, with
 
 BUCKETS = 1 << 20
 MAX_ROWS = 6_000
-MAX_FEATURES = 12_000_000
+MAX_FEATURES = 8_000_000
 TWICE = 12_345  # bucket of "a word twice in a row"
 _hasher = SpanHash(101)
 
@@ -76,7 +76,7 @@ def dual_descent(rows: list[np.ndarray], values: list[np.ndarray], y: np.ndarray
     descent on the dual, one variable per row; the last bucket index is the bias."""
     w = np.zeros(BUCKETS + 1)
     a = np.zeros(len(y))
-    q = np.array([v @ v + 1.0 for v in values])
+    q = np.array([float(v @ v) + 1.0 for v in values])
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
         worst = 0.0
@@ -115,19 +115,23 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "la
     texts = docs.select(F.col(key).alias("_d"), text_or_empty(text).alias("text"))
     # at most max_rows rows of three numbers
     rows = texts.join(F.broadcast(some), F.col("_d") == F.col("_k")).select("h", "y", "text")
-    got, total = [], 0
+    flat, ends, y = np.empty(MAX_FEATURES, np.int32), [0], []
     for r in rows.mapInArrow(run, "h long, y int, x binary").orderBy("h", "x").toLocalIterator():
         x = np.frombuffer(r["x"], np.int32)
-        if total + len(x) > MAX_FEATURES:
+        if ends[-1] + len(x) > MAX_FEATURES:
             break
-        total += len(x)
-        got.append((r["h"], r["y"], x))
-    y = np.array([1 if g[1] > 0 else -1 for g in got])
+        flat[ends[-1]: ends[-1] + len(x)] = x
+        ends.append(ends[-1] + len(x))
+        y.append(1 if r["y"] > 0 else -1)
+    y = np.array(y)
     if len(set(y.tolist())) < 2:
         return None
-    x = [g[2] for g in got]
+    x = [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
     ratio = log_ratios(x, y)
-    values = [ratio[i] / max(1e-9, np.sqrt((ratio[i] ** 2).sum())) for i in x]
+    scaled = ratio[flat[: ends[-1]]].astype(np.float32)
+    values = [scaled[a:b] for a, b in zip(ends[:-1], ends[1:])]
+    for v in values:
+        v /= max(1e-9, float(np.sqrt(v @ v)))
     w = dual_descent(x, values, y, np.full(len(y), c))
     return np.concatenate([w, ratio])
 
