@@ -153,10 +153,17 @@ def printed_time(col: str) -> Column:
     return F.when(fraction == ".000000", whole).otherwise(F.concat(whole, fraction))
 
 
-def segment_payloads(rows: DataFrame, segment_col: str = "session_index", min_rows: int = 3, text_chars: int = L.PAYLOAD_TEXT_CHARS) -> DataFrame:
+def segment_payloads(rows: DataFrame, segment_col: str = "session_index", min_rows: int = 3, text_chars: int = L.PAYLOAD_TEXT_CHARS,
+                     max_rows: int = 100_000) -> DataFrame:
     """SCL12-13: one JSON payload per segment with at least ``min_rows`` turns:
     ``[{"row_number", "timestamp", "question", "ai_response"}, ...]`` in row
-    order, texts cut to ``text_chars`` code points. Input: :func:`with_row_in_segment`."""
+    order, texts cut to ``text_chars`` code points. Input: :func:`with_row_in_segment`.
+
+    A payload is one document for one call of a segmenter, so it is built in one
+    task; a segment of more than ``max_rows`` turns raises an error instead (it is
+    never cut)."""
+    too_long = F.raise_error(F.concat(F.lit("segment too long for one payload, turns: "), F.col("segment_rows").cast("string")))
+    rows = rows.withColumn("row_number", F.when(F.col("segment_rows") > max_rows, too_long.cast("int")).otherwise(F.col("row_number")))
     keys = [*student_keys(rows), segment_col]
     item = F.struct(
         F.col("row_number").alias("row_number"),
