@@ -35,6 +35,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -242,7 +243,7 @@ def block_removals(key, texts: list[bytes], doc, start, length: int):
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def removals(parts: DataFrame, length: int) -> DataFrame:
+def removals(parts: DataFrame, length: int, limit: int = BLOCK) -> DataFrame:
     """(doc, version, first, last): starts of the strings to remove."""
     n = shuffle_partitions(parts)
     met = parts.repartition(n, F.when(F.col("bytes").isNull(), F.col("doc")).otherwise(F.col("key"))).sortWithinPartitions("key")
@@ -259,7 +260,7 @@ def removals(parts: DataFrame, length: int) -> DataFrame:
             while b.num_rows:
                 # whole keys only: a block is closed where the key changes
                 key = b["key"].to_numpy()
-                if size >= BLOCK:
+                if size >= limit:
                     same = int(np.searchsorted(key, held[-1]["key"][-1].as_py(), "right"))
                     if same < len(key):
                         yield block(held + ([b.slice(0, same)] if same else []))
@@ -269,8 +270,8 @@ def removals(parts: DataFrame, length: int) -> DataFrame:
                     held.append(b)
                     size += b["bytes"].nbytes
                     break
-                ends = np.cumsum(np.diff(np.concatenate([[0], np.cumsum([len(x) for x in b["bytes"].to_pylist()])])))
-                take = min(int(np.searchsorted(ends, BLOCK - size)) + 1, len(key))
+                ends = np.cumsum(pc.binary_length(b["bytes"]).to_numpy())
+                take = min(int(np.searchsorted(ends, limit - size)) + 1, len(key))
                 held.append(b.slice(0, take))
                 size += int(ends[take - 1])
                 b = b.slice(take)
@@ -331,7 +332,7 @@ def whole_copies(own: DataFrame, length: int) -> DataFrame:
     return t.join(least, "m").filter("doc > least").select("doc", "version", F.lit(0).cast("long").alias("first"), (F.col("n") - length).alias("last")).distinct()
 
 
-def dedup(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
     """(key, n_bytes, n_removed, n_spans, kept_sha256) of every row: the bytes
     left after removing each one that is covered by a string of ``length`` bytes
     which also starts in a document with a smaller key."""
@@ -345,7 +346,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", text: str
     keys = materialize(keys.join(done, "doc", "left"), "bwt-keys")  # a document's own keys: bounded by its text
     meant = own.join(keys.hint("shuffle_hash"), "doc").filter("done is null or not array_contains(done, version)")
     meant = meant.select("doc", "text", "version", "keys")
-    gone = materialize(removals(stretches(meant, length), length), "bwt-removals").unionByName(copies)
+    gone = materialize(removals(stretches(meant, length), length, block), "bwt-removals").unionByName(copies)
     gone = gone.groupBy("doc", "version").agg(F.collect_list(F.struct("first", "last")).alias("removed"))
     out = rows.join(gone.hint("shuffle_hash"), ["doc", "version"], "left").select("doc", "text", "removed")
     return kept_bytes(out, length).withColumnRenamed("doc", key)

@@ -84,6 +84,12 @@ def test_bwt_equals_brute_force(make, seed):
     assert sorted((tuple(r) for r in got), key=str) == brute_bytes(docs)
 
 
+def test_bwt_in_small_blocks(make):
+    docs = corpus(7, 80)
+    got = bwt_dedup.dedup(make(docs), block=200).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute_bytes(docs)
+
+
 def test_interval_expansion_separates_exactly():
     rng = random.Random(5)
     for length in (3, 6):
