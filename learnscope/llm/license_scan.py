@@ -81,45 +81,87 @@ KNOWN = [
     ("MIT line", "Released under the MIT License."),
 ]
 
+MAX_LENGTHS = 10_000  # distinct canonical lengths of the known licences
 COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n]*(copyright|\(c\)|©|all rights reserved)[^\n]*$"
 
 
-def canonical(text: Column) -> Column:
-    """Canonical form of a whole text. The order matters: copyright lines go
-    while lines still exist; spellings are unified between single spaces."""
+def line_forms(text: Column) -> Column:
+    """The text with every line in canonical form but for the number of spaces:
+    case, copyright lines, punctuation and spellings are done, line breaks stay."""
     t = F.lower(F.coalesce(text, F.lit("")))
     t = F.regexp_replace(t, COPYRIGHT_LINE, "")
     # every word stands between two spaces of its own, so neighbours can both be replaced
-    t = F.concat(F.lit(" "), F.regexp_replace(t, r"[^\p{L}\p{N}]+", "  "), F.lit(" "))
+    t = F.regexp_replace(t, r"[^\p{L}\p{N}\n]+", "  ")
+    t = F.concat(F.lit("  "), F.replace(t, F.lit("\n"), F.lit("  \n  ")), F.lit("  "))
     for a, b in EQUIVALENT:
-        a, b = a.replace(" ", "  "), b.replace(" ", "  ")
-        t = F.replace(t, F.lit(f" {a} "), F.lit(f" {b} "))
-    return F.trim(F.replace(t, F.lit("  "), F.lit(" ")))
+        t = F.replace(t, F.lit(f" {_spaced(a)} "), F.lit(f" {_spaced(b)} "))
+    return t
 
 
-def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
-    """(digest, license): one row per digest."""
-    df = spark.createDataFrame(known, "license string, body string")
-    return df.groupBy(F.sha2(canonical(F.col("body")), 256).alias("digest")).agg(F.min("license").alias("license"))
+def _spaced(words: str) -> str:
+    return words.replace(" ", "  ")
 
 
-def scan(df: DataFrame, licenses: DataFrame, text: str = "text") -> DataFrame:
-    """Add ``canonical_sha256``, ``canonical_length`` and ``license`` (null: no
-    known licence) to every row. The lookup is a plain equi-join on digests: the
-    planner broadcasts the licence side while it is small."""
-    rest = [c for c in df.columns if c not in ("canonical_sha256", "canonical_length", "license")]
-    out = df.select(*rest)
-    form, digest = fresh(out, "_form", "_digest")
-    out = out.withColumn(form, canonical(F.col(text)))
-    out = out.withColumns({"canonical_sha256": F.sha2(form, 256), "canonical_length": F.length(form).cast("long")}).drop(form)
+def _single(t: Column) -> Column:
+    return F.trim(F.regexp_replace(t, " +", " "))
+
+
+def whole_form(lines: Column) -> Column:
+    """Canonical form of a whole text from its line forms: line breaks are
+    spaces, also inside the spellings of two words."""
+    t = F.regexp_replace(lines, r"[ \n]+", "  ")
+    for a, b in EQUIVALENT:
+        if " " in a:
+            t = F.replace(t, F.lit(f" {_spaced(a)} "), F.lit(f" {_spaced(b)} "))
+    return _single(t)
+
+
+def canonical(text: Column) -> Column:
+    """Canonical form of a whole text."""
+    return whole_form(line_forms(text))
+
+
+def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
+    """(digest, license, length): one row per digest of a known text."""
+    df = spark.createDataFrame(known, "license string, body string").select("license", canonical(F.col("body")).alias("form"))
+    return df.groupBy(F.sha2("form", 256).alias("digest")).agg(F.min("license").alias("license"), F.first(F.length("form")).alias("length"))
+
+
+def digests(df: DataFrame, licenses: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, canonical_sha256, canonical_length, lines) of every row, in one pass:
+    the digest of the whole text, and the digests of those lines whose canonical
+    length some known licence has (others cannot match)."""
+    lengths = [r[0] for r in licenses.select("length").distinct().limit(MAX_LENGTHS + 1).collect()]
+    if len(lengths) > MAX_LENGTHS:
+        raise ValueError(f"known licences of more than {MAX_LENGTHS} lengths")
+    known = F.array(*[F.lit(int(x)) for x in lengths]).cast("array<int>")
+    t = df.select(F.col(key), line_forms(F.col(text)).alias("_forms"))
+    t = t.select(key, whole_form(F.col("_forms")).alias("_whole"), F.transform(F.split("_forms", "\n", -1), _single).alias("_lines"))
+    lines = F.transform(F.filter("_lines", lambda x: F.array_contains(known, F.length(x))), lambda x: F.sha2(x, 256))
+    return t.select(key, F.sha2("_whole", 256).alias("canonical_sha256"), F.length("_whole").cast("long").alias("canonical_length"), lines.alias("lines"))
+
+
+def known_licenses(table: DataFrame, licenses: DataFrame) -> DataFrame:
+    """``table`` (see ``digests``) with the ``license`` of the whole text, null if
+    it is none. A plain equi-join on digests: the planner broadcasts the licences
+    while they are small."""
+    (digest,) = fresh(table, "_digest")
     known = licenses.select(F.col("digest").alias(digest), "license")
-    return out.join(known, (F.col("canonical_sha256") == F.col(digest)) & (F.col("canonical_length") > 0), "left").drop(digest)
+    return table.join(known, (F.col("canonical_sha256") == F.col(digest)) & (F.col("canonical_length") > 0), "left").drop(digest)
 
 
-def scan_lines(df: DataFrame, licenses: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def license_lines(table: DataFrame, licenses: DataFrame, key: str = "doc_id") -> DataFrame:
     """One row per (document, licence) for lines that, as whole texts of their
     own, are a known licence or notice: (key, license, n_lines)."""
-    lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
-    rows = df.select(F.col(key), F.explode(lines).alias("_line"))
-    rows = rows.select(key, F.sha2(canonical(F.col("_line")), 256).alias("_digest"))
-    return rows.join(licenses.select(F.col("digest").alias("_digest"), "license"), "_digest").groupBy(key, "license").agg(F.count(F.lit(1)).alias("n_lines"))
+    rows = table.select(key, F.explode("lines").alias("digest"))
+    return rows.join(licenses, "digest").groupBy(key, "license").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+def scan(df: DataFrame, licenses: DataFrame, text: str = "text") -> DataFrame:
+    """``df`` with ``canonical_sha256``, ``canonical_length`` and ``license`` (null:
+    no known licence) of every row's whole text."""
+    out = df.select(*[c for c in df.columns if c not in ("canonical_sha256", "canonical_length", "license")])
+    (form,) = fresh(out, "_form")
+    out = out.withColumn(form, canonical(F.col(text)))
+    out = out.withColumns({"canonical_sha256": F.sha2(form, 256), "canonical_length": F.length(form).cast("long")}).drop(form)
+    return known_licenses(out, licenses)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bwt_dedup, decontaminate, license_scan, line_templates, nbsvm, quality_cascade, recompression, simhash_vptree, source_mix, sql, token_counts
-from .common import WORDS, read
+from .common import WORDS, materialize, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -45,13 +45,12 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     known = license_scan.known_digests(spark)
-    out = license_scan.scan(docs, known).drop("text")
-    lines = license_scan.scan_lines(docs, known).groupBy("doc_id").agg(
+    table = materialize(license_scan.digests(read(spark, sf_dir, "documents"), known), "license-digests")
+    lines = license_scan.license_lines(table, known).groupBy("doc_id").agg(
         F.sum("n_lines").alias("n_license_lines"), F.array_join(F.array_sort(F.collect_set("license")), ", ").alias("line_licenses")
     )  # a document's set is bounded by the known licences
-    return out.join(lines, "doc_id", "left").select(
+    return license_scan.known_licenses(table, known).join(lines, "doc_id", "left").select(
         "doc_id", "canonical_sha256", "canonical_length", "license", F.coalesce("n_license_lines", F.lit(0)).alias("n_license_lines"), "line_licenses"
     )
 

@@ -62,13 +62,17 @@ def test_license_digests(spark, make, odd):
     assert got[20]["license"] == "MIT" and got[21]["license"] is None
     assert got[22]["canonical_length"] == 0 and got[22]["license"] is None and got[1]["license"] is None
     assert license_scan.scan(docs, known).count() == len(odd) + 3
-    lines = license_scan.scan_lines(make([(1, "a\nReleased under the MIT License!\nreleased under the mit license\nb")]), known).collect()
-    assert [(r["license"], r["n_lines"]) for r in lines] == [("MIT line", 2)]
+    table = license_scan.digests(make([(1, "a\nReleased under the MIT License!\nreleased under the mit license\nb"), *odd]), known)
+    assert table.count() == len(odd) + 1
+    lines = license_scan.license_lines(table, known).collect()
+    assert [(r["doc_id"], r["license"], r["n_lines"]) for r in lines] == [(1, "MIT line", 2)]
+    whole = {r["doc_id"]: r["canonical_sha256"] for r in license_scan.scan(docs, known).collect()}
+    assert all(whole[r["doc_id"]] == r["canonical_sha256"] for r in license_scan.digests(docs, known).collect())
     assert license_scan.scan(make([]), known).count() == 0
 
 
 def test_neighbouring_spellings_are_both_unified(spark):
-    df = spark.createDataFrame([("Favour favour, licence LICENCE",), ("favor favor license license",)], "t string")
+    df = spark.createDataFrame([("Favour favour, licence LICENCE sub\nlicense",), ("favor favor license license sublicense",)], "t string")
     assert len({r[0] for r in df.select(license_scan.canonical(F.col("t"))).collect()}) == 1
 
 
