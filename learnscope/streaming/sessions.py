@@ -30,10 +30,18 @@ STATE_SCHEMA = T.StructType([
 ])
 
 
-def _labeller(gap_minutes, use_entry, key_cols):
+def _labeller(gap_minutes, use_entry, key_cols, idle_ms=None):
     gap_us = None if gap_minutes is None else int(round(gap_minutes * 60_000_000))
 
+    def remember(state, at, entry, index):
+        state.update((pd.Timestamp(at).to_pydatetime(), entry, int(index)))
+        if idle_ms is not None:
+            state.setTimeoutDuration(idle_ms)
+
     def label(key, batches, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
         pdf = pd.concat(list(batches), ignore_index=True)
         if pdf.empty:
             return
@@ -61,7 +69,7 @@ def _labeller(gap_minutes, use_entry, key_cols):
             out["session_index"] = idx.astype("int32")
             out["is_new_session"] = new
             out["late"] = late
-            state.update((pd.Timestamp(t[-1]).to_pydatetime(), entry[-1] if use_entry else None, int(idx[-1])))
+            remember(state, t[-1], entry[-1] if use_entry else None, idx[-1])
             yield out
             return
         for i in range(len(pdf)):  # a late turn in the batch: sequential fallback
@@ -80,24 +88,30 @@ def _labeller(gap_minutes, use_entry, key_cols):
         out["session_index"] = idx.astype("int32")
         out["is_new_session"] = new
         out["late"] = late
-        state.update((pd.Timestamp(prev_t).to_pydatetime(), last_entry, int(idx[-1])))
+        remember(state, prev_t, last_entry, idx[-1])
         yield out
 
     return label
 
 
 def sessionize_stream(turns: DataFrame, gap_minutes: float | None = L.GAP_MINUTES, split_on_entry: bool | None = None,
-                      keys=("student_id",)) -> DataFrame:
-    """Streaming (or batch) turns -> (keys..., turn_id, session_index,
-    is_new_session, late). Same numbering as :func:`operators.segment.segment`
-    for in-order input."""
+                      keys=("student_id",), idle_hours: float | None = None) -> DataFrame:
+    """Streaming turns -> (keys..., turn_id, session_index, is_new_session,
+    late). Same numbering as :func:`operators.segment.segment` for in-order
+    input. With ``idle_hours``, a student without turns for that long (processing
+    time) is forgotten: the state stays bounded by the active students, and the
+    numbering of one who comes back starts again at 1. Batch input belongs to
+    :func:`operators.segment.segment`."""
+    if not turns.isStreaming:
+        raise ValueError("not a stream: use operators.segment.segment for batch input")
     keys = list(keys)
     use_entry = ("entry" in turns.columns) if split_on_entry is None else split_on_entry
     cols = [*keys, "turn_id", "asked_at"] + (["entry"] if use_entry else [])
     out_schema = turns.select(*keys, "turn_id").schema \
         .add("session_index", T.IntegerType()).add("is_new_session", T.BooleanType()).add("late", T.BooleanType())
     return turns.select(*cols).groupBy(*keys).applyInPandasWithState(
-        _labeller(gap_minutes, use_entry, keys), out_schema, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+        _labeller(gap_minutes, use_entry, keys, None if idle_hours is None else int(idle_hours * 3_600_000)), out_schema, STATE_SCHEMA, "append",
+        GroupStateTimeout.NoTimeout if idle_hours is None else GroupStateTimeout.ProcessingTimeTimeout)
 
 
 def gap_session_windows(turns: DataFrame, gap_minutes: float = L.GAP_MINUTES, watermark: str = "1 hour", keys=("student_id",)) -> DataFrame:

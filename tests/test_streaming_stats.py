@@ -29,7 +29,7 @@ def test_stream_sessions_match_batch_across_micro_batches(spark, tmp_path):
         target.write_bytes(open(f, "rb").read())
         os.utime(target, (1_700_000_000 + i * 100, 1_700_000_000 + i * 100))
     stream = spark.readStream.schema(turns.schema).option("maxFilesPerTrigger", 1).parquet(str(stage))
-    q = (ss.sessionize_stream(stream, 15).writeStream.format("memory").queryName("stream_sessions")
+    q = (ss.sessionize_stream(stream, 15, idle_hours=24).writeStream.format("memory").queryName("stream_sessions")
          .option("checkpointLocation", str(tmp_path / "ckpt")).outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination(600)
     got = spark.table("stream_sessions").select("turn_id", "session_index")
