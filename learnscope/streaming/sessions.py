@@ -100,7 +100,8 @@ def sessionize_stream(turns: DataFrame, gap_minutes: float | None = L.GAP_MINUTE
     late). Same numbering as :func:`operators.segment.segment` for in-order
     input. With ``idle_hours``, a student without turns for that long (processing
     time) is forgotten: the state stays bounded by the active students, and the
-    numbering of one who comes back starts again at 1. Batch input belongs to
+    numbering of one who comes back starts again at 1 (not with the availableNow
+    trigger, which waits for such timeouts). Batch input belongs to
     :func:`operators.segment.segment`."""
     if not turns.isStreaming:
         raise ValueError("not a stream: use operators.segment.segment for batch input")
