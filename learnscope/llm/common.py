@@ -27,18 +27,18 @@ WORDS = r"[^\x20\x09-\x0D]+"
 U64 = np.uint64
 
 
-def materialize(df: DataFrame, name: str, *columns: str) -> DataFrame:
+def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: later steps start
     from files that survive the loss of any executor, and the shuffle files
-    of the step are freed as soon as it ends. ``columns`` partition the
-    output folders."""
+    of the step are freed as soon as it ends."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     before = spark.conf.get(CLEANUP_CONF, None)
     spark.conf.set(CLEANUP_CONF, "true")
     try:
-        w = df.write.option("compression", "zstd")
-        (w.partitionBy(*columns) if columns else w).parquet(path)
+        # snappy: zstd keeps native memory per open page until the next collection,
+        # which adds up over many small files
+        df.write.option("compression", "snappy").parquet(path)
     finally:
         if before is None:
             spark.conf.unset(CLEANUP_CONF)
