@@ -132,12 +132,12 @@ def scl_parse_mapping(spark, sf):
 def _mapping(rows):
     """Mapping derived in SQL terms: topic = 1 + (row_number-1) div 3, every
     7th row left out, every 5th segment without any mapping."""
-    m = rows.filter((F.col("segment_rows") >= 3) & (F.col("session_index") % 5 != 0) & (F.col("row_number") % 7 != 0)).select(
-        "student_id", "session_index", "row_number", (1 + F.expr("(row_number - 1) div 3")).cast("int").alias("topic_id")
-    )
+    topic = (1 + F.expr("(row_number - 1) div 3")).cast("int")
     # every third row is named twice; the smaller topic counts
-    twice = m.filter("row_number % 3 = 0").withColumn("topic_id", F.col("topic_id") + 5)
-    return m.unionByName(twice)
+    topics = F.when(F.col("row_number") % 3 == 0, F.array(topic + 5, topic)).otherwise(F.array(topic))
+    return rows.filter((F.col("segment_rows") >= 3) & (F.col("session_index") % 5 != 0) & (F.col("row_number") % 7 != 0)).select(
+        "student_id", "session_index", "row_number", F.explode(topics).alias("topic_id")
+    )
 
 
 @register("seg_topic_split", O.with_(*_ROWS_CTE, """mp AS (
