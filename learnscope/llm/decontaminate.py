@@ -1,24 +1,31 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
-
-Words are compared in lower case without ASCII punctuation. Every test
-item is cut into ``SEED``-word grams; one pass over all documents counts in how
-many each gram occurs, and of every ``SPREAD`` neighbouring grams of an item
-the rarest becomes a seed, so any run of SEED + SPREAD - 1 words shared with an
-item holds a seed, however frequent the passage is in the corpus. A second pass
-joins seeds to document positions, and the passage around the hits is aligned
-with the item by local alignment (match +2, mismatch -1, gap -1 a word). The
-score is the best alignment over that of a perfect copy; edited and paraphrased
-copies score less than 1 but far above chance. A passage also has to align to
-the worth of ``SHORT`` matching words (or of the whole item, if that is less),
-so that short items are not found in chance phrases.
+"""Benchmark decontamination: word-pair seeds counted in a window, then Smith-Waterman.
+
+Words are compared in lower case without ASCII punctuation. A document has a
+copy of a test item where local alignment (match +2, mismatch -1, gap -1 a word)
+scores ``least`` of a perfect copy or more, and at least the worth of ``SHORT``
+matching words (or of the whole item, if that is less), so that short items are
+not found in chance phrases. The score is the best alignment over that of a
+perfect copy; edited and paraphrased copies score less than 1 but far above chance.
+
+Seeds lose no such passage. Let it score T = 2M - E with M matched words and E
+edits. Of its M - 1 pairs of consecutive matched words at most E / 2 have two
+edits or more between them, so T / 2 - 1 or more have none or one. In such a
+pair the words are neighbours or one word apart, in the item and in the
+document. All these pairs of an item (hashes of words i, i + 1 and of i, i + 2)
+are looked up at all pairs of the documents, and the passage holds at least
+T / 2 - 1 hits that begin at different words. Up to half of these are given up:
+one pass over all documents counts the pairs, and as many item positions as
+that, those with the most frequent pairs, are not looked up. The passage is at
+most 3 words(item) - T words long, so every window of that length with enough
+hits is aligned, as far as the passage can reach.
 
 The test items are the query set: they are read in blocks of at most
 ``BLOCK_BYTES`` of text, each broadcast and run against all documents (a block
 is a few thousand items; more items mean more blocks, not larger ones). No
-candidate is dropped: all seeds of all items are looked up at all positions.
+candidate is dropped.
 
-Defined cases: items without words match nothing; items shorter than a seed are
-one seed; null and empty documents match nothing; a repeated item_id or doc_id
+Defined cases: items without words match nothing; an item of one word is its own
+seed; null and empty documents match nothing; a repeated item_id or doc_id
 gives its best row once for each pair; a null doc_id is in no pair, but such a
 row is dropped like any other; ties go to the earliest passage; empty tables give
 an empty result. Extra columns do not matter.
@@ -34,9 +41,9 @@ from pyspark.sql import types as T
 
 from .common import U64, SpanHash, fresh, long_column, slabs, text_or_empty, with_computed, word_spans
 
-SEED, SPREAD = 3, 4
 SHORT = 6  # words
 BLOCK_BYTES = 8 << 20
+PIECE = 1 << 21  # hits, and cells of an alignment table, worked through at a time
 MATCH, MISMATCH, GAP = 2, -1, -1
 _hasher = SpanHash(202)
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -50,16 +57,16 @@ def folded_words(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return (_hasher.spans(_hasher.prefix(buf), s, e) if len(s) else np.empty(0, U64)), d
 
 
-def grams(w: np.ndarray, n: int) -> np.ndarray:
-    h = np.zeros(max(0, len(w) - n + 1), U64)
-    for i in range(n):
-        h = (h ^ w[i: len(w) - n + 1 + i]) * U64(0x9E3779B97F4A7C15)
-        h ^= h >> U64(29)
-    return h
+def pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hashes of pairs of words (of one word, if both are the same array)."""
+    h = a * U64(0x9E3779B97F4A7C15)
+    h ^= h >> U64(29)
+    h = (h ^ b) * U64(0x9E3779B97F4A7C15)
+    return h ^ (h >> U64(29))
 
 
 class Items:
-    """A block of test items: their words and the table of their grams."""
+    """A block of test items: their words and the table of their seeds."""
 
     def __init__(self, ids: list, texts: list[bytes]):
         off = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
@@ -67,46 +74,58 @@ class Items:
         cut = np.searchsorted(d, np.arange(len(texts) + 1))
         self.ids = ids
         self.words = [w[a:b] for a, b in zip(cut[:-1], cut[1:])]
-        self.at: dict[int, list] = {}  # gram length: rows (hash, item, position)
-        for i, x in enumerate(self.words):
-            n = min(SEED, len(x))
-            if n:
-                self.at.setdefault(n, []).append((grams(x, n), np.full(len(x) - n + 1, i), np.arange(len(x) - n + 1)))
-        self.at = {n: tuple(np.concatenate(c) for c in zip(*v)) for n, v in self.at.items()}
-        self.index()
-
-    def index(self) -> None:
-        self.keys = {n: np.unique(v[0]) for n, v in self.at.items()}
-        self.maybe = {}
-        for n, k in self.keys.items():
-            self.maybe[n] = np.zeros(1 << 22, bool)
-            self.maybe[n][k >> U64(42)] = True
+        self.lengths = np.diff(cut)
+        alone = np.flatnonzero(self.lengths[d] == 1) if len(w) else np.empty(0, np.int64)
+        self.steps = [0, 1, 2] if len(alone) else [1, 2]  # words from the first of a seed to the second
+        rows = [(pairs(w[alone], w[alone]), alone)]
+        for n in (1, 2):
+            p = np.flatnonzero(d[: -n] == d[n:])
+            rows.append((pairs(w[p], w[p + n]), p))
+        h, p = (np.concatenate(c) for c in zip(*rows))
+        self.index(h, d[p], p)
+
+    def index(self, h: np.ndarray, item: np.ndarray, at: np.ndarray) -> None:
+        order = np.lexsort((item, h))
+        self.h, self.item, self.at = h[order], item[order], at[order]
+        self.keys, self.first, self.count = np.unique(self.h, return_index=True, return_counts=True)
+        self.maybe = np.zeros(1 << 22, bool)
+        self.maybe[self.keys >> U64(42)] = True
 
     def hits(self, w: np.ndarray, d: np.ndarray):
-        """(gram length, position in the slab, number of the gram) of all grams
-        of the block in a slab's words."""
-        for n, keys in self.keys.items():
-            if len(w) < n:
+        """(position in the slab, number of the seed) of all seeds of the block
+        in a slab's words."""
+        for n in self.steps:
+            if len(w) <= n or not len(self.keys):
                 continue
-            h = grams(w, n)
-            p = np.flatnonzero(self.maybe[n][h >> U64(42)])
-            p = p[d[p] == d[p + n - 1]]
-            k = np.searchsorted(keys, h[p])
-            ok = (k < len(keys)) & (keys[np.minimum(k, len(keys) - 1)] == h[p])
-            yield n, p[ok], k[ok]
-
-    def keep_rarest(self, df: dict[tuple[int, int], int]) -> None:
-        """Leave, of every SPREAD neighbouring grams of an item, the rarest."""
-        for n, (h, item, pos) in self.at.items():
-            k = np.searchsorted(self.keys[n], h)
-            freq = np.array([df.get((n, int(x)), 0) for x in range(len(self.keys[n]))], np.int64)[k]
-            keep = np.zeros(len(h), bool)
-            starts = np.concatenate([[0], np.flatnonzero(np.diff(item)) + 1, [len(item)]])
-            for a, b in zip(starts[:-1], starts[1:]):
-                for i in range(a, max(a + 1, b - SPREAD + 1)):
-                    keep[i + int(np.argmin(freq[i: min(b, i + SPREAD)]))] = True
-            self.at[n] = (h[keep], item[keep], pos[keep])
-        self.index()
+            h = pairs(w[: len(w) - n], w[n:])
+            p = np.flatnonzero(self.maybe[h >> U64(42)])
+            p = p[d[p] == d[p + n]]
+            k = np.minimum(np.searchsorted(self.keys, h[p]), len(self.keys) - 1)
+            ok = self.keys[k] == h[p]
+            yield p[ok], k[ok]
+
+    def keep_rarest(self, freq: np.ndarray, least: float) -> None:
+        """Leave out seeds that occur nowhere and, of every item, as many of the
+        positions with the most frequent seeds as its window can do without.
+        ``freq``: occurrences of every seed."""
+        perfect = MATCH * self.lengths
+        self.least = np.ceil(np.maximum(least * perfect, np.minimum(perfect, MATCH * SHORT)) - 1e-9).astype(np.int64)
+        self.reach = np.maximum(3 * self.lengths - self.least, 1)  # words of the longest passage
+        need = np.maximum((self.least + 1) // 2 - 1, 1)
+        spare = need // 2
+        self.need = need - spare
+        f = np.repeat(freq, self.count)
+        there, row = np.unique(self.at, return_inverse=True)
+        total = np.bincount(row, f, len(there))
+        of = np.empty(len(there), np.int64)
+        of[row] = self.item
+        order = np.lexsort((-total, of))
+        of = of[order]
+        rank = np.arange(len(of)) - np.searchsorted(of, of)
+        out = np.zeros(len(there), bool)
+        out[order] = rank < spare[of]
+        keep = (f > 0) & ~out[row]
+        self.index(self.h[keep], self.item[keep], self.at[keep])
 
 
 def align(item: np.ndarray, passages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -132,52 +151,76 @@ def align(item: np.ndarray, passages: list[np.ndarray]) -> tuple[np.ndarray, np.
     return best, end  # end: number of passage words up to and including the last one
 
 
-def match_slab(items: Items, w: np.ndarray, d: np.ndarray, least: float):
+def passages(items: Items, w: np.ndarray, d: np.ndarray):
+    """(item, text number, first word, end) of all passages of a slab that may
+    hold a copy of an item, by item; of bounded numbers of hits at a time."""
+    got = list(items.hits(w, d))
+    where, k = (np.concatenate(c) for c in zip(*got)) if got else (np.empty(0, np.int64),) * 2
+    order = np.argsort(where, kind="stable")
+    where, k = where[order], k[order]
+    upto = np.concatenate([[0], np.cumsum(items.count[k])])
+    heads = np.flatnonzero(np.diff(d[where], prepend=-1))  # pieces are whole texts
+    edges, i = np.append(heads, len(where)), 0
+    while i < len(heads):
+        j = max(i + 1, int(np.searchsorted(upto[edges], upto[edges[i]] + PIECE, "right")) - 1)
+        a, b = edges[i], edges[j]
+        times = items.count[k[a:b]]
+        p = np.repeat(where[a:b], times)
+        step = np.arange(len(p)) - np.repeat(np.cumsum(times) - times, times)
+        item = items.item[np.repeat(items.first[k[a:b]], times) + step]
+        order = np.lexsort((p, item))
+        p, item = p[order], item[order]
+        new = np.ones(len(p), bool)
+        new[1:] = (p[1:] != p[:-1]) | (item[1:] != item[:-1])
+        p, item = p[new], item[new]
+        last = np.arange(len(p)) + items.need[item] - 1
+        ok = last < len(p)
+        first, last = np.flatnonzero(ok), last[ok]
+        reach = items.reach[item[first]]
+        ok = (item[first] == item[last]) & (d[p[first]] == d[p[last]]) & (p[last] - p[first] < reach)
+        first, last, reach = first[ok], last[ok], reach[ok]
+        yield item[first], d[p[first]], p[last] - reach + 1, p[first] + reach
+        i = j
+
+
+def match_slab(items: Items, w: np.ndarray, d: np.ndarray):
     """(text number, item number, score, first word, last word) of the passages
-    of a slab that align with an item at ``least`` or more of a perfect copy."""
-    found = []
-    for n, p, k in items.hits(w, d):
-        h, item, pos = items.at[n]
-        order = np.argsort(h, kind="stable")
-        first = np.searchsorted(h[order], items.keys[n])
-        count = np.searchsorted(h[order], items.keys[n], "right") - first
-        times = count[k]
-        where = np.repeat(p, times)
-        step = np.arange(len(where)) - np.repeat(np.cumsum(times) - times, times)
-        row = order[np.repeat(first[k], times) + step]
-        found.append((where, item[row], pos[row]))
-    if not found:
-        return []
-    where, item, pos = (np.concatenate(c) for c in zip(*found))
-    text = d[where]
-    lengths = np.array([len(x) for x in items.words])
-    slack = lengths[item] // 4 + 3
+    of a slab that align with an item well enough."""
     begin_of = np.searchsorted(d, np.arange(d[-1] + 2)) if len(d) else np.zeros(1, np.int64)
-    lo = np.maximum(where - pos - slack, begin_of[text])
-    hi = np.minimum(where - pos + lengths[item] + slack, begin_of[text + 1])
-    order = np.lexsort((lo, text, item))
-    item, text, lo, hi = item[order], text[order], lo[order], hi[order]
-    out, i = [], 0
-    while i < len(item):
-        j = i
-        spans = []  # of one item: merged passages of the slab's texts
-        while j < len(item) and item[j] == item[i]:
-            if spans and spans[-1][0] == text[j] and lo[j] <= spans[-1][2]:
-                spans[-1][2] = max(spans[-1][2], int(hi[j]))
-            else:
-                spans.append([int(text[j]), int(lo[j]), int(hi[j])])
-            j += 1
-        x = items.words[item[i]]
-        perfect = MATCH * len(x)
-        spans.sort(key=lambda s: s[2] - s[1])  # like lengths together: little padding
-        for a in range(0, len(spans), 256):
-            part = spans[a: a + 256]
-            best, end = align(x, [w[s[1]: s[2]] for s in part])
-            for (t, l, _), b, e in zip(part, best, end):
-                if b >= max(least * perfect, min(perfect, MATCH * SHORT)):
-                    _, back = align(x[::-1], [w[l: l + e][::-1]])
-                    out.append((t, int(item[i]), b / perfect, l + int(e) - int(back[0]) - int(begin_of[t]), l + int(e) - 1 - int(begin_of[t])))
-        i = j
+    out = []
+    for item, text, lo, hi in passages(items, w, d):
+        lo, hi = np.maximum(lo, begin_of[text]), np.minimum(hi, begin_of[text + 1])
+        i = 0
+        while i < len(item):  # by item, text and place already
+            j = int(np.searchsorted(item, item[i], "right"))
+            spans = []  # of one item: merged passages of the slab's texts
+            for t, a, b in zip(text[i:j].tolist(), lo[i:j].tolist(), hi[i:j].tolist()):
+                if spans and spans[-1][0] == t and a <= spans[-1][2]:
+                    spans[-1][1] = min(spans[-1][1], a)
+                    spans[-1][2] = max(spans[-1][2], b)
+                else:
+                    spans.append([t, a, b])
+            out += matches(items, int(item[i]), w, begin_of, spans)
+            i = j
+    return out
+
+
+def matches(items: Items, item: int, w: np.ndarray, begin_of: np.ndarray, spans: list) -> list:
+    """The rows of ``match_slab`` for one item and its passages."""
+    x, out, a = items.words[item], [], 0
+    spans.sort(key=lambda s: s[2] - s[1])  # like lengths together: little padding
+    while a < len(spans):
+        z = a + 1
+        while z < min(len(spans), a + 256) and (z + 1 - a) * (spans[z][2] - spans[z][1]) <= PIECE:
+            z += 1
+        best, end = align(x, [w[s[1]: s[2]] for s in spans[a:z]])
+        for (t, l, _), b, e in zip(spans[a:z], best, end):
+            if b >= items.least[item]:
+                e = l + int(e)
+                l = max(l, e - int(items.reach[item]))
+                _, back = align(x[::-1], [w[l:e][::-1]])
+                out.append((t, item, b / (MATCH * len(x)), e - int(back[0]) - int(begin_of[t]), e - 1 - int(begin_of[t])))
+        a = z
     return out
 
 
@@ -196,27 +239,27 @@ def item_blocks(benchmark: DataFrame, key: str, text: str):
         yield Items(ids, texts)
 
 
-def seeded_blocks(rows: DataFrame, benchmark: DataFrame, item_key: str, text: str):
-    """Broadcast blocks of test items with their seeds, the rarest grams by the
-    number of ``rows`` (one column text) that have them."""
+def seeded_blocks(rows: DataFrame, benchmark: DataFrame, item_key: str, text: str, least: float):
+    """Broadcast blocks of test items with their seeds, chosen by how often
+    ``rows`` (one column text) have them."""
     spark = rows.sparkSession
     for items in item_blocks(benchmark, item_key, text):
         shared = spark.sparkContext.broadcast(items)
 
         def count(batches, shared=shared):
+            total = np.zeros(len(shared.value.keys), np.int64)
             for b in batches:
-                total: dict = {}
                 for _, buf, off in slabs(b):
-                    w, d = folded_words(buf, off)
-                    for n, p, k in shared.value.hits(w, d):
-                        u, c = np.unique(np.unique(d[p] * np.int64(1 << 32) + k) & np.int64((1 << 32) - 1), return_counts=True)
-                        for x, y in zip(u.tolist(), c.tolist()):
-                            total[n, x] = total.get((n, x), 0) + y
-                yield pa.record_batch([pa.array([a for a, _ in total], pa.int64()), pa.array([g for _, g in total], pa.int64()), pa.array(list(total.values()), pa.int64())], names=["n", "gram", "docs"])
-
-        # one row per gram of the block: bounded by BLOCK_BYTES
-        df = rows.mapInArrow(count, "n long, gram long, docs long").groupBy("n", "gram").agg(F.sum("docs").alias("docs")).collect()
-        items.keep_rarest({(r["n"], r["gram"]): r["docs"] for r in df})
+                    for _, k in shared.value.hits(*folded_words(buf, off)):
+                        total += np.bincount(k, minlength=len(total))
+            some = np.flatnonzero(total)
+            yield pa.record_batch([pa.array(some), pa.array(total[some])], names=["seed", "n"])
+
+        # one row per seed of the block: bounded by BLOCK_BYTES
+        table = rows.mapInArrow(count, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).toArrow()
+        freq = np.zeros(len(items.keys), np.int64)
+        freq[table["seed"].to_numpy()] = table["n"].to_numpy()
+        items.keep_rarest(freq, least)
         yield spark.sparkContext.broadcast(items)
 
 
@@ -226,14 +269,14 @@ def find(docs: DataFrame, benchmark: DataFrame, least: float = 0.4, key: str = "
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.lower(text_or_empty(text)).alias("text")).filter("doc is not null")
     kinds = "doc long, item long, score double, first_word long, last_word long"
     out = docs.sparkSession.createDataFrame([], kinds)
-    for seeds in seeded_blocks(rows.select("text"), benchmark, item_key, text):
+    for seeds in seeded_blocks(rows.select("text"), benchmark, item_key, text, least):
 
         def run(batches, seeds=seeds):
             for b in batches:
                 ids = long_column(b, "doc")
                 for at, buf, off in slabs(b):
                     w, d = folded_words(buf, off)
-                    got = match_slab(seeds.value, w, d, least) if len(w) else []
+                    got = match_slab(seeds.value, w, d) if len(w) else []
                     yield pa.record_batch(
                         [
                             pa.array([ids[at.start + g[0]] for g in got], pa.int64()),
@@ -257,13 +300,13 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.4,
     lower = F.lower(text_or_empty(text))
     out = docs
     (name,) = fresh(docs, "_hit")
-    for seeds in seeded_blocks(docs.select(lower.alias("text")), benchmark, item_key, text):
+    for seeds in seeded_blocks(docs.select(lower.alias("text")), benchmark, item_key, text, least):
 
         def compute(batch: pa.RecordBatch, seeds=seeds) -> pa.Array:
             hit = np.zeros(batch.num_rows, bool)
             for at, buf, off in slabs(batch):
                 w, d = folded_words(buf, off)
-                for g in match_slab(seeds.value, w, d, least) if len(w) else ():
+                for g in match_slab(seeds.value, w, d) if len(w) else ():
                     hit[at.start + g[0]] = True
             return pa.array(hit)
 

@@ -209,6 +209,36 @@ def test_alignment_against_brute_force():
         assert best.tolist() == [brute(item.tolist(), t.tolist()) for t in texts]
 
 
+def test_every_passage_above_the_threshold_is_found(make, spark):
+    rng = random.Random(16)
+    voc = [f"v{i}" for i in range(400)]
+    items = [[rng.choice(voc) for _ in range(n)] for n in [*range(1, 12), *(rng.randint(18, 50) for _ in range(20))]]
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    docs, regular = [], set()
+    for i, item in enumerate(items):
+        for n in (3, 4, 5, 6):  # every n-th word replaced
+            regular |= {(len(docs), i)} if len(item) >= 18 else set()
+            docs.append([f"q{len(docs)}x{j}" if j % n == n - 1 else w for j, w in enumerate(item)])
+        docs.append([y for j, w in enumerate(item) for y in ((w, "new") if j % 2 else (w,))])  # a word put in after every second
+        docs.append([y for w in item for y in (w, "new")])  # and after every word
+        docs.append([w for j, w in enumerate(item) if j % 3])  # every third left out
+        for share in (0.2, 0.3, 0.45):
+            docs.append(edit(item, rng, share))
+        docs.append(item[: len(item) // 2] + [rng.choice(voc) for _ in range(10)])
+    docs = [[*rng.choices(voc, k=rng.randint(0, 30)), *w, *rng.choices(voc, k=rng.randint(0, 30))] for w in docs]
+    words = {w: np.uint64(i) for i, w in enumerate({w for t in [*docs, *items] for w in t})}
+    coded = [np.array([words[w] for w in t], np.uint64) for t in docs]
+    want = {}
+    for i, item in enumerate(items):
+        best, _ = decontaminate.align(np.array([words[w] for w in item], np.uint64), coded)
+        for d, b in enumerate(best.tolist()):
+            if b >= max(0.8 * len(item), min(2 * len(item), 12)):
+                want[d, i] = b / (2 * len(item))
+    assert regular <= want.keys()
+    got = decontaminate.find(make([(d, " ".join(t)) for d, t in enumerate(docs)]), bench)
+    assert {(r["doc_id"], r["item_id"]): r["score"] for r in got.collect()} == want
+
+
 def test_decontamination_odd_rows(make, odd, spark):
     bench = spark.createDataFrame([(1, None), (2, ""), (3, "Ünïcode WÖRDS ❤ and — dashes."), (3, "x")], "item_id long, text string")
     got = decontaminate.find(make(odd, clash=True), bench).collect()
