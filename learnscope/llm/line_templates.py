@@ -5,8 +5,14 @@ A line (between ``\\n``) goes down the tree by its number of tokens and its firs
 a position whose most frequent token holds at least half of the leaf's weight is
 constant, any other is variable; that gives the leaf's template. A line whose
 share of tokens equal to the template's constants is at least ``SIMILAR``
-belongs to the template; any other line is a template of its own. A template
-found in ``MIN_DOCS`` or more documents is recurring: its lines are dropped from
+belongs to the template. The other lines of the leaf are judged again without
+those, by the majority among themselves. Where no line fits, the leaf is cut in
+groups by the tokens at one position: the one whose tokens are the most
+concentrated (greatest sum of squared weights) of those that vary and have a token of
+``MIN_DOCS`` or more; rarer tokens of that position stay together. So a leaf has
+as many templates as its lines need. A line that shares too few tokens
+with others of its group to fit any template of ``MIN_DOCS`` lines, or whose group
+cannot be cut, is a template of its own. A template found in ``MIN_DOCS`` or more documents is recurring: its lines are dropped from
 every document but the one with the smallest key.
 
 Work: one pass over the texts counts leaves (summed in the task first), a
@@ -126,17 +132,50 @@ def line_templates(found: DataFrame) -> DataFrame:
     text. Weights are occurrences."""
     lines = found.groupBy("leaf", "line").agg(F.first("tokens").alias("tokens"), F.sum(F.size("docs")).alias("n"))
     lines = materialize(lines.withColumn("tokens", F.split("tokens", " ")), "lines")
-    at = lines.select("leaf", "n", F.posexplode("tokens").alias("pos", "token"))
-    per = at.groupBy("leaf", "pos", "token").agg(F.sum("n").alias("n"))
-    top = per.groupBy("leaf", "pos").agg(F.max(F.struct("n", "token")).alias("top"), F.sum("n").alias("n"))
-    top = top.withColumn("c", F.when(2 * F.col("top.n") >= F.col("n"), F.col("top.token")).otherwise(F.lit("<*>")))
-    # one entry per position of a line: bounded by the longest line of the leaf
-    trees = top.groupBy("leaf").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "c"))), lambda x: x["c"]).alias("template"))
-    both = lines.join(trees, "leaf")
+    rest, of = lines.withColumnRenamed("leaf", "grp"), None
+    while of is None or not rest.isEmpty():
+        fitting, rest = one_round(rest)
+        of = fitting if of is None else of.unionAll(fitting)
+    # single spaces inside; the count of tokens is part of the leaf, and so of the text
+    return lines.join(of, "line", "left").select("line", F.coalesce("template", F.array_join("tokens", " ")).alias("template"))
+
+
+def weights(lines: DataFrame) -> DataFrame:
+    """(grp, pos, token, n): occurrences of every token at every position."""
+    at = lines.select("grp", "n", F.posexplode("tokens").alias("pos", "token"))
+    return at.groupBy("grp", "pos", "token").agg(F.sum("n").alias("n"))
+
+
+def one_round(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(line, template) of the lines (grp, line, tokens, n) that fit their
+    group's template, and the others that may fit one of a smaller group, with
+    their next group."""
+    top = weights(lines).groupBy("grp", "pos").agg(F.max(F.struct("n", "token")).alias("top"), F.sum("n").alias("n"), F.sum(F.col("n").cast("double") * F.col("n")).alias("square"))
+    top = top.withColumn("c", F.when(2 * F.col("top.n") >= F.col("n"), F.col("top.token")).otherwise(F.lit(FIELD.decode())))
+    cut = F.when((F.col("top.n") >= MIN_DOCS) & (F.col("top.n") < F.col("n")), F.struct("square", (-F.col("pos")).alias("pos")))
+    # one entry per position of a line: bounded by the longest line of the group
+    trees = top.groupBy("grp").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("pos", "c"))), lambda x: x["c"]).alias("template"),
+        F.max("n").alias("weight"),
+        (-F.max(cut)["pos"]).alias("cut"),
+    ).filter(F.col("weight") >= MIN_DOCS)
+    both = lines.join(trees.drop("weight"), "grp")
     same = F.size(F.filter(F.zip_with("tokens", "template", lambda a, b: a == b), lambda x: x))
     fits = same >= SIMILAR * F.size("tokens")
-    # single spaces inside; the count of tokens is part of the leaf, and so of the text
-    return both.select("line", F.array_join(F.when(fits, F.col("template")).otherwise(F.col("tokens")), " ").alias("template"))
+    judged = materialize(both.withColumn("fits", fits).withColumn("template", F.when(fits, F.array_join("template", " "))), "judged-lines")
+    others = judged.filter(~F.col("fits")).select("grp", "line", "tokens", "n", "cut")
+
+    # a constant has half of a group's weight, MIN_DOCS or more: lines with too few tokens of that weight are done
+    some = weights(others).filter(2 * F.col("n") >= MIN_DOCS).select("grp", "pos", "token", F.col("n").alias("w"))
+    at = others.select("grp", "line", F.size("tokens").alias("size"), "cut", F.posexplode("tokens").alias("pos", "token")).join(some, ["grp", "pos", "token"])
+    open_ = at.groupBy("grp", "line").agg(
+        F.count(F.lit(1)).alias("shared"), F.first("size").alias("size"), F.max(F.when((F.col("pos") == F.col("cut")) & (F.col("w") >= MIN_DOCS), F.col("token"))).alias("branch")
+    ).filter(F.col("shared") >= SIMILAR * F.col("size")).select("line", "branch")
+    # a group that lost lines is judged again as it is; one that did not is cut, or is done
+    lost = judged.filter("fits").select("grp").distinct().withColumn("lost", F.lit(True))
+    next_ = others.join(open_, "line").join(lost, "grp", "left").filter(F.col("lost") | F.col("cut").isNotNull())
+    group = F.when(F.col("lost"), F.col("grp")).otherwise(F.xxhash64("grp", "cut", F.coalesce("branch", F.lit("")), F.col("branch").isNull()))
+    return judged.filter("fits").select("line", "template"), materialize(next_.select(group.alias("grp"), "line", "tokens", "n"), "open-lines")
 
 
 def recurring(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:

@@ -220,6 +220,22 @@ def test_variable_names_are_generalised(make):
     assert [(r["template"], r["n_docs"], r["first_doc"]) for r in templates.collect()] == [("Shared by the team member <*> in March", 6, 0)]
 
 
+def test_a_leaf_keeps_several_templates(make):
+    hot = [(i, "This article was first published on our main web site") for i in range(40)]
+    names = [(100 + i, f"This article was written by {'abcdefghijklmnopqrstuvwxyz'[i % 26]}{'xyz'[i // 26]} for our weekly newsletter") for i in range(30)]
+    third = [(200 + i, f"This article was reviewed twice before {'abcdefghijklmnopqrstuvwxyz'[i]} it appeared") for i in range(25)]
+    fourth = [(300 + i, f"This article was last updated during {'abcdefghijklmnopqrstuvwxyz'[i]} late autumn") for i in range(26)]
+    alone = [(400, "This article was q w e r t y u")]
+    templates, drops = line_templates.recurring(make([*hot, *names, *third, *fourth, *alone]))
+    assert {(r["template"], r["n_docs"], r["first_doc"]) for r in templates.collect()} == {
+        ("This article was first published on our main web site", 40, 0),
+        ("This article was written by <*> for our weekly newsletter", 30, 100),
+        ("This article was reviewed twice before <*> it appeared", 25, 200),
+        ("This article was last updated during <*> late autumn", 26, 300),
+    }
+    assert drops.count() == 39 + 29 + 24 + 25
+
+
 def test_templates_on_odd_rows(make, odd):
     out = line_templates.drop_recurring(make(odd, clash=True)).collect()
     assert len(out) == len(odd)
