@@ -19,8 +19,10 @@ come to one block:
 3. A string is removed in every document but the smallest that has it; each
    document merges its removed stretches.
 
-Blocks are bounded by ``BLOCK`` bytes of distinct stretches (a key's stretches
-stay together); a stretch that very many documents share is sent once per batch.
+Blocks are bounded by about ``BLOCK`` bytes of stretches: a key with more (a
+phrase that many documents hold between different neighbours) is not put in a
+block; its strings meet in a second shuffle by all their bytes. A stretch
+that very many documents share is sent once per batch.
 
 Defined cases: null and empty texts have no bytes; texts shorter than ``length``
 lose none; a string repeated inside one document does not remove itself; rows
@@ -244,12 +246,13 @@ def block_removals(key, texts: list[bytes], doc, start, length: int):
 
 
 def removals(parts: DataFrame, length: int, limit: int = BLOCK) -> DataFrame:
-    """(doc, version, first, last): starts of the strings to remove."""
+    """(doc, version, first, last, bytes): starts of the strings to remove, and,
+    with their ``bytes``, the stretches of keys too large for a block (see ``settled``)."""
     n = shuffle_partitions(parts)
     met = parts.repartition(n, F.when(F.col("bytes").isNull(), F.col("doc")).otherwise(F.col("key"))).sortWithinPartitions("key")
 
     def run(batches):
-        held, size = [], 0
+        held, size, large = [], 0, None  # rows of the next block, their bytes, the key that is passed on
         for b in batches:
             b = pa.Table.from_batches([b])
             done = b.filter(b["bytes"].is_null())
@@ -258,36 +261,59 @@ def removals(parts: DataFrame, length: int, limit: int = BLOCK) -> DataFrame:
                 yield out(done["doc"].to_numpy(), done["version"].to_numpy(), first, first + done["strings"].to_numpy() - 1)
             b = b.filter(b["bytes"].is_valid())
             while b.num_rows:
-                # whole keys only: a block is closed where the key changes
                 key = b["key"].to_numpy()
-                if size >= limit:
-                    same = int(np.searchsorted(key, held[-1]["key"][-1].as_py(), "right"))
-                    if same < len(key):
-                        yield block(held + ([b.slice(0, same)] if same else []))
-                        held, size = [], 0
+                if large is not None:
+                    same = int(np.searchsorted(key, large, "right"))
+                    if same:
+                        yield passed(b.slice(0, same))
                         b = b.slice(same)
-                        continue
-                    held.append(b)
-                    size += b["bytes"].nbytes
-                    break
-                ends = np.cumsum(pc.binary_length(b["bytes"]).to_numpy())
-                take = min(int(np.searchsorted(ends, limit - size)) + 1, len(key))
-                held.append(b.slice(0, take))
-                size += int(ends[take - 1])
-                b = b.slice(take)
-        if held:
-            yield block(held)
-
-    def block(held):
-        t = pa.concat_tables(held)
+                    large = large if same == len(key) else None
+                elif size >= limit:
+                    # a block is closed where the key changes; a key that fills one alone is passed on
+                    t = pa.concat_tables(held)
+                    last = t["key"][-1].as_py()
+                    cut = int(np.searchsorted(t["key"].to_numpy(), last)) if key[0] == last else t.num_rows
+                    if cut:
+                        yield block(t.slice(0, cut))
+                    t = t.slice(cut)
+                    held, size = [t], int(pc.sum(pc.binary_length(t["bytes"])).as_py() or 0)
+                    if size >= limit:
+                        yield passed(t)
+                        held, size, large = [], 0, last
+                else:
+                    ends = np.cumsum(pc.binary_length(b["bytes"]).to_numpy())
+                    take = min(int(np.searchsorted(ends, limit - size)) + 1, len(key))
+                    held.append(b.slice(0, take))
+                    size += int(ends[take - 1])
+                    b = b.slice(take)
+        if size:
+            yield block(pa.concat_tables(held))
+
+    def block(t):
         doc, version, start = (t[c].to_numpy() for c in ("doc", "version", "start"))
         row, first, last = block_removals(t["key"].to_numpy(), t["bytes"].to_pylist(), doc, start, length)
         return out(doc[row], version[row], first, last)
 
-    def out(doc, version, first, last):
-        return pa.record_batch([pa.array(x) for x in (doc, version, first, last)], names=["doc", "version", "first", "last"])
+    def passed(t):
+        start = t["start"].to_numpy()
+        return out(t["doc"].to_numpy(), t["version"].to_numpy(), start, start + t["strings"].to_numpy() - 1, t["bytes"].combine_chunks())
 
-    return met.mapInArrow(run, "doc long, version long, first long, last long")
+    def out(doc, version, first, last, data=None):
+        data = pa.nulls(len(doc), pa.binary()) if data is None else data
+        return pa.record_batch([*(pa.array(x) for x in (doc, version, first, last)), data], names=["doc", "version", "first", "last", "bytes"])
+
+    return met.mapInArrow(run, "doc long, version long, first long, last long, bytes binary")
+
+
+def settled(found: DataFrame, length: int) -> DataFrame:
+    """(doc, version, first, last): the result of ``removals`` with the stretches
+    of large keys settled string by string: their strings meet by all their
+    bytes, in as many partitions as there are."""
+    rows = found.filter("bytes is not null").select("doc", "version", "first", "bytes", F.explode(F.sequence(F.lit(0), (F.col("last") - F.col("first")).cast("int"))).alias("i"))
+    strings = rows.select("doc", "version", (F.col("first") + F.col("i")).alias("first"), F.substring("bytes", F.col("i") + 1, F.lit(length)).alias("s"))
+    least = strings.groupBy("s").agg(F.min("doc").alias("least"))
+    gone = strings.join(least, "s").filter("doc > least").select("doc", "version", "first", F.col("first").alias("last"))
+    return found.filter("bytes is null").drop("bytes").unionByName(gone)
 
 
 def kept_bytes(rows: DataFrame, length: int) -> DataFrame:
@@ -346,7 +372,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", text: str
     keys = materialize(keys.join(done, "doc", "left"), "bwt-keys")  # a document's own keys: bounded by its text
     meant = own.join(keys.hint("shuffle_hash"), "doc").filter("done is null or not array_contains(done, version)")
     meant = meant.select("doc", "text", "version", "keys")
-    gone = materialize(removals(stretches(meant, length), length, block), "bwt-removals").unionByName(copies)
+    gone = settled(materialize(removals(stretches(meant, length), length, block), "bwt-removals"), length).unionByName(copies)
     gone = gone.groupBy("doc", "version").agg(F.collect_list(F.struct("first", "last")).alias("removed"))
     out = rows.join(gone.hint("shuffle_hash"), ["doc", "version"], "left").select("doc", "text", "removed")
     return kept_bytes(out, length).withColumnRenamed("doc", key)

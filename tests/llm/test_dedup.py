@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from learnscope.llm import bwt_dedup, line_templates, recompression, simhash_vptree
 
@@ -205,6 +206,19 @@ def test_simhash_empty(make):
 # ---- line templates
 
 
+def test_a_key_larger_than_a_block(make):
+    rng = np.random.default_rng(12)
+    noise = lambda n: bytes(rng.integers(97, 123, n, dtype=np.uint8)).decode()
+    phrase, longer = noise(40), noise(8)
+    docs = [(i, noise(60) + (longer if i % 9 == 0 else noise(8)) + phrase + (longer if i % 6 == 0 else noise(8)) + noise(60)) for i in range(120)]
+    rows = make(docs).selectExpr("doc_id as doc", "text")
+    keys = bwt_dedup.shared_keys(bwt_dedup.candidate_keys(rows, 50)).groupBy("doc").agg(F.collect_list("key").alias("keys"))
+    parts = bwt_dedup.stretches(rows.withColumn("version", F.lit(0).cast("long")).join(keys, "doc").select("doc", "text", "version", "keys"), 50)
+    found = bwt_dedup.removals(parts, 50, 1000)
+    assert found.filter("bytes is not null").count() > 0  # not one block, whatever the number of documents
+    assert sorted((tuple(r) for r in bwt_dedup.dedup(make(docs), block=1000).collect()), key=str) == brute_bytes(docs)
+
+
 def test_recurring_templates_are_dropped(make):
     docs = [(i, f"{'abcdefgh'[i]} unique opening sentence of this text\nPage {i} of 10\nPosted by user{i} on Monday\nshort\nclosing {'hgfedcba'[i]} remark of the author") for i in range(8)]
     out = {r["doc_id"]: r for r in line_templates.drop_recurring(make(docs, clash=True)).collect()}
