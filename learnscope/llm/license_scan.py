@@ -15,6 +15,8 @@ equal ones.
 
 from __future__ import annotations
 
+from importlib import resources
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -121,10 +123,20 @@ def canonical(text: Column) -> Column:
     return whole_form(line_forms(text))
 
 
+def shipped_digests() -> list[tuple[str, str, int]]:
+    """(license, digest, length) of whole licences whose texts are not kept here:
+    canonicalised once, by this module's form."""
+    rows = resources.files(__package__).joinpath("license_digests.tsv").read_text("utf-8").splitlines()
+    return [(name, digest, int(length)) for name, digest, length in (r.split("\t") for r in rows)]
+
+
 def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
-    """(digest, license, length): one row per digest of a known text."""
+    """(digest, license, length): one row per digest of a known text, and of the
+    shipped digests."""
     df = spark.createDataFrame(known, "license string, body string").select("license", canonical(F.col("body")).alias("form"))
-    return df.groupBy(F.sha2("form", 256).alias("digest")).agg(F.min("license").alias("license"), F.first(F.length("form")).alias("length"))
+    df = df.select("license", F.sha2("form", 256).alias("digest"), F.length("form").alias("length"))
+    df = df.unionByName(spark.createDataFrame(shipped_digests(), "license string, digest string, length int"))
+    return df.groupBy("digest").agg(F.min("license").alias("license"), F.first("length").alias("length"))
 
 
 def digests(df: DataFrame, licenses: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -1,6 +1,7 @@
 """Classifier, licences, mix, rules, decontamination, token counts, pipeline."""
 
 import json
+import os
 import random
 from fractions import Fraction
 
@@ -53,6 +54,20 @@ def test_dual_descent_separates():
 # ---- licences
 
 
+def test_whole_licences_are_known(spark, make):
+    folder = "/usr/share/common-licenses"
+    names = {"Apache-2.0": "Apache-2.0", "CC0-1.0": "CC0-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-3": "LGPL-3.0", "MPL-2.0": "MPL-2.0"}
+    if not all(os.path.exists(f"{folder}/{f}") for f in names):
+        pytest.skip("no licence texts on this machine")
+    texts = []
+    for f in names:
+        with open(f"{folder}/{f}", encoding="utf-8") as t:
+            texts.append("  ".join(t.read().upper().split(" ")))
+    docs = make([*enumerate(texts), (99, texts[0] + " and more")])
+    got = {r["doc_id"]: r["license"] for r in license_scan.scan(docs, license_scan.known_digests(spark)).collect()}
+    assert got == {**dict(enumerate(names.values())), 99: None}
+
+
 def test_license_digests(spark, make, odd):
     mit = dict(license_scan.KNOWN)["MIT"]
     noisy = "Copyright (c) 2020 Someone\n\n" + mit.upper().replace(",", " ,")
