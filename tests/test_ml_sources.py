@@ -164,3 +164,14 @@ def test_files_are_read_under_their_own_headers(spark, tmp_path):
     assert bad == {"no_time.csv": ("missing_columns", ["asked_at"]), "no_rows.csv": ("empty", [])}
     more = {r["file"].rsplit("/", 1)[1]: r["reason"] for r in io.rejected_files(spark, str(tmp_path), recursive=True, required=["asked_at"], session_files=True).collect()}
     assert more["log.csv"] == "missing_class"
+
+
+def test_no_header_name_is_left_out(spark, tmp_path):
+    from learnscope.sources import io
+
+    known = list(io.REQUIRED_TURN_COLUMNS)
+    for i in range(20):
+        names = [*known, *(f"x{i}_{j}" for j in range(55))]
+        (tmp_path / f"f{i}.csv").write_text(",".join(names) + "\n" + ",".join("v" for _ in names) + "\n", encoding="utf-8")
+    got = set(io.read_turns_csv(spark, str(tmp_path), clean=False).columns)
+    assert {*known, *(f"x{i}_{j}" for i in range(20) for j in range(55))} <= got
