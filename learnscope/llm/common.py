@@ -130,13 +130,14 @@ def long_column(batch: pa.RecordBatch, name: str) -> np.ndarray:
     return batch.column(batch.schema.get_field_index(name)).to_numpy(zero_copy_only=False)
 
 
-def word_spans(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ends, text number) of every word of a slab."""
+def word_spans(buf: np.ndarray, off: np.ndarray, space: np.ndarray = _WS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, text number) of every word of a slab; ``space`` marks the
+    bytes that are in no word."""
     n = len(buf)
     if n == 0:
         z = np.empty(0, np.int64)
         return z, z, z
-    word = ~_WS[buf]
+    word = ~space[buf]
     first = np.empty(n, bool)
     first[0] = True
     np.logical_not(word[:-1], out=first[1:])

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bwt_dedup, decontaminate, license_scan, line_templates, nbsvm, quality_cascade, recompression, simhash_vptree, source_mix, sql, token_counts
+from . import bwt_dedup, credentials, decontaminate, importance, license_scan, line_templates, nbsvm, quality_cascade, recompression, simhash_vptree, source_mix, sql, token_alignment, token_counts
 from .common import WORDS, materialize, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,22 @@ def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     hist = token_counts.length_histogram(read(spark, sf_dir, "documents"), token_counts.rank_file_encoder(spark))
     return token_counts.suffix_sums(hist)
+
+
+@query
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = credentials.scan(read(spark, sf_dir, "documents"))
+    counts = (F.size(F.filter("base", lambda s: s["kind"] == credentials.KINDS.index(k))).cast("long").alias(f"n_{k}") for k in credentials.BASE)  # noqa: B023
+    return found.select("doc_id", *counts, F.sha2(credentials.spelled(F.col("base")), 256).alias("base_sha256"), credentials.spelled(F.col("spans")).alias("spans"))
+
+
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.alignment(read(spark, sf_dir, "documents"))
+
+
+@query
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = importance.score(docs, read(spark, sf_dir, "benchmark")).drop("text")
+    return importance.ranked(scored, 25, F.col("n_words") >= 20).select("doc_id", "n_features", "weight", "score", "rank")

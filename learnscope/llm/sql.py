@@ -123,3 +123,45 @@ SELECT t.doc_id, len(t.x) // 2 AS n_bytes, (len(t.x) - len(coalesce(k.x, t.x)))
   sha256(unhex(coalesce(k.x, t.x))) AS kept_sha256
 FROM t LEFT JOIN kept k USING (doc_id)
 """
+
+# CRC-32 of each distinct feature, a byte at a time from a table made by the rule of its polynomial
+op13_importance_resampling = r"""
+WITH steps AS (
+  SELECT list(list_reduce(list_concat([i], range(8)), lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY i) AS t
+  FROM (SELECT unnest(range(256)) AS i)
+),
+txt AS (
+  SELECT 's' AS side, doc_id AS id, text FROM documents
+  UNION ALL SELECT 't', row_number() OVER (), text FROM benchmark
+),
+w AS (
+  SELECT side, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM txt
+),
+f AS (
+  SELECT side, id, unnest(w) AS f FROM w
+  UNION ALL
+  SELECT side, id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM w
+),
+h AS (SELECT f, lower(hex(encode(f))) AS x FROM (SELECT DISTINCT f FROM f)),
+c AS (
+  SELECT f, xor(list_reduce(
+      list_concat([4294967295], list_transform(range(len(x) // 2), lambda i: ('0x' || x[2 * i + 1 : 2 * i + 2])::BIGINT)),
+      lambda a, b: xor(a >> 8, t[1 + (xor(a, b) & 255)])), 4294967295) % 10000 AS bucket
+  FROM h, steps
+),
+b AS (SELECT side, id, bucket, count(*) AS n FROM f JOIN c USING (f) GROUP BY ALL),
+s AS (SELECT bucket, coalesce(sum(n) FILTER (side = 's'), 0) AS s, coalesce(sum(n) FILTER (side = 't'), 0) AS t FROM b GROUP BY bucket),
+gain AS (
+  SELECT bucket, floor(1000 * ln(((t + 1)::DOUBLE * ((SELECT sum(s) FROM s) + 10000)::DOUBLE) / ((s + 1)::DOUBLE * ((SELECT sum(t) FROM s) + 10000)::DOUBLE)))::BIGINT AS g
+  FROM s
+),
+d AS (SELECT id AS doc_id, sum(n)::BIGINT AS n_features, floor(sum(n * g)::DOUBLE / sum(n))::BIGINT AS weight FROM b JOIN gain USING (bucket) WHERE side = 's' GROUP BY id),
+r AS (
+  SELECT w.id AS doc_id, len(w.w) >= 20 AS long, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('7:' || w.id)[1:8])::BIGINT + 0.5) / 4294967296)))::BIGINT AS score
+  FROM w LEFT JOIN d ON w.id = d.doc_id WHERE w.side = 's'
+),
+k AS (SELECT *, row_number() OVER (PARTITION BY long ORDER BY score DESC, doc_id) AS k, 25 * count(*) FILTER (long) OVER () // 100 AS n FROM r)
+SELECT doc_id, n_features, weight, score, CASE WHEN long AND k <= n THEN k END AS rank FROM k
+"""
