@@ -32,8 +32,11 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import json
 import os
+import re
 from collections.abc import Iterator
+from functools import cache
 from itertools import groupby
 
 import numpy as np
@@ -44,11 +47,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import materialize, shuffle_partitions, slabs, text_or_empty
+from .token_counts import PATTERN
 
 TOKENIZER_A = "/opt/tokenizers/byte_bpe_50k.json"
 TOKENIZER_B = "/opt/tokenizers/piece_bpe_32k.model"
 RUN_LINKS = 1 << 20  # links of a block, at least (its last text is whole)
 RUN_DOCS = 1 << 15  # documents of a block, at most
+DEEP = 50_000  # white space characters in a row
+_DEEP = re.compile(rf"\s{{{DEEP}}}")
 RESULTS = ("n_a", "n_b", "n_groups", "n_links")
 
 # ---- the two vocabularies ----------------------------------------------------
@@ -74,7 +80,10 @@ class Vocabulary:
 
 
 def byte_level_vocabulary(data: bytes) -> Vocabulary:
+    """The vocabulary of a byte-level file. Where its merges are numbered in the
+    order they apply, as ranks, the faster encoder of ranks gives the same ids."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
+    import tiktoken
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_str(data.decode())
@@ -83,7 +92,20 @@ def byte_level_vocabulary(data: bytes) -> Vocabulary:
     back, pieces = _byte_level(), [b""] * (max(entries.values()) + 1)
     for entry, i in entries.items():
         pieces[i] = bytes(back[c] for c in entry) if all(c in back for c in entry) else entry.encode()
-    return Vocabulary(lambda texts: [e.ids for e in t.encode_batch_fast([" " + x for x in texts], add_special_tokens=False)], pieces)
+    model = json.loads(data)["model"]
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    n = len(model["vocab"]) - len(merges)
+    if any(model["vocab"][x + y] != n + i for i, (x, y) in enumerate(merges)):
+        return Vocabulary(lambda texts: [e.ids for e in t.encode_batch_fast([" " + x for x in texts], add_special_tokens=False)], pieces)
+
+    def encode(texts: list[str]) -> list[list[int]]:
+        # the pattern of the encoder of ranks needs a stack as deep as a run of white space is long
+        deep = [len(x) >= DEEP and _DEEP.search(x) is not None for x in texts]
+        return [t.encode(" " + x, add_special_tokens=False).ids if d else fast.encode_ordinary(" " + x) for x, d in zip(texts, deep)]
+
+    ranks = {pieces[i]: i for i in model["vocab"].values()}
+    fast = tiktoken.Encoding("byte-level", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return Vocabulary(encode, pieces)
 
 
 def piece_vocabulary(data: bytes) -> Vocabulary:
@@ -119,15 +141,23 @@ def vocabularies(spark: SparkSession, path_a: str = TOKENIZER_A, path_b: str = T
 # ---- one text ----------------------------------------------------------------
 
 
+@cache
+def _digits(top: int) -> np.ndarray:
+    """The decimal digits of the numbers below ``top``, 0 before the first one."""
+    tens = 10 ** np.arange(len(str(top)) - 1, -1, -1)
+    every = np.arange(top)[:, None]
+    return np.where((every >= tens) | (tens == 1), every // tens % 10 + 48, 0).astype(np.uint8)
+
+
 def spell(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Decimal ids, each followed by its byte of ``ends``, as one byte array, and
     the length of each."""
-    tens = 10 ** np.arange(len(str(max(int(ids.max(initial=0)), 1))) - 1, -1, -1)
-    cells = np.empty((len(ids), len(tens) + 1), np.uint8)
-    cells[:, :-1] = (ids[:, None] // tens) % 10 + 48
+    top = int(ids.max(initial=0)) + 1
+    digits = _digits(1 << (top - 1).bit_length())
+    cells = np.empty((len(ids), digits.shape[1] + 1), np.uint8)
+    cells[:, :-1] = digits[ids]
     cells[:, -1] = ends
-    shown = np.ones(cells.shape, bool)
-    shown[:, :-1] = ids[:, None] >= np.where(tens > 1, tens, 0)
+    shown = cells > 0
     return cells[shown], shown.sum(axis=1)
 
 
@@ -137,15 +167,19 @@ def align(a: np.ndarray, b: np.ndarray, docs_a: np.ndarray, docs_b: np.ndarray,
     bytes of all spellings with their lengths by text. Every token has bytes,
     so at most one of each side ends at an offset: a link for each group."""
     end_a, end_b = np.cumsum(size_a), np.cumsum(size_b)
-    met = end_a[np.isin(end_a, end_b, assume_unique=True)]  # ends of texts are among them
-    last_a, last_b = np.searchsorted(end_a, met), np.searchsorted(end_b, met)
-    sep_a, sep_b = np.full(len(a), ord(","), np.uint8), np.full(len(b), ord(","), np.uint8)
-    sep_a[last_a], sep_b[last_b] = ord("|"), ord(";")
-    side = np.concatenate([np.searchsorted(met, end_a) * 2, np.searchsorted(met, end_b) * 2 + 1])
-    order = np.argsort(side, kind="stable")
-    text, length = spell(np.concatenate([a, b])[order], np.concatenate([sep_a, sep_b])[order])
-    lengths = np.bincount(np.concatenate([docs_a, docs_b])[order], weights=length, minlength=n_docs).astype(np.int64)
-    return a[last_a], b[last_b], docs_a[last_a], text, lengths
+    at = np.zeros((2, int(size_a.sum()) + 1), bool)
+    at[0, end_a], at[1, end_b] = True, True
+    met_a, met_b = at[1, end_a], at[0, end_b]  # ends of texts are among them
+    last_a, last_b = np.flatnonzero(met_a), np.flatnonzero(met_b)
+    sep_a, sep_b = np.where(met_a, ord("|"), ord(",")), np.where(met_b, ord(";"), ord(","))
+    # a group's A ids come after the B ids of those before, its B ids after its own A ids
+    to_a = np.arange(len(a)) + np.concatenate([[0], last_b + 1])[np.cumsum(met_a) - met_a]
+    to_b = np.arange(len(b)) + (last_a + 1)[np.cumsum(met_b) - met_b]
+    ids, seps = np.empty(len(a) + len(b), np.int64), np.empty(len(a) + len(b), np.uint8)
+    ids[to_a], ids[to_b], seps[to_a], seps[to_b] = a, b, sep_a, sep_b
+    text, length = spell(ids, seps)
+    lengths = (np.bincount(docs, weights=length[to], minlength=n_docs).astype(np.int64) for docs, to in ((docs_a, to_a), (docs_b, to_b)))
+    return a[last_a], b[last_b], docs_a[last_a], text, sum(lengths)
 
 
 # ---- runs --------------------------------------------------------------------

@@ -1,6 +1,7 @@
 """Cross-tokenizer alignment against a plain computation with the same files."""
 
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -65,6 +66,22 @@ def test_matches_plain_computation(make, odd):
     assert got(make(rows).limit(0)) == []
 
 
+def test_ids_are_those_of_the_file_on_all_kinds_of_characters():
+    """A seventh of all code points here, in several surroundings, and mixed texts."""
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(ta.TOKENIZER_A)
+    whole.encode_special_tokens = True
+    with open(ta.TOKENIZER_A, "rb") as f:
+        a = ta.byte_level_vocabulary(f.read())
+    rng = random.Random(2)
+    bits = [" ", "  ", "\n", "\t ", "\x1c", "\x85", "\xa0", "\u180e", "\u2003", "\u200b", "it's", "'ll", "don't ", "42", "x9", "!?", "é", "日本", "🙂", "<|endoftext|>", "word", " Word", "\r\n", "ſ", "Ⅷ", "\u0301", "٣"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(40))) for _ in range(3000)] + TEXTS
+    texts += [f"a{c}{c}1{c} {c}! {c}" for c in map(chr, range(0, 0x110000, 7)) if not 0xD800 <= ord(c) < 0xE000]
+    texts += [" " * 3_000_000, "\n" * 49_000 + "x", "x" * 100_000, "!" * 100_000]
+    assert a.encode(texts) == [whole.encode(" " + t, add_special_tokens=False).ids for t in texts]
+
+
 def test_long_text_and_hot_pair(make):
     """A third of all links are one pair, and one text is larger than a block."""
     rows = [(i, "the " * 400) for i in range(12)] + [(50, " ".join(f"w{i % 997}x{i % 13}" for i in range(20_000)))] + [(60 + i, f"the w{i}") for i in range(30)]
