@@ -363,8 +363,8 @@ def dedup(docs: DataFrame, length: int = LENGTH, key: str = "doc_id", text: str
     left after removing each one that is covered by a string of ``length`` bytes
     which also starts in a document with a smaller key."""
     rows = docs.select(F.col(key).cast("long").alias("doc"), text_or_empty(text).alias("text"))
-    # tells texts apart that one doc_id has (24 bits: hardly any has more than one)
-    rows = rows.withColumn("version", F.xxhash64("text").bitwiseAND(F.lit((1 << 24) - 1)))
+    # tells texts apart that one doc_id has
+    rows = rows.withColumn("version", F.xxhash64("text"))
     own = rows.filter("doc is not null")
     copies = materialize(whole_copies(own, length), "bwt-copies")
     keys = shared_keys(candidate_keys(own.select("doc", "text"), length)).groupBy("doc").agg(F.collect_list("key").alias("keys"))

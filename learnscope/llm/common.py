@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +26,7 @@ SPACE = r"[\x20\x09-\x0D]"
 WORDS_SPLIT = SPACE + "+"
 WORDS = r"[^\x20\x09-\x0D]+"
 U64 = np.uint64
+LONG_WORD = 32  # bytes
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -198,6 +200,16 @@ class SpanHash:
     def spans(self, prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         return mix((prefix[ends] - prefix[starts]) * self.down[starts] + (ends - starts).astype(U64) * U64(0x9E3779B97F4A7C15))
 
+    def words(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hashes of words. Sums modulo 2**64 are alike for long sequences of a
+        certain structure, whatever the base, so long words get XXH64."""
+        if not len(starts):
+            return np.empty(0, U64)
+        out = self.spans(self.prefix(buf), starts, ends)
+        for i in np.flatnonzero(ends - starts >= LONG_WORD):
+            out[i] = xxhash.xxh64_intdigest(buf[starts[i]: ends[i]].tobytes(), self.base & 0xFFFFFFFF)
+        return out
+
 
 def hash_words(buf: np.ndarray, off: np.ndarray, hasher: SpanHash) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(hash, text number, start, end) of every word of a slab."""

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, SpanHash, collapse, hash_words, long_column, materialize, member, mix, shared_keys, shuffle_partitions, slabs, text_or_empty
+from .common import U64, SpanHash, collapse, long_column, materialize, member, mix, shared_keys, shuffle_partitions, slabs, text_or_empty, word_spans
 
 WINDOW = 13
 _words, _words2 = SpanHash(301), SpanHash(302)  # bytes of a word
@@ -46,6 +46,12 @@ _names, _names2 = SpanHash(303), SpanHash(304)  # word names of a span
 FLUSH = 1 << 20  # rows collapsed at a time
 
 
+def _word_names(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(name, text number, start, end) of every word of a slab."""
+    s, e, d = word_spans(buf, off)
+    return _words.words(buf, s, e), d, s, e
+
+
 def rounds_for(window: int) -> int:
     """Rounds after which a symbol still depends on fewer words than a window."""
     return max(1, int(np.log2(window)) - 1)
@@ -136,7 +142,7 @@ def candidate_names(rows: DataFrame, window: int) -> DataFrame:
             ids = long_column(b, "doc")
             keys, docs, held = [], [], 0
             for at, buf, off in slabs(b):
-                w, d, _, _ = hash_words(buf, off, _words)
+                w, d, _, _ = _word_names(buf, off)
                 s, name = window_names(w, d, window)
                 if len(s):
                     change = np.concatenate([[True], (name[1:] != name[:-1]) | (d[s[1:]] != d[s[:-1]])])
@@ -168,12 +174,12 @@ def named_windows(rows: DataFrame, window: int) -> DataFrame:
             lists = b.column(b.schema.get_field_index("keys"))
             got, held = [], 0
             for at, buf, off in slabs(b):
-                w, d, starts, ends = hash_words(buf, off, _words)
+                w, d, starts, ends = _word_names(buf, off)
                 s, name = window_names(w, d, window)
                 if not len(s):
                     continue
                 s = s[member(name, d[s], lists.slice(at.start, at.stop - at.start))]
-                second = _words2.spans(_words2.prefix(buf), starts, ends)
+                second = _words2.words(buf, starts, ends)
                 h1 = _names.spans(_names.prefix_of(w), s, s + window)
                 h2 = _names2.spans(_names2.prefix_of(second), s, s + window)
                 got.append((h1.view(np.int64), h2.view(np.int64), ids[at.start + d[s]]))
@@ -231,7 +237,7 @@ def removed_words(rows: DataFrame, window: int) -> DataFrame:
             lists = b.column(b.schema.get_field_index("removed"))
             n_words, n_removed, digest = [], [], []
             for at, buf, off in slabs(b):
-                w, d, s, e = hash_words(buf, off, _words)
+                w, d, s, e = _word_names(buf, off)
                 prefix = _names.prefix_of(w)
                 cut = np.searchsorted(d, np.arange(at.stop - at.start + 1))
                 raw = buf.tobytes()

@@ -124,6 +124,36 @@ def test_same_id_with_different_texts(make):
 # ---- SimHash
 
 
+def test_structured_long_words_do_not_meet(make):
+    """Thue-Morse words and their complements have equal polynomial sums modulo
+    2**64 in any base; documents that differ in such a word share no window."""
+    bits = [0]
+    while len(bits) < 4096:
+        bits += [1 - b for b in bits]
+    same = " ".join(f"w{i}" for i in range(12))
+    rows, n = [], 0
+    for size in (64, 512, 1024, 2048, 4096):
+        a = "".join("ab"[b] for b in bits[:size])
+        for word in (a, a.translate(str.maketrans("ab", "ba"))):
+            n += 1
+            rows.append((n, f"{word} {same} end{n}"))
+    rows.append((50, rows[0][1]))
+    got = sorted((tuple(r) for r in recompression.dedup(make(rows)).collect()), key=str)
+    assert got == brute_words(rows)
+    assert {r[0]: r[2] for r in got}[2] == 0
+
+
+def test_texts_of_one_id_with_like_hashes(spark, make):
+    """Texts whose hashes share their low 24 bits are still texts of their own."""
+    texts = spark.range(40_000).select(F.format_string("%06d xyz xyz xyz xyz xyz", F.col("id")).alias("t"))
+    low = F.xxhash64("t").bitwiseAND(F.lit((1 << 24) - 1))
+    a, b = texts.groupBy(low.alias("h")).agg(F.collect_list("t").alias("t")).filter(F.size("t") > 1).first()["t"][:2]
+    rows = [(1, a), (2, a), (2, b), (2, b[:20] + "q" * 40)]
+    got = sorted((tuple(r) for r in bwt_dedup.dedup(make(rows), length=20).collect()), key=str)
+    assert got == brute_bytes(rows, 20)
+    assert len({r[2] for r in got}) > 1
+
+
 def brute_fp(t):
     w = "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "").encode().split()
     grams = [b" ".join(w[i: i + 3]) for i in range(max(1, len(w) - 2))] if w else []
