@@ -27,7 +27,7 @@ def query(fn):
 
 
 def held_out(key: str = "doc_id"):
-    return F.crc32(F.col(key).cast("string")) % 3 == 1
+    return F.coalesce(F.crc32(F.col(key).cast("string")) % 3 == 1, F.lit(False))
 
 
 def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str):
@@ -106,7 +106,7 @@ def op9_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     hist = token_counts.length_histogram(read(spark, sf_dir, "documents"), token_counts.rank_file_encoder(spark))
-    return token_counts.suffix_sums(hist)
+    return token_counts.suffix_sums(materialize(hist, "token-lengths"))  # it is read twice
 
 
 @query
