@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import lexicon as L
+from ..functions.replies import as_mapping, read_reply
 from .sequence import BUCKET, DEFAULT_BUCKET_SECONDS, with_group_index, with_running_sum
 
 TEXT_COLUMNS = ("question_text", "ai_response")
@@ -146,6 +147,9 @@ def with_row_in_segment(segmented: DataFrame, segment_col: str = "session_index"
     return d.withColumn("row_number", (F.col("__rank") - F.col("__r0") + 1).cast("int")).drop("__rank", "__r0")
 
 
+MAX_PAYLOAD_ROWS = 100_000
+
+
 def printed_time(col: str) -> Column:
     """SCL12: a time as text, with its six-digit fraction only if it has one."""
     whole = F.date_format(col, "yyyy-MM-dd HH:mm:ss")
@@ -154,16 +158,14 @@ def printed_time(col: str) -> Column:
 
 
 def segment_payloads(rows: DataFrame, segment_col: str = "session_index", min_rows: int = 3, text_chars: int = L.PAYLOAD_TEXT_CHARS,
-                     max_rows: int = 100_000) -> DataFrame:
+                     max_rows: int = MAX_PAYLOAD_ROWS) -> DataFrame:
     """SCL12-13: one JSON payload per segment with at least ``min_rows`` turns:
     ``[{"row_number", "timestamp", "question", "ai_response"}, ...]`` in row
     order, texts cut to ``text_chars`` code points. Input: :func:`with_row_in_segment`.
 
     A payload is one document for one call of a segmenter, so it is built in one
-    task; a segment of more than ``max_rows`` turns raises an error instead (it is
-    never cut)."""
-    too_long = F.raise_error(F.concat(F.lit("segment too long for one payload, turns: "), F.col("segment_rows").cast("string")))
-    rows = rows.withColumn("row_number", F.when(F.col("segment_rows") > max_rows, too_long.cast("int")).otherwise(F.col("row_number")))
+    task. Segments of more than ``max_rows`` turns get no payload and stay whole;
+    :func:`rejected_segments` lists them."""
     keys = [*student_keys(rows), segment_col]
     item = F.struct(
         F.col("row_number").alias("row_number"),
@@ -172,12 +174,19 @@ def segment_payloads(rows: DataFrame, segment_col: str = "session_index", min_ro
         F.substring(F.coalesce(F.col("ai_response"), F.lit("")), 1, text_chars).alias("ai_response"),
     )
     return (
-        rows.filter(F.col("segment_rows") >= min_rows)
+        rows.filter(F.col("segment_rows").between(min_rows, max_rows))
         .groupBy(*keys)
         .agg(F.to_json(F.array_sort(F.collect_list(item))).alias("payload"), F.count(F.lit(1)).alias("n_rows"))
     )
 
 
+def rejected_segments(rows: DataFrame, segment_col: str = "session_index", max_rows: int = MAX_PAYLOAD_ROWS) -> DataFrame:
+    """(keys, segment, n_rows, reason) of the segments that are too long for one
+    payload. Input: :func:`with_row_in_segment`; the first row stands for each."""
+    long = rows.filter((F.col("row_number") == 1) & (F.col("segment_rows") > max_rows))
+    return long.select(*student_keys(rows), segment_col, F.col("segment_rows").alias("n_rows"), F.lit("too_long").alias("reason"))
+
+
 PROMPT_HEADER = (
     "Below is a JSON array with one object per tutoring turn, oldest first. Find the turns at which the subject changes: "
     "a new exercise, a new concept, or a fresh start after a long silence. Number the subjects from 1 in the order they come up. "
@@ -191,54 +200,15 @@ def render_prompt(payload: Column | str, header: str = PROMPT_HEADER) -> Column:
     return F.concat(F.lit(header), p)
 
 
-# Rewrites that turn the looser JSON of model replies into strict JSON, in order.
-LOOSE_JSON = [
-    (r"""("(?:[^"\\]|\\.)*"|'(?:[^'\\]|\\.)*')|//[^\n]*|/\*[\s\S]*?\*/""", "$1"),  # comments, not those inside strings
-    (r"'([^'\"\n]*)'", "\"$1\""),  # single quotes
-    (r"([{,]\s*)([A-Za-z_$0-9][\w$]*)\s*:", "$1\"$2\":"),  # bare keys
-    (r",\s*([}\]])", "$1"),  # trailing commas
-]
-
-
 def parse_mapping(reply: Column | str) -> Column:
-    """SCL14-15: lenient parse of a segmenter reply into ``map<string,int>``.
-
-    Strips code fences; text that is not strict JSON is read once more in the
-    looser form that replies come in (comments, trailing commas, single quotes,
-    bare keys). A JSON object keeps its keys, a JSON array becomes a 1-based map;
-    values: numbers truncate to int (those out of range are dropped), booleans
-    become 0/1, numeric strings cast (non-integers dropped); anything else gives
-    an empty map."""
-    r = F.col(reply) if isinstance(reply, str) else reply
-    txt = F.trim(F.regexp_replace(F.trim(F.coalesce(r, F.lit(""))), r"(?m)^```(?:json)?|```$", ""))
-    loose = txt
-    for pattern, to in LOOSE_JSON:
-        loose = F.regexp_replace(loose, pattern, to)
-    v = F.coalesce(F.try_parse_json(txt), F.try_parse_json(loose))
-    kind = F.schema_of_variant(v)
-
-    def coerce(x):
-        t = F.schema_of_variant(x)
-        return (
-            F.when(t.isin("BIGINT", "INT", "SMALLINT", "TINYINT") | t.startswith("DECIMAL") | t.isin("DOUBLE", "FLOAT"),
-                   F.try_variant_get(x, "$", "double").try_cast("int"))
-            .when(t == "BOOLEAN", F.try_variant_get(x, "$", "boolean").cast("int"))
-            .when(t == "STRING", F.try_variant_get(x, "$", "string").try_cast("int"))
-        )
-
-    obj = F.try_variant_get(v, "$", "map<string,variant>")
-    arr = F.try_variant_get(v, "$", "array<variant>")
-    as_map = F.map_filter(F.transform_values(obj, lambda k, x: coerce(x)), lambda k, x: x.isNotNull())
-    as_list = F.map_filter(
-        F.map_from_entries(F.transform(arr, lambda x, i: F.struct((i + 1).cast("string"), coerce(x)))),
-        lambda k, x: x.isNotNull(),
-    )
-    empty = F.create_map().cast("map<string,int>")
-    return (
-        F.when(kind.startswith("OBJECT"), as_map)
-        .when(kind.startswith("ARRAY"), as_list)
-        .otherwise(empty)
-    )
+    """SCL14-15: lenient parse of a segmenter reply into ``map<string,int>``, by
+    :func:`learnscope.functions.replies.read_reply` in Arrow batches.
+
+    Strips code fences; text that is not strict JSON is read as JSON5. A JSON object
+    keeps its keys, a JSON array becomes a 1-based map; values: numbers truncate to
+    int (those out of range are dropped), booleans become 0/1, numeric strings cast
+    (non-integers dropped); anything else gives an empty map."""
+    return F.udf(read_reply, "map<string,int>", useArrow=True)(reply)
 
 
 def mapping_rows(payloads_with_map: DataFrame, map_col: str = "mapping", segment_col: str = "session_index") -> DataFrame:
@@ -252,8 +222,9 @@ def mapping_rows(payloads_with_map: DataFrame, map_col: str = "mapping", segment
 def apply_segmenter(payloads: DataFrame, segmenter, segment_col: str = "session_index") -> DataFrame:
     """UDF1: run a user topic segmenter ``fn(rows: list[dict]) -> dict|list|str``
     on each payload with ``mapInPandas`` (Arrow batches, one call per segment),
-    and return mapping rows (keys, row_number, topic_id). A failing call keeps
-    the segment whole (no rows)."""
+    and return mapping rows (keys, row_number, topic_id). Texts are read as replies
+    are (:mod:`learnscope.functions.replies`). A failing call, or a reply that
+    cannot be read, keeps the segment whole (no rows)."""
     import json
 
     import pandas as pd
@@ -267,17 +238,11 @@ def apply_segmenter(payloads: DataFrame, segmenter, segment_col: str = "session_
             for rec in pdf.to_dict("records"):
                 try:
                     res = segmenter(json.loads(rec["payload"]))
-                    if isinstance(res, str):
-                        res = json.loads(res)
-                    if isinstance(res, list):
-                        res = {str(i): v for i, v in enumerate(res, 1)}
-                    for k, v in (res or {}).items():
-                        try:
-                            out.append({**{c: rec[c] for c in keys}, "row_number": int(k), "topic_id": int(v)})
-                        except (TypeError, ValueError):
-                            continue
+                    mapping = read_reply(res) if isinstance(res, str) else as_mapping(res)
                 except Exception:  # a failed call keeps the segment whole
                     continue
+                named = as_mapping(dict(zip(mapping, mapping)))  # row numbers are integers too
+                out += [{**{c: rec[c] for c in keys}, "row_number": named[k], "topic_id": v} for k, v in mapping.items() if k in named]
             yield pd.DataFrame(out, columns=[*keys, "row_number", "topic_id"])
 
     return payloads.select(*keys, "payload").mapInPandas(run, schema)

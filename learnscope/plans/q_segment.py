@@ -161,7 +161,7 @@ def seg_topic_split(spark, sf):
 
 @register("seg_topic_hook", O.with_(*_ROWS_CTE, """mp AS (
   SELECT student_id, session_index, row_number, CAST(1 + (row_number - 1) // 3 AS INTEGER) AS topic_id
-  FROM rows WHERE segment_rows >= 3 AND row_number % 7 <> 0)""",
+  FROM rows WHERE segment_rows >= 3 AND segment_rows % 5 <> 4 AND row_number % 7 <> 0)""",
   """hm AS (SELECT DISTINCT student_id, session_index FROM mp)""",
   """j AS (SELECT r.*, mp.topic_id, hm.student_id IS NOT NULL AND r.segment_rows > 2 AS mapped
            FROM rows r LEFT JOIN mp USING (student_id, session_index, row_number)
@@ -172,11 +172,21 @@ def seg_topic_split(spark, sf):
                FROM k""")
 def seg_topic_hook(spark, sf):
     """UDF1 + JOIN5 + WIN8: a caller's segmenter run on the payloads, its
-    mappings applied."""
+    mappings applied. It answers in the forms that segmenters do: an object, a
+    fenced text, JSON5 with numbers out of range, an array with gaps; every fifth
+    length of segment gets an answer that cannot be used and stays whole."""
     rows = sg.with_row_in_segment(C.sessions(spark, sf, 720, entry=False))
 
     def by_threes(turns):  # a deterministic segmenter
-        return {str(t["row_number"]): 1 + (t["row_number"] - 1) // 3 for t in turns if t["row_number"] % 7}
+        topics = {t["row_number"]: 1 + (t["row_number"] - 1) // 3 for t in turns if t["row_number"] % 7}
+        n = len(turns)
+        return [
+            topics,
+            "```json\n{" + "".join(f'"{k}": {v},' for k, v in topics.items()) + "}\n```",
+            "{ // by row\n" + "".join(f"{k}: +{v}.0, " for k, v in topics.items()) + "'900001': 3000000000, 3000000000: 1 /* end */ }",
+            [topics.get(i) for i in range(1, n + 1)],
+            "no answer" if n % 2 else '{"1": 1, "2": Infinity}',
+        ][n % 5]
 
     out = sg.topic_split(rows, sg.apply_segmenter(sg.segment_payloads(rows), by_threes))
     return out.select("turn_id", "student_id", "segment_index", "session_index")

@@ -122,3 +122,66 @@ def test_session_class_is_first_turns_class_across_buckets(spark):
     first = s.groupBy("student_id", "session_index").agg(F.min_by("class_id", F.struct("asked_at", "turn_id")).alias("want"))
     bad = s.join(first, ["student_id", "session_index"]).filter(~F.col("session_class_id").eqNullSafe(F.col("want")))
     assert bad.count() == 0
+
+
+def test_json5_reader():
+    from learnscope.functions.replies import read_json5, read_reply
+
+    assert read_json5("{a: 1, 'b\\'c': [1, .5, 5., +7, -0x1F, 1e3,], \"d\": {/* x */}, $e_1: null, // end\n 7: true,}") == {
+        "a": 1, "b'c": [1, 0.5, 5.0, 7, -31, 1000.0], "d": {}, "$e_1": None, "7": True}
+    assert read_json5("'\\x41\\u00e9\\\n\\v\\q'") == "A\u00e9\vq" and read_json5(" [ ] ") == [] and read_json5("-Infinity") == float("-inf")
+    assert read_json5('"// no comment" // one') == "// no comment"
+    for bad in ["", "{", "[1 2]", "{a 1}", "{a:}", "[,]", "{,}", "{a: 1}}", "[1]]", "1 2", "{1}", "[1}", "word", "'open", "{a: 1, : 2}", "/* open", "0x", "1a", "]"]:
+        try:
+            read_json5(bad)
+        except (KeyError, ValueError):
+            continue
+        raise AssertionError(bad)
+    deep = "[" * 50_000 + "]" * 50_000
+    assert read_reply(deep) == {} and read_reply("{a: " * 50_000) == {}
+    assert read_reply('{"1": 1, "2": Infinity}') == {} and read_reply("{1: 1, 2: 1e999}") == {}
+    assert read_reply('{"1": NaN, "2": null, "3": [1], "4": " 5 ", "5": 2.9, "6": -3000000000, "1": 4, "7": "x"}') == {"1": 4, "4": 5, "5": 2}
+    assert read_reply("```\n{1: 1, 2: 1}\n```") == {"1": 1, "2": 1} and read_reply(None) == {} and read_reply("7") == {}
+
+
+def test_json5_reader_agrees_with_json():
+    import json
+    import random
+
+    from learnscope.functions.replies import read_json5
+
+    rng = random.Random(0)
+
+    def value(depth):
+        kind = rng.randrange(8 if depth else 6)
+        if kind < 6:
+            return [None, True, rng.randrange(-99, 99), rng.random() * 10 ** rng.randrange(-9, 9), "".join(rng.choice("ab'\"\\/\n\t é☃,:{}[]") for _ in range(6)), ""][kind]
+        items = [value(depth - 1) for _ in range(rng.randrange(4))]
+        return items if kind == 6 else {str(value(0)): x for x in items}
+
+    for _ in range(500):
+        v = value(4)
+        text = json.dumps(v, indent=rng.choice([None, 1]), ensure_ascii=rng.random() < 0.5)
+        assert read_json5(text) == v
+
+
+def test_column_and_hook_read_replies_alike(spark):
+    replies = ["```json\n{1: 1, 2: 1, 3: 2,}\n```", "{'1': 1, '2': 0x2, 3000000000: 7, '3': 3000000000}", '{"1": 1, "3": Infinity}', "[1, null, 2]", "broken {", '{"1": 1e999}', "{a: 5, 2: '2'}"]
+    items = '[{"row_number": 1}]'
+    pay = spark.createDataFrame([(i, 1, items, r) for i, r in enumerate(replies)], "student_id long, session_index int, payload string, reply string")
+    by_column = {tuple(r) for r in sg.mapping_rows(pay.withColumn("mapping", sg.parse_mapping("reply"))).collect()}
+    answers = iter(replies)
+    hooked = sg.apply_segmenter(pay.coalesce(1).sortWithinPartitions("student_id"), lambda rows: next(answers))
+    assert {tuple(r) for r in hooked.collect()} == by_column
+    assert by_column == {(0, 1, 1, 1), (0, 1, 2, 1), (0, 1, 3, 2), (1, 1, 1, 1), (1, 1, 2, 2), (3, 1, 1, 1), (3, 1, 3, 2), (6, 1, 2, 2)}
+
+
+def test_too_long_segments_are_rejected_and_the_others_go_on(spark):
+    t0 = datetime(2024, 1, 1, 9, 0)
+    rows = [(i, 1, t0 + timedelta(minutes=i), "A") for i in range(9)] + [(100 + i, 2, t0 + timedelta(minutes=i), "A") for i in range(4)]
+    df = sg.with_row_in_segment(sg.segment(spark.createDataFrame(rows, SCHEMA).withColumns({"question_text": F.lit("q"), "ai_response": F.lit("a")}), 15))
+    pay = sg.segment_payloads(df, max_rows=5)
+    assert [(r["student_id"], r["n_rows"]) for r in pay.collect()] == [(2, 4)]
+    assert [tuple(r) for r in sg.rejected_segments(df, max_rows=5).collect()] == [(1, 1, 9, "too_long")]
+    out = sg.topic_split(df, sg.apply_segmenter(pay, lambda turns: {t["row_number"]: t["row_number"] for t in turns}))
+    assert out.groupBy("student_id").agg(F.count_distinct("session_index").alias("n")).orderBy("student_id").collect() == [(1, 1), (2, 4)]
