@@ -77,14 +77,16 @@ def _append(df: DataFrame, cols: Sequence[str], compute, new: T.StructType) -> D
 
 
 def covariance(z: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """ML3: population covariance of every column pair in one pass, long form
-    (feature_i, feature_j, cov). Each task sums one p x p matrix."""
+    """ML3: population covariance of every column pair, long form (feature_i,
+    feature_j, cov). Rows are centred by the columns' means first, as products of
+    large values would cancel; each task sums one p x p matrix."""
     cols = list(cols)
+    means = np.array([m or 0.0 for m in z.agg(*[F.avg(c) for c in cols]).first()], float)
 
     def run(batches):
         n, s, g = 0, np.zeros(len(cols)), np.zeros((len(cols), len(cols)))
         for b in batches:
-            x = _matrix(b, cols)
+            x = _matrix(b, cols) - means
             n, s, g = n + len(x), s + x.sum(axis=0), g + x.T @ x
         if n:
             i, j = (a.ravel() for a in np.indices(g.shape))
@@ -179,7 +181,8 @@ def select_components(ratios: DataFrame, threshold: float = L.VARIANCE_THRESHOLD
 
 CHUNK = 1 << 21  # distances held at a time
 ROWS_PER_TASK = 50_000  # in the passes of a fit, at least
-INIT_SAMPLE = 5_000  # rows that starting centers are drawn from, at most
+CANDIDATES = 500  # drawn from all rows in each round before a fit
+ROUNDS = 4
 
 
 @dataclass
@@ -201,18 +204,66 @@ def _nearest(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return label, best
 
 
-def _starts(sample: np.ndarray, k: int, seed: int) -> np.ndarray:
-    """K-means++ starting centers from the sample, best of a few candidates
+def candidates(df: DataFrame, cols: Sequence[str], seed: int = L.RANDOM_STATE) -> tuple[np.ndarray, np.ndarray]:
+    """Points that starting centers are chosen from, and how many rows each stands
+    for. Every round draws ``CANDIDATES`` rows from all rows, without replacement,
+    with chances in proportion to the squared distance from the points so far (the
+    first round: all alike), so a small group far from the rest is met however few
+    its rows are. A draw keeps the largest of seeded keys ``log(u) / d2``; each task
+    sends its largest only. Rows with a missing coordinate are not drawn."""
+    cols, names = list(cols), [f"x{j}" for j in range(len(cols))]
+    schema = "key double" + "".join(f", {c} double" for c in names)
+    points = np.empty((0, len(cols)))
+    for i in range(ROUNDS):
+        shared = df.sparkSession.sparkContext.broadcast(points)
+
+        def draw(batches, shared=shared):
+            centers = shared.value
+            for b in batches:
+                x, u = _matrix(b, cols), b.column(len(cols)).to_numpy()
+                d = _nearest_squares(x, centers) if len(centers) else np.ones(len(x))
+                some = np.flatnonzero((d > 0) & ~np.isnan(x).any(axis=1))
+                key = np.log(np.maximum(u[some], 1e-300)) / d[some]
+                some, key = (a[np.argsort(-key, kind="stable")[:CANDIDATES]] for a in (some, key))
+                yield pa.record_batch([pa.array(key), *(pa.array(x[some, j]) for j in range(len(cols)))], names=["key", *names])
+
+        found = df.select(*cols, F.rand(seed + i).alias("__u")).mapInArrow(draw, schema).orderBy(F.desc("key"), *names).limit(CANDIDATES)
+        new = np.array([tuple(r)[1:] for r in found.collect()], float).reshape(-1, len(cols))
+        points = np.unique(np.concatenate([points, new]), axis=0)
+        if not len(new):
+            break
+    if not len(points):
+        raise ValueError("no rows to cluster")
+    ((n, _, _),) = lloyd_pass(df, cols, [points], cost=False)
+    return points, n
+
+
+def _nearest_squares(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """Squared distance of each row to its nearest center; exactly 0 for a row
+    that is one."""
+    out, cc = np.empty(len(x)), (centers ** 2).sum(axis=1)
+    step = max(1, CHUNK // len(centers))
+    for i in range(0, len(x), step):
+        part = x[i: i + step]
+        label = (cc - 2 * (part @ centers.T)).argmin(axis=1)
+        out[i: i + step] = ((part - centers[label]) ** 2).sum(axis=1)
+    return out
+
+
+def _starts(points: np.ndarray, weights: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """K-means++ starting centers from weighted points, best of a few candidates
     at each step."""
     rng = np.random.default_rng(seed)
-    centers = [sample[rng.integers(len(sample))]]
-    d = ((sample - centers[0]) ** 2).sum(axis=1)
+    weights = np.maximum(weights, 1e-9)  # a point may be nobody's nearest in a tie
+    centers = [points[rng.choice(len(points), p=weights / weights.sum())]]
+    d = ((points - centers[0]) ** 2).sum(axis=1)
     for _ in range(1, k):
-        total = d.sum()
-        pick = rng.choice(len(sample), 2 + int(np.log(k)), p=d / total if total > 0 else None)
-        options = [np.minimum(d, ((sample - sample[i]) ** 2).sum(axis=1)) for i in pick]
-        best = int(np.argmin([o.sum() for o in options]))
-        centers.append(sample[pick[best]])
+        chance = d * weights
+        total = chance.sum()
+        pick = rng.choice(len(points), 2 + int(np.log(k)), p=chance / total if total > 0 else None)
+        options = [np.minimum(d, ((points - points[i]) ** 2).sum(axis=1)) for i in pick]
+        best = int(np.argmin([(o * weights).sum() for o in options]))
+        centers.append(points[pick[best]])
         d = options[best]
     return np.array(centers)
 
@@ -305,16 +356,12 @@ def lloyd_steps(df: DataFrame, cols: Sequence[str], start: np.ndarray, steps: in
 
 
 def fit_many(df: DataFrame, cols: Sequence[str], specs: Sequence[tuple[int, int]], max_iter: int = 300, tol: float = 1e-4) -> list[Fit]:
-    """One K-Means fit per (k, seed) of ``specs``, all in the same passes. Rows
-    come from ``df``; only starting centers are drawn from a bounded sample."""
+    """One K-Means fit per (k, seed) of ``specs``, all in the same passes over all
+    rows; starting centers come from :func:`candidates`."""
     rows = df.select(*cols)
-    n = rows.count()
-    rows = rows.coalesce(max(1, -(-n // ROWS_PER_TASK)))  # many short passes: no tasks of a few rows
-    some = rows if n <= INIT_SAMPLE else rows.sample(min(1.0, 1.2 * INIT_SAMPLE / n), 42).limit(INIT_SAMPLE)
-    sample = np.array(sorted(tuple(r) for r in some.collect()), float).reshape(-1, len(cols))
-    if not len(sample):
-        raise ValueError("no rows to cluster")
-    starts = [_starts(sample, k, seed) for k, seed in specs]
+    rows = rows.coalesce(max(1, -(-rows.count() // ROWS_PER_TASK)))  # many short passes: no tasks of a few rows
+    points, weights = candidates(rows, cols)
+    starts = [_starts(points, weights, k, seed) for k, seed in specs]
     return [Fit(k, seed, c, cost) for (k, seed), (c, cost) in zip(specs, lloyd(rows, cols, starts, max_iter, tol))]
 
 

@@ -175,3 +175,38 @@ def test_no_header_name_is_left_out(spark, tmp_path):
         (tmp_path / f"f{i}.csv").write_text(",".join(names) + "\n" + ",".join("v" for _ in names) + "\n", encoding="utf-8")
     got = set(io.read_turns_csv(spark, str(tmp_path), clean=False).columns)
     assert {*known, *(f"x{i}_{j}" for i in range(20) for j in range(55))} <= got
+
+
+def test_starts_find_a_small_far_group(spark):
+    """Three rows of 60,000, far away: outside any small sample, yet a cluster."""
+    import numpy as np
+
+    df = spark.range(60_003).select((F.randn(1) + F.when(F.col("id") < 3, 1000.0).otherwise(0.0)).alias("a"), F.randn(2).alias("b")).repartition(6).checkpoint()
+    points, weights = ml.candidates(df, ["a", "b"])
+    assert weights.sum() == 60_003 and len(points) <= ml.CANDIDATES * ml.ROUNDS and (points[:, 0] > 900).sum() == 3
+    fits = ml.fit_many(df, ["a", "b"], [(2, seed) for seed in range(5)])
+    assert all(c.centers[:, 0].max() > 900 for c in fits)
+    again, _ = ml.candidates(df, ["a", "b"])
+    assert np.array_equal(points, again)
+
+
+def test_candidates_of_repeated_and_missing_rows(spark):
+    import pytest
+
+    df = spark.createDataFrame([(1.0, 1.0)] * 500 + [(2.0, 2.0)] + [(None, 1.0)], "a double, b double")
+    points, weights = ml.candidates(df.filter("a is not null"), ["a", "b"])
+    assert points.tolist() == [[1.0, 1.0], [2.0, 2.0]] and weights.tolist() == [500, 1]
+    assert sorted(map(tuple, ml.fit_many(df.filter("a is not null"), ["a", "b"], [(2, 1)])[0].centers.tolist())) == [(1.0, 1.0), (2.0, 2.0)]
+    with pytest.raises(ValueError, match="no rows"):
+        ml.candidates(df.filter("a > 5"), ["a", "b"])
+
+
+def test_covariance_of_large_means(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(4000, 3)) @ np.array([[1, 0.5, 0], [0, 1, 0.2], [0, 0, 1]]) + 1e8
+    df = spark.createDataFrame(x.tolist(), "a double, b double, c double").repartition(7)
+    got = {(r["feature_i"], r["feature_j"]): r["cov"] for r in ml.covariance(df, ["a", "b", "c"]).collect()}
+    want = np.cov((x - 1e8).T, bias=True)
+    assert all(abs(got["abc"[i], "abc"[j]] - want[i, j]) < 1e-6 for i in range(3) for j in range(3))
