@@ -144,6 +144,11 @@ def top_loadings(table: DataFrame, n_components: int = 3, digits: int = 3) -> Da
         .select("feature", *[F.col(str(i)).alias(f"PC{i}") for i in range(1, n_components + 1)])
 
 
+def top_ratios(table: DataFrame, n: int = 6) -> DataFrame:
+    """SRT4: variance ratios of the first components, with their running sum."""
+    return table.filter(F.col("pc") <= n).select("pc", "ratio", "cumulative").distinct()
+
+
 def pca_table(spark, res: PcaResult) -> DataFrame:
     """Long loadings table (pc, feature, loading, ratio, cumulative)."""
     rows, cum = [], 0.0

@@ -61,3 +61,10 @@ def class_pivot(df: DataFrame, k: int, class_col: str = "class_id", cluster_col:
     """AGG30: class x cluster counts, clusters 0..k-1 as columns, missing -> 0."""
     p = df.groupBy(class_col).pivot(cluster_col, list(range(k))).agg(F.count(F.lit(1)))
     return p.fillna(0, subset=[str(i) for i in range(k)])
+
+
+def preview(df: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
+    """SRT3: the first ``n`` rows in the order of the given columns (nulls last),
+    as a report shows them, with their ``position``. Each task sends ``n`` rows."""
+    by = [F.asc_nulls_last(c) for c in order]
+    return df.orderBy(*by).limit(n).withColumn("position", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*by)))

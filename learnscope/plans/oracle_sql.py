@@ -106,7 +106,9 @@ def behavioral_cte(src: str = "summary", name: str = "behav") -> str:
 )"""
 
 
-def signals_cte(src: str = "behav", name: str = "sig") -> str:
+def signals_cte(src: str = "behav", name: str = "sig", lexicon: dict | None = None) -> str:
+    lx = {"copy": L.COPY_KEYWORDS, "copy_patterns": L.NON_NATURAL_PATTERNS, "answer_prompt": L.ANSWER_SEEKING_KEYWORDS_PROMPT,
+          "answer_reply": L.ANSWER_SEEKING_KEYWORDS_AI, "understanding": L.UNDERSTANDING_KEYWORDS_PROMPT, "hypothetical": L.HYPOTHETICAL_PATTERNS, **(lexicon or {})}
     img = "(CASE WHEN has_image = 1 AND is_confusion_entry = 0 THEN 1 ELSE 0 END)"
     return f"""{name}_n AS (
   SELECT *, {normalize('pooled_prompts')} AS norm_prompts,
@@ -116,9 +118,9 @@ def signals_cte(src: str = "behav", name: str = "sig") -> str:
 {name} AS (
   SELECT * EXCLUDE (norm_prompts, norm_reply),
     CAST({img} + (CASE WHEN avg_raw_length > {L.LONG_QUESTION_CHARS} THEN 1 ELSE 0 END)
-      + {patterns_count('pooled_prompts', L.NON_NATURAL_PATTERNS)} + {phrases_count('norm_prompts', L.COPY_KEYWORDS)} AS DOUBLE) AS copy_paste_score,
-    CAST({phrases_count('norm_prompts', L.ANSWER_SEEKING_KEYWORDS_PROMPT)} + {phrases_count('norm_reply', L.ANSWER_SEEKING_KEYWORDS_AI)} + {img} AS DOUBLE) AS answer_seeking_intensity,
-    CAST({phrases_count('norm_prompts', L.UNDERSTANDING_KEYWORDS_PROMPT)} + {patterns_count('pooled_prompts', L.HYPOTHETICAL_PATTERNS)} AS DOUBLE) AS understanding_signal_strength
+      + {patterns_count('pooled_prompts', lx['copy_patterns'])} + {phrases_count('norm_prompts', lx['copy'])} AS DOUBLE) AS copy_paste_score,
+    CAST({phrases_count('norm_prompts', lx['answer_prompt'])} + {phrases_count('norm_reply', lx['answer_reply'])} + {img} AS DOUBLE) AS answer_seeking_intensity,
+    CAST({phrases_count('norm_prompts', lx['understanding'])} + {patterns_count('pooled_prompts', lx['hypothetical'])} AS DOUBLE) AS understanding_signal_strength
   FROM {name}_n
 )"""
 

@@ -131,6 +131,22 @@ def feat_understanding(spark, sf):
     return _signals(spark, sf).select(*KEYS, "understanding_signal_strength")
 
 
+#: a caller's own lists in place of all six
+_LEXICON = {
+    "copy": ["the", "答案", "las"], "copy_patterns": [r"[0-9]{4,}", r"[#*$%&]{3}"], "answer_prompt": ["and", "and", "which"],
+    "answer_reply": ["of", "re"], "understanding": ["why", "tion", "为什么"], "hypothetical": [r"if[^\n]*then", r"[.] "],
+}
+
+
+@register("feat_lexicon_override", O.with_(*_SESS, O.signals_cte("behav", lexicon=_LEXICON))
+          + "SELECT student_id, session_index, copy_paste_score, answer_seeking_intensity, understanding_signal_strength FROM sig",
+          floats=("copy_paste_score", "answer_seeking_intensity", "understanding_signal_strength"))
+def feat_lexicon_override(spark, sf):
+    """UDF2: the three text signals under a caller's own phrases and patterns."""
+    s = fe.text_signals(_summary(spark, sf), lexicon=_LEXICON)
+    return s.select(*KEYS, "copy_paste_score", "answer_seeking_intensity", "understanding_signal_strength")
+
+
 # ------------------------------------------------------------------ dimensions, reject cascade
 
 

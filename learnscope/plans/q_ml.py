@@ -324,3 +324,27 @@ def clu_progress_hist(spark, sf):
 def clu_class_pivot(spark, sf):
     """AGG30: class x cluster count pivot."""
     return pf.class_pivot(C.clustered(spark, sf), 5)
+
+
+@register("clu_class_preview", O.with_(*O.views("clustered"))
+          + "SELECT class_id, " + ", ".join(f'CAST(count(*) FILTER (WHERE cluster = {i}) AS BIGINT) AS "{i}"' for i in range(5))
+          + ", CAST(row_number() OVER (ORDER BY class_id) AS INTEGER) AS position FROM clustered GROUP BY class_id ORDER BY class_id LIMIT 5")
+def clu_class_preview(spark, sf):
+    """SRT3: the first classes of the class x cluster counts, in order."""
+    return pf.preview(pf.class_pivot(C.clustered(spark, sf), 5), ["class_id"])
+
+
+def _loadings(spark, sf):
+    return ml.pca_table(spark, ml.pca_fit(ml.standardize(_emb(spark, sf), E), E))
+
+
+@register("ml_top_loadings")
+def ml_top_loadings(spark, sf):
+    """SRT4: rounded loadings of the first three components by feature."""
+    return ml.top_loadings(_loadings(spark, sf))
+
+
+@register("ml_top_ratios")
+def ml_top_ratios(spark, sf):
+    """SRT4: ratios of the first six components and their running sum."""
+    return ml.top_ratios(_loadings(spark, sf))

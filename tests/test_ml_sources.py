@@ -210,3 +210,15 @@ def test_covariance_of_large_means(spark):
     got = {(r["feature_i"], r["feature_j"]): r["cov"] for r in ml.covariance(df, ["a", "b", "c"]).collect()}
     want = np.cov((x - 1e8).T, bias=True)
     assert all(abs(got["abc"[i], "abc"[j]] - want[i, j]) < 1e-6 for i in range(3) for j in range(3))
+
+
+def test_preview_and_top_ratios(spark):
+    from learnscope.operators import profile as pf
+
+    df = spark.createDataFrame([(c, i) for i, c in enumerate([3, None, 1, 2, 1, 9])], "c int, i int")
+    assert [(r["c"], r["i"], r["position"]) for r in pf.preview(df, ["c", "i"], 4).orderBy("position").collect()] == [(1, 2, 1), (1, 4, 2), (2, 3, 3), (3, 0, 4)]
+    assert pf.preview(df.limit(0), ["c"]).count() == 0
+    e = fx.embeddings_matrix(spark, SF_MID).select("vec_id", "label", *E)
+    top = sorted(tuple(r) for r in ml.top_ratios(ml.pca_table(spark, ml.pca_fit(ml.standardize(e, E), E))).collect())
+    assert [t[0] for t in top] == [1, 2, 3, 4, 5, 6]
+    assert all(abs(t[2] - sum(u[1] for u in top[: i + 1])) < 1e-9 for i, t in enumerate(top))
