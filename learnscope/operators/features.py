@@ -137,9 +137,6 @@ def class_windows(classes: DataFrame) -> DataFrame:
     ).select("class_id", F.col("w.start_at").alias("course_start"), F.col("w.end_at").alias("course_end"))
 
 
-LONG_SLOT_DAYS = 31
-
-
 def schedule_slots(schedule: DataFrame) -> DataFrame:
     """JOIN2 dimension: closed slots ``[open_at, close_at]`` per class. Null or
     reversed bounds never match."""
@@ -148,12 +145,12 @@ def schedule_slots(schedule: DataFrame) -> DataFrame:
         if dict(s.dtypes)[col] == "string":
             s = s.withColumn(col, parse_time(col))
     s = s.filter(F.col("open_at").isNotNull() & F.col("close_at").isNotNull() & (F.col("open_at") <= F.col("close_at")))
-    return s.select("class_id", "open_at", "close_at")
+    return s.filter(F.col("class_id").isNotNull()).select("class_id", "open_at", "close_at")
 
 
 def merged(slots: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Slots per key merged into disjoint closed intervals (gaps and islands
-    over the dimension table), so a time falls in at most one of them."""
+    """Slots per key merged into disjoint closed intervals (gaps and islands), so
+    a time falls in at most one of them."""
     w = Window.partitionBy(*keys).orderBy("open_at", "close_at")
     prev_max = F.max("close_at").over(w.rowsBetween(Window.unboundedPreceding, -1))
     s = slots.withColumn("__new", (prev_max.isNull() | (F.col("open_at") > prev_max)).cast("int"))
@@ -161,26 +158,55 @@ def merged(slots: DataFrame, keys: Sequence[str]) -> DataFrame:
     return s.groupBy(*keys, "__island").agg(F.min("open_at").alias("open_at"), F.max("close_at").alias("close_at")).drop("__island")
 
 
+def _steps(first: Column, end: Column, step: str) -> Column:
+    """Dates from ``first`` up to, not including, ``end``; none where it is not later."""
+    last = F.date_sub(end, 1) if step == "DAY" else F.add_months(end, -1 if step == "MONTH" else -12)
+    unit = F.expr(f"INTERVAL 1 {step}")
+    return F.when(first < end, F.sequence(first, last, unit)).otherwise(F.array().cast("array<date>"))
+
+
+def calendar_cover(slots: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Closed slots as calendar pieces: the days of their first and last months
+    (class_id, piece, open_at, close_at), whole months of their first and last
+    years, and whole years between (class_id, piece).
+
+    A slot gives at most 62 days, 22 months and its years, whatever its length.
+    Equal pieces of a class are one row, and the intervals of one day are disjoint,
+    so no group is larger than what a class has in one day."""
+    kind = dict(slots.dtypes)["open_at"]
+    day0, day1 = F.to_date("open_at"), F.to_date("close_at")
+    c = slots.withColumns({"d0": day0, "dend": F.date_add(day1, 1), "m0": F.add_months(F.trunc(day0, "MM"), 1), "mend": F.trunc(day1, "MM")})
+    c = c.withColumn("y0", F.trunc(F.add_months("m0", 11), "YEAR")).withColumn("yend", F.trunc("mend", "YEAR"))
+    col = F.col
+    far, years = col("m0") < col("mend"), col("y0") < col("yend")
+    days = F.when(far, F.concat(_steps(col("d0"), col("m0"), "DAY"), _steps(col("mend"), col("dend"), "DAY"))).otherwise(_steps(col("d0"), col("dend"), "DAY"))
+    months = F.when(years, F.concat(_steps(col("m0"), col("y0"), "MONTH"), _steps(col("yend"), col("mend"), "MONTH"))).otherwise(_steps(col("m0"), col("mend"), "MONTH"))
+    d = c.select("class_id", F.explode(days).alias("piece"), "open_at", "close_at")
+    # cut to the day, so that whole days are equal rows
+    d = d.select("class_id", "piece", F.greatest("open_at", col("piece").cast(kind)).alias("open_at"), F.least("close_at", F.date_add("piece", 1).cast(kind)).alias("close_at"))
+    return (
+        merged(d.distinct(), ["class_id", "piece"]),
+        c.select("class_id", F.explode(months).alias("piece")).distinct(),
+        c.select("class_id", F.explode(_steps(col("y0"), col("yend"), "YEAR")).alias("piece")).distinct(),
+    )
+
+
 def mark_in_class(turns: DataFrame, schedule: DataFrame, class_col: str = "session_class_id", out: str = "in_slot") -> DataFrame:
     """JOIN2 per turn: ``out`` = 1 when the turn's time is inside a slot of
-    ``class_col``'s class. Slots of up to a month are matched by (class, day) and
-    a range residual, so each makes a month's rows at most; longer ones, however
-    far their ends, stay one row and are matched by class. In either table the
-    intervals of a key are disjoint: at most one match per turn and table, so no
-    fan-out, and the flag can be aggregated with the other session aggregates."""
-    slots = schedule_slots(schedule)
-    short = F.datediff("close_at", "open_at") <= LONG_SLOT_DAYS
-    days = slots.filter(short).withColumn("slot_day", F.explode(F.sequence(F.to_date("open_at"), F.to_date("close_at"))))
-    d = merged(days, ["class_id", "slot_day"]).select(
-        F.col("class_id").alias("__sc"), F.col("slot_day").alias("__sd"), F.col("open_at").alias("__o"), F.col("close_at").alias("__c"))
-    m = merged(slots.filter(~short), ["class_id"]).select(
-        F.col("class_id").alias("__lc"), F.col("open_at").alias("__lo"), F.col("close_at").alias("__lx"))
-    at = F.col("asked_at")
-    t = turns.withColumn("__day", F.to_date("asked_at"))
-    j = t.join(d, on=(F.col(class_col) == F.col("__sc")) & (F.col("__day") == F.col("__sd")) & (at >= F.col("__o")) & (at <= F.col("__c")), how="left")
-    j = j.join(m, on=(F.col(class_col) == F.col("__lc")) & (at >= F.col("__lo")) & (at <= F.col("__lx")), how="left")
-    hit = F.col("__o").isNotNull() | F.col("__lo").isNotNull()
-    return j.withColumn(out, hit.cast("int")).drop("__day", "__sc", "__sd", "__o", "__c", "__lc", "__lo", "__lx")
+    ``class_col``'s class. The slots are cut into days (with a range residual),
+    whole months and whole years (:func:`calendar_cover`); a turn is looked up by its class and
+    its day, month and year, so slots of any length and number meet no turn but
+    those of their dates. At most one match per turn and lookup: no fan-out, and
+    the flag can be aggregated with the other session aggregates."""
+    days, months, years = calendar_cover(schedule_slots(schedule))
+    at, cls = F.col("asked_at"), F.col(class_col)
+    j = turns.withColumn("__day", F.to_date("asked_at"))
+    d = days.toDF("__dc", "__dp", "__o", "__c")
+    j = j.join(d, on=(cls == F.col("__dc")) & (F.col("__day") == F.col("__dp")) & (at >= F.col("__o")) & (at <= F.col("__c")), how="left")
+    j = j.join(months.toDF("__mc", "__mp"), on=(cls == F.col("__mc")) & (F.trunc("__day", "MM") == F.col("__mp")), how="left")
+    j = j.join(years.toDF("__yc", "__yp"), on=(cls == F.col("__yc")) & (F.trunc("__day", "YEAR") == F.col("__yp")), how="left")
+    hit = F.coalesce("__dc", "__mc", "__yc").isNotNull()
+    return j.withColumn(out, hit.cast("int")).drop("__day", "__dc", "__dp", "__o", "__c", "__mc", "__mp", "__yc", "__yp")
 
 
 REASON_OK = "ok"
