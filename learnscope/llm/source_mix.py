@@ -56,54 +56,77 @@ def water_fill(sizes: list[int], weights: list[int], total: Fraction, most: int)
     return target
 
 
+def push_flow(to: list[int], cap: list[int], out: list[list[int]], start: int, end: int) -> None:
+    """Raise the flow from ``start`` to ``end`` to its maximum, by blocking flows
+    over the nodes' distances. Edge e goes to ``to[e]`` with ``cap[e]`` left, its
+    reverse is ``e ^ 1``, ``out`` lists the edges of each node."""
+    while True:
+        level = [-1] * len(out)
+        level[start] = 0
+        queue = deque([start])
+        while queue:
+            a = queue.popleft()
+            for e in out[a]:
+                if cap[e] and level[to[e]] < 0:
+                    level[to[e]] = level[a] + 1
+                    queue.append(to[e])
+        if level[end] < 0:
+            return
+        tried, path, a = [0] * len(out), [], start
+        while True:
+            if a == end:
+                room = min(cap[e] for e in path)
+                for e in path:
+                    cap[e] -= room
+                    cap[e ^ 1] += room
+                full = next(i for i, e in enumerate(path) if not cap[e])
+                a = to[path[full] ^ 1]
+                del path[full:]
+                continue
+            edges, i = out[a], tried[a]
+            while i < len(edges) and not (cap[edges[i]] and level[to[edges[i]]] == level[a] + 1):
+                i += 1
+            tried[a] = i
+            if i < len(edges):
+                path.append(edges[i])
+                a = to[edges[i]]
+            elif path:
+                a = to[path.pop() ^ 1]
+                tried[a] += 1
+            else:
+                break
+
+
 def min_cost_flow(supply: list[int], members: list[list[int]], quota: list[int], most: int) -> list[list[int]]:
     """Flow from each pattern to each of its sources: quotas are met as far as
     they can be, at the least total repetition cost (the r-th use of a pattern's
-    tokens costs r - 1). Successive shortest paths; every augmentation uses up
-    an edge, and the network has one node per pattern and source."""
+    tokens costs r - 1).
+
+    Only the uses cost anything, so the cost of a path is that of the use it
+    starts with: one maximum flow per cost level, with one more use of every
+    pattern open at each, gives the same as cheapest paths one by one."""
     p_n, s_n = len(supply), len(quota)
     start, end = p_n + s_n, p_n + s_n + 1
-    graph: list[list[list[int]]] = [[] for _ in range(end + 1)]  # edges: to, capacity, cost, index of the reverse edge
-
-    def edge(a, b, cap, cost):
-        graph[a].append([b, cap, cost, len(graph[b])])
-        graph[b].append([a, 0, -cost, len(graph[a]) - 1])
-
-    for p, size in enumerate(supply):
-        for r in range(most):
-            edge(start, p, size, r)
-    at = {}
-    for p, own in enumerate(members):
-        for s in own:
-            at[p, s] = len(graph[p])
-            edge(p, p_n + s, most * supply[p], 0)
+    to: list[int] = []
+    cap: list[int] = []
+    out: list[list[int]] = [[] for _ in range(end + 1)]
+
+    def edge(a: int, b: int, room: int) -> int:
+        out[a].append(len(to))
+        out[b].append(len(to) + 1)
+        to.extend((b, a))
+        cap.extend((room, 0))
+        return len(to) - 2
+
+    uses = [edge(start, p, 0) for p in range(p_n)]
+    at = [[edge(p, p_n + s, most * supply[p]) for s in own] for p, own in enumerate(members)]
     for s, q in enumerate(quota):
-        edge(p_n + s, end, q, 0)
-    while True:
-        dist, back = {start: 0}, {}
-        queue, waiting = deque([start]), {start}
-        while queue:
-            a = queue.popleft()
-            waiting.discard(a)
-            for i, (b, cap, cost, _) in enumerate(graph[a]):
-                if cap and dist[a] + cost < dist.get(b, float("inf")):
-                    dist[b], back[b] = dist[a] + cost, (a, i)
-                    if b not in waiting:
-                        waiting.add(b)
-                        queue.append(b)
-        if end not in dist:
-            break
-        room, b = float("inf"), end
-        while b != start:
-            a, i = back[b]
-            room, b = min(room, graph[a][i][1]), a
-        b = end
-        while b != start:
-            a, i = back[b]
-            graph[a][i][1] -= room
-            graph[b][graph[a][i][3]][1] += room
-            b = a
-    return [[most * supply[p] - graph[p][at[p, s]][1] for s in own] for p, own in enumerate(members)]
+        edge(p_n + s, end, q)
+    for _ in range(most):
+        for p, e in enumerate(uses):
+            cap[e] += supply[p]
+        push_flow(to, cap, out, start, end)
+    return [[cap[e ^ 1] for e in own] for own in at]
 
 
 def by_code_point(sources) -> list:

@@ -107,6 +107,56 @@ def test_flow_prefers_first_uses():
     assert sum(flow[0]) + sum(flow[1]) == 35 and sum(flow[1]) <= 20
 
 
+def _unit_flow(supply, members, quota, most):
+    """(total, cost) by cheapest single units, each found by relaxing all edges."""
+    p_n, end = len(supply), len(supply) + len(quota)
+    edges = [[-1, p, supply[p], r] for p in range(p_n) for r in range(most)]
+    edges += [[p, p_n + s, most * supply[p], 0] for p, own in enumerate(members) for s in own]
+    edges += [[p_n + s, end, q, 0] for s, q in enumerate(quota)]
+    edges = [e for a, b, c, w in edges for e in ([a, b, c, w], [b, a, 0, -w])]
+    total = cost = 0
+    while True:
+        dist, back = {-1: 0}, {}
+        for _ in range(end + 2):
+            for i, (a, b, c, w) in enumerate(edges):
+                if c and a in dist and dist[a] + w < dist.get(b, 10**9):
+                    dist[b], back[b] = dist[a] + w, i
+        if end not in dist:
+            return total, cost
+        total, cost, b = total + 1, cost + dist[end], end
+        while b != -1:
+            edges[back[b]][2] -= 1
+            edges[back[b] ^ 1][2] += 1
+            b = edges[back[b]][0]
+
+
+def test_flow_is_cheapest():
+    rng = random.Random(4)
+    for _ in range(60):
+        p_n, s_n, most = rng.randint(1, 5), rng.randint(1, 4), rng.randint(1, 3)
+        supply = [rng.randint(0, 6) for _ in range(p_n)]
+        members = [sorted(rng.sample(range(s_n), rng.randint(0, s_n))) for _ in range(p_n)]
+        quota = [rng.randint(0, 9) for _ in range(s_n)]
+        flow = source_mix.min_cost_flow(supply, members, quota, most)
+        used = [sum(f) for f in flow]
+        assert all(u <= most * x for u, x in zip(used, supply))
+        got = [sum(f[own.index(s)] for f, own in zip(flow, members) if s in own) for s in range(s_n)]
+        assert all(g <= q for g, q in zip(got, quota))
+        cost = sum(sum(r * max(0, min(x, u - r * x)) for r in range(most)) for u, x in zip(used, supply))
+        assert (sum(used), cost) == _unit_flow(supply, members, quota, most)
+
+
+def test_flow_with_very_many_sources():
+    rng = random.Random(6)
+    n = 20_000
+    supply, quota = [rng.randint(0, 10**9) for _ in range(n)], [rng.randint(0, 10**9) for _ in range(n)]
+    flow = source_mix.min_cost_flow(supply, [[s] for s in range(n)], quota, 2)
+    assert flow == [[min(q, 2 * x)] for q, x in zip(quota, supply)]
+    both = [[s, (s * 7 + 1) % n] for s in range(n)]  # every document in two sources
+    flow = source_mix.min_cost_flow(supply, both, [x // 2 for x in supply], 2)
+    assert sum(map(sum, flow)) == sum(x // 2 for x in supply)
+
+
 def test_mix_meets_quotas(make, odd, spark):
     rng = random.Random(2)
     rows = [(100 + i, "w " * rng.randint(0, 300), rng.choice("abcdef")) for i in range(300)]
