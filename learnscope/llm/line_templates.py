@@ -183,13 +183,16 @@ def recurring(docs: DataFrame, key: str = "doc_id", text: str = "text") -> tuple
     and the line numbers that each document loses (doc, numbers)."""
     rows = docs.select(F.col(key).cast("long").alias("doc"), text_or_empty(text).alias("text")).filter("doc is not null")
     found = materialize(occurrences(rows, marked_leaves(rows)), "line-occurrences")
-    of = line_templates(found)
-    each = found.select("line", F.explode(F.arrays_zip("docs", "numbers")).alias("o")).select("line", F.col("o.docs").alias("doc"), F.col("o.numbers").alias("number"))
-    at = materialize(each.join(of, "line").select(F.md5("template").alias("t"), "template", "doc", "number"), "line-templates")
-    seen = at.groupBy("t", "doc").agg(F.first("template").alias("template"))
-    templates = seen.groupBy("t").agg(F.first("template").alias("template"), F.count(F.lit(1)).alias("n_docs"), F.min("doc").alias("first_doc"))
-    templates = materialize(templates.filter(F.col("n_docs") >= MIN_DOCS), "templates")
-    drop = at.join(templates.select("t", "first_doc"), "t").filter("doc != first_doc")
+    # joined as found, one row per piece and line: a frequent line is not one row per occurrence until its template is known
+    at = found.select("line", "docs", "numbers").join(line_templates(found), "line")
+    at = materialize(at.select(F.md5("template").alias("t"), "template", "docs", "numbers"), "line-templates")
+    seen = at.select("t", F.explode("docs").alias("doc")).distinct()
+    counts = seen.groupBy("t").agg(F.count(F.lit(1)).alias("n_docs"), F.min("doc").alias("first_doc")).filter(F.col("n_docs") >= MIN_DOCS)
+    texts = at.groupBy("t").agg(F.first("template").alias("template"))
+    templates = materialize(counts.join(texts, "t").select("t", "template", "n_docs", "first_doc"), "templates")
+    drop = at.select("t", "docs", "numbers").join(templates.select("t", "first_doc"), "t")
+    drop = drop.select("first_doc", F.explode(F.arrays_zip("docs", "numbers")).alias("o")).select("first_doc", F.col("o.docs").alias("doc"), F.col("o.numbers").alias("number"))
+    drop = drop.filter("doc != first_doc")
     # a document's own line numbers: bounded by its text
     return templates, drop.groupBy("doc").agg(F.collect_set("number").alias("numbers"))
 
