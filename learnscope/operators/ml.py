@@ -188,6 +188,7 @@ CHUNK = 1 << 21  # distances held at a time
 ROWS_PER_TASK = 50_000  # in the passes of a fit, at least
 CANDIDATES = 500  # drawn from all rows in each round before a fit
 ROUNDS = 4
+FEW_PAIRS = 12  # of labelings, counted pair by pair
 
 
 @dataclass
@@ -376,9 +377,9 @@ def kmeans_best(df: DataFrame, cols: Sequence[str], k: int, n_init: int = L.N_IN
     return min(fit_many(df, cols, [(k, seed + i) for i in range(n_init)], max_iter), key=lambda f: f.cost)
 
 
-def k_sweep(df: DataFrame, cols: Sequence[str], n_rows: int, max_k: int = L.MAX_K, n_init: int = L.N_INIT, seed: int = L.RANDOM_STATE) -> DataFrame:
-    """ML7: inertia of the best of ``n_init`` fits for K = 2..min(max_k, n-1)."""
-    ks = list(range(2, min(max_k + 1, n_rows)))
+def k_sweep(df: DataFrame, cols: Sequence[str], n_rows: int, max_k: int = L.MAX_K, n_init: int = L.N_INIT, seed: int = L.RANDOM_STATE, min_k: int = 2) -> DataFrame:
+    """ML7: inertia of the best of ``n_init`` fits for K = min_k..min(max_k, n-1)."""
+    ks = list(range(min_k, min(max_k + 1, n_rows)))
     if not ks:
         raise ValueError(f"need at least 3 rows to sweep K, got {n_rows}")
     fits = fit_many(df, cols, [(k, seed + i) for k in ks for i in range(n_init)])
@@ -484,12 +485,19 @@ def ari(df: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def ari_pairwise(df: DataFrame, label_cols: Sequence[str]) -> DataFrame:
-    """JOIN6 + ML11: ARI of every pair (i < j) of labelings. Each task counts the
-    co-occurrence of all labels as one matrix product of its one-hot rows, and
-    returns one row per pair of labels of two labelings: the amount shuffled
-    depends on the numbers of labels, not on the rows or their variety. A null
-    label is a label of its own."""
+    """JOIN6 + ML11: ARI of every pair (i < j) of labelings. Up to ``FEW_PAIRS``
+    pairs are counted as rows (pair, a, b), summed in the task first. With more
+    labelings each task counts the co-occurrence of all labels as one matrix
+    product of its one-hot rows, and returns one row per pair of labels of two
+    labelings. Either way the amount shuffled depends on the numbers of labels, not
+    on the rows or their variety. A null label is a label of its own."""
     n = len(label_cols)
+    labels = df.select(*[F.col(c).cast("int").alias(f"l{i}") for i, c in enumerate(label_cols)])
+    pairs = [(i, j) for i in range(n) for j in range(i + 1, n)]
+    if 0 < len(pairs) <= FEW_PAIRS:
+        each = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.col(f"l{i}").alias("a"), F.col(f"l{j}").alias("b")) for i, j in pairs])
+        g = labels.select(F.explode(each).alias("p")).select("p.*").groupBy("i", "j", "a", "b").agg(F.count(F.lit(1)).alias("nij"))
+        return _ari_from_counts(g, ["i", "j"])
     null = np.iinfo(np.int32).min
 
     def run(batches):
@@ -516,7 +524,6 @@ def ari_pairwise(df: DataFrame, label_cols: Sequence[str]) -> DataFrame:
         yield pa.record_batch([pa.array(cols[0], pa.int32()), pa.array(cols[2], pa.int32()), pa.array(cols[1], pa.int32()), pa.array(cols[3], pa.int32()), pa.array(list(total.values()), pa.int64())],
                               names=["i", "j", "a", "b", "nij"])
 
-    labels = df.select(*[F.col(c).cast("int").alias(f"l{i}") for i, c in enumerate(label_cols)])
     g = labels.mapInArrow(run, "i int, j int, a int, b int, nij long").groupBy("i", "j", "a", "b").agg(F.sum("nij").alias("nij"))
     return _ari_from_counts(g, ["i", "j"])
 

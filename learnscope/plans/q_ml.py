@@ -246,6 +246,80 @@ def ml_stability(spark, sf):
     return io.read_table(spark, path, ["part", "ari"])
 
 
+# Far groups: 1,000 apart in one coordinate, so the best clusters are the labels themselves.
+_FAR = "far AS (SELECT * REPLACE (e1 + 1000.0 * label AS e1) FROM emb WHERE label IS NOT NULL)"
+_FAR_G = "fg AS (SELECT label, count(*) AS n, " + ", ".join(f"avg({c}) AS {c}" for c in E) + ", " + " + ".join(f"count(*) * var_pop({c})" for c in E) + " AS sse FROM far GROUP BY label)"
+
+
+@register("ml_fit_far", O.with_(_EMB, _FAR, _FAR_G) + f"""SELECT 'cluster' AS part, CAST(row_number() OVER (ORDER BY n DESC, e1) - 1 AS INTEGER) AS i, CAST(NULL AS INTEGER) AS j, n, e1 AS first, e{len(E)} AS last, sse AS value, CAST(NULL AS VARCHAR) AS stability FROM fg
+  UNION ALL SELECT 'sweep', CAST(count(*) AS INTEGER), NULL, CAST(sum(n) AS BIGINT), NULL, NULL, sum(sse), NULL FROM fg
+  UNION ALL SELECT 'pair', CAST(a.i AS INTEGER), CAST(b.i AS INTEGER), NULL, NULL, NULL, 1.0, NULL FROM range({L.STABILITY_ITERATIONS}) a(i) JOIN range({L.STABILITY_ITERATIONS}) b(i) ON a.i < b.i
+  UNION ALL SELECT 'summary', {L.STABILITY_ITERATIONS}, NULL, {L.STABILITY_ITERATIONS * (L.STABILITY_ITERATIONS - 1) // 2}, 0.0, 1.0, 1.0, 'Highly Stable'""",
+          floats=("first", "last", "value"))
+def ml_fit_far(spark, sf):
+    """ML7, ML10, ML12, SNK8 to the end against SQL: with the labels' groups moved
+    far apart, the last K of the sweep, the final clusters (sizes, centers,
+    inertia) and every refit must find exactly the labels. The scores are
+    written as a report and read back."""
+    e = _emb(spark, sf).filter("label is not null").withColumn("e1", F.col("e1") + 1000.0 * F.col("label"))
+    n, k = e.agg(F.count(F.lit(1)), F.count_distinct("label")).first()
+    sweep = ml.k_sweep(e, E, n, k, min_k=k).select(F.lit("sweep").alias("part"), F.col("k").alias("i"), F.lit(n).cast("long").alias("n"), F.col("inertia").alias("value"))
+    labels, centers = ml.cluster(e, E, k)
+    center = spark.createDataFrame([(i, *map(float, c)) for i, c in enumerate(centers)], "cluster int, " + ", ".join(f"{c} double" for c in E))
+    found = ml.inertia(labels, E, "cluster", center).join(center, "cluster")
+    found = found.select(F.lit("cluster").alias("part"), F.col("cluster").alias("i"), "n", F.col("e1").alias("first"), F.col(E[-1]).alias("last"), F.col("sse").alias("value"))
+    summary, pairs = ml.stability(e, E, k)
+    summary = summary.select(F.lit("summary").alias("part"), F.col("iterations").alias("i"), F.col("n_pairs").alias("n"), F.col("std_ari").alias("first"), F.col("min_ari").alias("last"),
+                             F.col("mean_ari").alias("value"), "stability")
+    pairs = pairs.select(F.lit("pair").alias("part"), "i", "j", F.col("ari").alias("value"))
+    path = scratch_path(spark, "fit-report")
+    every = [found, sweep, pairs, summary]
+    out = every[0]
+    for df in every[1:]:
+        out = out.unionByName(df, allowMissingColumns=True)
+    io.write_table(out, path)
+    return io.read_table(spark, path, ["part", "value"]).select("part", "i", "j", "n", "first", "last", "value", "stability")
+
+
+@register("ml_fit_checks", O.with_(_LONG) + f"""SELECT 'total_squares' AS check_name, (SELECT sum(v) FROM (SELECT count(*) * var_pop(x) AS v FROM l GROUP BY feature)) AS value
+  UNION ALL SELECT 'rows', (SELECT CAST(count(*) AS DOUBLE) FROM embeddings) UNION ALL SELECT 'fits', {L.N_INIT}.0
+  UNION ALL SELECT 'rows_off_nearest_center', 0.0 UNION ALL SELECT 'centers_off_means', 0.0 UNION ALL SELECT 'inertia_off', 0.0
+  UNION ALL SELECT 'starts_below_best', 0.0 UNION ALL SELECT 'sweep_rises', 0.0""", floats=("value",))
+def ml_fit_checks(spark, sf):
+    """ML7-10: what a finished fit of the embeddings must satisfy, recomputed from
+    its labels with DataFrame functions: squares within and between clusters add up
+    to all squares, every row has its nearest center, centers are their rows' means,
+    the reported inertia is that of the labels, the best of ten is below the others,
+    and the sweep's inertia never rises with K."""
+    e, k = _emb(spark, sf), 5
+    fits = ml.fit_many(e, E, [(k, L.RANDOM_STATE + i) for i in range(L.N_INIT)], tol=1e-12)
+    best = min(fits, key=lambda f: f.cost)
+    lab = ml.assign(e, E, best.centers).persist()
+    center = spark.createDataFrame([(i, *map(float, c)) for i, c in enumerate(best.centers)], "cluster int, " + ", ".join(f"{c} double" for c in E))
+    sse = ml.inertia(lab, E, "cluster", center).agg(F.sum("sse")).first()[0]
+    row = F.array(*E)
+    d2 = [F.aggregate(F.zip_with(row, F.array(*[F.lit(float(v)) for v in c]), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, b: a + b) for c in best.centers]
+    off = lab.withColumn("__d", F.array(*d2)).filter(F.get("__d", F.col("cluster")) > F.array_min("__d") + 1e-9).count()
+    means = lab.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in E]).collect()  # k rows
+    whole = lab.agg(*[F.avg(c) for c in E]).first()
+    n = lab.count()
+    lab.unpersist()
+    between = sum(r["n"] * sum((r[c] - m) ** 2 for c, m in zip(E, whole)) for r in means)
+    apart = max(abs(r[c] - best.centers[r["cluster"]][j]) for r in means for j, c in enumerate(E))
+    sweep = [r["inertia"] for r in ml.k_sweep(e, E, n).orderBy("k").collect()]
+    rows = [
+        ("total_squares", sse + between),
+        ("rows", float(n)),
+        ("fits", float(len(fits))),
+        ("rows_off_nearest_center", float(off)),
+        ("centers_off_means", apart),
+        ("inertia_off", abs(best.cost - sse) / sse if sse else abs(best.cost)),
+        ("starts_below_best", float(sum(f.cost < best.cost for f in fits))),
+        ("sweep_rises", float(sum(b > a for a, b in zip(sweep, sweep[1:])))),
+    ]
+    return spark.createDataFrame([(name, float(v)) for name, v in rows], "check_name string, value double")
+
+
 @register("ml_ari_summary", O.with_(_EMB, _LAB, f"pw AS ({_PAIRS})")
           + f"""SELECT count(*) AS n_pairs, avg(ari) AS mean_ari, stddev_pop(ari) AS std_ari, min(ari) AS min_ari,
                  CASE WHEN avg(ari) > {L.STABILITY_HIGH} THEN 'Highly Stable' WHEN avg(ari) > {L.STABILITY_MODERATE} THEN 'Moderately Stable' ELSE 'Unstable' END AS stability FROM pw""",
