@@ -152,3 +152,54 @@ def ordered_concat(value: Column | str, *order: Column | str, sep: str = " ") ->
     keyed = F.struct(*[_c(o).alias(f"k{i}") for i, o in enumerate(order)], _c(value).alias("v"))
     sorted_ = F.array_sort(F.collect_list(keyed))
     return F.array_join(F.transform(sorted_, lambda x: F.coalesce(x["v"], F.lit(""))), sep)
+
+
+EDGE_CHARS = 32  # normalized characters that an edge keeps at least: phrases are not longer
+EDGE_SEARCH = 4096  # characters in which the end of an edge is looked for
+_NO_LABEL = r"(?:(?![A-D][\.、)])[\s\S])"
+
+
+def _gap(phrases: Sequence[str]) -> str:
+    """Where an edge may end: two plain characters (in no pattern but the one of option
+    labels, and in none of its labels) further apart than that pattern spans, without
+    a label between. No match reaches over both, and no chain of phrases that
+    overlap themselves over one."""
+    chained = {c for p in phrases if any(p[:i] == p[-i:] for i in range(1, len(p))) for c in p}
+    wide = dict(zip(L.FULLWIDTH_TO, L.FULLWIDTH_FROM))
+    own = "".join(f"\\x{{{ord(x):x}}}" for c in sorted(chained) for x in {c, wide.get(c, c)})
+    plain = r"[^\s\p{Z}\p{C}\p{Nd}A-D\.、\)\(（）分选项\[\]_`如果会可以吗那" + own + "]"
+    return plain + _NO_LABEL + "{51}" + _NO_LABEL + "{0,200}?" + plain
+
+
+def _hypothetical_gist(s: Column) -> Column:
+    """A short text with the same effect on the spanning patterns as ``s``, one line."""
+    def words(a: str, b: str) -> Column:
+        loose = F.concat(F.when(F.instr(s, b) > 0, b).otherwise(""), F.when(F.instr(s, a) > 0, a).otherwise(""))
+        return F.when(s.rlike(f"{a}[^\\n]*{b}"), F.lit(a + b)).otherwise(loose)
+
+    return F.concat(F.lit(" "), words("如果", "会"), F.lit(" "), words("可以", "吗"), F.lit(" "))
+
+
+def with_edges(df, text: str, out: str, when: Column, phrases: Sequence[str]):
+    """``out``: the text, or where ``when`` holds only its edges and the gist of what
+    is between, so that for the default patterns and the ``phrases``
+
+        count(t1 + " " + t2 ...) = sum(count(t) - count(out)) + count(out1 + " " + out2 ...)
+
+    Matches of the patterns are settled by the characters near them, but for option
+    labels (pairs depend on where the scan comes from, which an edge's gap resets) and
+    ``A[^\\n]*B`` (at most one a line; the gist keeps which words a line has, in order).
+    A text without such gaps near its ends stays whole, and so does every text if a
+    phrase is longer than ``EDGE_CHARS``."""
+    if any(len(p) > EDGE_CHARS for p in phrases):
+        return df.withColumn(out, F.col(text))
+    t, gap = F.col(text), _gap(phrases)
+    head = F.regexp_extract(F.substring(t, 1, EDGE_SEARCH), f"^([\\s\\S]*?{gap})", 1)
+    tail = F.regexp_extract(F.right(t, F.lit(EDGE_SEARCH)), f"^[\\s\\S]*({gap}[\\s\\S]*)$", 1)
+    d = df.withColumn("__head", F.when(when, head)).withColumn("__tail", F.when(when, tail))
+    between = F.length(t) - F.length("__head") - F.length("__tail")
+    cut = (between > 0) & (F.length(normalize("__head")) >= EDGE_CHARS) & (F.length(normalize("__tail")) >= EDGE_CHARS)
+    d = d.withColumn("__mid", F.when(cut, F.substring(t, F.length("__head") + 1, between)))
+    mid = F.col("__mid")
+    gist = F.when(F.instr(mid, "\n") > 0, F.concat(_hypothetical_gist(F.substring_index(mid, "\n", 1)), F.lit("\n"), _hypothetical_gist(F.substring_index(mid, "\n", -1)))).otherwise(_hypothetical_gist(mid))
+    return d.withColumn(out, F.when(mid.isNotNull(), F.concat("__head", gist, "__tail")).otherwise(t)).drop("__head", "__tail", "__mid")

@@ -27,11 +27,12 @@ def _first(col: str) -> Column:
     return F.min_by(F.col(col), F.struct(*[F.col(c) for c in ORDER]))
 
 
-def session_summary(turns: DataFrame, with_text: bool = True) -> DataFrame:
+def session_summary(turns: DataFrame, with_text: bool = True, extra_keys: Sequence[str] = ()) -> DataFrame:
     """AGG3-11: one row per session with the cheap aggregates and (optionally)
     the pooled prompt text (AGG10) and the first AI reply's first 100
-    characters (AGG11)."""
-    keys = session_keys(turns)
+    characters (AGG11). With ``extra_keys``, one row per part of a session, and
+    the sums behind the averages."""
+    keys = [*session_keys(turns), *extra_keys]
     t = X.with_question_length(turns, "question_text", "__clen") if "question_text" in turns.columns else turns
     aggs = [
         F.count(F.lit(1)).alias("qa_turns"),
@@ -48,6 +49,8 @@ def session_summary(turns: DataFrame, with_text: bool = True) -> DataFrame:
             F.avg(F.length(q)).alias("avg_raw_length"),
             F.max(X.has_image(q).cast("int")).alias("has_image"),
         ]
+        if extra_keys:
+            aggs += [F.sum("__clen").alias("avg_question_length_sum"), F.sum(F.length(q)).alias("avg_raw_length_sum")]
     if "entry" in turns.columns:
         aggs.append(F.max(X.is_confusion_entry("entry").cast("int")).alias("is_confusion_entry"))
     else:
@@ -64,6 +67,56 @@ def session_summary(turns: DataFrame, with_text: bool = True) -> DataFrame:
     return t.groupBy(*keys).agg(*aggs)
 
 
+PIECE_TURNS = 256  # turns of a student's sequence whose texts are joined in one row
+LONG_TURNS, LONG_CHARS = 64, 65_536  # a piece with more is cut to its edges
+
+
+def session_signals(turns: DataFrame, lexicon: dict | None = None) -> DataFrame:
+    """:func:`session_summary` for the text signals, without a session's whole text
+    in one row. Texts are joined per piece of ``PIECE_TURNS`` turns (``turn_rank`` of
+    the segmentation). A long piece is counted where it is and goes on as its edges
+    (:func:`learnscope.functions.text.with_edges`); ``pooled_prompts`` then joins short
+    pieces and edges, and ``inside_copy``, ``inside_answer`` and
+    ``inside_understanding`` are what the edges leave out: the sums are those of the
+    whole text. Pieces stay whole where a caller's own patterns are counted, and where
+    option labels follow one another all along an end."""
+    if "turn_rank" not in turns.columns or "question_text" not in turns.columns:
+        return session_summary(turns)
+    keys = session_keys(turns)
+    part = session_summary(turns.withColumn("__piece", F.floor((F.col("turn_rank") - 1) / PIECE_TURNS)), extra_keys=["__piece"])
+    lx = _lists(lexicon)
+    own = any(list(lx[k]) != d for k, d in (("copy_patterns", L.NON_NATURAL_PATTERNS), ("hypothetical", L.HYPOTHETICAL_PATTERNS)))
+    phrases = [*lx["copy"], *lx["answer_prompt"], *lx["understanding"]]
+    inside = {}
+    if not own:
+        long = (F.col("qa_turns") > LONG_TURNS) | (F.length("pooled_prompts") > LONG_CHARS)
+        part = X.with_edges(part, "pooled_prompts", "__edges", long, phrases)
+        cut = F.length("__edges") < F.length("pooled_prompts")
+        part = part.withColumn("__whole", F.when(cut, F.col("pooled_prompts"))).withColumn("__cut", F.when(cut, F.col("__edges")))
+        part = part.withColumn("__nwhole", F.when(cut, X.normalize("__whole"))).withColumn("__ncut", F.when(cut, X.normalize("__cut")))
+
+        def left_out(count) -> Column:
+            return F.when(cut, count("__whole", "__nwhole") - count("__cut", "__ncut")).otherwise(F.lit(0)).cast("long")
+
+        inside = {
+            "inside_copy": left_out(lambda raw, norm: X.patterns_count(raw, lx["copy_patterns"], L.NON_NATURAL_REQUIRED) + X.phrases_count(norm, lx["copy"])),
+            "inside_answer": left_out(lambda raw, norm: X.phrases_count(norm, lx["answer_prompt"])),
+            "inside_understanding": left_out(lambda raw, norm: X.patterns_count(raw, lx["hypothetical"], L.HYPOTHETICAL_REQUIRED) + X.phrases_count(norm, lx["understanding"])),
+        }
+        part = part.withColumns(inside).withColumn("pooled_prompts", F.when(cut, F.col("__edges")).otherwise(F.col("pooled_prompts")))
+    n = F.col("qa_turns")
+    aggs = [
+        F.sum("qa_turns").alias("qa_turns"),
+        *[F.min(c).alias(c) for c in ("t_min",)],
+        *[F.max(c).alias(c) for c in ("t_max", "any_bad_time", "has_image", "is_confusion_entry", "is_in_class_time") if c in part.columns],
+        *[(F.sum(f"{c}_sum") / F.sum(n)).alias(c) for c in ("avg_question_length", "avg_raw_length")],
+        *[F.min_by(c, "__piece").alias(c) for c in ("class_id", "first_ai_reply") if c in part.columns],
+        *[F.sum(c).alias(c) for c in inside],
+        X.ordered_concat("pooled_prompts", "__piece").alias("pooled_prompts"),
+    ]
+    return part.groupBy(*keys).agg(*aggs)
+
+
 def behavioral(summary: DataFrame) -> DataFrame:
     """AGG3-5: qa_turns, avg_qa_time_minutes (span / (n-1), 0 for one turn or
     zero span), avg_question_length."""
@@ -78,6 +131,11 @@ def _image_bonus() -> Column:
     return ((F.col("has_image") == 1) & (F.col("is_confusion_entry") == 0)).cast("int")
 
 
+def _inside(summary: DataFrame, signal: str) -> Column:
+    """What :func:`session_signals` counted inside the session's long pieces."""
+    return F.col(f"inside_{signal}") if f"inside_{signal}" in summary.columns else F.lit(0)
+
+
 def copy_paste_score(summary: DataFrame, phrases: Sequence[str] = tuple(L.COPY_KEYWORDS), patterns: Sequence[str] = tuple(L.NON_NATURAL_PATTERNS), long_chars: int = L.LONG_QUESTION_CHARS) -> Column:
     """SCL6 as a Column over a summary that has ``pooled_prompts`` and
     ``norm_prompts`` (see :func:`text_signals`)."""
@@ -86,6 +144,7 @@ def copy_paste_score(summary: DataFrame, phrases: Sequence[str] = tuple(L.COPY_K
         + (F.col("avg_raw_length") > long_chars).cast("int")
         + X.patterns_count("pooled_prompts", patterns, L.NON_NATURAL_REQUIRED if list(patterns) == L.NON_NATURAL_PATTERNS else None)
         + X.phrases_count("norm_prompts", phrases)
+        + _inside(summary, "copy")
     )
 
 
@@ -101,6 +160,16 @@ def understanding(phrases: Sequence[str] = tuple(L.UNDERSTANDING_KEYWORDS_PROMPT
     return X.phrases_count("norm_prompts", phrases) + X.patterns_count("pooled_prompts", patterns, req)
 
 
+def _lists(lexicon: dict | None) -> dict:
+    """The six lists of the text signals: a caller's own, or the default."""
+    return {
+        "copy": tuple(L.COPY_KEYWORDS), "copy_patterns": tuple(L.NON_NATURAL_PATTERNS),
+        "answer_prompt": tuple(L.ANSWER_SEEKING_KEYWORDS_PROMPT), "answer_reply": tuple(L.ANSWER_SEEKING_KEYWORDS_AI),
+        "understanding": tuple(L.UNDERSTANDING_KEYWORDS_PROMPT), "hypothetical": tuple(L.HYPOTHETICAL_PATTERNS),
+        **(lexicon or {}),
+    }
+
+
 def text_signals(summary: DataFrame, only_when: Column | None = None, lexicon: dict | None = None) -> DataFrame:
     """Add copy_paste_score, is_copy_paste, answer_seeking_intensity and
     understanding_signal_strength. ``lexicon`` (UDF2) overrides any of the
@@ -112,14 +181,14 @@ def text_signals(summary: DataFrame, only_when: Column | None = None, lexicon: d
     s = summary.withColumn("norm_prompts", gate(X.normalize("pooled_prompts"))).withColumn(
         "norm_reply", gate(X.normalize(X.truncate("first_ai_reply", L.FIRST_REPLY_CHARS)))
     )
-    lx = lexicon or {}
-    cp = copy_paste_score(s, lx.get("copy", tuple(L.COPY_KEYWORDS)), lx.get("copy_patterns", tuple(L.NON_NATURAL_PATTERNS)))
+    lx = _lists(lexicon)
+    cp = copy_paste_score(s, lx["copy"], lx["copy_patterns"])
     s = s.withColumn("copy_paste_score", gate(cp).cast("double"))
     s = s.withColumn("is_copy_paste", gate((F.col("copy_paste_score") > 0).cast("int")))
-    ans = answer_seeking(lx.get("answer_prompt", tuple(L.ANSWER_SEEKING_KEYWORDS_PROMPT)), lx.get("answer_reply", tuple(L.ANSWER_SEEKING_KEYWORDS_AI)))
-    s = s.withColumn("answer_seeking_intensity", gate(ans).cast("double"))
-    und = understanding(lx.get("understanding", tuple(L.UNDERSTANDING_KEYWORDS_PROMPT)), lx.get("hypothetical", tuple(L.HYPOTHETICAL_PATTERNS)))
-    s = s.withColumn("understanding_signal_strength", gate(und).cast("double"))
+    ans = answer_seeking(lx["answer_prompt"], lx["answer_reply"])
+    s = s.withColumn("answer_seeking_intensity", gate(ans + _inside(s, "answer")).cast("double"))
+    und = understanding(lx["understanding"], lx["hypothetical"])
+    s = s.withColumn("understanding_signal_strength", gate(und + _inside(s, "understanding")).cast("double"))
     return s.drop("norm_prompts", "norm_reply")
 
 
@@ -291,7 +360,7 @@ def extract(
     if "session_class_id" not in turns.columns:
         first_class = turns.groupBy(*keys).agg(_first("class_id").alias("session_class_id"))
         turns = turns.join(first_class, on=keys, how="inner")
-    summary = session_summary(mark_in_class(turns, schedule, "session_class_id"))
+    summary = session_signals(mark_in_class(turns, schedule, "session_class_id"), lexicon)
     s = reject_reason(behavioral(summary), class_windows(classes), allowlist)
     ok = F.col("reject_reason") == REASON_OK
     s = text_signals(s, only_when=ok, lexicon=lexicon)

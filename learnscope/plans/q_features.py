@@ -105,7 +105,7 @@ _SIG = [*_SESS, O.signals_cte("behav")]
 
 
 def _signals(spark, sf):
-    return fe.text_signals(_summary(spark, sf))
+    return fe.text_signals(fe.behavioral(fe.session_signals(C.sessions(spark, sf, 720))))
 
 
 @register("feat_copy_paste", O.with_(*_SIG)
@@ -143,7 +143,7 @@ _LEXICON = {
           floats=("copy_paste_score", "answer_seeking_intensity", "understanding_signal_strength"))
 def feat_lexicon_override(spark, sf):
     """UDF2: the three text signals under a caller's own phrases and patterns."""
-    s = fe.text_signals(_summary(spark, sf), lexicon=_LEXICON)
+    s = fe.text_signals(fe.behavioral(fe.session_signals(C.sessions(spark, sf, 720), _LEXICON)), lexicon=_LEXICON)
     return s.select(*KEYS, "copy_paste_score", "answer_seeking_intensity", "understanding_signal_strength")
 
 
