@@ -41,7 +41,7 @@ FROM b
 
 
 def _license_sql() -> str:
-    from .license_scan import EQUIVALENT, KNOWN
+    from .license_scan import EQUIVALENT, KNOWN, shipped_digests
 
     form = r"'  ' || regexp_replace(regexp_replace(lower(coalesce({t}, '')), '(?m)^[^\p{{L}}\p{{N}}\n]*(copyright|\(c\)|©|all rights reserved)[^\n]*$', '', 'g'), '[^\p{{L}}\p{{N}}]+', '  ', 'g') || '  '"
     for a, b in EQUIVALENT:
@@ -50,10 +50,12 @@ def _license_sql() -> str:
     form = f"trim(regexp_replace({form}, ' +', ' ', 'g'))"
     quote = lambda x: "'" + x.replace("'", "''") + "'"
     known = ", ".join(f"({quote(a)}, {quote(b)})" for a, b in KNOWN)
+    shipped = ", ".join(f"({quote(digest)}, {quote(name)})" for name, digest, _ in shipped_digests())
     return f"""
 WITH k AS (
-  SELECT sha256({form.format(t="body")}) AS digest, min(license) AS license
-  FROM (VALUES {known}) AS v(license, body) GROUP BY 1
+  SELECT digest, min(license) AS license
+  FROM (SELECT sha256({form.format(t="body")}) AS digest, license FROM (VALUES {known}) AS v(license, body)
+        UNION ALL SELECT * FROM (VALUES {shipped}) AS s(digest, license)) GROUP BY 1
 ),
 f AS (SELECT doc_id, {form.format(t="text")} AS form FROM documents),
 l AS (

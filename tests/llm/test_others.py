@@ -68,6 +68,28 @@ def test_whole_licences_are_known(spark, make):
     assert got == {**dict(enumerate(names.values())), 99: None}
 
 
+def test_license_sql_knows_whole_licences(spark, make):
+    import duckdb
+
+    from learnscope.llm import sql
+
+    texts = []
+    for f in ("Apache-2.0", "GPL-3", "MPL-2.0"):
+        path = f"/usr/share/common-licenses/{f}"
+        if not os.path.exists(path):
+            pytest.skip("no licence texts on this machine")
+        with open(path, encoding="utf-8") as t:
+            texts.append(t.read())
+    rows = [*enumerate(texts), (8, "plain"), (9, None)]
+    got = {r["doc_id"]: (r["license"], r["canonical_sha256"]) for r in license_scan.scan(make(rows), license_scan.known_digests(spark)).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    want = con.execute(f"SELECT doc_id, license, canonical_sha256 FROM ({sql.op2_license_scan})").fetchall()
+    assert got == {i: (name, digest) for i, name, digest in want}
+    assert [got[i][0] for i in range(3)] == ["Apache-2.0", "GPL-3.0", "MPL-2.0"]
+
+
 def test_license_digests(spark, make, odd):
     mit = dict(license_scan.KNOWN)["MIT"]
     noisy = "Copyright (c) 2020 Someone\n\n" + mit.upper().replace(",", " ,")
