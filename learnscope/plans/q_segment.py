@@ -85,7 +85,7 @@ _ROWS_CTE = [
           + "SELECT student_id, session_index, n_rows, CAST(length(payload) AS INTEGER) AS payload_chars, md5(payload) AS payload_md5 FROM pay")
 def seg_payload(spark, sf):
     """WIN4 + SCL12-13: JSON payload per segment of >= 3 turns (gap-only, 720 min)."""
-    rows = sg.with_row_in_segment(C.sessions(spark, sf, 720, entry=False))
+    rows = sg.with_row_in_segment(sg.segment(sg.payload_texts(C.turns(spark, sf)), gap_minutes=720, split_on_entry=False))
     p = sg.segment_payloads(rows)
     return p.select("student_id", "session_index", "n_rows", F.length("payload").alias("payload_chars"), F.md5("payload").alias("payload_md5"))
 
@@ -175,7 +175,7 @@ def seg_topic_hook(spark, sf):
     mappings applied. It answers in the forms that segmenters do: an object, a
     fenced text, JSON5 with numbers out of range, an array with gaps; every fifth
     length of segment gets an answer that cannot be used and stays whole."""
-    rows = sg.with_row_in_segment(C.sessions(spark, sf, 720, entry=False))
+    rows = sg.with_row_in_segment(sg.segment(sg.payload_texts(C.turns(spark, sf)), gap_minutes=720, split_on_entry=False))
 
     def by_threes(turns):  # a deterministic segmenter
         topics = {t["row_number"]: 1 + (t["row_number"] - 1) // 3 for t in turns if t["row_number"] % 7}
