@@ -140,12 +140,17 @@ def _placed(blocks: DataFrame) -> DataFrame:
     })
 
 
-def _records(lines: DataFrame, placed: DataFrame) -> DataFrame:
+FEW_BLOCKS = 100_000  # rows of one block each that are sent to every task
+
+
+def _records(lines: DataFrame, placed: DataFrame, few: bool) -> DataFrame:
     """(file, position, owner, piece, text, cells): whole records have cells; the
     pieces of others have a text and the block that opened the record."""
     given = placed.select("file", "block", "is_open", "before", "owner")
-    # a block's lines are in one partition either way: of the scan, or of the join's shuffle
-    rows = lines.join(given, ["file", "block"]).sortWithinPartitions("file", "block", "id").select("file", "block", "is_open", "before", "owner", "line")
+    # a block's lines are in one partition either way: of the scan, where they stand in
+    # their order and are neither moved nor sorted, or of the join's shuffle
+    rows = lines.join(F.broadcast(given), ["file", "block"]) if few else lines.join(given, ["file", "block"]).sortWithinPartitions("file", "block", "id")
+    rows = rows.select("file", "block", "is_open", "before", "owner", "line")
     out = pa.schema([("file", pa.string()), ("position", pa.int64()), ("owner", pa.int64()), ("piece", pa.int64()), ("text", pa.string()), ("cells", pa.list_(pa.string()))])
 
     def run(batches):
@@ -206,8 +211,9 @@ def read_cells(spark: SparkSession, path: str | Sequence[str], recursive: bool =
     kept = scratch_path(spark, "csv-blocks")
     summaries = _summaries(lines)
     summaries.write.parquet(kept)
-    placed = _placed(spark.read.schema(summaries.schema).parquet(kept))
-    parts = _records(lines, placed)
+    blocks = spark.read.schema(summaries.schema).parquet(kept)
+    placed = _placed(blocks)
+    parts = _records(lines, placed, blocks.count() <= FEW_BLOCKS)
     records = parts.filter("cells is not null").select("file", "position", "cells").unionByName(_joined(parts.filter("cells is null")))
 
     files = placed.groupBy("file").agg(F.sum("_starts").alias("n"), F.max("head").alias("head")).filter("n > 0")
