@@ -42,6 +42,25 @@ def test_many_models_in_one_pass_equal_single_fits(spark):
         assert np.allclose(f.centers, alone.centers) and abs(f.cost - alone.cost) < 1e-6 * f.cost
 
 
+def test_a_pass_reads_one_column(spark):
+    """However many coordinates a row has; its numbers are those of numpy."""
+    x = np.random.default_rng(4).normal(size=(300, 20))
+    cols = [f"c{j}" for j in range(20)]
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], ", ".join(f"{c} double" for c in cols))
+    rows = ml.packed(df, cols)
+    assert len(rows.columns) == 1 and ml.packed(rows, cols) is rows
+    for source in (df, rows):
+        out = ml.lloyd_pass(source, cols, [x[:3], x[5:9]])
+        for c, (n, s, e) in zip((x[:3], x[5:9]), out):
+            d = ((x[:, None] - c[None]) ** 2).sum(axis=2)
+            label = d.argmin(axis=1)
+            assert n.tolist() == np.bincount(label, minlength=len(c)).tolist()
+            assert np.allclose(s, [x[label == k].sum(axis=0) for k in range(len(c))])
+            assert np.allclose(e, [d[label == k].min(axis=1).sum() for k in range(len(c))])
+    none = ml.lloyd_pass(df.filter("c0 > 1e9"), cols, [x[:3]])
+    assert none[0][0].tolist() == [0, 0, 0] and not none[0][1].any()
+
+
 def test_lloyd_against_numpy(spark):
     rng = np.random.default_rng(1)
     x = np.concatenate([rng.normal(c, 0.4, (60, 2)) for c in ((0, 0), (4, 0), (0, 4))])
