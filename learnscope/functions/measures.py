@@ -166,15 +166,68 @@ def edge_cutter(phrases: Sequence[str]) -> Callable[[str], str]:
     return cut
 
 
-def signal_edges(lx: dict) -> Callable[[str], tuple]:
+#: one character of a simple pattern (group 1) with its quantifier, or a bracket of a group
+ATOM = re.compile(r"(\[\^?(?:\\n|\\[^\w\s]|[^\\\[\]^])+\]|\\[^\w\s]|[^\\^$.|?*+(){}\[\]])(?:(?:[*+?]|\{\d+(?:,\d*)?\})\??)?|\(\?:|\((?!\?)|\||\)(?:[*+?]|\{\d+(?:,\d*)?\})?")
+
+
+def stops(pattern: str) -> re.Pattern | None:
+    """A character that no match of the pattern holds, so that none reaches over it; None
+    where that cannot be told (look-around, anchors, flags, ``.`` and escapes such as
+    ``\\d``, which Java and Python read differently) or where the pattern matches ''."""
+    atoms, at = [], 0
+    while at < len(pattern):
+        m = ATOM.match(pattern, at)
+        if not m:
+            return None
+        atoms += [m[1]] if m[1] else []
+        at = m.end()
+    if not atoms or "&&" in pattern or re.fullmatch(pattern, ""):
+        return None
+    return re.compile("(?!" + "|".join(dict.fromkeys(atoms)) + r")[\s\S]")
+
+
+def stop_cutter(phrases: Sequence[str], patterns: Sequence[str]) -> Callable[[str], str] | None:
+    """As :func:`edge_cutter` for a caller's own patterns: an edge holds, for each
+    pattern and phrase, a character that is in none of its matches, so what is counted
+    beyond it does not depend on what the edge is joined to. None where a pattern
+    has no such character that is known (:func:`stops`)."""
+    wide = dict(zip(L.FULLWIDTH_TO, L.FULLWIDTH_FROM))
+    own = [stops(p) for p in patterns]
+    if None in own:
+        return None
+    own += [re.compile(r"[^\s" + "".join(re.escape(x) for c in sorted(set(p)) for x in sorted({c, wide.get(c, c)})) + "]") for p in dict.fromkeys(phrases)]
+
+    def edge(s: str) -> int:
+        found = [p.search(s) for p in own]
+        return max((m.end() for m in found), default=0) if all(found) else len(s)
+
+    def cut(s: str) -> str:
+        if len(s) <= EDGE_FROM:
+            return s
+        h, t = edge(s), len(s) - edge(s[::-1])
+        return s[:h] + s[t:] if h < t else s
+
+    return cut
+
+
+def signal_edges(lx: dict) -> Callable[[str], tuple] | None:
     """For one turn's text: its edges, and what they leave out of the counts for
-    copy_paste_score, answer_seeking_intensity and understanding_signal_strength."""
+    copy_paste_score, answer_seeking_intensity and understanding_signal_strength.
+    None where a caller's own patterns need the whole text."""
     lists = [lx["copy"], lx["answer_prompt"], lx["understanding"]]
-    cut, phrases = edge_cutter([p for ps in lists for p in ps]), phrase_counter(lists)
+    every, phrases = [p for ps in lists for p in ps], phrase_counter(lists)
+    copy_patterns, hypothetical = COPY_PATTERNS, HYPOTHETICAL
+    if list(lx["copy_patterns"]) == L.NON_NATURAL_PATTERNS and list(lx["hypothetical"]) == L.HYPOTHETICAL_PATTERNS:
+        cut = edge_cutter(every)
+    else:
+        cut = stop_cutter(every, [*lx["copy_patterns"], *lx["hypothetical"]])
+        if cut is None:
+            return None
+        copy_patterns, hypothetical = ([(re.compile(p), ()) for p in lx[name]] for name in ("copy_patterns", "hypothetical"))
 
     def counts(s: str) -> list[int]:
         copy, answer, understanding = phrases(normalized(s))
-        return [copy + patterns_found(s, COPY_PATTERNS), answer, understanding + patterns_found(s, HYPOTHETICAL)]
+        return [copy + patterns_found(s, copy_patterns), answer, understanding + patterns_found(s, hypothetical)]
 
     def run(s: str) -> tuple:
         edges = cut(s)

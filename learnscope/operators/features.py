@@ -40,15 +40,18 @@ def measure_turns(turns: DataFrame, keep: str = "edges", lexicon: dict | None =
     (``ai_response`` is dropped). ``question_text`` stays whole (``keep='text'``), is
     dropped (``'none'``), or is cut to its edges (``'edges'``), with the ``INSIDE``
     columns for what they leave out of the counts of :func:`session_signals`. A
-    caller's own patterns need the whole text: with them ``'edges'`` is ``'text'``."""
+    caller's own patterns need the whole text where no character is known that
+    none of their matches holds (:func:`learnscope.functions.measures.stops`):
+    with such patterns ``'edges'`` is ``'text'``."""
     if measured(turns):
         return turns
     t = turns
     if "question_text" in turns.columns:
         t = t.withColumn("question_text", F.coalesce(F.col("question_text").cast("string"), F.lit("")))
         t = t.withColumn("__m", M.per_text(lambda s: (M.cleaned_length(s), len(s), int(M.has_image(s))), "struct<c:int,r:int,i:int>", "question_text"))
-        if keep == "edges" and not _own_patterns(lexicon):
-            t = t.withColumn("__e", M.per_text(M.signal_edges(_lists(lexicon)), "struct<t:string,c:bigint,a:bigint,u:bigint>", "question_text"))
+        edges = M.signal_edges(_lists(lexicon)) if keep == "edges" else None
+        if edges:
+            t = t.withColumn("__e", M.per_text(edges, "struct<t:string,c:bigint,a:bigint,u:bigint>", "question_text"))
             t = t.withColumn("question_text", F.col("__e.t"))
             t = t.withColumns(dict(zip(INSIDE, (F.col(f"__e.{f}") for f in "cau")))).drop("__e")
         t = t.withColumns({"__clen": F.col("__m.c"), "__rlen": F.col("__m.r"), "__image": F.col("__m.i")}).drop("__m")
@@ -112,8 +115,8 @@ def session_signals(turns: DataFrame, lexicon: dict | None = None) -> DataFrame:
     its edges likewise (:func:`learnscope.functions.text.with_edges`). ``pooled_prompts``
     then joins short pieces and edges, and ``inside_copy``, ``inside_answer`` and
     ``inside_understanding`` are what the edges leave out: the sums are those of the
-    whole text. Texts stay whole where a caller's own patterns are counted, and where
-    option labels follow one another all along an end."""
+    whole text. Pieces stay whole where a caller's own patterns are counted (their turns are
+    cut), and where option labels follow one another all along an end."""
     own = _own_patterns(lexicon)
     t = measure_turns(turns, "edges", lexicon)
     if own or "turn_rank" not in t.columns or "question_text" not in t.columns:

@@ -55,6 +55,39 @@ def test_edges_add_up():
     assert short > 200
 
 
+OWN = {
+    "copy": ["the", "答案", "aa"], "copy_patterns": [r"[0-9]{4,}", r"[#*$%&]{3}", r"(?:ab|c\.)+"], "answer_prompt": ["and", "and", "A1"],
+    "answer_reply": ["of"], "understanding": ["why", "为什么"], "hypothetical": [r"if[^\n]*then", r"[.] "],
+}
+
+
+def test_edges_of_own_patterns(spark):
+    """A caller's own patterns: the turns are cut, the session's counts are those of its whole text."""
+    assert all(M.stops(p) is None for p in (r"\d+", r"a.b", r"^a", r"a\b", r"(?i)a", r"(?=a)b", r"a*", r"[^\s\S]?", r"(a)\1", r"[a&&b]", r"\p{L}", ""))
+    assert M.signal_edges(fe._lists({**OWN, "hypothetical": [r"a.b"]})) is None
+    rng, bits = random.Random(5), [*"01239#*$% .\n\nabcA１Ａ", "if", "then", "the ", "a n d", "why", "为什么", "答 案", "ab", "c.", "aaa"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.choice((10, 400, 900)))) for _ in range(120)]
+    texts[:2] = ["9" * 700, "if " * 300 + "then"]
+    lx = fe._lists(OWN)
+    t0 = datetime(2024, 3, 1)
+    rows = [(i, i // 4, 0, t0 + timedelta(minutes=i), "自由提问", x, "of " * 60) for i, x in enumerate(texts)]
+    t = spark.createDataFrame(rows, "turn_id long, student_id long, class_id long, asked_at timestamp_ntz, entry string, question_text string, ai_response string")
+    m = sg.segment(fe.measure_turns(t, lexicon=OWN), gap_minutes=720, split_on_entry=True)
+    assert m.agg(F.sum(F.length("question_text"))).first()[0] < 0.6 * sum(map(len, texts))
+    got = fe.text_signals(fe.behavioral(fe.session_signals(m, OWN)), lexicon=OWN)
+    for r in got.collect():
+        s = " ".join(texts[4 * r["student_id"]:4 * r["student_id"] + 4])
+        n = M.normalized(s)
+
+        def found(phrases, patterns=()):
+            return sum(n.count(p) for p in lx[phrases]) + sum(len(re.findall(p, s)) for p in patterns)
+
+        long = sum(map(len, texts[4 * r["student_id"]:4 * r["student_id"] + 4])) / 4 > L.LONG_QUESTION_CHARS
+        assert r["copy_paste_score"] == found("copy", lx["copy_patterns"]) + long
+        assert r["understanding_signal_strength"] == found("understanding", lx["hypothetical"])
+        assert r["answer_seeking_intensity"] == found("answer_prompt") + M.normalized(("of " * 60)[:100]).count("of")
+
+
 def test_no_whole_text_behind_the_measures(spark):
     t0 = datetime(2024, 3, 1)
     rows = [(i, i % 3, 0, t0 + timedelta(minutes=i), "自由提问", "long words " * 500, "reply " * 500) for i in range(30)]
