@@ -12,15 +12,16 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import lexicon as L
 
 WIDE = re.compile("[" + L.FULLWIDTH_FROM[0] + "-" + L.FULLWIDTH_FROM[-2] + "]")
-NARROW = str.maketrans(L.FULLWIDTH_FROM, L.FULLWIDTH_TO)
-BEYOND_ASCII = re.compile(r"[^\x00-\x7f]+")
+NARROW = dict(zip(L.FULLWIDTH_FROM, L.FULLWIDTH_TO))
 EDGE_CHARS = 32  # normalized characters that an edge keeps at least: phrases are not longer
 EDGE_SEARCH = 4096  # characters in which the end of an edge is looked for
 EDGE_FROM = 512  # texts of more characters are cut to their edges
@@ -36,7 +37,60 @@ def normalized(s: str | None) -> str:
     """SCL2 of one text."""
     if not s:
         return ""
-    return "".join((s.translate(NARROW) if WIDE.search(s) else s).split())
+    return "".join(s.split() if s.isascii() else WIDE.sub(lambda m: NARROW[m[0]], s).split())
+
+
+#: what SCL2 does with a byte of UTF-8: 0 keeps it, 1 drops it, 2 may begin a longer
+#: character that is white space or full-width (then the pair of its first two bytes tells)
+_SPACES = np.array([ord(c) for c in L.WS_CHARS])
+_SPECIAL = [c.encode() for c in L.FULLWIDTH_FROM + L.WS_CHARS if not c.isascii()]
+_BYTE = np.zeros(256, np.uint8)
+_BYTE[[b[0] for b in _SPECIAL]] = 2
+_BYTE[_SPACES[_SPACES < 128]] = 1
+_PAIR = np.zeros(65536, bool)
+_PAIR[[b[0] << 8 | b[1] for b in _SPECIAL]] = True
+PIECE_BYTES = 1 << 18  # bytes of a batch that are looked at together
+
+
+def _normalized_bytes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes with full-width characters made half-width at their first byte, and
+    which bytes SCL2 keeps."""
+    kind = _BYTE[data]
+    keep = kind != 1
+    at = np.flatnonzero(kind == 2)
+    at = at[_PAIR[data[at].astype(np.uint16) << 8 | data[np.minimum(at + 1, len(data) - 1)]]]
+    if len(at):
+        n = np.where(data[at] < 0xE0, 2, 3)
+        a, b, c = (data[np.minimum(at + i, len(data) - 1)].astype(np.int32) & 63 for i in range(3))
+        code = np.where(n == 2, (a & 31) << 6 | b, (a & 15) << 12 | b << 6 | c)
+        wide = (code >= ord(L.FULLWIDTH_FROM[0])) & (code <= ord(L.FULLWIDTH_FROM[-2]))
+        data = data.copy()
+        data[at[wide]] = code[wide] - (ord(L.FULLWIDTH_FROM[0]) - ord(L.FULLWIDTH_TO[0]))
+        space = np.isin(code, _SPACES)
+        keep[at[space]] = False
+        for i in (1, 2):
+            keep[at[(wide | space) & (n > i)] + i] = False
+    return data, keep
+
+
+def normalized_texts(texts: pa.Array) -> pa.Array:
+    """SCL2 of a batch: :func:`normalized` on the batch's UTF-8 bytes, in pieces of whole texts."""
+    if not len(texts):
+        return texts
+    if texts.null_count:
+        texts = pc.fill_null(texts, "")
+    at = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, texts.offset * 4)
+    raw = texts.buffers()[2]
+    data = np.frombuffer(raw, np.uint8) if raw is not None and at[-1] > at[0] else np.zeros(0, np.uint8)
+    ends, parts, i = np.zeros(len(at), np.int32), [], 0
+    while i < len(texts):
+        j = max(i + 1, int(np.searchsorted(at, int(at[i]) + PIECE_BYTES, "right")) - 1)
+        piece, keep = _normalized_bytes(data[at[i]:at[j]])
+        parts.append(piece[keep])
+        end = at[i + 1:j + 1] - at[i]
+        ends[i + 1:j + 1] = ends[i] + end - np.searchsorted(np.flatnonzero(~keep), end)
+        i = j
+    return pa.StringArray.from_buffers(len(texts), pa.py_buffer(ends), pa.py_buffer(np.concatenate(parts)))
 
 
 _CLEAN = [re.compile(python_pattern(p)) for p, _ in L.QUESTION_CLEAN_STEPS[:-1]]
@@ -65,19 +119,22 @@ def has_image(s: str | None) -> bool:
 
 def phrase_counter(lists: Sequence[Sequence[str]]) -> Callable[[str], list[int]]:
     """SCL3: for a normalized text, the summed counts of each list's phrases. A phrase is
-    counted once for all lists; phrases beyond ASCII only in what lies beyond ASCII."""
+    counted once for all lists; phrases beyond ASCII only in runs of characters that are
+    not below all of theirs."""
     if any(not p for ps in lists for p in ps):
         raise ValueError("empty phrase")
     uses: dict[str, list[int]] = {}
     for i, phrases in enumerate(lists):
         for p in phrases:
             uses.setdefault(p, []).append(i)
-    beyond = [(p, u) for p, u in uses.items() if BEYOND_ASCII.fullmatch(p)]
-    other = [(p, u) for p, u in uses.items() if not BEYOND_ASCII.fullmatch(p)]
+    low = min((min(p) for p in uses if min(p) > "\x7f"), default=None)
+    beyond = [(p, u) for p, u in uses.items() if low and min(p) >= low]
+    other = [(p, u) for p, u in uses.items() if not (low and min(p) >= low)]
+    runs = re.compile(f"[{low}-\U0010ffff]+") if low else None
 
     def count(norm: str) -> list[int]:
         out = [0] * len(lists)
-        rest = "" if norm.isascii() else "\n".join(BEYOND_ASCII.findall(norm))
+        rest = "\n".join(runs.findall(norm)) if runs and not norm.isascii() else ""
         for text, phrases in ((norm, other), (rest, beyond)):
             if text:
                 for p, used in phrases:
@@ -91,7 +148,7 @@ def phrase_counter(lists: Sequence[Sequence[str]]) -> Callable[[str], list[int]]
 
 
 #: the default lists of patterns, in Python's dialect with the literals they require
-#: (a quick look for the first one's end spares most texts the search for digits)
+#: (the first one is found by its end, a digit before it tells: no two ends overlap)
 NUMBERED = re.compile(r"[\.、]\s*[A-D选项]")
 COPY_PATTERNS = [(re.compile(python_pattern(p)), r) for p, r in zip(L.NON_NATURAL_PATTERNS, L.NON_NATURAL_REQUIRED)]
 HYPOTHETICAL = [(re.compile(python_pattern(p)), r) for p, r in zip(L.HYPOTHETICAL_PATTERNS, L.HYPOTHETICAL_REQUIRED)]
@@ -101,7 +158,9 @@ def patterns_found(s: str, patterns: Sequence[tuple[re.Pattern, Sequence[str]]])
     """SCL4: non-overlapping matches in a raw text."""
     found = 0
     for p, required in patterns:
-        if all(r in s for r in required) and (p is not COPY_PATTERNS[0][0] or NUMBERED.search(s)):
+        if p.pattern == COPY_PATTERNS[0][0].pattern:
+            found += sum(s[m.start() - 1:m.start()].isdecimal() for m in NUMBERED.finditer(s))
+        elif all(r in s for r in required):
             found += sum(1 for _ in p.finditer(s))
     return found
 
@@ -238,6 +297,11 @@ def signal_edges(lx: dict) -> Callable[[str], tuple] | None:
     return run
 
 
+def per_batch(fn: Callable[[pa.Array], pa.Array], schema: str, text: Column | str) -> Column:
+    """``fn`` of every batch of texts as an Arrow UDF."""
+    return F.arrow_udf(fn, schema)(F.col(text) if isinstance(text, str) else text)
+
+
 def per_text(fn: Callable, schema: str, text: Column | str) -> Column:
     """``fn`` of every text as an Arrow UDF; a tuple of values where ``schema`` names
     several columns (``struct<...>``)."""

@@ -33,7 +33,7 @@ def scl_question_length(spark, sf):
 def scl_normalize(spark, sf):
     """SCL2: full-width -> half-width, whitespace removed."""
     t = C.turns(spark, sf)
-    return t.select("turn_id", M.per_text(M.normalized, "string", "question_text").alias("normalized"), M.per_text(M.normalized, "string", "ai_response").alias("normalized_reply"))
+    return t.select("turn_id", M.per_batch(M.normalized_texts, "string", "question_text").alias("normalized"), M.per_batch(M.normalized_texts, "string", "ai_response").alias("normalized_reply"))
 
 
 @register("scl_keyword_count", O.with_(*O.views("turns"), f"n AS (SELECT turn_id, {O.normalize('question_text')} AS s FROM turns)")

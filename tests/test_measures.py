@@ -3,8 +3,10 @@ no whole text behind them."""
 
 import random
 import re
+import time
 from datetime import datetime, timedelta
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from learnscope.functions import lexicon as L
@@ -110,3 +112,33 @@ def test_compressed_logs_are_read_where_they_are(spark, tmp_path):
     r.collect()
     plan = r._jdf.queryExecution().executedPlan().toString()
     assert not re.search(r"Sort \[[^\]]*\bid#", plan) and not re.search(r"Sort \[[^\]]*position#", plan)  # no line, no row
+
+
+def test_batch_of_normalized_texts():
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [*every, "".join(every), *_texts(400, 60), None, ""]
+    batch = pa.array(texts, pa.string())
+    want = [M.normalized(t) for t in texts]
+    assert M.normalized_texts(batch).to_pylist() == want
+    assert M.normalized_texts(batch.slice(60, 9000)).to_pylist() == want[60:9060]
+    assert M.normalized_texts(batch.slice(0, 0)).to_pylist() == []
+
+
+def test_full_width_texts_are_normalized_at_the_speed_of_others():
+    """A few full-width characters do not cost a look-up for each character of the text."""
+    def seconds(t):
+        at = time.perf_counter()
+        for _ in range(20):
+            M.normalized(t)
+        return time.perf_counter() - at
+
+    text = "条件 " * 20_000
+    assert min(seconds(text + "？") for _ in range(3)) < 4 * min(seconds(text) for _ in range(3))
+
+
+def test_numbered_options_are_counted_by_their_ends():
+    p = re.compile(M.python_pattern(L.NON_NATURAL_PATTERNS[0]))
+    rng = random.Random(5)
+    for _ in range(3000):
+        s = "".join(rng.choice("1٣.、 \nA选xE") for _ in range(rng.randrange(14)))
+        assert M.patterns_found(s, M.COPY_PATTERNS[:1]) == sum(1 for _ in p.finditer(s)), s
