@@ -9,6 +9,7 @@ from datetime import datetime, timedelta
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from learnscope import fixtures as fx
 from learnscope.functions import lexicon as L
 from learnscope.functions import measures as M
 from learnscope.functions import text as X
@@ -142,3 +143,14 @@ def test_numbered_options_are_counted_by_their_ends():
     for _ in range(3000):
         s = "".join(rng.choice("1٣.、 \nA选xE") for _ in range(rng.randrange(14)))
         assert M.patterns_found(s, M.COPY_PATTERNS[:1]) == sum(1 for _ in p.finditer(s)), s
+
+
+def test_turns_are_measured_in_many_tasks(spark, tmp_path):
+    at = datetime(2024, 1, 1)
+    events = [(i, i % 7, at + timedelta(minutes=i), "click") for i in range(500)] + [(3, 3, at, "view"), (None, None, None, None)]
+    spark.createDataFrame(events, "event_id long, user_id long, ts timestamp_ntz, event_type string").coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    spark.createDataFrame([(i, "text") for i in range(10)] + [(1, "twice")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    t = fx.load_view(spark, str(tmp_path), "turns").select("turn_id", F.spark_partition_id().alias("p")).collect()
+    n = 11
+    assert len({r["p"] for r in t}) > 1
+    assert len(t) == len(events) + sum(e[0] is not None and e[0] % n == 1 for e in events)
