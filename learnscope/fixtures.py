@@ -103,7 +103,7 @@ def load_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     that are joined to whole texts, which are then measured in the same tasks."""
     register_tables(spark, sf_dir, _NEEDS[name])
     if name == "turns":
-        dealt = spark.table("events").repartition(2 * spark.sparkContext.defaultParallelism, "event_id")
+        dealt = spark.table("events").repartition(2 * spark.sparkContext.defaultParallelism)
         dealt.createOrReplaceTempView("events")
     return spark.sql(view_sql(name, "spark"))
 
