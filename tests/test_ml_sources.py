@@ -241,3 +241,25 @@ def test_preview_and_top_ratios(spark):
     top = sorted(tuple(r) for r in ml.top_ratios(ml.pca_table(spark, ml.pca_fit(ml.standardize(e, E), E))).collect())
     assert [t[0] for t in top] == [1, 2, 3, 4, 5, 6]
     assert all(abs(t[2] - sum(u[1] for u in top[: i + 1])) < 1e-9 for i, t in enumerate(top))
+
+
+def test_session_table_is_zstd_and_holds_whole_texts(spark, tmp_path):
+    import datetime as dt
+
+    import pyarrow.parquet as pq
+
+    from learnscope.plans.q_sources import snk_sessions
+
+    at = dt.datetime(2024, 1, 1)
+    events = [(i, at + dt.timedelta(minutes=10 * i), i % 3, "click", 1.0, "{}") for i in range(60)]
+    texts = [(d, f"Frage {d} über Wärme " * 400, "de", "s", 0) for d in range(7)]
+    spark.createDataFrame(events, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    spark.createDataFrame(texts, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    out = snk_sessions(spark, str(tmp_path))
+    got = {r["turn_id"]: (r["student_id"], r["class_id"], r["session_index"]) for r in out.collect()}
+    assert got == {i: (i % 3, i % 3, i // 3 + 1) for i in range(60)}  # 30 minutes between a student's turns
+    files = [f.removeprefix("file:") for f in out.inputFiles()]
+    parts = [pq.ParquetFile(f) for f in files]
+    assert {p.metadata.row_group(0).column(c).compression for p in parts for c in range(p.metadata.num_columns)} == {"ZSTD"}
+    whole = {r["turn_id"]: r["question_text"] for p in parts for r in p.read(["turn_id", "question_text"]).to_pylist()}
+    assert len(whole) == 60 and all(whole[i].startswith(texts[i % 7][1] + " ") for i in range(60))
