@@ -147,7 +147,7 @@ def with_row_in_segment(segmented: DataFrame, segment_col: str = "session_index"
     return d.withColumn("row_number", (F.col("__rank") - F.col("__r0") + 1).cast("int")).drop("__rank", "__r0")
 
 
-MAX_PAYLOAD_ROWS = 100_000
+PAYLOAD_PIECE = 256  # turns of a payload that are written as JSON at a time
 
 
 def payload_texts(turns: DataFrame, text_chars: int = L.PAYLOAD_TEXT_CHARS) -> DataFrame:
@@ -164,14 +164,16 @@ def printed_time(col: str) -> Column:
 
 
 def segment_payloads(rows: DataFrame, segment_col: str = "session_index", min_rows: int = 3, text_chars: int = L.PAYLOAD_TEXT_CHARS,
-                     max_rows: int = MAX_PAYLOAD_ROWS) -> DataFrame:
+                     max_rows: int | None = None) -> DataFrame:
     """SCL12-13: one JSON payload per segment with at least ``min_rows`` turns:
     ``[{"row_number", "timestamp", "question", "ai_response"}, ...]`` in row
     order, texts cut to ``text_chars`` code points. Input: :func:`with_row_in_segment`.
 
-    A payload is one document for one call of a segmenter, so it is built in one
-    task. Segments of more than ``max_rows`` turns get no payload and stay whole;
-    :func:`rejected_segments` lists them."""
+    Every such segment gets its payload, however long. A payload is one document for
+    one call of a segmenter, so it is put together in one task, of pieces of
+    ``PAYLOAD_PIECE`` turns that are JSON already. A caller whose segmenter reads no
+    more than ``max_rows`` turns may say so: longer segments then get no payload and
+    stay whole; :func:`rejected_segments` lists them."""
     keys = [*student_keys(rows), segment_col]
     item = F.struct(
         F.col("row_number").alias("row_number"),
@@ -179,17 +181,26 @@ def segment_payloads(rows: DataFrame, segment_col: str = "session_index", min_ro
         F.substring(F.coalesce(F.col("question_text"), F.lit("")), 1, text_chars).alias("question"),
         F.substring(F.coalesce(F.col("ai_response"), F.lit("")), 1, text_chars).alias("ai_response"),
     )
-    return (
-        rows.filter(F.col("segment_rows").between(min_rows, max_rows))
-        .groupBy(*keys)
-        .agg(F.to_json(F.array_sort(F.collect_list(item))).alias("payload"), F.count(F.lit(1)).alias("n_rows"))
+    long_enough = F.col("segment_rows") >= min_rows
+    if max_rows is not None:
+        long_enough = long_enough & (F.col("segment_rows") <= max_rows)
+    # rows of a segment lie in one partition already: neither step shuffles them again
+    pieces = (
+        rows.filter(long_enough)
+        .groupBy(*keys, F.floor((F.col("row_number") - 1) / PAYLOAD_PIECE).alias("__piece"))
+        .agg(F.to_json(F.array_sort(F.collect_list(item))).alias("__json"), F.count(F.lit(1)).alias("__n"))
     )
+    inner = F.substr("__json", F.lit(2), F.length("__json") - 2)
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct("__piece", inner.alias("t")))), lambda x: x["t"])
+    return pieces.groupBy(*keys).agg(F.concat(F.lit("["), F.array_join(in_order, ","), F.lit("]")).alias("payload"), F.sum("__n").alias("n_rows"))
 
 
-def rejected_segments(rows: DataFrame, segment_col: str = "session_index", max_rows: int = MAX_PAYLOAD_ROWS) -> DataFrame:
-    """(keys, segment, n_rows, reason) of the segments that are too long for one
-    payload. Input: :func:`with_row_in_segment`; the first row stands for each."""
-    long = rows.filter((F.col("row_number") == 1) & (F.col("segment_rows") > max_rows))
+def rejected_segments(rows: DataFrame, segment_col: str = "session_index", max_rows: int | None = None) -> DataFrame:
+    """(keys, segment, n_rows, reason) of the segments that are too long for a
+    caller's ``max_rows`` (none without it). Input: :func:`with_row_in_segment`; the
+    first row stands for each."""
+    too_long = F.lit(False) if max_rows is None else F.col("segment_rows") > max_rows
+    long = rows.filter((F.col("row_number") == 1) & too_long)
     return long.select(*student_keys(rows), segment_col, F.col("segment_rows").alias("n_rows"), F.lit("too_long").alias("reason"))
 
 

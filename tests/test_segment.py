@@ -1,6 +1,7 @@
 """Segmentation: trap rows, fixture counts, properties (coverage, skew-bucket
 invariance)."""
 
+import json
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
@@ -185,3 +186,15 @@ def test_too_long_segments_are_rejected_and_the_others_go_on(spark):
     assert [tuple(r) for r in sg.rejected_segments(df, max_rows=5).collect()] == [(1, 1, 9, "too_long")]
     out = sg.topic_split(df, sg.apply_segmenter(pay, lambda turns: {t["row_number"]: t["row_number"] for t in turns}))
     assert out.groupBy("student_id").agg(F.count_distinct("session_index").alias("n")).orderBy("student_id").collect() == [(1, 1), (2, 4)]
+
+
+def test_a_very_long_segment_gets_its_whole_payload(spark):
+    n = 100_003
+    rows = spark.range(n).select(F.lit(1).cast("long").alias("student_id"), F.lit(1).alias("session_index"), (F.lit(n) - F.col("id")).cast("int").alias("row_number"),
+                                 F.lit(n).cast("long").alias("segment_rows"), F.lit(datetime(2024, 1, 1, 9)).cast("timestamp_ntz").alias("asked_at"),
+                                 F.concat(F.lit('say "'), F.col("id").cast("string"), F.lit('"')).alias("question_text"), F.lit(None).cast("string").alias("ai_response"))
+    (pay,) = sg.segment_payloads(rows.repartition(4)).collect()
+    turns = json.loads(pay["payload"])
+    assert pay["n_rows"] == n and [t["row_number"] for t in turns] == list(range(1, n + 1))
+    assert turns[n - 1] == {"row_number": n, "timestamp": "2024-01-01 09:00:00", "question": 'say "0"', "ai_response": ""}
+    assert sg.rejected_segments(rows).count() == 0
