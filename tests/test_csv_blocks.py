@@ -3,6 +3,7 @@
 import csv
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -105,3 +106,54 @@ def test_wide_files_and_other_names_in_one_column(spark, tmp_path):
     assert "x2_299" in io.read_turns_csv(spark, str(tmp_path), clean=False).columns
     assert [(r["reason"], r["missing"]) for r in io.rejected_files(spark, str(tmp_path)).collect()] == [("missing_columns", known)]
     assert got.select(F.count_distinct("turn_id")).first()[0] == 3
+
+
+def test_cells_of_a_text_are_those_of_its_lines():
+    """Cells cut out of a text's bytes are those that are read line by line."""
+    rng, fast = random.Random(5), 0
+    cells = ["", '""', "a", "一二", '"x,y"', '"q""q"', '""""', '"two\nlines"', '"\n\n"', '"end\n"', '"é,\n"""', "plain words", 'a"b']
+    for _ in range(3000):
+        text = "\n".join(",".join(rng.choice(cells[: rng.choice([12, 12, 13])]) for _ in range(rng.randrange(4))) for _ in range(rng.randrange(1, 5)))
+        text = rng.choice(["", 'x",', '\n"\n', '"",a\n', '"",\n']) + text + rng.choice(["", ',"goes on'])
+        lines = text.split("\n")
+        for begins_open in (False, True):
+            is_open, held, want = begins_open, [], []
+            for line in lines:
+                if line or is_open:
+                    held.append(line)
+                is_open = csv_blocks.open_after(line, is_open)
+                if not is_open and held:
+                    want.append("\n".join(held))
+                    held = []
+            want = [csv_blocks.cells_of(w)[0] for w in want[begins_open:]]
+            as_bytes = csv_blocks.bytes_of(pa.array(lines))
+            assert as_bytes.tobytes().decode() == text + "\n"
+            found = csv_blocks.ends_of(as_bytes, begins_open)
+            if found is not None:
+                fast += 1
+                assert found[1] == is_open
+                assert csv_blocks.cut_cells(as_bytes, found[0], found[2], begins_open).to_pylist() == want, (text, begins_open)
+    assert fast > 2000
+
+
+def test_no_second_reading_for_records_that_end_in_their_blocks(spark, tmp_path):
+    """Where no record crosses blocks there is no scan for pieces of records; excluded
+    files are not opened at all."""
+    rows = [(i, f'say "{i}"\nline, two', "2024-01-01 09:00:00") for i in range(40)]
+    df = spark.createDataFrame(rows, "student_id long, question_text string, asked_at string")
+    io.write_csv(df, str(tmp_path / "log"), headers=io.TURN_HEADERS, compression="gzip")
+    (tmp_path / "clusters").mkdir()
+    (tmp_path / "clusters" / "broken.csv.gz").write_bytes(b"no gzip")
+    records, files = csv_blocks.read_cells(spark, str(tmp_path), True, io.is_session_path)
+    plan = records._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Union" not in plan
+    assert records.filter("position > 0").count() == 40 and files.agg(F.sum("n_rows")).first()[0] == 40
+    got = io.session_path_filter(io.read_turns_csv(spark, str(tmp_path), recursive=True, keep=io.is_session_path))
+    assert sorted((int(r["student_id"]), r["question_text"]) for r in got.collect()) == [(i, q.replace("\n", " ")) for i, q, _ in rows]
+
+
+def test_broken_bytes_and_carriage_returns(spark, tmp_path):
+    """Bytes that are no UTF-8 are read as replacement characters, in any batch."""
+    (tmp_path / "a.csv").write_bytes(b'h1,h2\r\n"a\xff\xfeb","c\r\nd"\r\n\r\nx\ry,"z"\n')
+    records, _ = csv_blocks.read_cells(spark, str(tmp_path))
+    assert [r["cells"] for r in records.orderBy("position").collect()] == [["h1", "h2"], ["a\ufffd\ufffdb", "c\nd"], ["x\ry", "z"]]
