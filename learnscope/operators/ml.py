@@ -185,6 +185,8 @@ def select_components(ratios: DataFrame, threshold: float = L.VARIANCE_THRESHOLD
 
 
 CHUNK = 1 << 21  # distances held at a time
+NEAR_CHUNK = 1 << 16  # of them, where they are read several times
+FEW_CENTERS = 32  # of a model whose sums are taken as products
 ROWS_PER_TASK = 50_000  # in the passes of a fit, at least
 CANDIDATES = 500  # drawn from all rows in each round before a fit
 ROUNDS = 4
@@ -278,9 +280,59 @@ PACKED = "__x"
 
 
 def packed(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """The coordinates as one array column, so that the plan of a pass does not grow
-    with their number."""
-    return df if df.columns == [PACKED] else df.select(F.array(*[F.col(c).cast("double") for c in cols]).alias(PACKED))
+    """The coordinates as one column, the rows of a batch in one value (their doubles,
+    row by row; null: NaN): a pass moves bytes, and its plan does not grow with them."""
+    if df.columns == [PACKED]:
+        return df
+    cols = list(cols)
+
+    def run(batches):
+        for b in batches:
+            yield pa.record_batch([pa.array([_matrix(b, cols).tobytes()], pa.binary())], names=[PACKED])
+
+    return df.select(*cols).mapInArrow(run, f"{PACKED} binary")
+
+
+def _sums_by_label(x: np.ndarray, every: np.ndarray, cost: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, squared distances (0 without ``cost``) and sums of the clusters of
+    models x k centers: every row's label is looked up, and counted."""
+    m, k, p = every.shape
+    flat_centers = every.reshape(m * k, p)
+    cc, at, size = (flat_centers ** 2).sum(axis=1), np.arange(m) * k, m * k
+    n, e, s = np.zeros(size), np.zeros(size), np.zeros((size, p))
+    step = max(1, CHUNK // size)
+    for i in range(0, len(x), step):
+        part = x[i: i + step]
+        label = (cc - 2 * (part @ flat_centers.T)).reshape(len(part), m, k).argmin(axis=2) + at
+        flat = label.ravel()
+        n += np.bincount(flat, minlength=size)
+        if cost:
+            e += np.bincount(flat, ((part[:, None, :] - flat_centers[label]) ** 2).sum(axis=2).ravel(), size)
+        s += np.column_stack([np.bincount(flat, np.repeat(part[:, j], m), size) for j in range(p)])
+    return n.reshape(m, k), e.reshape(m, k), s.reshape(m, k, p)
+
+
+def _sums_by_product(x: np.ndarray, every: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As :func:`_sums_by_label` without cost, for finite rows: distances are laid out
+    center by center, a row's nearest center is where the least of them stands (the
+    first one on ties), and counts and sums are one product of these places and the rows."""
+    m, k, p = every.shape
+    by_center = every.transpose(1, 0, 2).reshape(k * m, p)
+    w = np.column_stack([-2 * by_center, (by_center ** 2).sum(axis=1)])
+    x1 = np.column_stack([x, np.ones(len(x))])
+    total = np.zeros((k * m, p + 1))
+    step = max(32, NEAR_CHUNK // (k * m))
+    for i in range(0, len(x), step):
+        part = x1[i: i + step]
+        d = (w @ part.T).reshape(k, m * len(part))
+        least = d.min(axis=0)
+        hit = d == least
+        if np.count_nonzero(hit) != hit.shape[1]:
+            hit |= np.isnan(d)  # of centers out of range; argmin takes them first, too
+            hit[1:] &= ~np.logical_or.accumulate(hit, axis=0)[:-1]
+        total += hit.reshape(k * m, -1).astype(float) @ part
+    total = total.reshape(k, m, p + 1).transpose(1, 0, 2)
+    return total[..., p], np.zeros((m, k)), total[..., :p]
 
 
 def lloyd_pass(df: DataFrame, cols: Sequence[str], centers: Sequence[np.ndarray], cost: bool = True) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -296,29 +348,19 @@ def lloyd_pass(df: DataFrame, cols: Sequence[str], centers: Sequence[np.ndarray]
 
     def run(batches):
         cs = shared.value
-        n = [np.zeros(len(c), np.int64) for c in cs]
+        n = [np.zeros(len(c)) for c in cs]
         s = [np.zeros((len(c), p)) for c in cs]
         e = [np.zeros(len(c)) for c in cs]
-        for b in batches:
-            full = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, p)
+        for full in (np.frombuffer(v.as_buffer(), float).reshape(-1, p) for b in batches for v in b.column(0)):
+            odd = ~np.isfinite(full).all(axis=1)
             for k, models in groups.items():
-                every = np.concatenate([cs[m] for m in models])  # (models * k) x p
-                cc, at = (every ** 2).sum(axis=1), np.arange(len(models)) * k
-                step = max(1, CHUNK // len(every))
-                for i in range(0, len(full), step):
-                    x = full[i: i + step]
-                    label = (cc - 2 * (x @ every.T)).reshape(len(x), len(models), k).argmin(axis=2) + at
-                    flat = label.ravel()
-                    size = len(every)
-                    nn, ee = np.bincount(flat, minlength=size), np.zeros(size)
-                    if cost:
-                        ee = np.bincount(flat, ((x[:, None, :] - every[label]) ** 2).sum(axis=2).ravel(), size)
-                    ss = np.column_stack([np.bincount(flat, np.repeat(x[:, j], len(models)), size) for j in range(p)])
+                every = np.stack([cs[m] for m in models])  # models x k x p
+                parts = [_sums_by_label(full, every, cost)] if cost or k > FEW_CENTERS else [_sums_by_product(full[~odd], every), _sums_by_label(full[odd], every, False)]
+                for nn, ee, ss in parts:
                     for q, m in enumerate(models):
-                        a, z = q * k, (q + 1) * k
-                        n[m] += nn[a:z]
-                        e[m] += ee[a:z]
-                        s[m] += ss[a:z]
+                        n[m] += nn[q]
+                        e[m] += ee[q]
+                        s[m] += ss[q]
         every = np.column_stack([np.concatenate(n), np.concatenate(e), np.concatenate(s)]).ravel()
         at = np.flatnonzero(every)
         yield pa.record_batch([pa.array(at), pa.array(every[at])], names=["at", "v"])

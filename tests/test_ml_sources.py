@@ -263,3 +263,24 @@ def test_session_table_is_zstd_and_holds_whole_texts(spark, tmp_path):
     assert {p.metadata.row_group(0).column(c).compression for p in parts for c in range(p.metadata.num_columns)} == {"ZSTD"}
     whole = {r["turn_id"]: r["question_text"] for p in parts for r in p.read(["turn_id", "question_text"]).to_pylist()}
     assert len(whole) == 60 and all(whole[i].startswith(texts[i % 7][1] + " ") for i in range(60))
+
+
+def test_sums_by_product_are_those_of_the_labels():
+    """Counts and sums of a pass, also on ties (the first center), without rows, and
+    with centers out of range."""
+    rng = np.random.default_rng(1)
+    for k, m, p, n, ties in ((5, 20, 7, 3000, False), (5, 20, 3, 3000, True), (7, 4, 2, 800, True), (3, 2, 1, 0, False)):
+        x = rng.integers(0, 3, (n, p)).astype(float) if ties else rng.standard_normal((n, p))
+        c = np.stack([x[rng.choice(n, k)] if n else np.zeros((k, p)) for _ in range(m)])
+        c[0, -1] = np.nan if ties else c[0, -1]
+        want, got = ml._sums_by_label(x, c, False), ml._sums_by_product(x, c)
+        assert np.array_equal(want[0], got[0]) and np.allclose(want[2], got[2], rtol=0, atol=1e-9)
+        assert got[0].sum() == n * m
+
+
+def test_a_pass_moves_batches_not_rows(spark):
+    """Rows with a missing coordinate are counted as before: in the first cluster."""
+    df = spark.range(25_000).select(F.col("id").cast("double").alias("a"), F.when(F.col("id") != 7, -F.col("id")).cast("int").alias("b")).coalesce(1)
+    assert ml.packed(df, ["a", "b"]).count() == 3
+    (n, s, _), = ml.lloyd_pass(df, ["a", "b"], [np.array([[0.0, 0.0], [20_000.0, -20_000.0]])], cost=False)
+    assert n.tolist() == [10_001, 14_999] and s[1, 0] == sum(range(10_001, 25_000)) and np.isnan(s[0, 1])
